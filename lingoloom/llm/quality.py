@@ -97,35 +97,32 @@ def word_histogram(words: Column, common: Column) -> Column:
     return _let(coded, lambda s: F.concat(F.transform(common, lambda _, k: count(s, k + 2)), F.array(count(s, F.lit(1)))))
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """(lang, common array<string>, word_ref array<double>, class_ref array<double>) of each frequent language, and of the corpus (null).
+def language_references(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(lang, common array<string>, word_ref array<double>, class_ref array<double>) of each frequent language, and of the whole corpus (null).
 
-    Counts cover every document. Words are lower-cased.
+    Counts cover every document; words are lower-cased. There are 1,001 rows at
+    most, with 100 common words each at most.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lang_sizes = docs.groupBy("lang").agg(F.count("*").alias("n"))
     total = docs.count()
-    frequent = lang_sizes.where(F.col("n") >= LANGUAGE_SHARE * total).where("lang is not null").select("lang")  # 1,000 rows at most
-    known = docs.select("lang", text.alias("text")).join(F.broadcast(frequent.withColumn("known", F.lit(True))), "lang", "left").select(F.when(F.col("known"), F.col("lang")).alias("lang"), "text")
-    classes = known.select("lang", F.posexplode(class_counts(F.col("text"))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n"))
-    words = known.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    return classes, words
-
-
-def language_references(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    classes, words = references(docs)
-    classes, words = scratch.save(classes), scratch.save(words)
-    corpus = F.lit(None).cast("string").alias("lang")
+    frequent = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LANGUAGE_SHARE * total).select("lang", F.lit(True).alias("known"))
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    known = docs.select("lang", text).join(F.broadcast(frequent), "lang", "left").select(F.when(F.col("known"), F.col("lang")).alias("lang"), "text")
+    classes = scratch.save(known.select("lang", F.posexplode(class_counts(F.col("text"))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n")))
+    words = scratch.save(known.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")))
 
     def arrays(classes: DataFrame, words: DataFrame) -> DataFrame:
-        totals = words.groupBy("lang").agg(F.sum("n").alias("all"))
-        common = words.join(F.broadcast(totals), words["lang"].eqNullSafe(totals["lang"])).where(F.col("n") >= COMMON * F.col("all")).select(words["lang"], "word", "n", "all")
-        by_word = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("w"), F.first("all").alias("all"))
-        common_words = by_word.select("lang", F.col("w.word").alias("common"), F.transform("w.n", lambda n: n.cast("double")).alias("counts"), "all")
-        word_ref = common_words.select(F.col("lang").alias("of"), "common", F.concat("counts", F.array((F.col("all") - F.aggregate("counts", F.lit(0.0), lambda x, y: x + y)).cast("double"))).alias("word_ref"))
-        class_ref = classes.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "n"))).alias("c")).select("lang", F.col("c.n").alias("class_ref"))
-        return class_ref.join(word_ref, class_ref["lang"].eqNullSafe(word_ref["of"]), "left").drop("of")
+        totals = {r["lang"]: r["all"] for r in words.groupBy("lang").agg(F.sum("n").alias("all")).collect()}  # a row a language
+        if not totals:
+            return classes.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "n"))).alias("c")).select("lang", F.lit(None).cast("array<string>").alias("common"), F.lit(None).cast("array<double>").alias("word_ref"), F.col("c.n").alias("class_ref"))
+        key = F.coalesce("lang", F.lit("\0"))
+        of_all = F.create_map(*[F.lit(x) for k, v in totals.items() for x in ("\0" if k is None else k, v)])[key]
+        common = words.where(F.col("n") >= COMMON * of_all).groupBy(key.alias("key")).agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("w"))
+        rest = F.create_map(*[F.lit(x) for k, v in totals.items() for x in ("\0" if k is None else k, v)])[F.col("key")] - F.aggregate("w.n", F.lit(0).cast("long"), lambda x, y: x + y)
+        word_ref = common.select("key", F.col("w.word").alias("common"), F.concat(F.transform("w.n", lambda n: n.cast("double")), F.array(rest.cast("double"))).alias("word_ref"))
+        class_ref = classes.groupBy(key.alias("key")).agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("k", "n"))).alias("c"))
+        return class_ref.join(word_ref, "key", "left").select("lang", "common", "word_ref", F.col("c.n").alias("class_ref"))
 
+    corpus = F.lit(None).cast("string").alias("lang")
     own = arrays(classes, words).where("lang is not null")
     everything = arrays(classes.groupBy("k").agg(F.sum("n").alias("n")).select(corpus, "k", "n"), words.groupBy("word").agg(F.sum("n").alias("n")).select(corpus, "word", "n"))
     return scratch.save(own.unionByName(everything))

@@ -83,9 +83,10 @@ def secret_report(found: DataFrame) -> DataFrame:
     """Counts, digest and text of the spans of ``scan_secrets``."""
     base = F.filter("spans", lambda s: s["kind_no"] < 3)
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of_kind = lambda k: count(lambda s: s["kind_no"] == k)
     return found.select(
         "doc_id",
-        *[count(lambda s, k=k: s["kind_no"] == k).alias(f"n_{name}") for k, (name, _) in enumerate(KINDS[:3])],
+        *[of_kind(k).alias(f"n_{name}") for k, (name, _) in enumerate(KINDS[:3])],
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
