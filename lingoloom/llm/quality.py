@@ -44,7 +44,7 @@ def repeated_words(words: Column, span: int = SPAN) -> Column:
     def windows(ids: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.size(ids) - (span - 1)), lambda i: F.xxhash64(F.slice(ids, i, span)))
 
-    count = _let(windows(F.transform(words, lambda w: F.xxhash64(w))), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_let(positions(h), covered)))
+    count = _let(_let(F.transform(words, lambda w: F.xxhash64(w)), windows), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_let(positions(h), covered)))
     return F.when(F.size(words) <= span, 0).otherwise(count)
 
 

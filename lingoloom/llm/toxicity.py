@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import mix, word_shingles
 from .sampling import fold_of, labelled_sample
 from .scratch import Scratch
 
@@ -25,6 +26,8 @@ REACH, NEGATED, REPORTED = 3, 0.5, 0.7
 THREAT_WEIGHT = 3.0
 CLAUSE_END = re.compile(r"[.!?;:\n]")
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…*#$%&|-—"
+#: Logarithm of how many stems may be tried: what chance gives once in e**14 stems is no evidence.
+TRIED = 14.0
 #: Prefix lengths of the insult transducer; a whole word ends in $.
 PREFIXES = range(3, 9)
 
@@ -97,20 +100,22 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in counts)], names=["stem", "clean", "toxic"])
 
 
-def _contexts(wanted: frozenset[str]):
-    """(stem, context, label): each wanted stem with the words before and after it."""
+def _families(wanted: frozenset[str]):
+    """(stem, family, label) of each wanted stem in a document.
+
+    A document's family is the least hash of its three-word windows, which near
+    copies share as often as they share windows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = set()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                words = (text or "").lower().split()
-                for i, w in enumerate(words):
-                    bare = w.strip(_EDGES)
-                    for s in stems(bare) if bare else ():
-                        if s in wanted:
-                            rows.add((s, " ".join(words[max(0, i - 1) : i + 2]), label))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int32())], names=["stem", "context", "label"])
+                windows = word_shingles([text or ""], 3)[0]
+                family = int(mix(windows).min() >> np.uint64(1)) if len(windows) else -1
+                words = {w.strip(_EDGES) for w in (text or "").lower().split()}
+                rows.update((s, family, label) for s in ("", *{s for w in words if w for s in stems(w)} & wanted))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32())], names=["stem", "family", "label"])
 
     return run
 
@@ -119,26 +124,24 @@ def learn_insults(sample: DataFrame, size: int = 5000, least: int = 3) -> dict[s
     """Stems that mark toxic documents, with log-odds weights; ``size`` at most.
 
     Stems are first counted by documents. Those that look toxic are then counted
-    by distinct contexts (the words around), so that a text that was copied a
-    thousand times counts about once. A stem is an insult if nine tenths of its
-    contexts are toxic and chance would hardly give so many.
+    by families of near copies, so that a text that was copied a thousand times
+    counts about once. A stem is an insult if 99 of 100 families with it are
+    toxic, more than chance would give to any of all the stems tried.
     """
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return {}
     counts = sample.mapInArrow(_stem_counts, "stem string, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    share = totals[1] / (totals[0] + totals[1])
     odds = (F.col("toxic") + 0.5) / (totals[1] + 1) / ((F.col("clean") + 0.5) / (totals[0] + 1))
     rows = counts.where((F.col("toxic") >= least) & (odds >= 8) & (F.col("toxic") >= 4 * F.col("clean"))).orderBy(F.desc(F.col("toxic") * F.log(odds)), "stem").limit(8 * size).select("stem").collect()
     wanted = frozenset(r["stem"] for r in rows)
-    if not wanted:
-        return {}
-    by_context = sample.mapInArrow(_contexts(wanted), "stem string, context string, label int").distinct().groupBy("stem").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()
+    by_family = sample.mapInArrow(_families(wanted), "stem string, family long, label int").distinct().groupBy("stem").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()
+    all_toxic, all_n = next((r["toxic"], r["n"]) for r in by_family if r["stem"] == "")
+    share = min(max(all_toxic / all_n, 1e-6), 1 - 1e-6)
     out = {}
-    for r in by_context:
+    for r in by_family:
         toxic, clean = r["toxic"], r["n"] - r["toxic"]
-        surprise = toxic * math.log(1 / share) + clean * math.log(1 / (1 - share)) - math.log(math.comb(r["n"], clean)) if r["n"] < 10_000 else math.inf
-        if toxic >= least and toxic >= 9 * clean and surprise >= math.log(len(wanted)):
+        if r["stem"] and toxic >= least and toxic >= 99 * clean and toxic * math.log(1 / share) - clean * math.log(r["n"] + 1) >= TRIED:
             out[r["stem"]] = math.log((toxic + 0.5) / (clean + 0.5)) + math.log((1 - share) / share)
     return dict(sorted(out.items(), key=lambda kv: (-kv[1], kv[0]))[:size])
 
