@@ -1,6 +1,6 @@
 """Vectorised hashing of words and characters, shared by the MinHash operators.
 
-Everything works on one Arrow batch at a time, in blocks of about a million
+Everything works on one Arrow batch at a time, in blocks of about 250,000
 characters, so memory does not depend on how many documents a task reads.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
@@ -130,8 +130,11 @@ class MinHash:
             out[:, k] = np.minimum.reduceat(((hashes * a + b) >> np.uint64(32)).astype(np.uint32), at[:-1])
         return out
 
-
-def jaccard_counts(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Sizes of the intersection and the union of two sorted distinct arrays."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common, len(a) + len(b) - common
+    def narrow(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The same from the upper 32 bits of the hashes only: faster, for sets of up to some thousand members."""
+        out = np.empty((len(at) - 1, len(self.odd)), dtype=np.uint32)
+        hashes = (hashes >> np.uint64(32)).astype(np.uint32)
+        for k, (a, b) in enumerate(zip(self.odd.astype(np.uint32) | np.uint32(1), self.add.astype(np.uint32), strict=True)):
+            x = hashes * a + b
+            out[:, k] = np.minimum.reduceat((x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D), at[:-1])
+        return out

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
+#: Edges a task writes, at least, while components are found.
+EDGES = 100_000
 #: Keys up to this many are broadcast to filter a table where it lies; more are joined by a shuffle.
 BROADCAST_KEYS = 400_000
 
@@ -26,22 +28,43 @@ def fetch(table: DataFrame, needed: DataFrame, on: str) -> DataFrame:
     return table.join(F.broadcast(needed) if small else needed, on)
 
 
-def _adjacent(reach: int, least: int, unit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From sorted (tree, path, id): pairs within ``reach`` rows whose paths begin with ``least`` equal values, and the rows at both borders."""
+def to_rows(column: pa.Array) -> np.ndarray:
+    """(n, width) bytes of a binary column whose values all have one length."""
+    if not len(column):
+        return np.zeros((0, 0), dtype=np.uint8)
+    _, offsets, data = column.buffers()
+    first, second = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + 2]
+    width = second - first
+    return np.frombuffer(data, dtype=np.uint8)[first : first + width * len(column)].reshape(len(column), width)
+
+
+def from_rows(rows: np.ndarray) -> pa.Array:
+    """A binary column of the rows of (n, width) bytes."""
+    rows = np.ascontiguousarray(rows, dtype=np.uint8)
+    offsets = (np.arange(len(rows) + 1) * rows.shape[1]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(rows.tobytes())])
+
+
+def turned(signatures: np.ndarray, trees: int, step: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tree of each row, rows): the signatures once a tree, turned by ``step`` bytes more each, ``width`` bytes of each."""
+    rows = np.concatenate([np.roll(signatures, -step * t, axis=1)[:, :width] for t in range(trees)])
+    return np.repeat(np.arange(trees, dtype=np.int32), len(signatures)), rows
+
+
+def _adjacent(reach: int, least: int, unit: int, agree: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From sorted (tree, path, id): candidate pairs within ``reach`` rows, and the rows at both borders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["tree", "path", "id", "other", "shared"]
+        border = lambda tree, path, ids: pa.RecordBatch.from_arrays([pa.array(tree), from_rows(path), pa.array(ids), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32())], names=names)
         kept = None
         count = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree = batch.column("tree").to_numpy(zero_copy_only=False)
-            paths = batch.column("path").to_pylist()
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            path = np.frombuffer(b"".join(paths), dtype=np.uint8).reshape(len(paths), -1)
+            tree, path, ids = batch.column("tree").to_numpy(zero_copy_only=False), to_rows(batch.column("path")), batch.column("id").to_numpy(zero_copy_only=False)
             if count < reach:  # the partition's first rows
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[: reach - count]) for x in (tree, paths, ids)), pa.nulls(min(reach - count, len(ids)), pa.int64()), pa.nulls(min(reach - count, len(ids)), pa.int32())], names=names)
+                yield border(tree[: reach - count], path[: reach - count], ids[: reach - count])
             count += len(ids)
             if kept is not None:
                 tree, path, ids = np.concatenate([kept[0], tree]), np.concatenate([kept[1], path]), np.concatenate([kept[2], ids])
@@ -52,37 +75,36 @@ def _adjacent(reach: int, least: int, unit: int) -> Callable[[Iterator[pa.Record
                 if not len(lo):
                     continue
                 same = (path[lo] == path[lo + r]).reshape(len(lo), -1, unit).all(2)
-                depth = np.cumprod(same, axis=1).sum(1)
-                ok = (depth >= least) & (tree[lo] == tree[lo + r]) & (ids[lo] != ids[lo + r])
-                a.append(np.minimum(ids[lo], ids[lo + r])[ok])
-                b.append(np.maximum(ids[lo], ids[lo + r])[ok])
-                shared.append(depth[ok])
+                ok = same[:, :least].all(1) & (same.sum(1) >= agree) & (tree[lo] == tree[lo + r]) & (ids[lo] != ids[lo + r])
+                lo, same = lo[ok], same[ok]
+                a.append(np.minimum(ids[lo], ids[lo + r]))
+                b.append(np.maximum(ids[lo], ids[lo + r]))
+                shared.append(same.sum(1))
             kept = tree[-reach:], path[-reach:], ids[-reach:]
             if a and (n := sum(map(len, a))):
                 yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(np.concatenate(a)), pa.array(np.concatenate(b)), pa.array(np.concatenate(shared).astype(np.int32))], names=names)
         if kept is not None:  # its last rows
-            n = len(kept[2])
-            yield pa.RecordBatch.from_arrays([pa.array(kept[0]), pa.array([x.tobytes() for x in kept[1]]), pa.array(kept[2]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names=names)
+            yield border(*kept)
 
     return run
 
 
-def neighbour_pairs(rows: DataFrame, scratch: Scratch, least: int, unit: int, reach: int = 2) -> DataFrame:
+def neighbour_pairs(rows: DataFrame, scratch: Scratch, least: int, unit: int, agree: int = 0, reach: int = 2) -> DataFrame:
     """Candidate pairs (a < b, shared) among rows (tree int, path binary, id long).
 
     Each tree is one sorted order of the signatures. Rows are dealt by range
     over (tree, path, id), so a crowded region is cut at ever deeper values of
     its paths instead of landing in one task, and every row is compared with
     the ``reach`` rows that share the longest prefixes with it on either side.
-    Two rows are candidates when at least ``least`` values agree. The borders
-    of neighbouring partitions meet in a second pass over 2 * reach rows a
-    partition.
+    Two rows are candidates when their first ``least`` values (of ``unit``
+    bytes) agree, and ``agree`` values in all. The borders of neighbouring
+    partitions meet in a second pass over 2 * reach rows a partition.
     """
     schema = "tree int, path binary, id long, other long, shared int"
     order = ["tree", "path", "id"]
-    found = scratch.save(rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit), schema))
+    found = scratch.save(rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit, agree), schema))
     borders = found.where("other is null").select(*order).distinct()
-    across = borders.coalesce(1).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit), schema)
+    across = borders.coalesce(1).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit, agree), schema)
     pairs = found.where("other is not null").unionByName(across.where("other is not null"))
     return pairs.groupBy(F.col("id").alias("a"), F.col("other").alias("b")).agg(F.max("shared").alias("shared"))
 
@@ -119,14 +141,14 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     about log(n) rounds whatever the shape of the graph, each a few joins.
     """
     now = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    seen = None
+    seen, tasks = None, max(4, -(-now.count() // EDGES))
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        after = scratch.save(small)
+        after = scratch.save(small.coalesce(tasks))
         state = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         scratch.drop(now)
         now = after

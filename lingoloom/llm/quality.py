@@ -128,15 +128,16 @@ def language_references(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.save(own.unionByName(everything))
 
 
-def quality_rules(docs: DataFrame, max_class_distance: float = 0.22, max_word_distance: float = 0.75, min_chars: int = 100, min_words: int = 60, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def quality_rules(docs: DataFrame, class_bound: tuple[float, float] = (0.17, 0.8), word_bound: tuple[float, float] = (0.19, 0.7), min_chars: int = 100, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row a document: doc_id, counts of the base rules, base_failed, kept, class_distance, word_distance.
 
     A document fails the base rules with fewer than 20 words, or if more than
     30 % of its words lie in repeated 8-word windows. Otherwise its histograms
     of character classes and of its language's common words are compared with
-    the language's own (Jensen-Shannon distance); it is kept if neither
-    distance exceeds its bound. A histogram of fewer than ``min_chars``
-    characters or ``min_words`` words is too short to judge and passes.
+    the language's own (Jensen-Shannon distance). A distance may be a + b /
+    sqrt(n_words) at most, (a, b) being its bound: short texts stray further by
+    chance. A histogram of fewer than ``min_chars`` characters or ``min_words``
+    words is too short to judge and passes.
 
     Null and empty texts have no words and fail. A document whose language is
     null or rare is compared with the whole corpus. Rows that repeat an id are
@@ -161,5 +162,6 @@ def quality_rules(docs: DataFrame, max_class_distance: float = 0.22, max_word_di
     word_distance = F.when(F.col("n_words") >= min_words, js_distance(word_histogram(lowered, F.col("ref.common")), F.col("ref.word_ref")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     out = judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance"))
-    fits = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance)
+    most = lambda bound: bound[0] + bound[1] / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    fits = (F.coalesce("class_distance", F.lit(0.0)) <= most(class_bound)) & (F.coalesce("word_distance", F.lit(0.0)) <= most(word_bound))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & fits).alias("kept"), "class_distance", "word_distance")
