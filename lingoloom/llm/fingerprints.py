@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Pieces in a gram, grams in a window: a run of GRAM + WINDOW - 1 shared pieces is always noticed.
-GRAM, WINDOW = 4, 6
-#: A word is cut into pieces of up to four characters, so unspaced scripts have grams too.
-PIECE = r"[^\x20\x09-\x0D]{1,4}"
+GRAM, WINDOW = 3, 5
+#: A word is cut into pieces of up to six characters, so unspaced scripts have grams too.
+PIECE = r"[^\x20\x09-\x0D]{1,6}"
 #: 32 bits of hash above 31 bits that fall as the position rises: the least is the rightmost of equal hashes.
 _PLACES = (1 << 31) - 1
 
@@ -31,14 +31,19 @@ def winnow(text: Column) -> Column:
 
     def grams(h: Column) -> Column:
         n = F.greatest(F.size(h) - (GRAM - 1), F.lit(1))
-        entry = lambda i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.slice(h, i, GRAM)), 33), 31) + (F.lit(_PLACES) - i)
+        entry = lambda i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(*[F.get(h, i + k) for k in range(-1, GRAM - 1)]), 33), 31) + (F.lit(_PLACES) - i)
         return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(1), n), entry))
 
     def least(g: Column) -> Column:
         n = F.greatest(F.size(g) - (WINDOW - 1), F.lit(1))
-        return F.when(F.size(g) == 0, g).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.array_min(F.slice(g, i, WINDOW)))))
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.least(*[F.get(g, i + k) for k in range(-1, WINDOW - 1)]))
 
-    return _let(hashes, lambda h: _let(grams(h), least))
+    def changes(m: Column) -> Column:
+        """A minimum that neighbouring windows share counts once; no later window returns to it."""
+        return F.filter(m, lambda x, i: (i == 0) | (x != F.get(m, i - 1)))
+
+    picked = lambda g: F.when(F.size(g) == 0, g).otherwise(_let(least(g), changes))
+    return _let(hashes, lambda h: _let(grams(h), picked))
 
 
 def hash_of(entry: Column) -> Column:
@@ -62,7 +67,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame, rows: int = 2000, most: int = 100_000) -> DataFrame:
-    """``docs`` (doc_id, text) plus next_text: that of the next row by (doc_id, text), of the last row the first's.
+    """``docs`` (doc_id, text) plus next_text, that of the next row by (doc_id, text) (of the last row the first's), and the fingerprints of both: own, following.
 
     Rows are dealt into ranges of about ``rows`` ids (more where that would be
     over ``most`` ranges), between up to 1024 quantiles of the id and evenly
@@ -77,15 +82,17 @@ def with_next(docs: DataFrame, rows: int = 2000, most: int = 100_000) -> DataFra
         cuts = docs.agg(F.percentile_approx("doc_id", [k / knots for k in range(1, knots)], 20 * knots).alias("c")).first()["c"] if knots > 1 else []
         cuts = sorted({counted["low"], *cuts, counted["high"]})
         place = F.coalesce(_place(F.col("doc_id"), cuts, -(-parts // knots)), place)
-    dealt = docs.select("doc_id", "text", place.alias("part"))
+    dealt = docs.select("doc_id", "text", winnow(F.col("text")).alias("own"), place.alias("part"))
     key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
     firsts = dealt.groupBy("part").agg(F.min(key).alias("key"))
     # as many rows as ranges, at most 2 * most
-    texts = dealt.withColumn("key", key).join(F.broadcast(firsts), ["part", "key"]).groupBy("part").agg(F.min("text").alias("text"))
+    texts = docs.select("text", place.alias("part"), key.alias("key")).join(F.broadcast(firsts), ["part", "key"]).groupBy("part").agg(F.min("text").alias("text"))
     w = Window.orderBy("part")
-    tail = texts.select(F.lit(None).cast("long").alias("doc_id"), F.lead("text").over(w).alias("ahead"), F.first("text").over(w).alias("wrapped"), "part").select("doc_id", F.coalesce("ahead", "wrapped").alias("text"), "part", F.lit(True).alias("border"))
+    tail = texts.select("part", F.coalesce(F.lead("text").over(w), F.first("text").over(w)).alias("text"))
+    tail = tail.select(F.lit(None).cast("long").alias("doc_id"), "text", winnow(F.col("text")).alias("own"), "part", F.lit(True).alias("border"))
     in_range = Window.partitionBy("part").orderBy("border", F.col("doc_id").asc_nulls_first(), "text")
-    return dealt.withColumn("border", F.lit(False)).unionByName(tail).withColumn("next_text", F.lead("text").over(in_range)).where("not border").select("doc_id", "text", "next_text")
+    both = dealt.withColumn("border", F.lit(False)).unionByName(tail)
+    return both.withColumns({"next_text": F.lead("text").over(in_range), "following": F.lead("own").over(in_range)}).where("not border").select("doc_id", "text", "own", "next_text", "following")
 
 
 def _place(value: Column, cuts: list[int], each: int) -> Column:
@@ -116,7 +123,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     both = with_next(docs)
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.substring(F.col("next_text"), F.lit(1), half))
-    return both.withColumn("edited", edited).select("*", winnow(F.col("text")).alias("own"), winnow(F.col("edited")).alias("other"), winnow(F.col("next_text")).alias("following"))
+    return both.withColumn("edited", edited).select("*", winnow(F.col("edited")).alias("other"))
 
 
 def fingerprint_report(found: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def repeated_words(words: Column, span: int = SPAN) -> Column:
         return F.aggregate(F.transform(at, lambda p, k: F.least(F.coalesce(F.get(at, k + 1) - p, F.lit(span)), F.lit(span))), F.lit(0), lambda a, b: a + b)
 
     def windows(ids: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(ids) - (span - 1)), lambda i: F.xxhash64(F.slice(ids, i, span)))
+        return F.transform(F.sequence(F.lit(1), F.size(ids) - (span - 1)), lambda i: F.xxhash64(*[F.get(ids, i + k) for k in range(-1, span - 1)]))
 
     count = _let(_let(F.transform(words, lambda w: F.xxhash64(w)), windows), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_let(positions(h), covered)))
     return F.when(F.size(words) <= span, 0).otherwise(count)

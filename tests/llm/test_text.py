@@ -186,7 +186,7 @@ def test_mixing_of_odd_rows(odd, nothing):
 
 def _winnow(text):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in re.findall(r"[^\x20\x09-\x0D]{1,4}", text)]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in re.findall(r"[^\x20\x09-\x0D]{1,6}", text)]
     grams = []
     for i in range(max(1, len(hashes) - GRAM + 1) if hashes else 0):
         h = 42
