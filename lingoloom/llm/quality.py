@@ -13,8 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Words of the windows in which repetition is sought.
 SPAN = 8
-#: Character classes of the histogram, each the characters that a pattern removes.
-CLASSES = (("lower", r"[\p{Ll}\p{Lo}]+"), ("upper", r"\p{Lu}+"), ("digit", r"\p{Nd}+"), ("space", r"[\x20\x09-\x0D]+"), ("symbol", r"[#*$%&|<>]+"), ("point", r"""[.,;:'"()\-]+"""), ("mark", r"[!?]+"))
+#: Character classes of the histogram that patterns count; spaces, SYMBOLS and the rest (mostly small letters) follow from other counts.
+CLASSES = (("upper", r"\p{Lu}+"), ("digit", r"\p{Nd}+"), ("point", r"""[.,;:'"()\-]+"""), ("mark", r"[!?]+"))
 #: A word is common when it has this share of its language's words; a language then has 100 such words at most.
 COMMON = 0.01
 #: Languages with a smaller share of the documents are compared with the whole corpus; there are 1,000 references at most.
@@ -58,17 +58,18 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return counted.select(
         "*",
         long(F.size("words")).alias("n_words"),
-        long(F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""))).alias("word_chars"),
+        long(F.length(F.array_join("words", ""))).alias("word_chars"),
         long(F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
         long(_let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))).alias("n_dup_lines"),
         long(repeated_words(F.col("words"))).alias("n_repeat_words"),
     )
 
 
-def class_counts(text: Column) -> Column:
-    """Characters of each class, and of none of them."""
-    own = [(F.length(text) - F.length(F.regexp_replace(text, p, ""))).cast("double") for _, p in CLASSES]
-    return _let(F.array(*own), lambda a: F.concat(a, F.array(F.length(text) - F.aggregate(a, F.lit(0.0), lambda x, y: x + y))))
+def class_counts(text: Column, n_spaces: Column, n_symbols: Column) -> Column:
+    """Characters of each class: those of CLASSES, spaces, symbols, all others."""
+    own = [F.length(text) - F.length(F.regexp_replace(text, p, "")) for _, p in CLASSES]
+    counts = F.array(*[c.cast("double") for c in (*own, n_spaces, n_symbols)])
+    return _let(counts, lambda a: F.concat(a, F.array(F.length(text) - F.aggregate(a, F.lit(0.0), lambda x, y: x + y))))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -92,7 +93,9 @@ def word_histogram(words: Column, common: Column) -> Column:
     counts are differences of string lengths.
     """
     alphabet = "".join(chr(0x100 + k) for k in range(int(1 / COMMON) + 1))
-    coded = F.array_join(F.transform(words, lambda w: F.substring(F.lit(alphabet), F.coalesce(F.array_position(common, w), F.lit(0)).cast("int") + 1, F.lit(1))), "")
+    longest = F.coalesce(F.array_max(F.transform(common, F.length)), F.lit(0))
+    place = lambda w, most: F.when(F.length(w) <= most, F.array_position(common, w).cast("int") + 1).otherwise(1)
+    coded = _let(longest, lambda most: F.array_join(F.transform(words, lambda w: F.substring(F.lit(alphabet), place(w, most), F.lit(1))), ""))
     count = lambda s, k: (F.length(s) - F.length(F.replace(s, F.substring(F.lit(alphabet), k, F.lit(1))))).cast("double")
     return _let(coded, lambda s: F.concat(F.transform(common, lambda _, k: count(s, k + 2)), F.array(count(s, F.lit(1)))))
 
@@ -100,15 +103,15 @@ def word_histogram(words: Column, common: Column) -> Column:
 def language_references(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(lang, common array<string>, word_ref array<double>, class_ref array<double>) of each frequent language, and of the whole corpus (null).
 
-    Counts cover every document; words are lower-cased. There are 1,001 rows at
+    Counts cover every document. There are 1,001 rows at
     most, with 100 common words each at most.
     """
     total = docs.count()
     frequent = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LANGUAGE_SHARE * total).select("lang", F.lit(True).alias("known"))
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     known = docs.select("lang", text).join(F.broadcast(frequent), "lang", "left").select(F.when(F.col("known"), F.col("lang")).alias("lang"), "text")
-    classes = scratch.save(known.select("lang", F.posexplode(class_counts(F.col("text"))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n")))
-    words = scratch.save(known.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")))
+    classes = scratch.save(known.select("lang", F.posexplode(class_counts(F.col("text"), F.length("text") - F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")), F.length("text") - F.length(F.translate("text", SYMBOLS, "")))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n")))
+    words = scratch.save(known.select("lang", F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")))
 
     def arrays(classes: DataFrame, words: DataFrame) -> DataFrame:
         totals = {r["lang"]: r["all"] for r in words.groupBy("lang").agg(F.sum("n").alias("all")).collect()}  # a row a language
@@ -157,9 +160,8 @@ def quality_rules(docs: DataFrame, class_bound: tuple[float, float] = (0.17, 0.8
     )
     judged = counted.join(F.broadcast(named), "lang", "left").withColumn("ref", F.coalesce("ref", default))
     text = F.coalesce(F.col("text"), F.lit(""))
-    class_distance = F.when(F.length(text) >= min_chars, js_distance(class_counts(text), F.col("ref.class_ref")))
-    lowered = F.transform(F.col("words"), lambda w: F.lower(w))
-    word_distance = F.when(F.col("n_words") >= min_words, js_distance(word_histogram(lowered, F.col("ref.common")), F.col("ref.word_ref")))
+    class_distance = F.when(F.length(text) >= min_chars, js_distance(class_counts(text, F.length(text) - F.col("word_chars"), F.col("n_symbols")), F.col("ref.class_ref")))
+    word_distance = F.when(F.col("n_words") >= min_words, js_distance(word_histogram(F.col("words"), F.col("ref.common")), F.col("ref.word_ref")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     out = judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance"))
     most = lambda bound: bound[0] + bound[1] / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
