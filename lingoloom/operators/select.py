@@ -25,6 +25,7 @@ def quota_selection(scores: DataFrame, target: int, conditional_ratio: float = 0
     filled, then rows with one until the conditional quota is, then any. The
     three top-k lists are bounded by ``target``; nothing is sorted as a whole.
     """
+    scores = scores.persist()  # three top-k lists and two counts read it
     order = (F.desc("score"), F.col("sort_key"))
     multi_quota, conditional_quota = min(target, round(target * multi_ratio)), min(target, round(target * conditional_ratio))
     one = _first(scores.where("conditional_letter_count >= 2"), multi_quota, *order).withColumn("stage", F.lit(1))
@@ -43,6 +44,7 @@ def shortlist(scores: DataFrame, target: int, size: int) -> DataFrame:
     Pools: two conditional letters or more, one or more, a word with mixed
     harmony (``mixed_harmony_count``), and all; each is a true top-k.
     """
+    scores = scores.persist()
     limit = max(2 * target, max(1, size // 4))
     order = (F.desc("score"), F.col("sort_key"))
     pools = [_first(scores.where(test), limit, *order) for test in ("conditional_letter_count >= 2", "conditional_letter_count >= 1", "mixed_harmony_count >= 1", "true")]

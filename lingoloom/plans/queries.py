@@ -193,7 +193,7 @@ features AS (SELECT id, n, feature, sum(cnt)::BIGINT AS cnt FROM (SELECT id, n,
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feats.feature_table(_lines(spark, sf_dir), "key")
+    return feats.feature_table(_lines(spark, sf_dir), "key").persist()  # read for document frequencies and for scores
 
 
 @query(f"WITH {FEATURES_SQL} SELECT feature, count(*) AS df FROM features GROUP BY feature")
@@ -283,7 +283,7 @@ SELECT word, translate(word, '{_PLAIN_SRC}', '{_PLAIN_DST}') AS latin FROM w""")
 def transliterated_plain_words(spark, sf_dir):
     from lingoloom.functions.translit import convert
 
-    plain = _words(spark, sf_dir).where(~F.col("word").rlike(f"[^{_PLAIN_SRC}]")).distinct()
+    plain = _words(spark, sf_dir).select("word").where(~F.col("word").rlike(f"[^{_PLAIN_SRC}]")).distinct()
     return plain.select("word", convert(F.col("word"), "N").alias("latin"))
 
 
