@@ -13,8 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Words of the windows in which repetition is sought.
 SPAN = 8
-#: Character classes of the histogram that patterns count; spaces, SYMBOLS and the rest (mostly small letters) follow from other counts.
-CLASSES = (("upper", r"\p{Lu}+"), ("digit", r"\p{Nd}+"), ("point", r"""[.,;:'"()\-]+"""), ("mark", r"[!?]+"))
+#: Character classes of the histogram that patterns count; spaces and line feeds, SYMBOLS and the rest (mostly small letters) come with them.
+CLASSES = (("upper", r"\p{Lu}+"), ("digit", r"[0-9]+"), ("point", r"""[.,;:!?'"()\-]+"""))
 #: A word is common when it has this share of its language's words; a language then has 100 such words at most.
 COMMON = 0.01
 #: Languages with a smaller share of the documents are compared with the whole corpus; there are 1,000 references at most.
@@ -59,16 +59,21 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "*",
         long(F.size("words")).alias("n_words"),
         long(F.length(F.array_join("words", ""))).alias("word_chars"),
-        long(F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
+        long(n_symbols(text)).alias("n_symbols"),
         long(_let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))).alias("n_dup_lines"),
         long(repeated_words(F.col("words"))).alias("n_repeat_words"),
     )
 
 
-def class_counts(text: Column, n_spaces: Column, n_symbols: Column) -> Column:
-    """Characters of each class: those of CLASSES, spaces, symbols, all others."""
+def n_symbols(text: Column) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]+", ""))
+
+
+def class_counts(text: Column, n_symbols: Column) -> Column:
+    """Characters of each class: those of CLASSES, spaces and line feeds, symbols, all others."""
     own = [F.length(text) - F.length(F.regexp_replace(text, p, "")) for _, p in CLASSES]
-    counts = F.array(*[c.cast("double") for c in (*own, n_spaces, n_symbols)])
+    spaces = F.length(text) - F.length(F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
+    counts = F.array(*[c.cast("double") for c in (*own, spaces, n_symbols)])
     return _let(counts, lambda a: F.concat(a, F.array(F.length(text) - F.aggregate(a, F.lit(0.0), lambda x, y: x + y))))
 
 
@@ -110,7 +115,7 @@ def language_references(docs: DataFrame, scratch: Scratch) -> DataFrame:
     frequent = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LANGUAGE_SHARE * total).select("lang", F.lit(True).alias("known"))
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     known = docs.select("lang", text).join(F.broadcast(frequent), "lang", "left").select(F.when(F.col("known"), F.col("lang")).alias("lang"), "text")
-    classes = scratch.save(known.select("lang", F.posexplode(class_counts(F.col("text"), F.length("text") - F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")), F.length("text") - F.length(F.translate("text", SYMBOLS, "")))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n")))
+    classes = scratch.save(known.select("lang", F.posexplode(class_counts(F.col("text"), n_symbols(F.col("text")))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n")))
     words = scratch.save(known.select("lang", F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")))
 
     def arrays(classes: DataFrame, words: DataFrame) -> DataFrame:
@@ -160,7 +165,7 @@ def quality_rules(docs: DataFrame, class_bound: tuple[float, float] = (0.17, 0.8
     )
     judged = counted.join(F.broadcast(named), "lang", "left").withColumn("ref", F.coalesce("ref", default))
     text = F.coalesce(F.col("text"), F.lit(""))
-    class_distance = F.when(F.length(text) >= min_chars, js_distance(class_counts(text, F.length(text) - F.col("word_chars"), F.col("n_symbols")), F.col("ref.class_ref")))
+    class_distance = F.when(F.length(text) >= min_chars, js_distance(class_counts(text, F.col("n_symbols")), F.col("ref.class_ref")))
     word_distance = F.when(F.col("n_words") >= min_words, js_distance(word_histogram(F.col("words"), F.col("ref.common")), F.col("ref.word_ref")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     out = judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance"))
