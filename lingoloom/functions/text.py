@@ -144,9 +144,9 @@ def unescape(text: Column) -> Column:
         digits = F.regexp_replace(ref, "[&#xX;]", "")
         code = F.when(ref.rlike("[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
         unit = lambda c: F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32")
-        return F.when((code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF), unit(code)).otherwise("�")
+        return F.when(ref.isNull(), "").when((code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF), unit(code)).otherwise("�")
 
-    joined = let(pieces, lambda p: F.array_join(F.zip_with(p["rest"], p["refs"], lambda a, b: F.concat(a, F.coalesce(char(b), F.lit("")))), ""))
+    joined = let(pieces, lambda p: F.array_join(F.zip_with(p["rest"], p["refs"], lambda a, b: F.concat(a, char(b))), ""))
     text = F.when(text.contains("&#"), joined).otherwise(text)
     return F.replace(text, F.lit("&amp;"), F.lit("&"))
 

@@ -142,7 +142,7 @@ def completed_reviews(tasks: DataFrame) -> DataFrame:
     is left out. Annotations that agree count as one. error is null where a
     task is usable.
     """
-    live = F.filter("annotations", lambda a: ~F.coalesce(a["was_cancelled"], F.lit(False)) & (F.size(F.coalesce(a["result"], F.array().cast("array<string>").cast(tasks.schema["annotations"].dataType.elementType["result"].dataType))) > 0))
+    live = F.filter("annotations", lambda a: ~F.coalesce(a["was_cancelled"], F.lit(False)) & (F.coalesce(F.size(a["result"]), F.lit(0)) > 0))
 
     def decided(a: Column) -> Column:
         of = lambda name, kind: F.filter(a["result"], lambda r: (r["from_name"] == name) & (r["type"] == kind))
