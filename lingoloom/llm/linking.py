@@ -106,7 +106,9 @@ def neighbour_pairs(rows: DataFrame, scratch: Scratch, least: int, unit: int, ag
     borders = found.where("other is null").select(*order).distinct()
     across = borders.coalesce(1).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit, agree), schema)
     pairs = found.where("other is not null").unionByName(across.where("other is not null"))
-    return pairs.groupBy(F.col("id").alias("a"), F.col("other").alias("b")).agg(F.max("shared").alias("shared"))
+    out = scratch.save(pairs.groupBy(F.col("id").alias("a"), F.col("other").alias("b")).agg(F.max("shared").alias("shared")))
+    scratch.drop(found)
+    return out
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, shingles: Callable[[list], list[np.ndarray]] | None = None) -> DataFrame:
@@ -164,7 +166,6 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, sh
     component: first each id's closest partner, then what still crosses
     components. That moves far fewer full sets than verifying all pairs.
     """
-    pairs = scratch.save(pairs)
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
     first = components(verified(best, sets, percent, shingles), scratch)
     first = scratch.save(first)
@@ -176,4 +177,6 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, sh
     second = scratch.save(components(more, scratch))
     ids = first.unionByName(second.select("id", F.col("id").alias("root"))).groupBy("id").agg(F.min("root").alias("root"))
     onward = second.select(F.col("id").alias("root"), F.col("root").alias("last"))
-    return ids.join(onward, "root", "left").select("id", F.coalesce("last", "root").alias("root"))
+    out = scratch.save(ids.join(onward, "root", "left").select("id", F.coalesce("last", "root").alias("root")))
+    scratch.drop(first, rest, second)
+    return out
