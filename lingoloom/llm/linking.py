@@ -45,44 +45,45 @@ def from_rows(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(rows.tobytes())])
 
 
-def turned(signatures: np.ndarray, trees: int, step: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tree of each row, rows): the signatures once a tree, turned by ``step`` bytes more each, ``width`` bytes of each."""
-    rows = np.concatenate([np.roll(signatures, -step * t, axis=1)[:, :width] for t in range(trees)])
-    return np.repeat(np.arange(trees, dtype=np.int32), len(signatures)), rows
+def turned(signatures: np.ndarray, trees: int, step: int, width: int) -> np.ndarray:
+    """The signatures once a tree: the tree's number, then ``width`` bytes from ``step`` bytes further on each time."""
+    rows = [np.roll(signatures, -step * t, axis=1)[:, :width] for t in range(trees)]
+    return np.concatenate([np.insert(r, 0, t, axis=1) for t, r in enumerate(rows)])
 
 
 def _adjacent(reach: int, least: int, unit: int, agree: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From sorted (tree, path, id): candidate pairs within ``reach`` rows, and the rows at both borders."""
+    """From sorted (path, id): candidate pairs within ``reach`` rows, and the rows at both borders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["tree", "path", "id", "other", "shared"]
-        border = lambda tree, path, ids: pa.RecordBatch.from_arrays([pa.array(tree), from_rows(path), pa.array(ids), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32())], names=names)
+        names = ["path", "id", "other", "shared"]
+        border = lambda path, ids: pa.RecordBatch.from_arrays([from_rows(path), pa.array(ids), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32())], names=names)
         kept = None
         count = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree, path, ids = batch.column("tree").to_numpy(zero_copy_only=False), to_rows(batch.column("path")), batch.column("id").to_numpy(zero_copy_only=False)
+            path, ids = to_rows(batch.column("path")), batch.column("id").to_numpy(zero_copy_only=False)
             if count < reach:  # the partition's first rows
-                yield border(tree[: reach - count], path[: reach - count], ids[: reach - count])
+                yield border(path[: reach - count], ids[: reach - count])
             count += len(ids)
             if kept is not None:
-                tree, path, ids = np.concatenate([kept[0], tree]), np.concatenate([kept[1], path]), np.concatenate([kept[2], ids])
+                path, ids = np.concatenate([kept[0], path]), np.concatenate([kept[1], ids])
             old = 0 if kept is None else len(kept[0])
             a, b, shared = [], [], []
             for r in range(1, reach + 1):
                 lo = np.arange(max(0, old - r), len(ids) - r)
                 if not len(lo):
                     continue
-                same = (path[lo] == path[lo + r]).reshape(len(lo), -1, unit).all(2)
-                ok = same[:, :least].all(1) & (same.sum(1) >= agree) & (tree[lo] == tree[lo + r]) & (ids[lo] != ids[lo + r])
+                lo = lo[(path[lo, : 1 + least * unit] == path[lo + r, : 1 + least * unit]).all(1)]
+                same = (path[lo, 1:] == path[lo + r, 1:]).reshape(len(lo), (path.shape[1] - 1) // unit, unit).all(2)
+                ok = (same.sum(1) >= agree) & (ids[lo] != ids[lo + r])
                 lo, same = lo[ok], same[ok]
                 a.append(np.minimum(ids[lo], ids[lo + r]))
                 b.append(np.maximum(ids[lo], ids[lo + r]))
                 shared.append(same.sum(1))
-            kept = tree[-reach:], path[-reach:], ids[-reach:]
+            kept = path[-reach:], ids[-reach:]
             if a and (n := sum(map(len, a))):
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(np.concatenate(a)), pa.array(np.concatenate(b)), pa.array(np.concatenate(shared).astype(np.int32))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.binary()), pa.array(np.concatenate(a)), pa.array(np.concatenate(b)), pa.array(np.concatenate(shared).astype(np.int32))], names=names)
         if kept is not None:  # its last rows
             yield border(*kept)
 
@@ -90,18 +91,18 @@ def _adjacent(reach: int, least: int, unit: int, agree: int) -> Callable[[Iterat
 
 
 def neighbour_pairs(rows: DataFrame, scratch: Scratch, least: int, unit: int, agree: int = 0, reach: int = 2) -> DataFrame:
-    """Candidate pairs (a < b, shared) among rows (tree int, path binary, id long).
+    """Candidate pairs (a < b, shared) among rows (path binary, id long).
 
-    Each tree is one sorted order of the signatures. Rows are dealt by range
-    over (tree, path, id), so a crowded region is cut at ever deeper values of
+    A path is the number of a tree and a signature as that tree orders it. Rows
+    are dealt by range over (path, id), so a crowded region is cut at ever deeper values of
     its paths instead of landing in one task, and every row is compared with
     the ``reach`` rows that share the longest prefixes with it on either side.
     Two rows are candidates when their first ``least`` values (of ``unit``
     bytes) agree, and ``agree`` values in all. The borders of neighbouring
     partitions meet in a second pass over 2 * reach rows a partition.
     """
-    schema = "tree int, path binary, id long, other long, shared int"
-    order = ["tree", "path", "id"]
+    schema = "path binary, id long, other long, shared int"
+    order = ["path", "id"]
     found = scratch.save(rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit, agree), schema))
     borders = found.where("other is null").select(*order).distinct()
     across = borders.coalesce(1).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit, agree), schema)
