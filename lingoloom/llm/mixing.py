@@ -68,7 +68,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, epo
     characters. A source missing from ``weights`` weighs nothing.
 
     A null source is a source of its own (weight 0 where weights are given). A
-    source without characters keeps each document once if it weighs anything.
+    source without characters has the rate 1 if it weighs anything, or if no
+    weights are given.
     Rows that repeat an id get the same count each. Null ids share one draw. A
     column of ``docs`` named copy_no is replaced; other columns stay.
     """
