@@ -109,14 +109,14 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     signed = texts.mapInArrow(_signed, f"home {where}, line_no int, name binary, signature binary")
     distinct = signed.groupBy("name").agg(F.min(F.struct("home", "line_no")).alias("first"), F.first("signature").alias("signature"))
     distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
-    pairs = neighbour_pairs(distinct.select("id", "signature").mapInArrow(_paths, "path binary, id long"), scratch, ROWS, 1, AGREE)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    pairs, crowded = neighbour_pairs(distinct.select("id", "signature").mapInArrow(_paths, "path binary, id long"), scratch, ROWS, 1, AGREE)
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowded.select("id")).distinct()
     wanted = distinct.join(needed, "id").groupBy(F.xxhash64("first.home").alias("key")).agg(F.collect_list(F.struct("id", "name", F.col("first.line_no").alias("line_no"))).alias("wanted"))
     wanted = scratch.save(wanted)
     found = fetch(texts.select(F.xxhash64("home").alias("key"), "text"), wanted, "key").select("text", "wanted")
     bodies = scratch.save(found.mapInArrow(_bodies, "id long, body string").dropDuplicates(["id"]))
-    roots = linked(pairs, bodies, percent, scratch, shingle_sets)
-    scratch.drop(pairs, wanted, bodies)
+    roots = linked(pairs, crowded, bodies, percent, scratch, shingle_sets)
+    scratch.drop(pairs, crowded, wanted, bodies)
     # the first occurrence of each component; lines without a link are their own
     members = distinct.select("id", "name", "first").join(roots, "id")
     best = members.groupBy("root").agg(F.min("first").alias("best"))

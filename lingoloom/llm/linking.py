@@ -20,6 +20,10 @@ from .scratch import Scratch
 EDGES = 100_000
 #: Keys up to this many are broadcast to filter a table where it lies; more are joined by a shuffle.
 BROADCAST_KEYS = 400_000
+#: Rows and length of bodies of one side of a block in which a crowded run is compared, about.
+CHUNK, CHUNK_LENGTH = 1024, 1 << 23
+#: Occurrences of shared members that a block looks at in one go.
+POSTINGS = 1 << 21
 
 
 def fetch(table: DataFrame, needed: DataFrame, on: str) -> DataFrame:
@@ -52,7 +56,7 @@ def turned(signatures: np.ndarray, trees: int, step: int, width: int) -> np.ndar
 
 
 def _adjacent(reach: int, least: int, unit: int, agree: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From sorted (path, id): candidate pairs within ``reach`` rows, and the rows at both borders."""
+    """From sorted (path, id): candidate pairs within ``reach`` rows, crowded rows (``shared`` is -1, the path its first ``least`` values), and the rows at both borders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["path", "id", "other", "shared"]
@@ -63,15 +67,15 @@ def _adjacent(reach: int, least: int, unit: int, agree: int) -> Callable[[Iterat
             if not batch.num_rows:
                 continue
             path, ids = to_rows(batch.column("path")), batch.column("id").to_numpy(zero_copy_only=False)
-            if count < reach:  # the partition's first rows
-                yield border(path[: reach - count], ids[: reach - count])
+            if count <= reach:  # the partition's first rows
+                yield border(path[: reach + 1 - count], ids[: reach + 1 - count])
             count += len(ids)
             if kept is not None:
                 path, ids = np.concatenate([kept[0], path]), np.concatenate([kept[1], ids])
             old = 0 if kept is None else len(kept[0])
             a, b, shared = [], [], []
             for r in range(1, reach + 1):
-                lo = np.arange(max(0, old - r), len(ids) - r)
+                lo = np.arange(max(0, old - r), max(0, len(ids) - r))
                 if not len(lo):
                     continue
                 lo = lo[(path[lo, : 1 + least * unit] == path[lo + r, : 1 + least * unit]).all(1)]
@@ -81,7 +85,11 @@ def _adjacent(reach: int, least: int, unit: int, agree: int) -> Callable[[Iterat
                 a.append(np.minimum(ids[lo], ids[lo + r]))
                 b.append(np.maximum(ids[lo], ids[lo + r]))
                 shared.append(same.sum(1))
-            kept = path[-reach:], ids[-reach:]
+            begin = path[:, : 1 + least * unit]
+            far = np.flatnonzero((begin[: -reach - 1] == begin[reach + 1 :]).all(1)) if len(ids) > reach + 1 else np.zeros(0, dtype=np.int64)
+            if len(far := np.union1d(far, far + reach + 1)):
+                yield pa.RecordBatch.from_arrays([from_rows(begin[far]), pa.array(ids[far]), pa.nulls(len(far), pa.int64()), pa.array(np.full(len(far), -1, dtype=np.int32))], names=names)
+            kept = path[-reach - 1 :], ids[-reach - 1 :]
             if a and (n := sum(map(len, a))):
                 yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.binary()), pa.array(np.concatenate(a)), pa.array(np.concatenate(b)), pa.array(np.concatenate(shared).astype(np.int32))], names=names)
         if kept is not None:  # its last rows
@@ -90,8 +98,8 @@ def _adjacent(reach: int, least: int, unit: int, agree: int) -> Callable[[Iterat
     return run
 
 
-def neighbour_pairs(rows: DataFrame, scratch: Scratch, least: int, unit: int, agree: int = 0, reach: int = 2) -> DataFrame:
-    """Candidate pairs (a < b, shared) among rows (path binary, id long).
+def neighbour_pairs(rows: DataFrame, scratch: Scratch, least: int, unit: int, agree: int = 0, reach: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a < b, shared) among rows (path binary, id long), and crowded rows (bucket, id).
 
     A path is the number of a tree and a signature as that tree orders it. Rows
     are dealt by range over (path, id), so a crowded region is cut at ever deeper values of
@@ -99,17 +107,22 @@ def neighbour_pairs(rows: DataFrame, scratch: Scratch, least: int, unit: int, ag
     the ``reach`` rows that share the longest prefixes with it on either side.
     Two rows are candidates when their first ``least`` values (of ``unit``
     bytes) agree, and ``agree`` values in all. The borders of neighbouring
-    partitions meet in a second pass over 2 * reach rows a partition.
+    partitions meet in a second pass over 2 * (reach + 1) rows a partition.
+
+    A row is crowded when more than ``reach`` rows on one side agree with it in
+    the first ``least`` values, its bucket: two rows of a bucket that weren't
+    compared here are both crowded, and ``linked`` compares them.
     """
     schema = "path binary, id long, other long, shared int"
     order = ["path", "id"]
     found = scratch.save(rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit, agree), schema))
-    borders = found.where("other is null").select(*order).distinct()
+    borders = found.where("other is null and shared is null").select(*order).distinct()
     across = borders.coalesce(1).sortWithinPartitions(*order).mapInArrow(_adjacent(reach, least, unit, agree), schema)
     pairs = found.where("other is not null").unionByName(across.where("other is not null"))
     out = scratch.save(pairs.groupBy(F.col("id").alias("a"), F.col("other").alias("b")).agg(F.max("shared").alias("shared")))
+    crowded = scratch.save(found.unionByName(across).where("shared = -1").select(F.col("path").alias("bucket"), "id").distinct())
     scratch.drop(found)
-    return out
+    return out, crowded
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, shingles: Callable[[list], list[np.ndarray]] | None = None) -> DataFrame:
@@ -160,12 +173,111 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         seen = state
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, shingles: Callable[[list], list[np.ndarray]] | None = None) -> DataFrame:
-    """(id, root) of the components that the verified ``pairs`` (a, b, shared) form; ids without a link are left out.
+def _block_links(ids: np.ndarray, roots: np.ndarray, left: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Roots (x, y) that links between rows on the left and any others join, one link for each merger."""
+    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    _, member, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    starts = np.cumsum(counts) - counts
+    rows = np.repeat(np.arange(len(sets)), sizes)[np.argsort(member, kind="stable")]
+    own = np.unique(roots, return_inverse=True)[1]
+    out = []
+    for i in np.flatnonzero(left):
+        mine = member[at[i] : at[i + 1]]
+        mine = mine[counts[mine] > 1]
+        if not len(mine):
+            continue
+        ends = np.cumsum(counts[mine])
+        common = np.zeros(len(sets), dtype=np.int64)
+        cuts = np.unique(np.concatenate((np.searchsorted(ends, np.arange(POSTINGS, ends[-1], POSTINGS)), [len(mine)])))
+        for a, b in zip(np.concatenate(([0], cuts[:-1])), cuts, strict=True):
+            n = counts[mine[a:b]]
+            places = np.repeat(starts[mine[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            common += np.bincount(rows[places], minlength=len(sets))
+        hits = np.flatnonzero((100 * common >= percent * (sizes[i] + sizes - common)) & (own != own[i]))
+        while len(hits):
+            out.append((min(roots[i], roots[hits[0]]), max(roots[i], roots[hits[0]])))
+            own[own == own[hits[0]]] = own[i]
+            hits = hits[own[hits] != own[i]]
+    return out
+
+
+def _blocks(percent: int, shingles: Callable[[list], list[np.ndarray]] | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From rows (block, id, root, left, body) sorted by block: the links of each block."""
+    unpack = shingles or (lambda values: [np.frombuffer(v, dtype=np.uint64) for v in values])
+
+    def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        ids, roots, left = (table.column(c).to_numpy() for c in ("id", "root", "left"))
+        found = _block_links(ids, roots, left, unpack(table.column("body").to_pylist()), percent)
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, block = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blocks = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and blocks[a] != block:
+                    yield links(held)
+                    held = []
+                block = blocks[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield links(held)
+
+    return run
+
+
+def _crowded_links(crowded: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, shingles: Callable[[list], list[np.ndarray]] | None) -> DataFrame | None:
+    """Pairs (a, b) of ``roots`` (id, root) that links inside the buckets of ``crowded`` (bucket, id) join; None where no bucket has two roots.
+
+    A bucket is compared in full, on full sets, but for what its most frequent
+    root already joins: its other rows among themselves and with that root's,
+    in blocks of about two CHUNKs. A link found makes one component of two, so
+    a block gives fewer links than it has rows.
+    """
+    sized = sets.select("id", F.length("body").alias("length"))
+    rows = scratch.save(crowded.join(roots, "id", "left").join(sized, "id").select("bucket", "id", F.coalesce("root", "id").alias("root"), "length"))
+    per = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("length").alias("length"))
+    per = per.groupBy("bucket").agg(F.max(F.struct("n", "root", "length")).alias("major"), F.sum("n").alias("n"), F.sum("length").alias("length")).where("n > major.n")
+    chunks = lambda n, length: F.ceil(F.greatest(n / CHUNK, length / CHUNK_LENGTH, F.lit(1))).cast("int")
+    per = scratch.save(per.select("bucket", F.col("major.root").alias("major"), chunks(F.col("n") - F.col("major.n"), F.col("length") - F.col("major.length")).alias("minors"), chunks(F.col("major.n"), F.col("major.length")).alias("majors")))
+    if per.isEmpty():
+        scratch.drop(rows, per)
+        return None
+    dealt = fetch(rows, per, "bucket").withColumn("left", F.col("root") != F.col("major"))
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("id"), F.when(F.col("left"), F.col("minors")).otherwise(F.col("majors"))).cast("int"))
+    block = lambda p, q, kind: F.xxhash64("bucket", p, q, F.lit(kind))
+    among = F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda j: block(F.least("chunk", j), F.greatest("chunk", j), 0))
+    beyond = F.transform(F.sequence(F.lit(0), F.col("majors") - 1), lambda j: block(F.col("chunk"), j, 1))
+    onto = F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda j: block(j, F.col("chunk"), 1))
+    dealt = dealt.select("id", "root", "left", F.explode(F.when(F.col("left"), F.concat(among, beyond)).otherwise(onto)).alias("block"))
+    full = dealt.join(sets, "id").select("block", "id", "root", "left", "body").repartition("block").sortWithinPartitions("block")
+    out = scratch.save(full.mapInArrow(_blocks(percent, shingles), "a long, b long").distinct())
+    scratch.drop(rows, per)
+    return out
+
+
+def _joined(ids: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, root) after ``links`` (a, b) between roots of ``ids`` (id, root), or ids that aren't in it, are added."""
+    more = scratch.save(components(links, scratch))
+    ids = ids.unionByName(more.select("id", F.col("id").alias("root"))).groupBy("id").agg(F.min("root").alias("root"))
+    onward = more.select(F.col("id").alias("root"), F.col("root").alias("last"))
+    out = scratch.save(ids.join(onward, "root", "left").select("id", F.coalesce("last", "root").alias("root")))
+    scratch.drop(more)
+    return out
+
+
+def linked(pairs: DataFrame, crowded: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, shingles: Callable[[list], list[np.ndarray]] | None = None) -> DataFrame:
+    """(id, root) of the components that the verified ``pairs`` (a, b, shared) and the links inside ``crowded`` buckets form; ids without a link are left out.
 
     Every candidate pair is either verified on full sets or already inside one
     component: first each id's closest partner, then what still crosses
-    components. That moves far fewer full sets than verifying all pairs.
+    components. That moves far fewer full sets than verifying all pairs. What
+    is left in crowded buckets is compared last, when most of it is joined.
     """
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
     first = components(verified(best, sets, percent, shingles), scratch)
@@ -175,9 +287,11 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, sh
     rest = rest.select("a", "b", F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y")).where("x <> y")
     rest = scratch.save(rest)
     more = verified(rest, sets, percent, shingles).join(rest, ["a", "b"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    second = scratch.save(components(more, scratch))
-    ids = first.unionByName(second.select("id", F.col("id").alias("root"))).groupBy("id").agg(F.min("root").alias("root"))
-    onward = second.select(F.col("id").alias("root"), F.col("root").alias("last"))
-    out = scratch.save(ids.join(onward, "root", "left").select("id", F.coalesce("last", "root").alias("root")))
-    scratch.drop(first, rest, second)
+    near = _joined(first, more, scratch)
+    scratch.drop(first, rest)
+    links = _crowded_links(crowded, near, sets, percent, scratch, shingles)
+    if links is None:
+        return near
+    out = _joined(near, links, scratch)
+    scratch.drop(near, links)
     return out

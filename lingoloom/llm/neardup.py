@@ -64,13 +64,13 @@ def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     named = scratch.save(docs.mapInArrow(_signatures(width), "doc_id long, home long, n_shingles long, name binary, signature binary"))
     distinct = named.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("home").alias("home"), F.first("signature").alias("signature"))
     distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
-    pairs = neighbour_pairs(distinct.select("id", "signature").mapInArrow(_paths, "path binary, id long"), scratch, LEAST, 4)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    pairs, crowded = neighbour_pairs(distinct.select("id", "signature").mapInArrow(_paths, "path binary, id long"), scratch, LEAST, 4)
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowded.select("id")).distinct()
     wanted = scratch.save(distinct.select("id", "name", "home").join(needed, "id"))
     texts = fetch(docs.select("home", "text"), wanted, "home")
     sets = scratch.save(texts.select("id", "name", "text").mapInArrow(_sets(width), "id long, body binary").dropDuplicates(["id"]))
-    roots = linked(pairs, sets, percent, scratch)
-    scratch.drop(pairs, wanted, sets)
+    roots = linked(pairs, crowded, sets, percent, scratch)
+    scratch.drop(pairs, crowded, wanted, sets)
     members = distinct.select("id", "name", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     judged = members.join(smallest, "root").select("name", "component_id")
@@ -85,7 +85,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_col:
     Documents are linked when 100 * |A & B| >= percent * |A | B| over their
     sets of ``width``-word shingles. Documents with equal sets share one
     entry. Eight sorted orders of the signatures give candidates (see
-    ``neighbour_pairs``); each is confirmed on full sets.
+    ``neighbour_pairs``); each is confirmed on full sets, and where more
+    documents agree than an order compares, all of them are compared.
 
     Null and empty texts and those without words have an empty set, stay alone
     and are kept. Rows that share an id are one document. A null id is never

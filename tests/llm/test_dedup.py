@@ -79,6 +79,29 @@ def test_a_large_group_of_copies_is_one_component(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_pairs_inside_a_large_family_are_found(spark):
+    """Texts of one template, similar but unlinked, with real pairs far apart among them."""
+    draw = random.Random(21)
+    words = lambda n: [f"w{draw.randrange(10**7)}" for _ in range(n)]
+    template = words(176)
+    texts = [template + words(24) for _ in range(1500)]  # 172 shingles of 220 shared: 0.78
+    pairs = [(k, 1500 + k) for k in range(60)]
+    for k, _ in pairs:
+        texts.append(texts[k][:-14] + words(14))  # 182 of 210: 0.87
+    got = near_duplicates(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - 1500 if i >= 1500 else i for i in range(1560)}
+
+
+def test_line_pairs_inside_a_large_family_are_found(spark):
+    draw = random.Random(22)
+    text = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    template = text(150)
+    lines = [template + text(30) for _ in range(1200)]  # 143 shingles of 203 shared: 0.70
+    lines += [lines[k][:-16] + text(16) for k in range(60)]  # 157 of 189: 0.83
+    got = dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id for r in got if r.n_dropped} == set(range(1200, 1260))
+
+
 def test_near_duplicates_of_odd_rows(spark, odd, nothing):
     got = near_duplicates(odd).collect()
     assert len(got) == odd.count()
