@@ -21,14 +21,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, less the lines that repeat or nearly repeat an earlier one; n_chars follows the text."""
-    out = dedup_lines(docs, percent=80)
+    """Documents less the lines that repeat or nearly repeat an earlier one; n_chars follows the text. A document whose lines all go is a copy and goes too."""
+    out = dedup_lines(docs, percent=80).where((F.col("n_dropped") == 0) | F.col("text").rlike(r"(?U)\S"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-duplicates."""
-    return without_near_duplicates(docs, percent=85)
+    return without_near_duplicates(docs, percent=80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

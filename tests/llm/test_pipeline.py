@@ -96,3 +96,15 @@ def test_stages_match_brute_force(spark, folder):
     rows = stage["tokens"](mixed).collect()
     assert len(rows) == mixed.count() and all(r.ids == known.encode_ordinary(expected[r.doc_id]) and r.decoded_sha256 == hashlib.sha256(expected[r.doc_id].encode()).hexdigest() for r in rows)
     assert sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, folder).collect()) == sorted((r.doc_id, r.ids_sha256) for r in rows)
+
+
+def test_exact_copies_leave_no_empty_documents(spark, folder):
+    docs = spark.createDataFrame([(i, "one line of the text\nand another line of it", "en", "s0", 1) for i in range(20)] + [(20, "", "en", "s0", 0), (21, "its own line", "en", "s0", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.line_dedup(spark, docs, folder).collect()) == [0, 20, 21]
+
+
+def test_near_dedup_links_from_four_fifths(spark, folder):
+    words = [f"w{i}" for i in range(104)]
+    other = [*words[:-10], *(f"x{i}" for i in range(10))]  # 90 of 110 shingles: 0.82
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, folder).collect()] == [1]
