@@ -58,7 +58,8 @@ def judge_sentences(segments: DataFrame, config: HarvestConfig = HarvestConfig()
     draw = hash_uniform(config.seed, F.col("id"), F.col("sentence"))
     judged = segments.withColumn("keep_reason", keep_reason(F.col("sentence"), draw, config)).withColumn("quality", sentence_quality(F.col("sentence"), config.profile)).withColumn("key", sentence_key(F.col("sentence")))
     language = F.lit(False) if config.exhaustive else count_specific(F.col("sentence"), config.profile) < config.min_specific_letters
-    disposition = F.when(F.col("reason") != "accepted", F.col("reason")).when(F.col("keep_reason").isNull(), "skipped_general").when(language, "skipped_language").when(F.col("quality.is_artifact"), "skipped_quality").otherwise("candidate")
+    artifact = F.lit(False) if config.exhaustive else F.col("quality.is_artifact")
+    disposition = F.when(F.col("reason") != "accepted", F.col("reason")).when(F.col("keep_reason").isNull(), "skipped_general").when(language, "skipped_language").when(artifact, "skipped_quality").otherwise("candidate")
     return judged.withColumn("disposition", disposition)
 
 
@@ -74,13 +75,14 @@ def _dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
     priority = F.coalesce(*[F.when(F.col("keep_reason") == k, F.lit(v)) for k, v in PRIORITY.items()])
     rank = F.row_number().over(Window.partitionBy("id", "disposition").orderBy(priority, F.col("window_start") + F.col("start"), "sentence"))
     ranked = once.withColumn("rank", rank)
-    fate = F.when(is_candidate & (F.col("rank") > config.max_candidates_per_doc), "doc_cap").when(is_candidate, "kept").otherwise(F.col("disposition"))
+    over = F.lit(False) if config.exhaustive else F.col("rank") > config.max_candidates_per_doc
+    fate = F.when(is_candidate & over, "doc_cap").when(is_candidate, "kept").otherwise(F.col("disposition"))
     return ranked.withColumn("disposition", fate).drop("nth", "first_id")
 
 
 def _within_total(kept: DataFrame, config: HarvestConfig) -> DataFrame:
     """The first ``max_candidates`` kept sentences in document order, by counts per document."""
-    if config.max_candidates is None:
+    if config.max_candidates is None or config.exhaustive:
         return kept
     counts = kept.groupBy("id").agg(F.count("*").alias("n"))
     ordered = counts.repartitionByRange("id").select("id", "n", F.spark_partition_id().alias("part"))
@@ -96,7 +98,8 @@ def prepare(docs: DataFrame, config: HarvestConfig = HarvestConfig()) -> DataFra
 
     Of a document, sentences with conditional letters come first, then those
     with mixed harmony, then a hash sample of the others. A sentence that occurs
-    in several documents is a candidate of the first only, before any cap.
+    in several documents is a candidate of the first only, before any cap. With
+    ``exhaustive`` whole texts are read and no sample, filter or cap applies.
     """
     if config.max_docs is not None:
         docs = docs.orderBy("id").limit(config.max_docs)

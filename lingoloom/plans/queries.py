@@ -21,6 +21,9 @@ from lingoloom.operators.training import training_pairs
 from . import bridge
 from .bridge import LINES_SQL
 
+#: Whole texts and all their sentences; ``windows_of_documents`` has the sampled windows.
+WHOLE = harvest.HarvestConfig(exhaustive=True)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -136,17 +139,17 @@ def windows_of_documents(spark, sf_dir):
 
 @query()
 def segmented_sentences(spark, sf_dir):
-    return harvest.segment_documents(bridge.documents(spark, sf_dir)).select("id", "window", "position", "start", "end", "reason", "sentence")
+    return harvest.segment_documents(bridge.documents(spark, sf_dir), WHOLE).select("id", "window", "position", "start", "end", "reason", "sentence")
 
 
 @query()
 def harvest_candidates(spark, sf_dir):
-    return harvest.prepare(bridge.documents(spark, sf_dir))
+    return harvest.prepare(bridge.documents(spark, sf_dir), WHOLE)
 
 
 @query()
 def harvest_diagnostics(spark, sf_dir):
-    return harvest.diagnostics(bridge.documents(spark, sf_dir))
+    return harvest.diagnostics(bridge.documents(spark, sf_dir), WHOLE)
 
 
 @query(f"""WITH {LINES_SQL}, k AS (SELECT id, n, sentence, sha256(regexp_replace(lower(trim(sentence)), '\\s+', ' ', 'g')) AS key FROM lines),

@@ -12,6 +12,7 @@ from lingoloom.functions.sentence_quality import sentence_quality
 from lingoloom.operators import dictionary, harvest, lexicon, report, training
 from lingoloom.operators import features as feats
 from lingoloom.operators import select as choose
+from lingoloom.plans import bridge
 from lingoloom.sources import tables
 
 
@@ -265,3 +266,18 @@ def test_outputs_appear_together(spark, tmp_path):
         tables.write_together({"samples": samples}, root)
     tables.write_together({"samples": samples.limit(1)}, root, force=True)
     assert spark.read.parquet(f"{root}/samples").count() == 1 and spark.read.parquet(f"{root}/state").count() == 2
+
+
+def test_harvest_queries_read_whole_texts(spark, tmp_path):
+    from lingoloom.plans.queries import QUERIES
+
+    n = 900  # over 20,000 characters, over 30 sentences
+    text = "\n".join(f"Sentence that has number {'abcdefghij'[i // 100]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]} in it." for i in range(n))
+    spark.createDataFrame([(1, text, "s0")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    whole = len(split(spark, spark.range(1).select(bridge.bridged(F.lit(text)).alias("t")).first().t))
+    assert len(text) > 20_000
+    assert QUERIES["segmented_sentences"](spark, str(tmp_path)).count() == whole
+    kept = QUERIES["harvest_candidates"](spark, str(tmp_path))
+    counters = {r.counter: r.n for r in QUERIES["harvest_diagnostics"](spark, str(tmp_path)).collect()}
+    assert kept.count() == counters["kept"] and sum(v for k, v in counters.items() if ":" not in k) == whole
+    assert not {"doc_cap", "skipped_general", "skipped_language", "skipped_quality"} & set(counters)
