@@ -40,6 +40,11 @@ def stems(word: str) -> Iterator[str]:
     yield word + "$"
 
 
+def _tokens(low: str) -> set[str]:
+    """The words that the clauses of a text have."""
+    return set(CLAUSE_END.sub(" ", low).split())
+
+
 @dataclass
 class Grammar:
     """Insult stems with weights, composed with the fixed transducers.
@@ -82,7 +87,7 @@ class Grammar:
     def read(self, text: str) -> tuple[float, float, int]:
         """Sum and maximum of the clause weights, and the number of clauses that matched."""
         low = text.lower()
-        words = set(low.split())
+        words = _tokens(low)
         if not any(self.insult(w) for w in words) and not any(w.strip(_EDGES) in THREATS for w in words):
             return 0.0, 0.0, 0
         found = [w for c in CLAUSE_END.split(low) if (w := self.clause(c.split())) > 0]
@@ -94,7 +99,7 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = (Counter(), Counter())
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            words = {w.strip(_EDGES) for w in (text or "").lower().split()}
+            words = {w.strip(_EDGES) for w in _tokens((text or "").lower())}
             counts[label].update({s for w in words if w for s in stems(w)})
         names = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in counts)], names=["stem", "clean", "toxic"])
@@ -113,7 +118,7 @@ def _families(wanted: frozenset[str]):
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 windows = word_shingles([text or ""], 3)[0]
                 family = int(mix(windows).min() >> np.uint64(1)) if len(windows) else -1
-                words = {w.strip(_EDGES) for w in (text or "").lower().split()}
+                words = {w.strip(_EDGES) for w in _tokens((text or "").lower())}
                 rows.update((s, family, label) for s in ("", *{s for w in words if w for s in stems(w)} & wanted))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32())], names=["stem", "family", "label"])
 

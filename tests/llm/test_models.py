@@ -101,3 +101,8 @@ def test_quality_of_odd_rows(spark, odd, nothing):
     assert got[2] == got[3] == got[4] == 0.0
     assert score_quality(odd, labels.limit(0)).where("predicted = 1").count() == 6
     assert score_quality(nothing, labels).count() == 0
+
+
+def test_words_glued_by_punctuation_count_alone():
+    g = Grammar({"idio": 4.0})
+    assert g.read("stop!idiot") == (4.0, 4.0, 1) and g.read("ok:kill you")[2] == 1 and g.read("all.fine") == (0.0, 0.0, 0)
