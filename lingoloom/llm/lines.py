@@ -1,4 +1,4 @@
-"""Fuzzy line deduplication: MinHash over character shingles, one line kept per component."""
+"""Fuzzy line deduplication: MinHash bands over character shingles, exact verification, one line kept per component."""
 
 from __future__ import annotations
 
@@ -10,17 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import MinHash, blocks, char_shingles
-from .linking import fetch, from_rows, linked, neighbour_pairs, to_rows, turned
+from .linking import fetch, join_split, linked, regions, signature_paths
 from .scratch import Scratch
 
-#: Bands of three minima, of each the low 8 bits: recall 0.997 at a similarity of 0.8, and 0.99997 at 0.9.
-BANDS, ROWS = 8, 3
-#: Minima, of all 24, that candidates share: at a similarity of 0.8 fewer have a probability of 0.0003.
-AGREE = 11
+#: Bands of two 32-bit minima, and the minima of the next band as order inside a bucket: recall 0.9992 at a similarity of 0.8, 0.99999 at 0.9.
+BANDS, ROWS = 7, 2
+#: What Python's str.split() takes for white space, as a regular expression of its complement.
+VISIBLE = "[^\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+HOME = "unnumbered boolean, doc long, hash long"
 
 
 def normalised(line: str) -> str:
-    """Lower case, each run of white space one space, none at the ends."""
+    """Lower case, each run of white space one space, none at the ends; empty for a blank line."""
     return " ".join(line.lower().split())
 
 
@@ -30,36 +31,30 @@ def _name(line: str) -> bytes:
     return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(home, line_no, name) of every line that isn't blank."""
-    for batch in batches:
-        homes = batch.column("home")
-        for first, some in blocks(batch.column("text").to_pylist()):
-            rows = [(first + i, k, _name(n)) for i, t in enumerate(some) for k, line in enumerate(t.split("\n")) if (n := normalised(line))]
-            yield pa.RecordBatch.from_arrays([homes.take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["home", "line_no", "name"])
-
-
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(home, line_no, name, signature); a line that occurs again in a block is signed once."""
+    """(home, line_no, name, signature) of every line that isn't blank; the signature is given once a block."""
     minima = MinHash(BANDS * ROWS, seed=4)
     for batch in batches:
-        homes = batch.column("home")
+        homes = [batch.column(c) for c in ("unnumbered", "doc", "hash")]
         for first, some in blocks(batch.column("text").to_pylist()):
             rows = [(first + i, k, n) for i, t in enumerate(some) for k, line in enumerate(t.split("\n")) if (n := normalised(line))]
-            own = list(dict.fromkeys(r[2] for r in rows))
+            own = {n: i for i, n in enumerate(dict.fromkeys(r[2] for r in rows))}
             if not own:
                 continue
-            values = minima.narrow(*char_shingles(own)).astype(np.uint8)
-            signs = dict(zip(own, ((_name(n), v.tobytes()) for n, v in zip(own, values, strict=True)), strict=True))
-            found = [signs[r[2]] for r in rows]
-            yield pa.RecordBatch.from_arrays([homes.take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int32()), pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], names=["home", "line_no", "name", "signature"])
+            values = minima.narrow(*char_shingles(list(own)))
+            names, signs = [_name(n) for n in own], [v.tobytes() for v in values]
+            at = [own[r[2]] for r in rows]
+            fresh = [signs[a] if a == seen else None for a, seen in zip(at, _firsts(at), strict=True)]
+            take = pa.array([r[0] for r in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(h.take(take) for h in homes), pa.array([r[1] for r in rows], pa.int32()), pa.array([names[a] for a in at], pa.binary()), pa.array(fresh, pa.binary())], names=["unnumbered", "doc", "hash", "line_no", "name", "signature"])
 
 
-def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = turned(to_rows(batch.column("signature")), BANDS, ROWS, BANDS * ROWS)
-        yield pa.RecordBatch.from_arrays([from_rows(rows), pa.array(np.tile(batch.column("id").to_numpy(zero_copy_only=False), BANDS))], names=["path", "id"])
-
+def _firsts(at: list[int]) -> Iterator[int]:
+    """Each number where it first occurs, -1 elsewhere; new numbers come in order."""
+    top = -1
+    for a in at:
+        yield a if a > top else -1
+        top = max(top, a)
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +89,13 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     8-character shingles; a shorter line is one shingle. Lines with 100 *
     |A & B| >= percent * |A | B| are linked, and of each component the first
     occurrence stays: that with the smallest (document id, line number), an
-    unnumbered document last. Blank lines always stay and don't count.
+    unnumbered document last. Blank lines (nothing but white space, as Python's
+    str.split() sees it) always stay and don't count.
+
+    Candidates are lines that share a band of their MinHash signatures
+    (``linking.regions`` and ``linking.linked``); each link is confirmed on full
+    sets. Lines that occur once and have no link need no join; names that make
+    a thousandth of all lines, at most a thousand, are joined by a broadcast.
 
     Every row stays, with its other columns as they are; a text may become
     empty, null stays null. Rows that share id and text are one document and
@@ -103,32 +104,34 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    home = F.struct(F.col(id_col).isNull().alias("unnumbered"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
-    texts = docs.select(home.alias("home"), F.col(text_col).alias("text"))
-    where = "struct<unnumbered:boolean,doc_id:long,text_hash:long>"
-    signed = texts.mapInArrow(_signed, f"home {where}, line_no int, name binary, signature binary")
-    distinct = signed.groupBy("name").agg(F.min(F.struct("home", "line_no")).alias("first"), F.first("signature").alias("signature"))
+    key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    home = [key.isNull().alias("unnumbered"), F.coalesce(key, F.lit(0)).alias("doc"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("hash")]
+    of = ["unnumbered", "doc", "hash"]
+    texts = docs.select(*home, text.alias("text"))
+    lines = scratch.save(texts.mapInArrow(_signed, f"{HOME}, line_no int, name binary, signature binary"))
+    distinct = lines.groupBy("name").agg(F.min(F.struct(*of, "line_no")).alias("first"), F.first("signature", ignorenulls=True).alias("signature"), F.count("*").alias("n"))
     distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
-    pairs, crowded = neighbour_pairs(distinct.select("id", "signature").mapInArrow(_paths, "path binary, id long"), scratch, ROWS, 1, AGREE)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowded.select("id")).distinct()
-    wanted = distinct.join(needed, "id").groupBy(F.xxhash64("first.home").alias("key")).agg(F.collect_list(F.struct("id", "name", F.col("first.line_no").alias("line_no"))).alias("wanted"))
+    groups, crowded = regions(distinct.select("id", "signature").mapInArrow(signature_paths(BANDS, ROWS, 2 * ROWS), "path binary, id long"), scratch)
+    needed = groups.select("id").unionByName(crowded.select("id")).distinct()
+    wanted = distinct.join(needed, "id").groupBy(F.xxhash64(*[f"first.{c}" for c in of]).alias("key")).agg(F.collect_list(F.struct("id", "name", F.col("first.line_no").alias("line_no"))).alias("wanted"))
     wanted = scratch.save(wanted)
-    found = fetch(texts.select(F.xxhash64("home").alias("key"), "text"), wanted, "key").select("text", "wanted")
+    found = fetch(texts.select(F.xxhash64(*of).alias("key"), "text"), wanted, "key", F.size("wanted") * 48 + 40).select("text", "wanted")
     bodies = scratch.save(found.mapInArrow(_bodies, "id long, body string").dropDuplicates(["id"]))
-    roots = linked(pairs, crowded, bodies, percent, scratch, shingle_sets)
-    scratch.drop(pairs, crowded, wanted, bodies)
-    # the first occurrence of each component; lines without a link are their own
+    roots = linked(groups, crowded, bodies, percent, scratch, shingle_sets)
+    scratch.drop(groups, crowded, wanted, bodies)
+    # the first occurrence of each component; a line without a link is its own
     members = distinct.select("id", "name", "first").join(roots, "id")
     best = members.groupBy("root").agg(F.min("first").alias("best"))
     best = members.join(best, "root").select("name", F.col("best").alias("kept_at"))
-    firsts = distinct.select("name", "first").join(best, "name", "left").select("name", F.coalesce("kept_at", "first").alias("kept_at"))
-    lines = texts.mapInArrow(_occurrences, f"home {where}, line_no int, name binary")
-    judged = lines.join(firsts, "name").select("home", "line_no", (F.struct("home", "line_no") == F.col("kept_at")).alias("kept"))
-    drops = judged.where("not kept").groupBy(F.xxhash64("home").alias("key")).agg(F.array_distinct(F.collect_list("line_no")).alias("drop"))
+    total = lines.count()
+    firsts = distinct.select("name", "first", "n").join(best, "name", "left").where("n > 1 or kept_at <> first")
+    firsts = scratch.save(firsts.select("name", F.coalesce("kept_at", "first").alias("kept_at"), (F.col("n") * 1000 > total).alias("frequent")))
+    judged = join_split(lines.select(*of, "line_no", "name"), firsts, "name").where(F.struct(*of, "line_no") != F.col("kept_at"))
+    drops = judged.groupBy(*of).agg(F.array_distinct(F.collect_list("line_no")).alias("drop"))
     clean = F.pandas_udf(lambda t, d: t.combine(d, _without), "string")
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    keyed = docs.withColumn("__key", F.xxhash64(home)).join(drops.withColumnsRenamed({"key": "__key", "drop": "__drop"}), "__key", "left")
-    n_lines = F.size(F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: x.rlike("\\S"))).cast("long")
-    n_dropped = F.coalesce(F.size("__drop"), F.lit(0)).cast("long")
-    new = {text_col: F.when(F.col("__drop").isNotNull(), clean(F.col(text_col), F.col("__drop"))).otherwise(F.col(text_col))}
-    return keyed.select(*[new[c].alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c == text_col or c not in ("n_lines", "n_dropped")], n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"), *home).join(drops, of, "left")
+    n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x.rlike(VISIBLE))).cast("long")
+    n_dropped = F.coalesce(F.size("drop"), F.lit(0)).cast("long")
+    new = F.when(F.col("drop").isNotNull(), clean("text", "drop")).otherwise(F.col("text"))
+    kept = [c for c in docs.columns if c == text_col or c not in ("n_lines", "n_dropped")]
+    return joined.select(*[new.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in kept], n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))

@@ -10,13 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import MinHash, blocks, digest, word_shingles
-from .linking import BROADCAST_KEYS, fetch, from_rows, linked, neighbour_pairs, to_rows, turned
+from .linking import BROADCAST_BYTES, fetch, linked, regions, signature_paths
 from .scratch import Scratch
 
 #: Sorted orders, signature values between the starts of two orders, values an order compares.
 TREES, STEP, DEPTH = 8, 4, 6
-#: Values that two neighbours must share to be candidates: recall 0.9999 at a similarity of 0.85.
-LEAST = 2
 
 
 def _signatures(width: int):
@@ -36,14 +34,6 @@ def _signatures(width: int):
     return run
 
 
-def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each signature once a tree, turned so that the tree's own values come first."""
-    for batch in batches:
-        rows = turned(to_rows(batch.column("signature")), TREES, 4 * STEP, 4 * DEPTH)
-        yield pa.RecordBatch.from_arrays([from_rows(rows), pa.array(np.tile(batch.column("id").to_numpy(zero_copy_only=False), TREES))], names=["path", "id"])
-
-
-
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,6 +46,10 @@ def _sets(width: int):
     return run
 
 
+def unpacked(bodies: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(b, dtype=np.uint64) for b in bodies]
+
+
 def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, home, n_shingles, component_id, kept) of each row."""
     scratch = Scratch(docs.sparkSession)
@@ -64,13 +58,13 @@ def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     named = scratch.save(docs.mapInArrow(_signatures(width), "doc_id long, home long, n_shingles long, name binary, signature binary"))
     distinct = named.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("home").alias("home"), F.first("signature").alias("signature"))
     distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
-    pairs, crowded = neighbour_pairs(distinct.select("id", "signature").mapInArrow(_paths, "path binary, id long"), scratch, LEAST, 4)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowded.select("id")).distinct()
+    groups, crowded = regions(distinct.select("id", "signature").mapInArrow(signature_paths(TREES, STEP, DEPTH), "path binary, id long"), scratch)
+    needed = groups.select("id").unionByName(crowded.select("id")).distinct()
     wanted = scratch.save(distinct.select("id", "name", "home").join(needed, "id"))
-    texts = fetch(docs.select("home", "text"), wanted, "home")
+    texts = fetch(docs.select("home", "text"), wanted, "home", 48)
     sets = scratch.save(texts.select("id", "name", "text").mapInArrow(_sets(width), "id long, body binary").dropDuplicates(["id"]))
-    roots = linked(pairs, crowded, sets, percent, scratch)
-    scratch.drop(pairs, crowded, wanted, sets)
+    roots = linked(groups, crowded, sets, percent, scratch, unpacked)
+    scratch.drop(groups, crowded, wanted, sets)
     members = distinct.select("id", "name", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     judged = members.join(smallest, "root").select("name", "component_id")
@@ -84,9 +78,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_col:
 
     Documents are linked when 100 * |A & B| >= percent * |A | B| over their
     sets of ``width``-word shingles. Documents with equal sets share one
-    entry. Eight sorted orders of the signatures give candidates (see
-    ``neighbour_pairs``); each is confirmed on full sets, and where more
-    documents agree than an order compares, all of them are compared.
+    entry. Eight sorted orders of the signatures give candidates: documents that
+    share the first two values of an order are compared on full sets with all
+    others of that region, where it is crowded with those that share the
+    longest prefixes, and then by more and longer orders until regions are
+    small (``linking.regions`` and ``linking.linked``).
 
     Null and empty texts and those without words have an empty set, stay alone
     and are kept. Rows that share an id are one document. A null id is never
@@ -98,8 +94,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_col:
 
 def without_near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` less the rows that ``near_duplicates`` doesn't keep, with all their columns."""
-    gone = Scratch(docs.sparkSession).save(_judged(docs, percent, width, id_col, text_col).where("not kept").select(F.col("home").alias("__home")).distinct())
-    if gone.count() <= BROADCAST_KEYS:
+    gone = Scratch(docs.sparkSession).save(_judged(docs, percent, width, id_col, text_col).where("not kept").select("home").distinct())
+    if gone.count() * 16 <= BROADCAST_BYTES:
         gone = F.broadcast(gone)
     home = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(f"`{text_col}`"))
-    return docs.withColumn("__home", home).join(gone, "__home", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), home.alias("home")).join(gone, "home", "left_anti").select("row.*")

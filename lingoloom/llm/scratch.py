@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where unset (tests), a fresh temporary folder."""
+    """The session's ``spark.checkpoint.dir``; where unset, a fresh temporary folder in local mode (tests), an error on a cluster."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.sparkContext.setCheckpointDir(known)
     return known

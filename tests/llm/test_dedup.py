@@ -102,6 +102,25 @@ def test_line_pairs_inside_a_large_family_are_found(spark):
     assert {r.doc_id for r in got if r.n_dropped} == set(range(1200, 1260))
 
 
+def test_lines_of_unicode_white_space_are_blank(spark):
+    got = dedup_lines(spark.createDataFrame([(1, "one line\n\u00a0\u2003\n\u00a0"), (2, "\u00a0\nother line")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped) for r in got) == [(1, 1, 0), (2, 1, 0)]
+
+
+def test_a_very_common_line_and_a_text_of_many_lines(spark):
+    rows = [(i, f"common notice of all\nown line number {i} {i * 7919}") for i in range(1500)] + [(9999, "\n".join(f"{k} {k * k} unlike" for k in range(20_000)))]
+    got = {r.doc_id: r for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).select("doc_id", "text", "n_lines").collect()}
+    assert "common notice" in got[0].text and not any("common notice" in got[i].text for i in range(1, 1500))
+    assert got[9999].n_lines == 20_000
+
+
+def test_clashing_names_come_back(spark):
+    odd_names = "doc_id long, text string, doc string, hash string, unnumbered string, `drop` string, `row` string, home string, `a.b` string"
+    docs = spark.createDataFrame([(1, "some line of text", *"abcdefg"), (2, "some line of text", *"hijklmn")], odd_names)
+    for out in (dedup_lines(docs).drop("n_lines", "n_dropped"), without_near_duplicates(docs)):
+        assert out.columns == docs.columns and tuple(out.where("doc_id = 1").first()) == (1, "some line of text", *"abcdefg")
+
+
 def test_near_duplicates_of_odd_rows(spark, odd, nothing):
     got = near_duplicates(odd).collect()
     assert len(got) == odd.count()
