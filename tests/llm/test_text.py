@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 
 import public_tokenizers
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lingoloom.llm.bpe import encode_documents, read_ranks, serialised_model
-from lingoloom.llm.fingerprints import GRAM, WINDOW, fingerprint_documents, fingerprint_report
+from lingoloom.llm.fingerprints import _BASE, _PRIME, GRAM, SEGMENT, WINDOW, fingerprint_documents, fingerprint_report, hash_of, position_of, winnow, with_next
 from lingoloom.llm.mixing import mix_sources, poisson, source_rates
 from lingoloom.llm.quality import js_distance, quality_rules
 from lingoloom.llm.secrets import scan_secrets, secret_report
@@ -186,21 +187,26 @@ def test_mixing_of_odd_rows(odd, nothing):
     assert mix_sources(nothing).count() == 0
 
 
+def _gram(text, at):
+    """The rolling hash of GRAM characters, as its definition says: pairs, then a polynomial of them."""
+    value = 0
+    for i in range(at, at + GRAM, 2):
+        pair = xxhash.xxh64_intdigest(text[i + 1].encode(), xxhash.xxh64_intdigest(text[i].encode(), 42)) >> 33
+        value = (value * _BASE**2 + pair) % _PRIME
+    return xxhash.xxh64_intdigest(value.to_bytes(8, "little"), 42) >> 33
+
+
 def _winnow(text):
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in re.findall(r"[^\x20\x09-\x0D]{1,6}", text)]
-    grams = []
-    for i in range(max(1, len(hashes) - GRAM + 1) if hashes else 0):
-        h = 42
-        for p in hashes[i : i + GRAM]:
-            h = xxhash.xxh64_intdigest((signed(p) & (1 << 64) - 1).to_bytes(8, "little"), h)
-        grams.append((h >> 33, -i))
-    picked = {min(grams[i : i + WINDOW]) for i in range(max(1, len(grams) - WINDOW + 1) if grams else 0)}
+    if len(text) < GRAM:
+        whole = xxhash.xxh64_intdigest(text.encode(), 42)
+        return f"{xxhash.xxh64_intdigest(whole.to_bytes(8, 'little'), 42) >> 33}:0" if text else ""
+    grams = [(_gram(text, i), -i) for i in range(len(text) - GRAM + 1)]
+    picked = {min(grams[i : i + WINDOW]) for i in range(max(1, len(grams) - WINDOW + 1))}
     return ",".join(f"{h}:{-i}" for h, i in sorted(picked, key=lambda x: -x[1]))
 
 
 def test_fingerprints_match_brute_force(spark):
-    texts = ["the quick brown fox jumps over the lazy dog " * 4, "abab" * 30, "é😀 one", "", "same text here again and again", "same text here again and again", "a b c d e f g h i j k l m n o p"]
+    texts = ["the quick brown fox jumps over the lazy dog " * 4, "abab" * 30, "é😀 one", "", "same text here again and again", "same text here again and again", "a b c d e f g h i j k l m n o p", "x" * 47, "y" * 48, "z" * 16, "q" * 15]
     docs = spark.createDataFrame([(10 * i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     got = sorted(fingerprint_report(fingerprint_documents(docs)).collect())
     for i, r in enumerate(got):
@@ -213,15 +219,44 @@ def test_fingerprints_match_brute_force(spark):
         assert r.near_edited == pytest.approx(like(hashes(r.fingerprint), hashes(r.edited_fingerprint))) and r.near_next == pytest.approx(like(hashes(r.fingerprint), hashes(_winnow(following))))
 
 
-def test_next_documents_across_ranges(spark):
-    from lingoloom.llm.fingerprints import with_next
+def test_a_shared_run_is_noticed_at_any_offset(spark):
+    """47 shared characters, unspaced, wherever they begin: one hash at least is common."""
+    draw = random.Random(4)
+    run = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789漢字かな", k=GRAM + WINDOW - 1))
+    noise = lambda n: "".join(draw.choices("ABCDEFGHIJ", k=n))
+    rows = [(i, noise(i) + run + noise(draw.randrange(80))) for i in range(60)]
+    found = spark.createDataFrame(rows, "i int, text string").select("i", F.transform(winnow(F.col("text")), lambda e: F.struct(hash_of(e), position_of(e))).alias("w")).collect()
+    hashes = {r.i: {e[0] for e in r.w} for r in found}
+    assert all(hashes[a] & hashes[b] for a in hashes for b in hashes)
+
+
+def test_a_character_in_front_keeps_nearly_all_hashes(spark):
+    text = "".join(random.Random(9).choices("abcdefghijklmnopqrstuvwxyz", k=600))
+    (a, b) = (set(r[0]) for r in spark.createDataFrame([(text,), ("x" + text,)], "t string").select(F.transform(winnow(F.col("t")), hash_of)).collect())
+    assert len(a & b) >= len(a | b) - 3
+
 
+def test_long_texts_are_read_in_segments(spark):
+    text = "".join(random.Random(2).choices("abcdef", k=2 * SEGMENT + 100))
+    (got,) = spark.createDataFrame([(text,)], "t string").select(F.transform(winnow(F.col("t")), lambda e: F.concat_ws(":", hash_of(e), position_of(e)))).first()
+    assert ",".join(got) == _winnow(text)
+
+
+def test_next_documents_across_ranges(spark):
     ids = [i * i for i in range(300)]
     docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(6)
-    got = {r.doc_id: r.next_text for r in with_next(docs, rows=7).collect()}
+    got = {r.doc_id: r.next_text for r in with_next(docs, range_bytes=3).collect()}
     assert got == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1], strict=True)}
 
 
+def test_next_documents_of_a_frequent_id(spark):
+    rows = [(i, f"u{i}") for i in range(50)] + [(20, f"t{i}") for i in range(400)] + [(None, f"n{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    order = [tuple(r) for r in docs.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    got = {(r.doc_id, r.text): r.next_text for r in with_next(docs, range_bytes=20).collect()}
+    assert got == {a: b[1] for a, b in zip(order, order[1:] + order[:1], strict=True)}
+
+
 def test_fingerprints_of_odd_rows(odd, nothing):
     got = fingerprint_report(fingerprint_documents(odd)).collect()
     assert len(got) == odd.count() and all(0 <= r.near_edited <= 1 for r in got)
