@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lingoloom.functions.dsl import dsl_error, rule_ids
@@ -10,6 +10,8 @@ from lingoloom.functions.profile import TATAR
 from lingoloom.functions.text import canonical_apostrophes, display_word, harmony_class, normalize_word
 from lingoloom.functions.translit import suggestion, word_dimension
 
+from .ranges import running_total
+
 TOKENS = "array<struct<text:string,label:string,homonym:boolean>>"
 
 
@@ -55,23 +57,14 @@ def review_tasks(judged: DataFrame, max_items: int | None = None, sort_by: str =
     """(id, cyrl_word, auto_zamanalif, origin, frequency, hints_html) of the kept words, numbered in order."""
     if sort_by not in ("frequency_desc", "word"):
         raise ValueError(f"unknown order: {sort_by}")
-    order = [F.desc("frequency"), F.col("word")] if sort_by == "frequency_desc" else [F.col("word")]
-    kept = judged.where("disposition = 'keep'").orderBy(*order)
+    order = [-F.col("frequency"), F.col("word")] if sort_by == "frequency_desc" else [F.col("word")]
+    kept = judged.where("disposition = 'keep'")
     if max_items is not None:
-        kept = kept.limit(max_items)
-    numbered = _numbered(kept, order)
+        kept = kept.orderBy(*order).limit(max_items)
+    numbered = running_total(kept, order, F.lit(1), "before").withColumn("number", F.col("before") + 1)
     return numbered.select(F.format_string("word_%06d", "number").alias("id"), F.col("display").alias("cyrl_word"), suggestion(F.col("label")).alias("auto_zamanalif"), F.col("label").alias("origin"), "frequency", hints_html(F.col("word"), F.col("label"), F.col("frequency"), F.col("state")).alias("hints_html"))
 
 
-def _numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """``rows`` with number from 1 in the order given: ranks within ranges plus the sizes of the ranges before."""
-    ranged = rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
-    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # a row a partition
-    rank = F.row_number().over(Window.partitionBy("part").orderBy(*order))
-    return ranged.withColumn("rank_in_part", rank).join(F.broadcast(before), "part").withColumn("number", F.col("rank_in_part") + F.col("before")).drop("part", "rank_in_part", "before")
-
-
 def escaped(text: Column) -> Column:
     # fixed values
     for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):

@@ -12,6 +12,8 @@ from lingoloom.functions.segment import document_windows, sentences
 from lingoloom.functions.sentence_quality import sentence_quality
 from lingoloom.functions.text import count_specific, distinct_letters, harmony_class, has_conditional, hash_uniform, sentence_key, words_in
 
+from .ranges import join_split, running_total
+
 
 @dataclass(frozen=True)
 class HarvestConfig:
@@ -69,9 +71,12 @@ def _dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
     is_candidate = F.col("disposition") == "candidate"
     in_doc = F.row_number().over(Window.partitionBy("id", "key", "disposition").orderBy(*order))
     once = judged.withColumn("nth", in_doc).withColumn("disposition", F.when(is_candidate & (F.col("nth") > 1), "doc_duplicate").otherwise(F.col("disposition")))
-    # the first document of a sentence by id, found without collecting a sentence's rows
-    first = once.where(is_candidate).groupBy("key").agg(F.min("id").alias("first_id"))
-    once = once.join(first, "key", "left").withColumn("disposition", F.when(is_candidate & (F.col("id") != F.col("first_id")), "global_duplicate").otherwise(F.col("disposition")))
+    # the first document of a sentence that several share, found without collecting a sentence's rows
+    shared = once.where(is_candidate).groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("times")).where("times > 1")
+    total = judged.count()
+    first = shared.select("key", "first_id", (F.col("times") * 1000 > total).alias("frequent"))
+    other = is_candidate & F.coalesce(F.col("id") != F.col("first_id"), F.lit(False))
+    once = join_split(once, first, "key", "left").withColumn("disposition", F.when(other, "global_duplicate").otherwise(F.col("disposition")))
     priority = F.coalesce(*[F.when(F.col("keep_reason") == k, F.lit(v)) for k, v in PRIORITY.items()])
     rank = F.row_number().over(Window.partitionBy("id", "disposition").orderBy(priority, F.col("window_start") + F.col("start"), "sentence"))
     ranked = once.withColumn("rank", rank)
@@ -85,11 +90,7 @@ def _within_total(kept: DataFrame, config: HarvestConfig) -> DataFrame:
     if config.max_candidates is None or config.exhaustive:
         return kept
     counts = kept.groupBy("id").agg(F.count("*").alias("n"))
-    ordered = counts.repartitionByRange("id").select("id", "n", F.spark_partition_id().alias("part"))
-    sums = ordered.groupBy("part").agg(F.sum("n").alias("all"))
-    before = sums.select("part", (F.sum("all").over(Window.orderBy("part")) - F.col("all")).alias("offset"))  # a row a partition
-    inside = F.sum("n").over(Window.partitionBy("part").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    start = ordered.withColumn("before", inside).join(F.broadcast(before), "part").select("id", (F.col("before") + F.col("offset")).alias("before")).where(F.col("before") < config.max_candidates)
+    start = running_total(counts, [F.col("id")], F.col("n"), "before").where(F.col("before") < config.max_candidates).select("id", "before")
     return kept.join(start, "id").where(F.col("before") + F.col("rank") <= config.max_candidates).drop("before")
 
 

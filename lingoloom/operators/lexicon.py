@@ -10,6 +10,8 @@ from lingoloom.functions.profile import TATAR
 from lingoloom.functions.text import cell_text, harmony_class, html_text, normalize_headword, normalize_word, paragraph_text, query_value
 from lingoloom.functions.translit import convert_dsl
 
+from .ranges import running_total
+
 # fixed values: parts of speech, as the pages abbreviate them
 POS = r"\b(?:n|v|a|adj|adv|prep|conj|pron|num|int|interj|pl|vt|vi|aux|pp|pt)\b\.?"
 POS_WORDS = ("n", "v", "a", "adj", "adv", "prep", "conj", "pron", "num", "int", "interj", "pl", "vt", "vi", "aux", "pp", "pt")
@@ -48,10 +50,8 @@ def align_editions(left: DataFrame, right: DataFrame) -> DataFrame:
     both = side(left, "l").join(side(right, "r"), "headword_key", "full_outer")
     status = F.when(F.col("l").isNull() | F.col("r").isNull(), "missing_side").when((F.col("l_n") > 1) | (F.col("r_n") > 1), "headword_mismatch").otherwise("aligned")
     pick = lambda c: F.coalesce(F.col(f"l.{c}"), F.col(f"r.{c}"))
-    from .dictionary import _numbered
-
     rows = both.select("headword_key", pick("headword").alias("headword"), pick("page").alias("page"), pick("position").alias("position"), F.col("l.entry_id").alias("left_entry_id"), F.col("r.entry_id").alias("right_entry_id"), status.alias("status"))
-    return _numbered(rows, [F.col("headword_key")]).withColumnRenamed("number", "align_id")
+    return running_total(rows, [F.col("headword_key")], F.lit(1), "before").withColumn("align_id", F.col("before") + 1).drop("before")
 
 
 def _body(html: Column) -> Column:
