@@ -130,11 +130,28 @@ class MinHash:
             out[:, k] = np.minimum.reduceat(((hashes * a + b) >> np.uint64(32)).astype(np.uint32), at[:-1])
         return out
 
-    def narrow(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The same from the upper 32 bits of the hashes only: faster, for sets of up to some thousand members."""
-        out = np.empty((len(at) - 1, len(self.odd)), dtype=np.uint32)
-        hashes = (hashes >> np.uint64(32)).astype(np.uint32)
-        for k, (a, b) in enumerate(zip(self.odd.astype(np.uint32) | np.uint32(1), self.add.astype(np.uint32), strict=True)):
-            x = hashes * a + b
-            out[:, k] = np.minimum.reduceat((x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D), at[:-1])
-        return out
+
+class LineSignatures:
+    """``n`` 32-bit minima of each line's character shingles: faster than MinHash over char_shingles, for candidates only."""
+
+    def __init__(self, n: int, seed: int, width: int = 8):
+        self.odd, self.width = np.random.default_rng(seed).integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32) | np.uint32(1), width
+
+    def __call__(self, lines: list[str]) -> np.ndarray:
+        """(lines, n) of lines that aren't empty; a line shorter than a shingle is one. ``width`` is a power of two."""
+        width = self.width
+        lines = [x if len(x) >= width else x.ljust(width, "\0") for x in lines]
+        value = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+        power, size = 0x9E3779B1, 1
+        while size < width:  # the polynomial of 2s characters from those of s characters
+            value = value[:-size] * np.uint32(power) + value[size:]
+            power, size = power * power & 0xFFFFFFFF, 2 * size
+        inside = np.ones(len(value) + width - 1, dtype=bool)
+        inside[(np.cumsum(sizes)[:, None] - np.arange(1, width)).ravel()] = False
+        value = value[inside[: len(value)]]
+        value = (value ^ (value >> np.uint32(16))) * np.uint32(0x7FEB352D)
+        value = (value ^ (value >> np.uint32(15))) * np.uint32(0x846CA68B)
+        value ^= value >> np.uint32(16)
+        first = np.concatenate(([0], np.cumsum(sizes - width + 1)[:-1]))
+        return np.stack([np.minimum.reduceat(value * a, first) for a in self.odd], axis=1)

@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingoloom.operators.ranges import join_split
+
 from .hashing import MinHash, mix
 from .scratch import Scratch
 
-#: Bytes of a path that name its region: the tree, and 64 bits of the values that its members share.
-REGION = 9
 #: Members of a region that are all compared with each other; a region with more is crowded.
 SMALL = 32
 #: Trees and values a tree for what is crowded, level by level: recall 0.9999 and 0.9998 at a similarity of 0.8.
@@ -41,45 +41,37 @@ def fetch(table: DataFrame, needed: DataFrame, on: str, width: Column | int) ->
     return table.join(F.broadcast(needed) if size <= BROADCAST_BYTES else needed, on)
 
 
-def join_split(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Inner join with ``right`` (one row a key, ``frequent`` boolean); the frequent keys, of which there must be a bounded number, are broadcast."""
-    common, rest = F.broadcast(right.where("frequent").drop("frequent")), right.where("not frequent").drop("frequent")
-    return left.join(common, on).unionByName(left.join(common.select(on), on, "left_anti").join(rest, on))
-
-
-def to_rows(column: pa.Array) -> np.ndarray:
-    """(n, width) bytes of a binary column whose values all have one length."""
-    if not len(column):
-        return np.zeros((0, 0), dtype=np.uint8)
+def to_rows(column: pa.Array, dtype: type) -> np.ndarray:
+    """(n, k) numbers of a binary column whose values all have one length."""
     _, offsets, data = column.buffers()
     first, second = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + 2]
     width = second - first
-    return np.frombuffer(data, dtype=np.uint8)[first : first + width * len(column)].reshape(len(column), width)
+    return np.frombuffer(data, dtype=np.uint8)[first : first + width * len(column)].view(dtype).reshape(len(column), -1)
 
 
-def from_rows(rows: np.ndarray) -> pa.Array:
-    """A binary column of the rows of (n, width) bytes."""
-    rows = np.ascontiguousarray(rows, dtype=np.uint8)
-    offsets = (np.arange(len(rows) + 1) * rows.shape[1]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(rows.tobytes())])
+#: Schema of index rows: the region (tree and first values of a signature), the values that follow as order in it, the id.
+INDEX = "region long, deep long, id long"
 
 
-def signature_paths(trees: int, values: int, depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From (id, signature): each signature once a tree as (path, id); tree t starts at value t * ``values`` and compares ``depth`` 32-bit values."""
+def index_rows(place: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], dtype: type) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From (id, signature): one index row for each column that ``place`` makes of the signatures' numbers, (n, trees) regions and orders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows, ids = to_rows(batch.column("signature")), batch.column("id").to_numpy(zero_copy_only=False)
-            turned = [np.insert(np.roll(rows, -4 * values * t, axis=1)[:, : 4 * depth], 0, t, axis=1) for t in range(trees)]
-            yield pa.RecordBatch.from_arrays([from_rows(np.concatenate(turned)), pa.array(np.tile(ids, trees))], names=["path", "id"])
+            if batch.num_rows:
+                region, deep = place(to_rows(batch.column("signature"), dtype))
+                yield _index_batch(region, deep, batch.column("id"))
 
     return run
 
 
-def _deeper_paths(trees: int, depth: int, seed: int, unpack: Unpack) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From (id, body): a path for each of ``trees`` trees, whose region is 64 bits of ``depth`` new minima, and two more minima for the order in it."""
+def _index_batch(region: np.ndarray, deep: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
+    own = np.repeat(ids.to_numpy(zero_copy_only=False), region.shape[1])
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).ravel().astype(np.int64)) for x in (region.view(np.int64), deep.view(np.int64))] + [pa.array(own)], names=["region", "deep", "id"])
+
+
+def _deeper_rows(trees: int, depth: int, seed: int, unpack: Unpack) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From (id, body): an index row for each of ``trees`` trees, whose region is 64 bits of ``depth`` new minima, ordered by two more."""
     minima = MinHash(trees * depth, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,13 +79,12 @@ def _deeper_paths(trees: int, depth: int, seed: int, unpack: Unpack) -> Callable
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 sets = unpack(part.column("body").to_pylist())
-                values = minima(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))).reshape(len(sets), trees, depth)
-                region = np.zeros((len(sets), trees), dtype=np.uint64)
+                values = minima(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))).reshape(len(sets), trees, depth).astype(np.uint64)
+                region = np.tile(np.arange(trees, dtype=np.uint64), (len(sets), 1))
                 for k in range(depth):
                     region = mix(region * np.uint64(31) + values[:, :, k])
-                tail = np.roll(values, -1, axis=1)[:, :, :2]
-                rows = [np.concatenate([np.full((len(sets), 1), t, dtype=np.uint8), np.ascontiguousarray(region[:, t]).view(np.uint8).reshape(-1, 8), np.ascontiguousarray(tail[:, t]).view(np.uint8).reshape(-1, 8)], axis=1) for t in range(trees)]
-                yield pa.RecordBatch.from_arrays([from_rows(np.concatenate(rows)), pa.array(np.tile(part.column("id").to_numpy(zero_copy_only=False), trees))], names=["path", "id"])
+                further = np.roll(values, -1, axis=1)
+                yield _index_batch(region, (further[:, :, 0] << np.uint64(31)) | (further[:, :, 1] >> np.uint64(1)), part.column("id"))
 
     return run
 
@@ -102,18 +93,18 @@ GROUP, CROWDED, BORDER = 0, 1, 2
 
 
 def _regions(cut: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From sorted (path, id): groups of rows to compare, the rows of crowded regions, and, where a partition may ``cut`` a region, the rows of its first and last one."""
+    """From sorted (region, deep, id): groups of rows to compare, the rows of crowded regions, and, where a partition may ``cut`` a region, the rows of its first and last one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, ids, first = np.zeros((0, REGION), dtype=np.uint8), np.zeros(0, dtype=np.int64), cut
+        path, ids, first = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), cut
         for batch in chain(batches, [None]):
             if batch is not None and batch.num_rows:
-                path = np.concatenate([path, to_rows(batch.column("path"))[:, :REGION]])
+                path = np.concatenate([path, batch.column("region").to_numpy(zero_copy_only=False)])
                 ids = np.concatenate([ids, batch.column("id").to_numpy(zero_copy_only=False)])
             if not len(ids):
                 continue
             last = batch is None
-            starts = np.concatenate(([0], np.flatnonzero((path[1:] != path[:-1]).any(1)) + 1))
+            starts = np.concatenate(([0], np.flatnonzero(path[1:] != path[:-1]) + 1))
             sizes = np.diff(np.append(starts, len(ids)))
             closed, crowded, edge = np.ones(len(starts), dtype=bool), sizes > SMALL, np.zeros(len(starts), dtype=bool)
             closed[-1], edge[0], edge[-1] = last, first, cut and last or first and len(starts) == 1
@@ -138,7 +129,7 @@ def _regions(cut: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 n = len(some if at is None else at)
                 if n:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, kind, dtype=np.int32)), pa.nulls(n, pa.binary()) if at is None else from_rows(path[at]), pa.nulls(n, pa.int64()) if key is None else pa.array(key.view(np.int64)), pa.array(ids[some if at is None else at])],
+                        [pa.array(np.full(n, kind, dtype=np.int32)), pa.nulls(n, pa.int64()) if at is None else pa.array(path[at]), pa.nulls(n, pa.int64()) if key is None else pa.array(key.view(np.int64)), pa.array(ids[some if at is None else at])],
                         names=["kind", "region", "group", "id"],
                     )
             first &= len(starts) == 1
@@ -149,19 +140,18 @@ def _regions(cut: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def regions(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Groups (group, id) and crowded rows (region, id) of ``rows`` (path binary, id long).
+    """Groups (group, id) and crowded rows (region, id) of the index ``rows`` (region, deep, id).
 
-    A path is the number of a tree and a signature as that tree orders it. Rows
-    are dealt by range over (path, id), so a crowded region is cut instead of
-    landing in one task. A region of up to SMALL members is a group; in a
+    Rows are dealt by range over all three, so a crowded region is cut instead
+    of landing in one task. A region of up to SMALL members is a group; in a
     larger one, which is crowded, every SMALL neighbours in the sorted order
     are. A region that a partition's border cuts is put together in a second
     pass, from SMALL + 1 rows a side. Groups with the same members are one.
     """
-    order, schema = ["path", "id"], "kind int, region binary, group long, id long"
+    order, schema = ["region", "deep", "id"], "kind int, region long, group long, id long"
     found = scratch.save(rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_regions(True), schema))
-    borders = found.where(f"kind = {BORDER}").select(F.col("region").alias("path"), "id").distinct()
-    across = scratch.save(borders.repartition("path").sortWithinPartitions(*order).mapInArrow(_regions(False), schema))
+    borders = found.where(f"kind = {BORDER}").select("region", "id").distinct()
+    across = scratch.save(borders.repartition("region").sortWithinPartitions("region", "id").mapInArrow(_regions(False), schema))
     both = found.unionByName(across)
     groups = scratch.save(both.where(f"kind = {GROUP}").select("group", "id").distinct())
     crowded = scratch.save(both.where(f"kind = {CROWDED}").select("region", "id").distinct())
@@ -338,8 +328,8 @@ def linked(groups: DataFrame, crowded: DataFrame, sets: DataFrame, percent: int,
         live = _live(crowded, roots, scratch)
         if live.isEmpty():
             return roots
-        paths = sets.join(live.select("id").distinct(), "id").mapInArrow(_deeper_paths(trees, depth, 100 + level, unpack), "path binary, id long")
-        groups, crowded = regions(paths, scratch)
+        rows = sets.join(live.select("id").distinct(), "id").mapInArrow(_deeper_rows(trees, depth, 100 + level, unpack), INDEX)
+        groups, crowded = regions(rows, scratch)
         roots = _joined(roots, _group_links(groups, roots, sets, percent, scratch, unpack), scratch)
     live = _live(crowded, roots, scratch)
     return roots if live.isEmpty() else _joined(roots, _full_links(live, sets, percent, scratch, unpack), scratch)
