@@ -86,11 +86,6 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bodies, pa.string())], names=["id", "body"])
 
 
-def shingle_sets(lines: list[str]) -> list[np.ndarray]:
-    hashes, at = char_shingles(lines)
-    return [np.unique(hashes[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-
-
 def _without(text: str | None, drop: list[int] | None) -> str | None:
     if text is None or drop is None:
         return text
@@ -133,7 +128,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     wanted = scratch.save(wanted)
     found = fetch(texts.select(F.xxhash64(*of).alias("key"), "text"), wanted, "key", F.size("wanted") * 48 + 40).select("text", "wanted")
     bodies = scratch.save(found.mapInArrow(_bodies, "id long, body string").dropDuplicates(["id"]))
-    roots = linked(groups, crowded, bodies, percent, scratch, shingle_sets)
+    roots = linked(groups, crowded, bodies, percent, scratch, char_shingles)
     scratch.drop(groups, crowded, wanted, bodies)
     # the first occurrence of each component; a line without a link is its own
     members = distinct.select("id", "name", "first").join(roots, "id")

@@ -9,7 +9,8 @@ blocks, and components are found by joins.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,11 @@ CHUNK, CHUNK_LENGTH = 1024, 1 << 23
 #: Occurrences of shared members that a block looks at in one go.
 POSTINGS = 1 << 21
 
-Unpack = Callable[[list], list[np.ndarray]]
+#: Length of the bodies of small blocks that are compared together, about.
+TOGETHER = 1 << 20
+
+#: Hashes of the members of all bodies, a body's own one after another, and where each body's begin; a member may repeat.
+Unpack = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
 
 def fetch(table: DataFrame, needed: DataFrame, on: str, width: Column | int) -> DataFrame:
@@ -78,9 +83,8 @@ def _deeper_rows(trees: int, depth: int, seed: int, unpack: Unpack) -> Callable[
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                sets = unpack(part.column("body").to_pylist())
-                values = minima(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))).reshape(len(sets), trees, depth).astype(np.uint64)
-                region = np.tile(np.arange(trees, dtype=np.uint64), (len(sets), 1))
+                values = minima(*unpack(part.column("body").to_pylist())).reshape(part.num_rows, trees, depth).astype(np.uint64)
+                region = np.tile(np.arange(trees, dtype=np.uint64), (part.num_rows, 1))
                 for k in range(depth):
                     region = mix(region * np.uint64(31) + values[:, :, k])
                 further = np.roll(values, -1, axis=1)
@@ -183,14 +187,57 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         seen = state
 
 
+def _flat_links(roots: np.ndarray, groups: np.ndarray, hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Roots (x, y) that links inside many small groups join, one link for each merger.
+
+    Rows come group by group (``groups`` counts from 0), ``hashes[at[i]:at[i + 1]]``
+    are row i's members. All sets are sorted together as numbers of (group,
+    member, row), so equal members of a group stand side by side; a member is
+    the hash's lowest 64 - 6 - bits(groups) bits.
+    """
+    n = len(roots)
+    first = np.concatenate(([0], np.flatnonzero(np.diff(groups)) + 1))
+    row = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+    bits = np.uint64(int(groups[-1]).bit_length())
+    owner = (groups.astype(np.uint64) << (np.uint64(64) - bits)) if bits else np.zeros(n, dtype=np.uint64)
+    sizes = np.diff(at)
+    keys = np.sort(np.repeat(owner | row.astype(np.uint64), sizes) | (hashes << (np.uint64(6) + bits) >> bits))
+    keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
+    ids = np.repeat(first, np.diff(np.append(first, n)))  # the first row of each row's group
+    group = (keys >> (np.uint64(64) - bits)).astype(np.int64) if bits else np.zeros(len(keys), dtype=np.int64)
+    rows = first[group] + (keys & np.uint64(63)).astype(np.int64)
+    sizes = np.bincount(rows, minlength=n)
+    members = keys >> np.uint64(6)
+    pairs = []
+    for step in range(1, SMALL + 1):
+        same = np.flatnonzero(members[step:] == members[:-step]) if step < len(members) else np.zeros(0, dtype=np.int64)
+        if not len(same):
+            break
+        pairs.append(rows[same] * 64 + (rows[same + step] - ids[rows[same]]))
+    if not pairs:
+        return roots[:0], roots[:0]
+    pair, common = np.unique(np.concatenate(pairs), return_counts=True)
+    x = pair // 64
+    y = ids[x] + pair % 64
+    linked = 100 * common >= percent * (sizes[x] + sizes[y] - common)
+    x, y = x[linked], y[linked]
+    label = np.arange(n)
+    while True:  # a group's components are found in a few rounds
+        low = np.minimum(label[x], label[y])
+        after = label.copy()
+        np.minimum.at(after, x, low)
+        np.minimum.at(after, y, low)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    p, q = roots, roots[label]
+    crossing = p != q
+    return np.minimum(p, q)[crossing], np.maximum(p, q)[crossing]
+
+
 def _block_links(roots: np.ndarray, left: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Roots (x, y) that links between rows on the left and any others join, one link for each merger."""
-    if len(sets) == 2:
-        x, y = sets
-        if roots[0] == roots[1] or min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-            return []
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        return [(min(roots), max(roots))] if 100 * common >= percent * (len(x) + len(y) - common) else []
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
     at = np.concatenate(([0], np.cumsum(sizes)))
     _, member, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -218,33 +265,42 @@ def _block_links(roots: np.ndarray, left: np.ndarray, sets: list[np.ndarray], pe
     return out
 
 
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(a, dtype=np.int64)), pa.array(np.asarray(b, dtype=np.int64))], names=["a", "b"])
+
+
 def _blocks(percent: int, unpack: Unpack) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From rows (block, root, left, body) sorted by block: the links of each block."""
+    """From rows (block, root, left, body) sorted by block: the links of each block. Small blocks of left rows only are compared many at a time."""
+
+    def large(rows: list[tuple]) -> pa.RecordBatch:
+        hashes, at = unpack([r[3] for r in rows])
+        sets = [np.unique(hashes[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+        found = _block_links(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), sets, percent)
+        return _pairs([x for x, _ in found], [y for _, y in found])
+
+    def small(rows: list[tuple]) -> pa.RecordBatch:
+        hashes, at = unpack([r[3] for r in rows])
+        block = np.array([r[0] for r in rows])
+        groups = np.concatenate(([0], np.cumsum(block[1:] != block[:-1])))
+        return _pairs(*_flat_links(np.array([r[1] for r in rows]), groups, hashes, at, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        held, block = ([], [], []), None
-        for batch in batches:
-            if not batch.num_rows:
+        rows = ((r["block"], r["root"], r["left"], r["body"]) for batch in batches for r in batch.to_pylist())
+        held, length = [], 0
+        for _, block in groupby(rows, itemgetter(0)):
+            block = list(block)
+            if len(block) > SMALL + 1 or not all(r[2] for r in block):
+                yield large(block)
+                continue
+            if len({r[1] for r in block}) < 2:
                 continue
-            blocks = batch.column("block").to_numpy()
-            roots, left = batch.column("root").to_numpy(zero_copy_only=False), batch.column("left").to_numpy(zero_copy_only=False)
-            bodies = batch.column("body").to_pylist()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if held[0] and blocks[a] != block:
-                    found += _block_links(np.array(held[0]), np.array(held[1]), unpack(held[2]), percent)
-                    held = ([], [], [])
-                block = blocks[a]
-                held[0].extend(roots[a:b])
-                held[1].extend(left[a:b])
-                held[2].extend(bodies[a:b])
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-                found = []
-        if held[0]:
-            found = _block_links(np.array(held[0]), np.array(held[1]), unpack(held[2]), percent)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+            held += block
+            length += sum(len(r[3]) for r in block)
+            if length >= TOGETHER:
+                yield small(held)
+                held, length = [], 0
+        if held:
+            yield small(held)
 
     return run
 
@@ -314,7 +370,7 @@ def _joined(ids: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFr
 def linked(groups: DataFrame, crowded: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, unpack: Unpack) -> DataFrame:
     """(id, root) of the components that links within ``groups`` (group, id) and within the regions of ``crowded`` (region, id) form; ids without a link are left out.
 
-    ``sets`` has (id, body) of all their ids; ``unpack`` makes arrays of distinct
+    ``sets`` has (id, body) of all their ids; ``unpack`` makes
     hashes of bodies. Two rows are linked when 100 * |A & B| >= percent * |A | B|.
 
     Groups are compared in full. The rows of crowded regions that hold several

@@ -53,8 +53,8 @@ def _sets(width: int):
     return run
 
 
-def unpacked(bodies: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(b, dtype=np.uint64) for b in bodies]
+def unpacked(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(bodies), dtype=np.uint64), np.concatenate(([0], np.cumsum([len(b) // 8 for b in bodies])))
 
 
 def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
