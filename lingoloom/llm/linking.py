@@ -197,29 +197,29 @@ def _flat_links(roots: np.ndarray, groups: np.ndarray, hashes: np.ndarray, at: n
     """
     n = len(roots)
     first = np.concatenate(([0], np.flatnonzero(np.diff(groups)) + 1))
-    row = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+    many = np.diff(np.append(first, n))
+    row = np.arange(n) - np.repeat(first, many)
     bits = np.uint64(int(groups[-1]).bit_length())
     owner = (groups.astype(np.uint64) << (np.uint64(64) - bits)) if bits else np.zeros(n, dtype=np.uint64)
-    sizes = np.diff(at)
-    keys = np.sort(np.repeat(owner | row.astype(np.uint64), sizes) | (hashes << (np.uint64(6) + bits) >> bits))
+    keys = np.sort(np.repeat(owner | row.astype(np.uint64), np.diff(at)) | (hashes << (np.uint64(6) + bits) >> bits))
     keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
-    ids = np.repeat(first, np.diff(np.append(first, n)))  # the first row of each row's group
     group = (keys >> (np.uint64(64) - bits)).astype(np.int64) if bits else np.zeros(len(keys), dtype=np.int64)
-    rows = first[group] + (keys & np.uint64(63)).astype(np.int64)
-    sizes = np.bincount(rows, minlength=n)
+    own = (keys & np.uint64(63)).astype(np.int64)
+    sizes = np.bincount(first[group] + own, minlength=n)
     members = keys >> np.uint64(6)
-    pairs = []
+    # a cell for each pair of rows of a group
+    cells = np.concatenate(([0], np.cumsum(many * many)))
+    cell = cells[group] + own * many[group]
+    common = np.zeros(cells[-1], dtype=np.int64)
     for step in range(1, SMALL + 1):
-        same = np.flatnonzero(members[step:] == members[:-step]) if step < len(members) else np.zeros(0, dtype=np.int64)
+        same = np.flatnonzero(members[step:] == members[:-step]) if step < len(members) else group[:0]
         if not len(same):
             break
-        pairs.append(rows[same] * 64 + (rows[same + step] - ids[rows[same]]))
-    if not pairs:
-        return roots[:0], roots[:0]
-    pair, common = np.unique(np.concatenate(pairs), return_counts=True)
-    x = pair // 64
-    y = ids[x] + pair % 64
-    linked = 100 * common >= percent * (sizes[x] + sizes[y] - common)
+        common += np.bincount(cell[same] + own[same + step], minlength=len(common))
+    hit = np.flatnonzero(common)
+    of = np.searchsorted(cells, hit, side="right") - 1
+    x, y = first[of] + (hit - cells[of]) // many[of], first[of] + (hit - cells[of]) % many[of]
+    linked = 100 * common[hit] >= percent * (sizes[x] + sizes[y] - common[hit])
     x, y = x[linked], y[linked]
     label = np.arange(n)
     while True:  # a group's components are found in a few rounds
