@@ -96,19 +96,34 @@ def word_shingles(texts: list[str], width: int = 5) -> list[np.ndarray]:
     return out
 
 
-def char_shingles(lines: list[str], width: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all character shingles of all lines (none empty), and where each line's begin; a shorter line is one shingle."""
-    joined = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+def rolled(lines: list[str], width: int, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """Polynomial hashes (unmixed) of all runs of ``width`` characters of each line, and where each line's begin; ``width`` is a power of two.
+
+    No line may be empty; one shorter than ``width`` is a single run, told
+    apart by its length.
+    """
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-    ends = np.cumsum(sizes)
-    begins = ends - sizes
-    sums = _prefix_sums(joined)
-    _, down = _powers(len(joined))
-    counts = np.maximum(1, sizes - width + 1)
-    at = np.concatenate(([0], np.cumsum(counts)))
-    place = np.arange(at[-1]) + np.repeat(begins - at[:-1], counts)
-    last = np.minimum(place + width, np.repeat(ends, counts))
-    return mix((sums[last] - sums[place]) * down[place] + (last - place).astype(np.uint64)), at
+    short = sizes < width
+    if short.any():
+        lines = [x if len(x) >= width else x.ljust(width, "\0") for x in lines]
+    value = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(dtype, copy=False)
+    padded = np.maximum(sizes, width)
+    power, size, whole = 0x9E3779B97F4A7C15, 1, (1 << 8 * np.dtype(dtype).itemsize) - 1
+    while size < width:  # the polynomial of 2s characters from those of s characters
+        value = value[:-size] * dtype(power & whole) + value[size:]
+        power, size = power * power & whole, 2 * size
+    inside = np.ones(len(value) + width - 1, dtype=bool)
+    inside[(np.cumsum(padded)[:, None] - np.arange(1, width)).ravel()] = False
+    value = value[inside[: len(value)]]
+    at = np.concatenate(([0], np.cumsum(padded - width + 1)))
+    value[at[:-1][short]] ^= sizes[short].astype(dtype)
+    return value, at
+
+
+def char_shingles(lines: list[str], width: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all character shingles of all lines (none empty), and where each line's begin; a shorter line is one shingle."""
+    value, at = rolled(lines, width, np.uint64)
+    return mix(value), at
 
 
 def digest(values: np.ndarray) -> bytes:
@@ -138,20 +153,9 @@ class LineSignatures:
         self.odd, self.width = np.random.default_rng(seed).integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32) | np.uint32(1), width
 
     def __call__(self, lines: list[str]) -> np.ndarray:
-        """(lines, n) of lines that aren't empty; a line shorter than a shingle is one. ``width`` is a power of two."""
-        width = self.width
-        lines = [x if len(x) >= width else x.ljust(width, "\0") for x in lines]
-        value = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-        power, size = 0x9E3779B1, 1
-        while size < width:  # the polynomial of 2s characters from those of s characters
-            value = value[:-size] * np.uint32(power) + value[size:]
-            power, size = power * power & 0xFFFFFFFF, 2 * size
-        inside = np.ones(len(value) + width - 1, dtype=bool)
-        inside[(np.cumsum(sizes)[:, None] - np.arange(1, width)).ravel()] = False
-        value = value[inside[: len(value)]]
+        """(lines, n) of lines that aren't empty; a line shorter than a shingle is one."""
+        value, at = rolled(lines, self.width, np.uint32)
         value = (value ^ (value >> np.uint32(16))) * np.uint32(0x7FEB352D)
         value = (value ^ (value >> np.uint32(15))) * np.uint32(0x846CA68B)
         value ^= value >> np.uint32(16)
-        first = np.concatenate(([0], np.cumsum(sizes - width + 1)[:-1]))
-        return np.stack([np.minimum.reduceat(value * a, first) for a in self.odd], axis=1)
+        return np.stack([np.minimum.reduceat(value * a, at[:-1]) for a in self.odd], axis=1)

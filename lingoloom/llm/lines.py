@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from lingoloom.operators.ranges import join_split
 
 from .hashing import LineSignatures, blocks, char_shingles, mix
-from .linking import INDEX, fetch, index_rows, linked, regions
+from .linking import BANDS as INDEX
+from .linking import fetch, index_rows, linked, regions
 from .scratch import Scratch
 
 #: Bands of three 32-bit minima: recall 0.9984 at a similarity of 0.8, 0.99999 at 0.9.
@@ -44,10 +45,6 @@ def _buckets(minima: np.ndarray) -> np.ndarray:
     return out
 
 
-def _placed(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return buckets, np.zeros_like(buckets)
-
-
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(home, line_no, name, signature) of every line that isn't blank; the signature, its buckets, is given once a block."""
     minima = LineSignatures(BANDS * ROWS, seed=4)
@@ -122,7 +119,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     lines = scratch.save(texts.mapInArrow(_signed, f"{HOME}, line_no int, name binary, signature binary"))
     distinct = lines.groupBy("name").agg(F.min(F.struct(*of, "line_no")).alias("first"), F.first("signature", ignorenulls=True).alias("signature"), F.count("*").alias("n"))
     distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
-    groups, crowded = regions(distinct.select("id", "signature").mapInArrow(index_rows(_placed, np.uint64), INDEX), scratch)
+    groups, crowded = regions(distinct.select("id", "signature").mapInArrow(index_rows(lambda buckets: (buckets,), np.uint64), INDEX), scratch)
     needed = groups.select("id").unionByName(crowded.select("id")).distinct()
     wanted = distinct.join(needed, "id").groupBy(F.xxhash64(*[f"first.{c}" for c in of]).alias("key")).agg(F.collect_list(F.struct("id", "name", F.col("first.line_no").alias("line_no"))).alias("wanted"))
     wanted = scratch.save(wanted)

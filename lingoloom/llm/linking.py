@@ -24,6 +24,10 @@ from .scratch import Scratch
 
 #: Members of a region that are all compared with each other; a region with more is crowded.
 SMALL = 32
+#: Edges that may meet in one task.
+HUBS = 1_000_000
+#: Members of a crowded region that are compared in full; a region with more is indexed deeper.
+FULL = 512
 #: Trees and values a tree for what is crowded, level by level: recall 0.9999 and 0.9998 at a similarity of 0.8.
 DEEPER = ((24, 5), (64, 9))
 #: Tables up to this many bytes are broadcast to filter a table where it lies; larger ones are joined by a shuffle.
@@ -35,6 +39,8 @@ POSTINGS = 1 << 21
 
 #: Length of the bodies of small blocks that are compared together, about.
 TOGETHER = 1 << 20
+#: Rows from which a small block is compared as a matrix; members in a part of it.
+DENSE, INCIDENCE = 6, 1 << 16
 
 #: Hashes of the members of all bodies, a body's own one after another, and where each body's begin; a member may repeat.
 Unpack = Callable[[list], tuple[np.ndarray, np.ndarray]]
@@ -54,25 +60,24 @@ def to_rows(column: pa.Array, dtype: type) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8)[first : first + width * len(column)].view(dtype).reshape(len(column), -1)
 
 
-#: Schema of index rows: the region (tree and first values of a signature), the values that follow as order in it, the id.
-INDEX = "region long, deep long, id long"
+#: Schemas of index rows: the region (tree and first values of a signature), where wanted the values that follow as order in it, the id.
+BANDS, FOREST = "region long, id long", "region long, deep long, id long"
 
 
-def index_rows(place: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], dtype: type) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From (id, signature): one index row for each column that ``place`` makes of the signatures' numbers, (n, trees) regions and orders."""
+def index_rows(place: Callable[[np.ndarray], tuple[np.ndarray, ...]], dtype: type) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From (id, signature): one index row for each column that ``place`` makes of the signatures' numbers, (n, trees) regions and, for a forest, orders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                region, deep = place(to_rows(batch.column("signature"), dtype))
-                yield _index_batch(region, deep, batch.column("id"))
+                yield _index_batch(batch.column("id"), *place(to_rows(batch.column("signature"), dtype)))
 
     return run
 
 
-def _index_batch(region: np.ndarray, deep: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
-    own = np.repeat(ids.to_numpy(zero_copy_only=False), region.shape[1])
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).ravel().astype(np.int64)) for x in (region.view(np.int64), deep.view(np.int64))] + [pa.array(own)], names=["region", "deep", "id"])
+def _index_batch(ids: pa.Array, *numbers: np.ndarray) -> pa.RecordBatch:
+    own = np.repeat(ids.to_numpy(zero_copy_only=False), numbers[0].shape[1])
+    return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(x).view(np.int64).ravel()) for x in numbers), pa.array(own)], names=["region", "deep", "id"] if len(numbers) == 2 else ["region", "id"])
 
 
 def _deeper_rows(trees: int, depth: int, seed: int, unpack: Unpack) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -88,7 +93,7 @@ def _deeper_rows(trees: int, depth: int, seed: int, unpack: Unpack) -> Callable[
                 for k in range(depth):
                     region = mix(region * np.uint64(31) + values[:, :, k])
                 further = np.roll(values, -1, axis=1)
-                yield _index_batch(region, (further[:, :, 0] << np.uint64(31)) | (further[:, :, 1] >> np.uint64(1)), part.column("id"))
+                yield _index_batch(part.column("id"), region, (further[:, :, 0] << np.uint64(31)) | (further[:, :, 1] >> np.uint64(1)))
 
     return run
 
@@ -144,16 +149,16 @@ def _regions(cut: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def regions(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Groups (group, id) and crowded rows (region, id) of the index ``rows`` (region, deep, id).
+    """Groups (group, id) and crowded rows (region, id) of the index ``rows`` (BANDS or FOREST).
 
-    Rows are dealt by range over all three, so a crowded region is cut instead
+    Rows are dealt by range over all their columns, so a crowded region is cut instead
     of landing in one task. A region of up to SMALL members is a group; in a
     larger one, which is crowded, every SMALL neighbours in the sorted order
     are. A region that a partition's border cuts is put together in a second
     pass, from SMALL + 1 rows a side. Groups with the same members are one.
     """
-    order, schema = ["region", "deep", "id"], "kind int, region long, group long, id long"
-    found = scratch.save(rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_regions(True), schema))
+    order, schema = rows.columns, "kind int, region long, group long, id long"
+    found = scratch.save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_regions(True), schema))
     borders = found.where(f"kind = {BORDER}").select("region", "id").distinct()
     across = scratch.save(borders.repartition("region").sortWithinPartitions("region", "id").mapInArrow(_regions(False), schema))
     both = found.unionByName(across)
@@ -167,15 +172,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, root) for every id in ``edges`` (a, b): root is the smallest id of its connected component.
 
     Alternates large-star and small-star steps until the edges stand still:
-    about log(n) rounds whatever the shape of the graph, each a few joins. Ids
-    with a thousandth of all edges are joined by a broadcast, not in one task.
+    about log(n) rounds whatever the shape of the graph, each a few joins. Of
+    more than HUBS edges, ids with a thousandth of all are joined by a
+    broadcast, not in one task.
     """
     now = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     seen, n = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), (F.count("*") * 1000 > n).alias("frequent"))
-        large = join_split(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        wider = both.where("v > u")
+        met = join_split(wider, least, "u") if n > HUBS else wider.join(least, "u")
+        large = met.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         after = scratch.save(small)
@@ -211,11 +219,24 @@ def _flat_links(roots: np.ndarray, groups: np.ndarray, hashes: np.ndarray, at: n
     cells = np.concatenate(([0], np.cumsum(many * many)))
     cell = cells[group] + own * many[group]
     common = np.zeros(cells[-1], dtype=np.int64)
-    for step in range(1, SMALL + 1):
-        same = np.flatnonzero(members[step:] == members[:-step]) if step < len(members) else group[:0]
-        if not len(same):
-            break
-        common += np.bincount(cell[same] + own[same + step], minlength=len(common))
+    some = np.flatnonzero(many[group] < DENSE)  # rows of small groups, pair by pair
+    lone, mine, places = members[some], own[some], cell[some]
+    same, step = np.flatnonzero(lone[1:] == lone[:-1]), 1
+    while len(same):
+        common += np.bincount(places[same] + mine[same + step], minlength=len(common))
+        step += 1
+        same = same[same + step < len(lone)]
+        same = same[lone[same + step] == lone[same]]
+    for g in np.flatnonzero(many >= DENSE):  # larger ones as products of their members' incidence
+        a, b = np.searchsorted(group, [g, g + 1])
+        line = np.concatenate(([0], np.cumsum(members[a + 1 : b] != members[a : b - 1])))
+        shared = np.zeros((many[g], many[g]), dtype=np.int64)
+        for low in range(0, line[-1] + 1, INCIDENCE):
+            c, d = a + np.searchsorted(line, [low, low + INCIDENCE])
+            x = np.zeros((line[d - 1 - a] + 1 - low, many[g]), dtype=np.float32)
+            x[line[c - a : d - a] - low, own[c:d]] = 1
+            shared += (x.T @ x).astype(np.int64)
+        common[cells[g] : cells[g + 1]] = np.triu(shared, 1).ravel()
     hit = np.flatnonzero(common)
     of = np.searchsorted(cells, hit, side="right") - 1
     x, y = first[of] + (hit - cells[of]) // many[of], first[of] + (hit - cells[of]) % many[of]
@@ -322,23 +343,24 @@ def _group_links(groups: DataFrame, roots: DataFrame | None, sets: DataFrame, pe
 
 
 def _live(crowded: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """(region, id, root) of the crowded regions that hold several roots."""
+    """(region, n, id, root) of the crowded regions that hold several roots; of regions with the same members one."""
     rows = scratch.save(crowded.join(roots, "id", "left").select("region", "id", F.coalesce("root", "id").alias("root")))
-    several = rows.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("region")
-    out = scratch.save(rows.join(several, "region"))
+    several = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members")).where("x < y")
+    several = several.groupBy("n", "members").agg(F.min("region").alias("region")).select("region", "n")
+    out = scratch.save(rows.join(several, "region").select("region", "n", "id", "root"))
     scratch.drop(rows)
     return out
 
 
 def _full_links(live: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, unpack: Unpack) -> DataFrame:
-    """Pairs (a, b) of roots that links inside the regions of ``live`` (region, id, root) join.
+    """Pairs (a, b) of roots that links inside the regions of ``live`` (region, n, id, root) join.
 
     A region is compared in full, on full sets, but for what its most frequent
     root already joins: its other rows among themselves and with that root's,
     in blocks of about two CHUNKs. A link found makes one component of two, so
     a block gives fewer links than it has rows.
     """
-    rows = scratch.save(live.join(sets.select("id", F.length("body").alias("length")), "id"))
+    rows = scratch.save(live.drop("n").join(sets.select("id", F.length("body").alias("length")), "id"))
     per = rows.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum("length").alias("length"))
     per = per.groupBy("region").agg(F.max(F.struct("n", "root", "length")).alias("major"), F.sum("n").alias("n"), F.sum("length").alias("length"))
     chunks = lambda n, length: F.ceil(F.greatest(n / CHUNK, length / CHUNK_LENGTH, F.lit(1))).cast("int")
@@ -373,19 +395,22 @@ def linked(groups: DataFrame, crowded: DataFrame, sets: DataFrame, percent: int,
     ``sets`` has (id, body) of all their ids; ``unpack`` makes
     hashes of bodies. Two rows are linked when 100 * |A & B| >= percent * |A | B|.
 
-    Groups are compared in full. The rows of crowded regions that hold several
-    components afterwards are indexed again by more and longer prefixes of new
-    minima, level by level; regions that are small there are compared in full,
-    as every pair that one component holds already needs no comparison. What is
-    crowded on the last level is compared in full in blocks.
+    Groups are compared in full, and so are crowded regions of up to FULL
+    members that hold several components afterwards, as every pair that one
+    component holds already needs no comparison. The rows of larger ones are
+    indexed again by more and longer prefixes of new minima, level by level.
+    What is crowded on the last level is compared in full, in blocks.
     """
     roots = _joined(None, _group_links(groups, None, sets, percent, scratch, unpack), scratch)
-    for level, (trees, depth) in enumerate(DEEPER):
+    for level, (trees, depth) in enumerate((*DEEPER, (0, 0))):
         live = _live(crowded, roots, scratch)
-        if live.isEmpty():
+        few = live.where(F.col("n") <= FULL) if trees else live
+        if not few.isEmpty():
+            roots = _joined(roots, _full_links(few, sets, percent, scratch, unpack), scratch)
+        many = live.where(F.col("n") > FULL).select("region", "id")
+        if not trees or many.isEmpty():
             return roots
-        rows = sets.join(live.select("id").distinct(), "id").mapInArrow(_deeper_rows(trees, depth, 100 + level, unpack), INDEX)
+        rows = sets.join(_live(many, roots, scratch).select("id").distinct(), "id").mapInArrow(_deeper_rows(trees, depth, 100 + level, unpack), FOREST)
         groups, crowded = regions(rows, scratch)
         roots = _joined(roots, _group_links(groups, roots, sets, percent, scratch, unpack), scratch)
-    live = _live(crowded, roots, scratch)
-    return roots if live.isEmpty() else _joined(roots, _full_links(live, sets, percent, scratch, unpack), scratch)
+    return roots

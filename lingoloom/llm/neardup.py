@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import MinHash, blocks, digest, word_shingles
-from .linking import BROADCAST_BYTES, INDEX, fetch, index_rows, linked, regions
+from .linking import BROADCAST_BYTES, FOREST, fetch, index_rows, linked, regions
 from .scratch import Scratch
 
 #: Sorted orders (eight at most) of four signature values each. A region shares the first two: recall 0.9997 at a similarity of 0.8, 0.99996 at 0.85.
@@ -65,7 +65,7 @@ def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     named = scratch.save(docs.mapInArrow(_signatures(width), "doc_id long, home long, n_shingles long, name binary, signature binary"))
     distinct = named.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("home").alias("home"), F.first("signature").alias("signature"))
     distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
-    groups, crowded = regions(distinct.select("id", "signature").mapInArrow(index_rows(_forest, np.uint32), INDEX), scratch)
+    groups, crowded = regions(distinct.select("id", "signature").mapInArrow(index_rows(_forest, np.uint32), FOREST), scratch)
     needed = groups.select("id").unionByName(crowded.select("id")).distinct()
     wanted = scratch.save(distinct.select("id", "name", "home").join(needed, "id"))
     texts = fetch(docs.select("home", "text"), wanted, "home", 48)
