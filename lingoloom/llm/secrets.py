@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lingoloom.operators.ranges import join_split
+
 from .scratch import Scratch
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -13,7 +15,9 @@ HEX = r"[0-9a-f]{16,}"
 #: Kinds in the order that breaks ties; ``owned`` are the method's own candidates.
 KINDS = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("owned", r"[A-Za-z0-9_-]{24,}"))
 #: Values that occur in documentation: never live.
-PLACEHOLDER = "example|changeme|placeholder|dummy|sample|your[_-]|xxxx|0000|1234567|abcdef"
+PLACEHOLDER = "example|changeme|placeholder|dummy|sample|your[_-]|xxxx"
+#: Owners and repositories that an owner-specific credential has at most.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 4
 
 
 def live_looking(value: Column) -> Column:
@@ -40,15 +44,16 @@ def _found(docs: DataFrame) -> DataFrame:
     return rows.where(live).select("doc_id", "text_hash", "owner", "repository", "kind_no", "start", "end", "value")
 
 
-def scan_secrets(docs: DataFrame, max_owners: int = 2, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """One row a document: doc_id, spans array<struct<start,kind_no,end,kind,live,n_owners,n_repositories>>.
+def scan_secrets(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+    """One row a document: doc_id, spans array<struct<start,kind_no,end,kind,live,copied,n_owners,n_repositories>>.
 
     Three base kinds are always reported: assignments, access ids and long hex
     runs, leftmost without overlap per kind; positions are code points, the end
     is exclusive. Every candidate's SHA-256 is counted by distinct repositories
     and owners over the whole corpus. A candidate that more than ``max_owners``
-    owners hold is a widely copied example; one that fewer hold and that looks
-    live is a credential. Mixed tokens of 24 characters or more outside the base
+    owners or more than ``max_repositories`` repositories hold is a widely
+    copied example, even if one owner made all the copies; one that fewer hold
+    and that looks live is a credential. Mixed tokens of 24 characters or more outside the base
     spans are reported as kind ``owned`` in that case only.
 
     Null and empty texts have no spans. Rows that repeat id, text, owner and
@@ -60,11 +65,14 @@ def scan_secrets(docs: DataFrame, max_owners: int = 2, id_col: str = "doc_id", t
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"), hashed(owner_col).alias("owner"), hashed(*repository_cols).alias("repository"))
     found = scratch.save(_found(docs).withColumn("secret", F.sha2("value", 256)))
     # distinct (secret, owner, repository) first: a secret that a third of all rows hold is small by then
-    owners = found.select("secret", "owner", "repository").distinct().groupBy("secret", "owner").agg(F.count("*").alias("n")).groupBy("secret").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
-    spans = found.join(owners, "secret")
+    total = found.count()
+    held = found.groupBy("secret", "owner", "repository").agg(F.count("*").alias("times")).groupBy("secret", "owner").agg(F.count("*").alias("n"), F.sum("times").alias("times"))
+    owners = held.groupBy("secret").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"), (F.sum("times") * 1000 > total).alias("frequent"))
+    spans = join_split(found, owners, "secret")
     kind = F.element_at(F.array(*[F.lit(k) for k, _ in KINDS]), F.col("kind_no") + 1)
-    live = live_looking(F.col("value")) & (F.col("n_owners") <= max_owners)
-    spans = spans.where((F.col("kind_no") < 3) | live).select("doc_id", "text_hash", "owner", "repository", F.struct("start", "kind_no", "end", kind.alias("kind"), live.alias("live"), "n_owners", "n_repositories").alias("span"))
+    copied = (F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories)
+    live = live_looking(F.col("value")) & ~copied
+    spans = spans.where((F.col("kind_no") < 3) | live).select("doc_id", "text_hash", "owner", "repository", F.struct("start", "kind_no", "end", kind.alias("kind"), live.alias("live"), copied.alias("copied"), "n_owners", "n_repositories").alias("span"))
     grouped = spans.groupBy("doc_id", "text_hash", "owner", "repository").agg(F.sort_array(F.collect_list("span")).alias("all"))
     base = F.filter("all", lambda s: s["kind_no"] < 3)
     apart = F.filter("all", lambda s: (s["kind_no"] < 3) | ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
@@ -90,5 +98,6 @@ def secret_report(found: DataFrame) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
-        count(lambda s: s["n_owners"] > 2).alias("n_copied"),
+        count(lambda s: s["copied"]).alias("n_copied"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["n_repositories"])), F.lit(0)).cast("long").alias("most_repositories"),
     )

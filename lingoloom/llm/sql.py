@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .secrets import KINDS, PLACEHOLDER
+from .secrets import KINDS, MAX_OWNERS, MAX_REPOSITORIES, PLACEHOLDER
 from .urls import RULES
 
 
@@ -66,8 +66,8 @@ found AS (
   SELECT *, "start" + length(hit) AS "end", sha256(val) AS secret, ({_LIVE}) AS looks_live FROM hits
   WHERE (kind_no <> 0 OR length(val) >= 12)),
 candidates AS (SELECT * FROM found WHERE kind_no < 3 OR (looks_live AND regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]'))),
-owners AS (SELECT secret, count(DISTINCT source) AS n_owners FROM candidates GROUP BY secret),
-spans AS (SELECT *, looks_live AND n_owners <= 2 AS live FROM candidates JOIN owners USING (secret)),
+owners AS (SELECT secret, count(DISTINCT coalesce(source, chr(1))) AS n_owners, count(DISTINCT coalesce(source, chr(1)) || chr(2) || coalesce(lang, chr(1))) AS n_repositories FROM candidates GROUP BY secret),
+spans AS (SELECT *, n_owners > {MAX_OWNERS} OR n_repositories > {MAX_REPOSITORIES} AS copied, looks_live AND n_owners <= {MAX_OWNERS} AND n_repositories <= {MAX_REPOSITORIES} AS live FROM candidates JOIN owners USING (secret)),
 base AS (SELECT * FROM spans WHERE kind_no < 3),
 every_span AS (
   SELECT * FROM base UNION ALL
@@ -77,9 +77,9 @@ per_doc AS (
     count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access, count(*) FILTER (kind_no = 2) AS n_hex,
     string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY "start", kind_no) FILTER (kind_no < 3) AS base_spans,
     string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY "start", kind_no) AS spans,
-    count(*) FILTER (live) AS n_live, count(*) FILTER (n_owners > 2) AS n_copied
+    count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied, max(n_repositories) AS most_repositories
   FROM every_span GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(p.spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(p.spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(most_repositories, 0) AS most_repositories
 FROM docs LEFT JOIN per_doc p USING (doc_id)
 """
