@@ -7,18 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingoloom.operators.ranges import join_split
+
 from .scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Words of the windows in which repetition is sought.
 SPAN = 8
-#: Character classes of the histogram that patterns count; spaces and line feeds, SYMBOLS and the rest (mostly small letters) come with them.
-CLASSES = (("upper", r"\p{Lu}+"), ("digit", r"[0-9]+"), ("point", r"""[.,;:!?'"()\-]+"""))
+#: Character classes of the histogram; all other characters are a class of their own. Small letters come first: the others are sought in what they leave.
+CLASSES = (("lower", r"[\p{Ll}\p{Lo}]+"), ("upper", r"\p{Lu}+"), ("digit", r"[0-9]+"), ("point", r"""[.,;:!?'"()\-]+"""), ("blank", r"[\x20\x09-\x0D]+"), ("symbol", f"[{SYMBOLS}]+"))
+BLANK, SYMBOL = 4, 5
 #: A word is common when it has this share of its language's words; a language then has 100 such words at most.
 COMMON = 0.01
-#: Languages with a smaller share of the documents are compared with the whole corpus; there are 1,000 references at most.
-LANGUAGE_SHARE = 0.001
+#: Words from which a language has a reference of its own; texts of others are compared with the whole corpus.
+REFERENCE_WORDS = 2_000
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -41,40 +44,39 @@ def repeated_words(words: Column, span: int = SPAN) -> Column:
     def covered(at: Column) -> Column:
         return F.aggregate(F.transform(at, lambda p, k: F.least(F.coalesce(F.get(at, k + 1) - p, F.lit(span)), F.lit(span))), F.lit(0), lambda a, b: a + b)
 
-    def windows(ids: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(ids) - (span - 1)), lambda i: F.xxhash64(*[F.get(ids, i + k) for k in range(-1, span - 1)]))
+    def ahead(h: Column, by: int) -> Column:
+        return _let(h, lambda v: F.zip_with(F.slice(v, 1, F.size(v) - by), F.slice(v, 1 + by, F.size(v) - by), lambda a, b: F.xxhash64(a, b)))
 
-    count = _let(_let(F.transform(words, lambda w: F.xxhash64(w)), windows), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_let(positions(h), covered)))
+    hashes, size = F.transform(words, lambda w: F.xxhash64(w)), 1
+    while size < span:  # a window's hash from those of its halves; ``span`` is a power of two
+        hashes, size = ahead(hashes, size), 2 * size
+    count = _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_let(positions(h), covered)))
     return F.when(F.size(words) <= span, 0).otherwise(count)
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` plus words and the base rules' counts."""
+    """``docs`` plus words, the base rules' counts, and classes: the characters of each class."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    counted = docs.withColumn("words", words)
+    counted = docs.withColumn("words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).withColumn("classes", class_counts(text))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     long = lambda c: c.cast("long")
     return counted.select(
         "*",
         long(F.size("words")).alias("n_words"),
-        long(F.length(F.array_join("words", ""))).alias("word_chars"),
-        long(n_symbols(text)).alias("n_symbols"),
+        long(F.length(text) - F.col("classes")[BLANK]).alias("word_chars"),
+        long(F.col("classes")[SYMBOL]).alias("n_symbols"),
         long(_let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))).alias("n_dup_lines"),
         long(repeated_words(F.col("words"))).alias("n_repeat_words"),
     )
 
 
-def n_symbols(text: Column) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, f"[{SYMBOLS}]+", ""))
-
-
-def class_counts(text: Column, n_symbols: Column) -> Column:
-    """Characters of each class: those of CLASSES, spaces and line feeds, symbols, all others."""
-    own = [F.length(text) - F.length(F.regexp_replace(text, p, "")) for _, p in CLASSES]
-    spaces = F.length(text) - F.length(F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
-    counts = F.array(*[c.cast("double") for c in (*own, spaces, n_symbols)])
-    return _let(counts, lambda a: F.concat(a, F.array(F.length(text) - F.aggregate(a, F.lit(0.0), lambda x, y: x + y))))
+def class_counts(text: Column) -> Column:
+    """array<double>: characters of each of CLASSES, then all others."""
+    n = F.length(text)
+    left = F.regexp_replace(text, CLASSES[0][1], "")
+    others = lambda r: [F.length(r) - F.length(F.regexp_replace(r, p, "")) for _, p in CLASSES[1:]]
+    counts = _let(left, lambda r: F.array(*[c.cast("double") for c in (n - F.length(r), *others(r))]))
+    return _let(counts, lambda a: F.concat(a, F.array(n - F.aggregate(a, F.lit(0.0), lambda x, y: x + y))))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -106,34 +108,43 @@ def word_histogram(words: Column, common: Column) -> Column:
 
 
 def language_references(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(lang, common array<string>, word_ref array<double>, class_ref array<double>) of each frequent language, and of the whole corpus (null).
+    """(lang, common array<string>, word_ref array<double>, class_ref array<double>, frequent) of each language with REFERENCE_WORDS words, and of the whole corpus (null).
 
-    Counts cover every document. There are 1,001 rows at
-    most, with 100 common words each at most.
+    Counts cover every document. A row holds 100 common words at most.
+    ``frequent`` languages have a thousandth of all documents, so there are a
+    thousand at most.
     """
-    total = docs.count()
-    frequent = docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LANGUAGE_SHARE * total).select("lang", F.lit(True).alias("known"))
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    known = docs.select("lang", text).join(F.broadcast(frequent), "lang", "left").select(F.when(F.col("known"), F.col("lang")).alias("lang"), "text")
-    classes = scratch.save(known.select("lang", F.posexplode(class_counts(F.col("text"), n_symbols(F.col("text")))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n")))
+    known = docs.select("lang", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    classes = scratch.save(known.select("lang", F.posexplode(class_counts(F.col("text"))).alias("k", "n")).groupBy("lang", "k").agg(F.sum("n").alias("n")))
     words = scratch.save(known.select("lang", F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")))
 
     def arrays(classes: DataFrame, words: DataFrame) -> DataFrame:
-        totals = {r["lang"]: r["all"] for r in words.groupBy("lang").agg(F.sum("n").alias("all")).collect()}  # a row a language
-        if not totals:
-            return classes.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "n"))).alias("c")).select("lang", F.lit(None).cast("array<string>").alias("common"), F.lit(None).cast("array<double>").alias("word_ref"), F.col("c.n").alias("class_ref"))
-        key = F.coalesce("lang", F.lit("\0"))
-        of_all = F.create_map(*[F.lit(x) for k, v in totals.items() for x in ("\0" if k is None else k, v)])[key]
-        common = words.where(F.col("n") >= COMMON * of_all).groupBy(key.alias("key")).agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("w"))
-        rest = F.create_map(*[F.lit(x) for k, v in totals.items() for x in ("\0" if k is None else k, v)])[F.col("key")] - F.aggregate("w.n", F.lit(0).cast("long"), lambda x, y: x + y)
-        word_ref = common.select("key", F.col("w.word").alias("common"), F.concat(F.transform("w.n", lambda n: n.cast("double")), F.array(rest.cast("double"))).alias("word_ref"))
-        class_ref = classes.groupBy(key.alias("key")).agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("k", "n"))).alias("c"))
-        return class_ref.join(word_ref, "key", "left").select("lang", "common", "word_ref", F.col("c.n").alias("class_ref"))
-
-    corpus = F.lit(None).cast("string").alias("lang")
-    own = arrays(classes, words).where("lang is not null")
-    everything = arrays(classes.groupBy("k").agg(F.sum("n").alias("n")).select(corpus, "k", "n"), words.groupBy("word").agg(F.sum("n").alias("n")).select(corpus, "word", "n"))
-    return scratch.save(own.unionByName(everything))
+        totals = words.groupBy("key").agg(F.sum("n").alias("all"), F.max("n").alias("most"))
+        grand = totals.agg(F.sum("all").alias("n")).first()["n"] or 0
+        totals = totals.where((F.col("key") == "") | (F.col("all") >= REFERENCE_WORDS)).select("key", "all", (F.col("all") * 1000 > grand).alias("frequent"))
+        common = join_split(words, totals, "key").where(F.col("n") >= COMMON * F.col("all")).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("w"))
+        rest = F.col("all") - F.aggregate("w.n", F.lit(0).cast("long"), lambda x, y: x + y)
+        word_ref = totals.join(common, "key", "left").select("key", F.col("w.word").alias("common"), F.concat(F.transform("w.n", lambda n: n.cast("double")), F.array(rest.cast("double"))).alias("word_ref"))
+        class_ref = classes.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("k", "n"))).alias("c"))
+        return class_ref.join(word_ref, "key").select("key", "common", "word_ref", F.col("c.n").alias("class_ref"))
+
+    # a language's key is its name behind a colon, the corpus' is empty
+    named = lambda t: t.where("lang is not null").withColumn("key", F.concat(F.lit(":"), "lang"))
+    corpus = lambda t, *by: t.groupBy(*by).agg(F.sum("n").alias("n")).withColumn("key", F.lit(""))
+    own = arrays(named(classes), named(words))
+    everything = arrays(corpus(classes, "k"), corpus(words, "word"))
+    sizes = docs.groupBy("lang").agg(F.count("*").alias("n"))
+    total = docs.count()
+    own = own.select(F.expr("substring(key, 2)").alias("lang"), "common", "word_ref", "class_ref").join(sizes, "lang").withColumn("frequent", F.col("n") * 1000 > total).drop("n")
+    return scratch.save(own.unionByName(everything.select(F.lit(None).cast("string").alias("lang"), "common", "word_ref", "class_ref", F.lit(False).alias("frequent"))))
+
+
+def _with_reference(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """``docs`` left joined to the references: by a broadcast of the frequent ones, and of all where there are no others."""
+    if named.where("not frequent").isEmpty():
+        return docs.join(F.broadcast(named.drop("frequent")), "lang", "left")
+    known = join_split(docs.where("lang is not null"), named, "lang", "left")
+    return known.unionByName(docs.where("lang is null"), allowMissingColumns=True)
 
 
 def quality_rules(docs: DataFrame, class_bound: tuple[float, float] = (0.17, 0.8), word_bound: tuple[float, float] = (0.19, 0.7), min_chars: int = 100, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -148,24 +159,24 @@ def quality_rules(docs: DataFrame, class_bound: tuple[float, float] = (0.17, 0.8
     words is too short to judge and passes.
 
     Null and empty texts have no words and fail. A document whose language is
-    null or rare is compared with the whole corpus. Rows that repeat an id are
+    null or has fewer than REFERENCE_WORDS words is compared with the whole corpus. Rows that repeat an id are
     judged one by one. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     refs = language_references(docs, scratch)
     fallback = refs.where("lang is null").select(F.struct("common", "word_ref", "class_ref").alias("r")).first()
-    counted = base_counts(docs)
-    named = refs.where("lang is not null").select("lang", F.struct("common", "word_ref", "class_ref").alias("ref"))
     whole = fallback["r"] if fallback else None
     default = F.struct(
         F.array(*map(F.lit, (whole["common"] if whole else None) or [])).cast("array<string>").alias("common"),
         F.array(*map(F.lit, (whole["word_ref"] if whole else None) or [])).cast("array<double>").alias("word_ref"),
         F.array(*map(F.lit, (whole["class_ref"] if whole else None) or [])).cast("array<double>").alias("class_ref"),
     )
-    judged = counted.join(F.broadcast(named), "lang", "left").withColumn("ref", F.coalesce("ref", default))
+    named = refs.where("lang is not null").select("lang", F.struct("common", "word_ref", "class_ref").alias("ref"), "frequent")
+    judged = _with_reference(docs, named).withColumn("ref", F.coalesce("ref", default))
+    judged = base_counts(judged)
     text = F.coalesce(F.col("text"), F.lit(""))
-    class_distance = F.when(F.length(text) >= min_chars, js_distance(class_counts(text, F.col("n_symbols")), F.col("ref.class_ref")))
+    class_distance = F.when(F.length(text) >= min_chars, js_distance(F.col("classes"), F.col("ref.class_ref")))
     word_distance = F.when(F.col("n_words") >= min_words, js_distance(word_histogram(F.col("words"), F.col("ref.common")), F.col("ref.word_ref")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     out = judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), class_distance.alias("class_distance"), word_distance.alias("word_distance"))
