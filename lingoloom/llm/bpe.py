@@ -72,11 +72,14 @@ class Codec:
         import regex
         import sentencepiece
 
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.pattern = regex.compile(pattern)
         self.whole = {p: i for i, p in enumerate(ranks)}
         self.shown = dict(enumerate(byte_map()))
         self.model = sentencepiece.SentencePieceProcessor()
         self.model.LoadFromSerializedProto(serialised_model(ranks))
+        byte_of = {c: b for b, c in self.shown.items()}
+        #: Bytes of each id: the model's piece, its characters mapped back.
+        self.spelt = [bytes(map(byte_of.__getitem__, piece)) for piece in self.model.IdToPiece(list(range(len(ranks))))]
         self.known: dict[str, list[int]] = {}
 
     def learn(self, pieces: set[str]) -> None:
@@ -102,7 +105,8 @@ class Codec:
         return [list(chain.from_iterable(map(self.known.__getitem__, p))) for p in pieces]
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.ranks.__getitem__, ids))
+        """The model's pieces, each character mapped back to its byte."""
+        return b"".join(map(self.spelt.__getitem__, ids))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
