@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingoloom.operators.ranges import join_split
+
 #: Sources up to this many are broadcast with their rates; more are joined by a shuffle.
 BROADCAST_SOURCES = 50_000
 #: A mean above this is split into equal parts with a draw each, as exp(-mean) underflows beyond 700.
@@ -42,23 +44,23 @@ def poisson(mean: Column, *key: Column) -> Column:
 
 
 def source_rates(docs: DataFrame, weights: Mapping[str, float] | None, epochs: float, source_col: str, text_col: str) -> DataFrame:
-    """(source, rate): mean copies of a document so that each source's expected characters meet its weight."""
-    sizes = docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(F.coalesce(F.length(text_col), F.lit(0)).cast("long")).alias("chars"))
+    """(source, rate, frequent): mean copies of a document so that each source's expected characters meet its weight; frequent is a thousandth of all documents."""
+    sizes = docs.groupBy(F.col(f"`{source_col}`").alias("source")).agg(F.sum(F.coalesce(F.length(F.col(f"`{text_col}`")), F.lit(0)).cast("long")).alias("chars"), F.count("*").alias("docs"))
     if weights is None:
         sizes = sizes.withColumn("weight", F.sqrt(F.col("chars").cast("double")))
     else:
         pairs = [F.lit(x) for kv in weights.items() for x in (kv[0], float(kv[1]))]
         sizes = sizes.withColumn("weight", F.coalesce(F.create_map(*pairs)[F.col("source")], F.lit(0.0)) if pairs else F.lit(0.0))
     weight = F.when(F.col("chars") > 0, F.col("weight")).otherwise(0.0).cast("decimal(38,12)")
-    total = sizes.agg(F.sum("chars").alias("chars"), F.sum(weight).cast("double").alias("weight")).first()
+    total = sizes.agg(F.sum("chars").alias("chars"), F.sum("docs").alias("docs"), F.sum(weight).cast("double").alias("weight")).first()
     alone = F.when(F.col("weight") > 0, 1.0).otherwise(float(weights is None))
     rate = F.lit(0.0) if not total["weight"] else F.lit(float(epochs)) * F.col("weight") / F.lit(total["weight"]) * F.lit(total["chars"]) / F.col("chars")
     rate = F.when(F.col("chars") == 0, alone).otherwise(rate)
-    return sizes.select("source", rate.alias("rate"))
+    return sizes.select("source", rate.alias("rate"), (F.col("docs") * 1000 > F.lit(total["docs"] or 0)).alias("frequent"))
 
 
-def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` replicated to target weights and shuffled globally, plus copy_no (long, from 1).
+def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs: float = 1.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", copy_col: str | None = "copy_no") -> DataFrame:
+    """``docs`` replicated to target weights and shuffled globally, plus copy_no (long, from 1), or another ``copy_col``, or none.
 
     A source's mean rate is epochs * weight share * all characters / its
     characters; each document is emitted as often as the Poisson distribution
@@ -71,15 +73,21 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, epo
     source without characters has the rate 1 if it weighs anything, or if no
     weights are given.
     Rows that repeat an id get the same count each. Null ids share one draw. A
-    column of ``docs`` named copy_no is replaced; other columns stay.
+    column of ``docs`` named as ``copy_col`` is replaced; other columns stay.
     """
-    columns = [c for c in docs.columns if c != "copy_no"]
-    docs = docs.select(*[F.col(f"`{c}`") for c in columns])
-    rates = source_rates(docs, weights, epochs, source_col, text_col).withColumnsRenamed({"source": "__source", "rate": "__rate"})
+    kept = [c for c in docs.columns if c != copy_col]
+    rates = source_rates(docs, weights, epochs, source_col, text_col).select(_key("source"), "rate", "frequent")
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{id_col}`").alias("id"), _key(source_col))
     if rates.count() <= BROADCAST_SOURCES:
-        rates = F.broadcast(rates)
-    rated = docs.join(rates, F.col(f"`{source_col}`").eqNullSafe(F.col("__source")))
-    copies = poisson(F.col("__rate"), F.lit(seed), F.col(f"`{id_col}`"))
-    numbered = rated.withColumn("__n", copies).where("__n > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n").cast("long"))))
-    place = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col("copy_no"))
-    return numbered.withColumn("__place", place).repartition("__place").sortWithinPartitions("__place").select(*[F.col(f"`{c}`") for c in columns], "copy_no")
+        rated = nested.join(F.broadcast(rates.drop("frequent")), "key")
+    else:
+        rated = join_split(nested, rates, "key")
+    copies = poisson(F.col("rate"), F.lit(seed), F.col("id"))
+    numbered = rated.select("row", "id", copies.alias("n")).where("n > 0").select("row", "id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long"))).alias("copy_no"))
+    place = F.xxhash64(F.lit(seed), F.col("id"), F.col("copy_no"))
+    return numbered.withColumn("place", place).repartition("place").sortWithinPartitions("place").select("row.*", *([F.col("copy_no").alias(copy_col)] if copy_col else []))
+
+
+def _key(source_col: str) -> Column:
+    source = F.col(f"`{source_col}`").cast("string")
+    return F.struct(source.isNull().alias("none"), F.coalesce(source, F.lit("")).alias("name")).alias("key")
