@@ -17,12 +17,19 @@ from .scratch import Scratch
 PASSAGE = 64
 #: Byte classes that a passage's bytes are counted by.
 CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&<>=~^_+@\\", b"|", b"!?", b".,;:'\"()-", bytes(range(0x80, 0x100)))
-N_FEATURES = 8 + len(CLASSES)
+N_FORM = 8 + len(CLASSES)
+#: Buckets that the words of a passage are hashed into, half of their hashes counting negatively.
+BUCKETS = 256
+N_FEATURES = N_FORM + BUCKETS
 HIDDEN, ATTENTION = 12, 8
+#: Least scale of a bucket, so that words that training hardly saw don't count for much.
+WORD_SCALE = 0.5
+#: Passages that the model is fitted on, at most: sampled documents are taken in the order of their hashes as long as they fit.
+FITTED_PASSAGES = 40_000
 
 
 def encode_passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(passages, N_FEATURES) of all texts, and where each text's passages begin."""
+    """(passages, N_FEATURES) of all texts, and where each text's passages begin: N_FORM numbers of form, then the words."""
     joined = np.frombuffer(b" ".join(t.encode("utf-8", "surrogatepass") for t in texts) + b" ", dtype=np.uint8)
     space = _SPACE[joined]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).astype(np.int8)))
@@ -65,7 +72,11 @@ def encode_passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         same = (pairs[order][1:] == pairs[order][:-1]) & (text_of[order][1:] == text_of[order][:-1])
         seen[order[1:][same]] = True
     columns.append(per(seen) / size)
-    return np.stack(columns, axis=1), begin
+    # which words: signed counts by hashed bucket, over the root of the passage's words
+    signs = np.where((hashes >> np.uint64(63)).astype(bool), -1.0, 1.0)
+    place = owner * BUCKETS + ((hashes >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)
+    words = np.bincount(place, signs, minlength=begin[-1] * BUCKETS).reshape(-1, BUCKETS) / np.sqrt(size)[:, None]
+    return np.concatenate([np.stack(columns, axis=1), words], axis=1), begin
 
 
 class AttentionModel:
@@ -78,10 +89,12 @@ class AttentionModel:
         self.p = {k: draw.normal(0, 0.3, s) for k, s in self.SHAPES}
         self.mean, self.scale = np.zeros(N_FEATURES), np.ones(N_FEATURES)
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean.astype(x.dtype)) / self.scale.astype(x.dtype), -8, 8)
+
     def forward(self, x: np.ndarray, begin: np.ndarray) -> dict[str, np.ndarray]:
-        """Activations; every document must have a passage."""
+        """Activations of scaled passages; every document must have one."""
         p = self.p
-        x = np.clip((x - self.mean) / self.scale, -8, 8)
         h = np.tanh(x @ p["w"] + p["b"])
         t, g = np.tanh(h @ p["v"]), 1 / (1 + np.exp(-(h @ p["u"])))
         e = (t * g) @ p["a"]
@@ -105,7 +118,9 @@ class AttentionModel:
 
     def fit(self, x: np.ndarray, begin: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 0.03, decay: float = 1e-4) -> AttentionModel:
         """Full-batch Adam on the class-balanced log loss."""
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
+        self.mean, self.scale = x.mean(0, dtype=float), x.std(0, dtype=float) + 1e-6
+        self.scale[N_FORM:] = np.maximum(self.scale[N_FORM:], WORD_SCALE)
+        x = self.scaled(x)
         share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
         m = {k: np.zeros(s) for k, s in self.SHAPES}
         v = {k: np.zeros(s) for k, s in self.SHAPES}
@@ -123,7 +138,7 @@ class AttentionModel:
         out = np.zeros(len(begin) - 1)
         full = np.diff(begin) > 0
         if full.any():
-            out[full] = self.forward(x, np.append(begin[:-1][full], begin[-1]))["y"]
+            out[full] = self.forward(self.scaled(x), np.append(begin[:-1][full], begin[-1]))["y"]
         return out
 
 
@@ -133,19 +148,30 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, begin = encode_passages(texts)
             part = batch.slice(first, len(texts))
             rows = [x[a:b].astype(np.float32).tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(rows, pa.binary())], names=["doc_id", "label", "passages"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(np.diff(begin)), pa.array(rows, pa.binary())], names=["doc_id", "label", "n", "passages"])
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1500, folds: int = 3, held_fold: int = 1) -> AttentionModel:
-    """The model fitted on up to ``per_class`` labelled documents of either class outside the held-out fold."""
+    """The model fitted on up to ``per_class`` labelled documents of either class outside the held-out fold.
+
+    Whole documents are taken in the order of their hashes while their passages
+    fit into FITTED_PASSAGES, about 45 MB, which the driver holds; a document
+    that doesn't fit is passed over.
+    """
     scratch = Scratch(docs.sparkSession)
     sample = labelled_sample(docs, labels, "quality", fold_of(F.col("doc_id"), folds) != held_fold, per_class, seed=9).repartition(12, "doc_id")
-    rows = scratch.save(sample.mapInArrow(_encoded, "doc_id long, label int, passages binary")).orderBy("doc_id").collect()
-    rows = [(r["label"], np.frombuffer(r["passages"], dtype=np.float32).reshape(-1, N_FEATURES)) for r in rows if r["passages"]]
+    encoded = scratch.save(sample.mapInArrow(_encoded, "doc_id long, label int, n long, passages binary"))
+    room, fits = FITTED_PASSAGES, []
+    for r in sorted(encoded.where("n > 0").select("doc_id", "n", F.xxhash64("doc_id").alias("h")).collect(), key=lambda r: (r["h"], r["doc_id"])):
+        if r["n"] <= room:
+            fits.append(r["doc_id"])
+            room -= r["n"]
+    rows = encoded.where(F.col("doc_id").isin(fits)).orderBy("doc_id").collect() if fits else []
+    rows = [(r["label"], np.frombuffer(r["passages"], dtype=np.float32).reshape(-1, N_FEATURES)) for r in rows]
     model = AttentionModel()
     y = np.array([float(r[0]) for r in rows])
     if len(set(y)) == 2:
-        model.fit(np.concatenate([r[1] for r in rows]).astype(float), np.concatenate(([0], np.cumsum([len(r[1]) for r in rows]))), y)
+        model.fit(np.concatenate([r[1] for r in rows]), np.concatenate(([0], np.cumsum([len(r[1]) for r in rows]))), y)
     else:  # nothing to learn: every document with words gets the one label there is
         model.p["c"] *= 0
         model.p["d"][:] = 3.0 if not len(y) or y[0] == 1 else -3.0
@@ -166,11 +192,19 @@ def with_quality(docs: DataFrame, model: AttentionModel, text_col: str = "text",
     return docs.select(*[F.col(f"`{c}`") for c in columns], score(F.col(f"`{text_col}`")).alias(score_col))
 
 
+def accepted(docs: DataFrame, model: AttentionModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the model scores ``least`` or more, with all their columns; those without words go."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    scored = with_quality(docs.select(row, F.col(f"`{text_col}`").alias("text")), model)
+    return scored.where(F.col("score") >= least).select("row.*")
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = 1500, folds: int = 3, held_fold: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted.
 
     A document is a bag of passages of 64 words, all of them. Each is encoded
-    by its character classes, word lengths and repetition; gated attention,
+    by its character classes, word lengths and repetition and by its words,
+    hashed into BUCKETS signed counts; gated attention,
     learned from document labels only, weighs the passages; a logistic layer
     scores the weighted sum.
 
