@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingoloom.functions.text import let
 from lingoloom.operators.ranges import join_split
 
 from .hashing import LineSignatures, blocks, char_shingles, mix
@@ -83,15 +84,14 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bodies, pa.string())], names=["id", "body"])
 
 
-def _without(text: str | None, drop: list[int] | None) -> str | None:
-    if text is None or drop is None:
-        return text
-    gone = set(drop)
-    return "\n".join(line for k, line in enumerate(text.split("\n")) if k not in gone)
+def _without(text: Column, drop: Column) -> Column:
+    """``text`` less the lines whose numbers are in ``drop``."""
+    lines = F.split(text, "\n", -1)
+    return let(lines, lambda all_lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), drop), lambda i: F.get(all_lines, i)), "\n"))
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with near-duplicate lines removed, plus n_lines and n_dropped (long).
+def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """``docs`` with near-duplicate lines removed, plus n_lines and n_dropped (long), or other names for the ``counts``.
 
     Lines are compared normalised (lower case, single spaces) by their sets of
     8-character shingles; a shorter line is one shingle. Lines with 100 *
@@ -108,7 +108,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     Every row stays, with its other columns as they are; a text may become
     empty, null stays null. Rows that share id and text are one document and
     keep the same lines; rows that share an id only are told apart by text.
-    A column of ``docs`` named n_lines or n_dropped is replaced.
+    A column of ``docs`` named as one of the counts is replaced.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -136,10 +136,10 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     firsts = scratch.save(firsts.select("name", F.coalesce("kept_at", "first").alias("kept_at"), (F.col("n") * 1000 > total).alias("frequent")))
     judged = join_split(lines.select(*of, "line_no", "name"), firsts, "name").where(F.struct(*of, "line_no") != F.col("kept_at"))
     drops = judged.groupBy(*of).agg(F.array_distinct(F.collect_list("line_no")).alias("drop"))
-    clean = F.pandas_udf(lambda t, d: t.combine(d, _without), "string")
-    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"), *home).join(drops, of, "left")
-    n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x.rlike(VISIBLE))).cast("long")
+    kept = [c for c in docs.columns if c != text_col and c not in counts]
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept], F.lit(0)).alias("row"), text.alias("text"), *home).join(drops, of, "left")
+    n_lines = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(VISIBLE + "[^\\n]*")).cast("long")  # a visible character and the rest of its line
     n_dropped = F.coalesce(F.size("drop"), F.lit(0)).cast("long")
-    new = F.when(F.col("drop").isNotNull(), clean("text", "drop")).otherwise(F.col("text"))
-    kept = [c for c in docs.columns if c == text_col or c not in ("n_lines", "n_dropped")]
-    return joined.select(*[new.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in kept], n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))
+    new = F.when(F.col("drop").isNotNull(), _without(F.col("text"), F.col("drop"))).otherwise(F.col("text"))
+    columns = [new.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c == text_col or c in kept]
+    return joined.select(*columns, n_lines.alias(counts[0]), n_dropped.alias(counts[1]))
