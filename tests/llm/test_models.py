@@ -1,13 +1,16 @@
 """The classifiers: grammar, gradient, held-out accuracy and odd rows."""
 
+import itertools
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lingoloom.llm.passages import N_FEATURES, PASSAGE, AttentionModel, encode_passages, score_quality
-from lingoloom.llm.toxicity import Grammar, score_toxicity
+from lingoloom.llm.sampling import labelled_sample
+from lingoloom.llm.toxicity import NEGATED, REACH, Grammar, compose, given_cues, hits, negation, reported, score_toxicity, target
 
 
 def test_clauses_weigh_negation_reports_targets_and_threats():
@@ -21,6 +24,51 @@ def test_clauses_weigh_negation_reports_targets_and_threats():
     assert g.read("Fine. You IDIOT! scum, really")[2] == 2 and g.read("") == (0.0, 0.0, 0)
 
 
+def _by_hand(symbols):
+    """Each hit of a clause by itself, as the docstrings say."""
+    first = lambda kinds: next((w for s, w in symbols if s in kinds), 1.0)
+    total, told = 0.0, [s for s, _ in symbols]
+    for i, (symbol, weight) in enumerate(symbols):
+        before = [s for s in told[:i] if s != "quote"][-REACH:]
+        negated = "negation" in before
+        if symbol == "insult":
+            total += weight * (NEGATED if negated else 1.0)
+        if symbol == "threat" and not negated and "target" in told:
+            total += weight
+    return total * first(("target",)) * first(("report", "quote"))
+
+
+def test_the_composed_machine_matches_enumeration():
+    machine = Grammar({}).machine
+    draw = random.Random(6)
+    own = {"other": 1.0, "quote": 0.7, "negation": 1.0, "report": 0.6, "target": 1.5, "threat": 3.0, "insult": 4.0}
+    for n in range(5):
+        for clause in itertools.product(own, repeat=n):
+            symbols = [(s, own[s]) for s in clause]
+            assert machine.weigh(symbols) == pytest.approx(_by_hand(symbols))
+    for _ in range(2000):
+        symbols = [(s, own[s] * draw.uniform(0.5, 2)) for s in draw.choices(list(own), k=draw.randint(5, 12))]
+        assert machine.weigh(symbols) == pytest.approx(_by_hand(symbols))
+
+
+def test_composition_multiplies_and_feeds():
+    both = compose(compose(hits(), target()), reported())
+    assert len(both.finals) > len(hits().finals) and all(s in {state for state, _ in both.arcs} or s in both.finals for some in both.arcs.values() for _, s, _, _ in some)
+    assert negation().arcs[2, "insult"] == [("insult-", 1, 1.0, False)] and negation().arcs[0, "insult"] == [("insult", 0, 1.0, False)]
+
+
+def test_cues_learn_from_labels(spark):
+    """A reporting verb that stands in clean texts only weighs less than it did, one in toxic texts no less."""
+    from lingoloom.llm.toxicity import learn_cues
+
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices("aeioulnrst", k=5))
+    rows = [(f"{word()} {word()} {'said' if i % 2 else 'wrote'} {word()} gobshite {word()} {word()}", 1 - i % 2) for i in range(120)]
+    cues = learn_cues(spark.createDataFrame(rows, "text string, label int"), {"gobshite$": 5.0})
+    given = given_cues()
+    assert cues["said"][1] < 0.5 * given["said"][1] and cues["wrote"][1] > given["wrote"][1] and cues["kill"] == given["kill"]
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     draw = random.Random(4)
@@ -95,6 +143,24 @@ def test_quality_held_out(spark):
     assert np.mean([r.predicted == r.quality for r in got]) > 0.95
 
 
+def test_quality_reads_words(spark):
+    """Texts of equal form that differ in their words only."""
+    draw = random.Random(16)
+    word = lambda: "".join(draw.sample("aeioulnrst", k=5))
+    vocabularies = [[word() for _ in range(60)] for _ in range(2)]
+    docs = [(i, " ".join(draw.choices(vocabularies[i % 2], k=150))) for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    got = score_quality(spark.createDataFrame(docs, "doc_id long, text string"), labels).where("held_out").collect()
+    assert np.mean([r.predicted == r.doc_id % 2 for r in got]) > 0.95
+
+
+def test_an_id_is_sampled_once(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    rows = labelled_sample(docs, labels, "quality", F.lit(True), 10, 9).collect()
+    assert sorted((r.doc_id, r.text, r.label) for r in rows) == [(1, "text 0", 1), (2, "b", 0), (3, "c", 1)]
+
+
 def test_quality_of_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (2, 0, 1), (None, 0, 1), (9, None, None)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r.score for r in score_quality(odd, labels).collect()}

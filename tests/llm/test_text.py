@@ -8,6 +8,7 @@ import re
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from lingoloom.llm.bpe import encode_documents, read_ranks, serialised_model
 from lingoloom.llm.fingerprints import _BASE, _PRIME, GRAM, SEGMENT, WINDOW, fingerprint_documents, fingerprint_report, hash_of, position_of, winnow, with_next
 from lingoloom.llm.mixing import mix_sources, poisson, source_rates
-from lingoloom.llm.quality import js_distance, quality_rules
+from lingoloom.llm.quality import REFERENCE_WORDS, js_distance, language_references, quality_rules
+from lingoloom.llm.scratch import Scratch
 from lingoloom.llm.secrets import scan_secrets, secret_report
 from lingoloom.llm.urls import judge_urls
 
@@ -63,6 +65,13 @@ def test_widely_copied_secrets_are_no_credentials(spark):
     assert spans(1) == {"owned:4:28"} and spans(4) == {""}
 
 
+def test_copies_of_one_owner_in_many_repositories_are_no_credentials(spark):
+    secret = "Zk3qW9xT7bLm2VcR8yHd4NfP"
+    rows = [(i, f"token = {secret}", "one owner", f"lang{i % 7}") for i in range(40)] + [(100, "token = Qw8eRt7yUi6oPa5sDf4gHj3k", "one owner", "lang0")]
+    got = {r.doc_id: (r.n_live, r.n_copied, r.most_repositories) for r in secret_report(scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"))).collect()}
+    assert got[0] == (0, 1, 7) and got[100] == (1, 0, 1)
+
+
 def test_secrets_of_odd_rows(odd, nothing):
     got = scan_secrets(odd)
     assert got.count() == odd.count() and got.where("size(spans) > 0").count() == 0
@@ -88,6 +97,66 @@ def test_quality_counts_match_brute_force(spark):
         assert r.base_failed == (len(words) < 20 or 100 * repeated > 30 * len(words)) and not (r.base_failed and r.kept)
 
 
+def _distance(p, q):
+    if not sum(p) or not sum(q):
+        return None
+    x, y = [v / sum(p) for v in p], [v / sum(q) for v in q]
+    term = lambda a, m: a * math.log2(a / m) if a else 0.0
+    return math.sqrt(max(0.0, sum((term(a, (a + b) / 2) + term(b, (a + b) / 2)) / 2 for a, b in zip(x, y, strict=True))))
+
+
+def _classes(text):
+    counts = [len(regex.findall(c, text)) for c in (r"[\p{Ll}\p{Lo}]", r"\p{Lu}", r"[0-9]", r"""[.,;:!?'"()\-]""", r"[\x20\x09-\x0D]", r"[#*$%&|<>]")]
+    return [*counts, len(text) - sum(counts)]
+
+
+def test_quality_verdicts_match_brute_force(spark):
+    """Every reference, histogram, distance and verdict of a small corpus, by hand."""
+    draw = random.Random(31)
+    tongues = {k: [("Z" if i == 7 else "") + "".join(draw.choices("abcdefgåß漢"[n:], k=draw.randint(1, 6))) + "." * (i % 9 == 0) for i in range(90)] for n, k in enumerate(("en", "de", "xx"))}
+    rows = []
+    for i in range(120):
+        lang = draw.choice(["en"] * 5 + ["de"] * 4 + ["xx", None])
+        words = draw.choices(tongues[lang or "en"], weights=[1 / (k + 1) for k in range(90)], k=draw.choice([5, 25, 60, 150]))
+        if i % 17 == 0:
+            words = [w + "$$#☂" for w in words]
+        if i % 23 == 0:
+            words = draw.choices(tongues["xx"], k=80)
+        rows.append((i, "  ".join(words) if i % 11 else "\n".join(words), lang))
+    texts = {i: (t, lang) for i, t, lang in rows}
+    references = {}
+    for lang in ("en", "de", "xx", None):
+        own = [t for t, of in texts.values() if lang is None or of == lang]
+        counts = collections.Counter(w for t in own for w in WORDS.findall(t))
+        everything = sum(counts.values())
+        if lang and everything < REFERENCE_WORDS:
+            continue
+        common = sorted(w for w, n in counts.items() if n >= 0.01 * everything)
+        references[lang] = common, [*(counts[w] for w in common), everything - sum(counts[w] for w in common)], [sum(c) for c in zip(*map(_classes, own), strict=True)]
+    assert set(references) == {"en", "de", None}
+    verdicts = collections.Counter()
+    for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect():
+        text, lang = texts[r.doc_id]
+        common, word_ref, class_ref = references.get(lang, references[None])
+        words = WORDS.findall(text)
+        class_distance = _distance(_classes(text), class_ref) if len(text) >= 100 else None
+        word_distance = _distance([*(words.count(w) for w in common), sum(w not in common for w in words)], word_ref) if len(words) >= 20 else None
+        assert (r.class_distance, r.word_distance) == (pytest.approx(class_distance), pytest.approx(word_distance))
+        most = lambda a, b: a + b / math.sqrt(max(1, len(words)))
+        kept = not r.base_failed and (class_distance or 0) <= most(0.17, 0.8) and (word_distance or 0) <= most(0.19, 0.7)
+        assert r.kept == kept
+        verdicts[r.base_failed, r.kept] += 1
+    assert verdicts[False, True] > 20 and verdicts[False, False] > 3 and verdicts[True, False] > 3
+
+
+def test_quality_references_with_many_languages(spark):
+    """Rare and frequent languages, and a language of a document of its own."""
+    rows = [(i, "the cat of the house " * 30 + f"word{i}", "en") for i in range(30)] + [(100 + i, "le chat de la maison " * 20 + f"mot{i}", f"l{i}") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = language_references(docs.select("doc_id", "text", "lang"), Scratch(spark)).collect()
+    assert {r.lang for r in refs} == {"en", None} and quality_rules(docs).count() == 35
+
+
 def test_quality_rules_of_odd_rows(odd, nothing):
     got = quality_rules(odd).collect()
     assert len(got) == odd.count() and not any(r.kept for r in got)
@@ -161,6 +230,24 @@ def test_url_rules(spark):
     assert judge_urls(pages, spark.createDataFrame([], "host string, path string, verdict string"), default="block").where("verdict = 'block'").count() == 20
 
 
+def test_long_urls_repeated_urls_and_ties(spark):
+    long_host = "http://" + "a." * 20_000 + "example.org/es/" + "x" * 50_000
+    rows = [(0, long_host), (1, None)] + [(2 + i, "http://b.org/en/1") for i in range(3000)] + [(4000 + i, None) for i in range(500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(pages).select("page_id", "rule", "verdict").collect()}
+    assert len(got) == len(rows) and got[0] == ("example.org/es/", "block") and got[1] == (None, "allow") and got[2] == got[3001] == ("org/", "allow")
+    tie = spark.createDataFrame([("org", "/en", "allow"), ("org", "/en", "block"), ("org", "/en", "allow"), ("ÄORG", "/", "block")], "host string, path string, verdict string")
+    assert judge_urls(pages.where("page_id = 2"), tie).first().verdict == "block"
+    assert judge_urls(spark.createDataFrame([(1, "http://äorg/")], "page_id long, url string"), tie).first().rule is None
+
+
+def test_mixing_with_clashing_names(spark):
+    names = "doc_id long, text string, source string, `row` string, key string, rate string, n string, place string, frequent string, id string"
+    docs = spark.createDataFrame([(i, "text", f"s{i % 2}", *"abcdefg") for i in range(60)], names)
+    out = mix_sources(docs, epochs=3.0)
+    assert out.columns == [*docs.columns, "copy_no"] and {tuple(r)[3:10] for r in out.collect()} == {tuple("abcdefg")}
+
+
 def test_poisson_counts_have_the_mean_and_variance(spark):
     for mean in (0.0, 0.3, 2.5, 200.0):
         got = spark.range(20_000).select(poisson(F.lit(mean), F.lit(1), F.col("id")).alias("k")).agg(F.mean("k").alias("m"), F.variance("k").alias("v")).first()
