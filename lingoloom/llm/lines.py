@@ -126,7 +126,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     found = fetch(texts.select(F.xxhash64(*of).alias("key"), "text"), wanted, "key", F.size("wanted") * 48 + 40).select("text", "wanted")
     bodies = scratch.save(found.mapInArrow(_bodies, "id long, body string").dropDuplicates(["id"]))
     roots = linked(groups, crowded, bodies, percent, scratch, char_shingles)
-    scratch.drop(groups, crowded, wanted, bodies)
+    scratch.drop(wanted, bodies)
     # the first occurrence of each component; a line without a link is its own
     members = distinct.select("id", "name", "first").join(roots, "id")
     best = members.groupBy("root").agg(F.min("first").alias("best"))

@@ -26,8 +26,8 @@ from .scratch import Scratch
 SMALL = 32
 #: Edges that may meet in one task.
 HUBS = 1_000_000
-#: Members of a crowded region that are compared in full; a region with more is indexed deeper.
-FULL = 512
+#: Pairs that a crowded region may take to be compared in full; one that takes more is indexed deeper.
+FULL = 1 << 20
 #: Trees and values a tree for what is crowded, level by level: recall 0.9999 and 0.9998 at a similarity of 0.8.
 DEEPER = ((24, 5), (64, 9))
 #: Tables up to this many bytes are broadcast to filter a table where it lies; larger ones are joined by a shuffle.
@@ -161,38 +161,59 @@ def regions(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     found = scratch.save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_regions(True), schema))
     borders = found.where(f"kind = {BORDER}").select("region", "id").distinct()
     across = scratch.save(borders.repartition("region").sortWithinPartitions("region", "id").mapInArrow(_regions(False), schema))
-    both = found.unionByName(across)
-    groups = scratch.save(both.where(f"kind = {GROUP}").select("group", "id").distinct())
-    crowded = scratch.save(both.where(f"kind = {CROWDED}").select("region", "id").distinct())
+    rows = found.unionByName(across).where(f"kind <> {BORDER}")
+    once = scratch.save(rows.select("kind", F.coalesce("group", "region").alias("key"), "id").distinct())
     scratch.drop(found, across)
-    return groups, crowded
+    return once.where(f"kind = {GROUP}").select(F.col("key").alias("group"), "id"), once.where(f"kind = {CROWDED}").select(F.col("key").alias("region"), "id")
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, root) for every id in ``edges`` (a, b): root is the smallest id of its connected component.
 
-    Alternates large-star and small-star steps until the edges stand still:
-    about log(n) rounds whatever the shape of the graph, each a few joins. Of
-    more than HUBS edges, ids with a thousandth of all are joined by a
-    broadcast, not in one task.
+    Alternates large-star and small-star steps until all edges point from an id
+    to its root: about log(n) rounds whatever the shape of the graph, each a
+    few joins. Of more than HUBS edges, ids with a thousandth of all are joined
+    by a broadcast, not in one task.
     """
-    now = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    seen, n = None, now.count()
+    now = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"))
     while True:
+        ends = now.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(now.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("u").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or (up > 0 and down > 0)").isEmpty():
+            return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+        n = now.count()
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), (F.count("*") * 1000 > n).alias("frequent"))
         wider = both.where("v > u")
         met = join_split(wider, least, "u") if n > HUBS else wider.join(least, "u")
-        large = met.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = met.select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         after = scratch.save(small)
-        state = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         scratch.drop(now)
-        now, n = after, state["n"]
-        if state == seen:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
-        seen = state
+        now = after
+
+
+class _Forest:
+    """Components of the links that one task finds, so that it hands on one edge for each merger."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = parent[x]
+        return x
+
+    def link(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        self.parent[max(a, b)] = min(a, b)
+
+    def edges(self) -> pa.RecordBatch:
+        found = [(self.find(x), x) for x in list(self.parent)]
+        found = [e for e in found if e[0] != e[1]]
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
 
 def _flat_links(roots: np.ndarray, groups: np.ndarray, hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -286,42 +307,41 @@ def _block_links(roots: np.ndarray, left: np.ndarray, sets: list[np.ndarray], pe
     return out
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(a, dtype=np.int64)), pa.array(np.asarray(b, dtype=np.int64))], names=["a", "b"])
-
-
 def _blocks(percent: int, unpack: Unpack) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From rows (block, root, left, body) sorted by block: the links of each block. Small blocks of left rows only are compared many at a time."""
+    """From rows (block, root, left, body) sorted by block: the links of all blocks. Small blocks of left rows only are compared many at a time."""
 
-    def large(rows: list[tuple]) -> pa.RecordBatch:
+    def large(rows: list[tuple]) -> list[tuple[int, int]]:
         hashes, at = unpack([r[3] for r in rows])
         sets = [np.unique(hashes[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-        found = _block_links(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), sets, percent)
-        return _pairs([x for x, _ in found], [y for _, y in found])
+        return _block_links(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), sets, percent)
 
-    def small(rows: list[tuple]) -> pa.RecordBatch:
+    def small(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         hashes, at = unpack([r[3] for r in rows])
         block = np.array([r[0] for r in rows])
         groups = np.concatenate(([0], np.cumsum(block[1:] != block[:-1])))
-        return _pairs(*_flat_links(np.array([r[1] for r in rows]), groups, hashes, at, percent))
+        return zip(*(x.tolist() for x in _flat_links(np.array([r[1] for r in rows]), groups, hashes, at, percent)), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((r["block"], r["root"], r["left"], r["body"]) for batch in batches for r in batch.to_pylist())
-        held, length = [], 0
+        forest, held, length = _Forest(), [], 0
         for _, block in groupby(rows, itemgetter(0)):
             block = list(block)
             if len(block) > SMALL + 1 or not all(r[2] for r in block):
-                yield large(block)
+                for a, b in large(block):
+                    forest.link(int(a), int(b))
                 continue
             if len({r[1] for r in block}) < 2:
                 continue
             held += block
             length += sum(len(r[3]) for r in block)
             if length >= TOGETHER:
-                yield small(held)
+                for a, b in small(held):
+                    forest.link(a, b)
                 held, length = [], 0
         if held:
-            yield small(held)
+            for a, b in small(held):
+                forest.link(a, b)
+        yield forest.edges()
 
     return run
 
@@ -329,7 +349,7 @@ def _blocks(percent: int, unpack: Unpack) -> Callable[[Iterator[pa.RecordBatch]]
 def _compared(blocks: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, unpack: Unpack) -> DataFrame:
     """Pairs (a, b) of roots that links inside ``blocks`` (block, id, root, left) join."""
     full = blocks.join(sets, "id").select("block", "root", "left", "body").repartition("block").sortWithinPartitions("block")
-    return scratch.save(full.mapInArrow(_blocks(percent, unpack), "a long, b long").distinct())
+    return scratch.save(full.mapInArrow(_blocks(percent, unpack), "a long, b long"))
 
 
 def _group_links(groups: DataFrame, roots: DataFrame | None, sets: DataFrame, percent: int, scratch: Scratch, unpack: Unpack) -> DataFrame:
@@ -343,24 +363,33 @@ def _group_links(groups: DataFrame, roots: DataFrame | None, sets: DataFrame, pe
 
 
 def _live(crowded: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """(region, n, id, root) of the crowded regions that hold several roots; of regions with the same members one."""
-    rows = scratch.save(crowded.join(roots, "id", "left").select("region", "id", F.coalesce("root", "id").alias("root")))
-    several = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members")).where("x < y")
-    several = several.groupBy("n", "members").agg(F.min("region").alias("region")).select("region", "n")
-    out = scratch.save(rows.join(several, "region").select("region", "n", "id", "root"))
+    """(region, cost, id, root) of the crowded regions that hold several roots; of regions with the same members one.
+
+    cost is how many pairs a comparison of all that its most frequent root
+    doesn't join already takes. The members of the greatest component are left
+    out of all regions that hold nobody else, before any other is looked at.
+    """
+    sizes = roots.groupBy("root").agg(F.count("*").alias("n"))
+    giant = roots.join(F.broadcast(sizes.orderBy(F.desc("n"), "root").limit(1).select("root")), "root", "left_semi").select("id")
+    others = crowded.join(giant, "id", "left_anti").select("region").distinct()
+    rows = scratch.save(crowded.join(others, "region").join(roots, "id", "left").select("region", "id", F.coalesce("root", "id").alias("root")))
+    per = rows.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"))
+    per = per.groupBy("region").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("members").alias("members")).where("n > most")
+    per = per.groupBy("n", "most", "members").agg(F.min("region").alias("region")).select("region", ((F.col("n") - F.col("most")) * F.col("n")).alias("cost"))
+    out = scratch.save(rows.join(per, "region").select("region", "cost", "id", "root"))
     scratch.drop(rows)
     return out
 
 
 def _full_links(live: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, unpack: Unpack) -> DataFrame:
-    """Pairs (a, b) of roots that links inside the regions of ``live`` (region, n, id, root) join.
+    """Pairs (a, b) of roots that links inside the regions of ``live`` (region, cost, id, root) join.
 
     A region is compared in full, on full sets, but for what its most frequent
     root already joins: its other rows among themselves and with that root's,
     in blocks of about two CHUNKs. A link found makes one component of two, so
     a block gives fewer links than it has rows.
     """
-    rows = scratch.save(live.drop("n").join(sets.select("id", F.length("body").alias("length")), "id"))
+    rows = scratch.save(live.drop("cost").join(sets.select("id", F.length("body").alias("length")), "id"))
     per = rows.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum("length").alias("length"))
     per = per.groupBy("region").agg(F.max(F.struct("n", "root", "length")).alias("major"), F.sum("n").alias("n"), F.sum("length").alias("length"))
     chunks = lambda n, length: F.ceil(F.greatest(n / CHUNK, length / CHUNK_LENGTH, F.lit(1))).cast("int")
@@ -395,19 +424,19 @@ def linked(groups: DataFrame, crowded: DataFrame, sets: DataFrame, percent: int,
     ``sets`` has (id, body) of all their ids; ``unpack`` makes
     hashes of bodies. Two rows are linked when 100 * |A & B| >= percent * |A | B|.
 
-    Groups are compared in full, and so are crowded regions of up to FULL
-    members that hold several components afterwards, as every pair that one
-    component holds already needs no comparison. The rows of larger ones are
+    Groups are compared in full, and so are crowded regions that hold several
+    components afterwards, where that takes up to FULL pairs: every pair that
+    one component holds already needs no comparison. The rows of others are
     indexed again by more and longer prefixes of new minima, level by level.
     What is crowded on the last level is compared in full, in blocks.
     """
     roots = _joined(None, _group_links(groups, None, sets, percent, scratch, unpack), scratch)
     for level, (trees, depth) in enumerate((*DEEPER, (0, 0))):
         live = _live(crowded, roots, scratch)
-        few = live.where(F.col("n") <= FULL) if trees else live
+        few = live.where(F.col("cost") <= FULL) if trees else live
         if not few.isEmpty():
             roots = _joined(roots, _full_links(few, sets, percent, scratch, unpack), scratch)
-        many = live.where(F.col("n") > FULL).select("region", "id")
+        many = live.where(F.col("cost") > FULL).select("region", "id")
         if not trees or many.isEmpty():
             return roots
         rows = sets.join(_live(many, roots, scratch).select("id").distinct(), "id").mapInArrow(_deeper_rows(trees, depth, 100 + level, unpack), FOREST)

@@ -71,7 +71,7 @@ def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     texts = fetch(docs.select("home", "text"), wanted, "home", 48)
     sets = scratch.save(texts.select("id", "name", "text").mapInArrow(_sets(width), "id long, body binary").dropDuplicates(["id"]))
     roots = linked(groups, crowded, sets, percent, scratch, unpacked)
-    scratch.drop(groups, crowded, wanted, sets)
+    scratch.drop(wanted, sets)
     members = distinct.select("id", "name", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     judged = members.join(smallest, "root").select("name", "component_id")
