@@ -10,20 +10,27 @@ from lingoloom.llm.bpe import encode_documents
 from lingoloom.llm.lines import dedup_lines
 from lingoloom.llm.mixing import mix_sources
 from lingoloom.llm.neardup import without_near_duplicates
-from lingoloom.llm.passages import fit_quality, with_quality
+from lingoloom.llm.passages import accepted, fit_quality
 from lingoloom.llm.scratch import Scratch
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the passage model scores 0.5 or more; those without words go."""
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return with_quality(docs, model, score_col="__score").where("__score >= 0.5").select(*docs.columns)
+    return accepted(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that repeat or nearly repeat an earlier one; n_chars follows the text. A document whose lines all go is a copy and goes too."""
-    out = dedup_lines(docs, percent=80).where((F.col("n_dropped") == 0) | F.col("text").rlike(r"(?U)\S"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    n_lines, n_dropped = _free(docs, "n_lines"), _free(docs, "n_dropped")
+    out = dedup_lines(docs, percent=80, counts=(n_lines, n_dropped)).where((F.col(n_dropped) == 0) | (F.col(n_dropped) < F.col(n_lines)))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated to the square root of their sources' sizes, in random order."""
-    return mix_sources(docs).select(*docs.columns)
+    return mix_sources(docs, copy_col=None)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
