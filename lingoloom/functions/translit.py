@@ -21,139 +21,135 @@ FRONT, BACK = TATAR.front, TATAR.back
 PLAIN = {"а": "a", "ә": "ä", "о": "o", "ө": "ö", "ы": "ı", "э": "e", "и": "i", "б": "b", "җ": "c", "ч": "ç", "д": "d", "ф": "f", "һ": "h", "ж": "j", "л": "l", "м": "m", "н": "n", "ң": "ñ", "п": "p", "р": "r", "с": "s", "ш": "ş", "т": "t", "х": "x", "й": "y", "з": "z", "ё": "yo", "щ": "şç"}
 
 # fixed values: native words whose conventional spelling differs, by beginning: Cyrillic, converted, conventional
-NATIVE_PREFIXES = """
-аек ayık ayıq
-беркай berkay berqay
-беркая berkaya berqaya
-беркат berkat berqat
-берникадәр bernikadär berniqadär
-боек boyık boyıq
-вазифа wazifa wazıyfa
-вәкаләт wäkalät wäqalät
-гадел ğadel ğädel
-гадәт ğadät ğädät
-гаеп ğayıp ğäyep
-гая ğaya ğäyä
-гаск ğasq ğäsk
-гаҗ ğac ğäc
-гамә ğamä ğämä
-гарә ğarä ğärä
-гарип ğarip ğärip
-гарь ğar ğär
-гаск ğask ğäsk
-галәм ğaläm ğäläm
-гамь ğam ğäm
-ганимәт ğanimät ğänimät
-газиз ğaziz ğäziz
-гаилә ğailä ğäilä
-гай ğay ğäy
-гәлим gälim ğälim
-гәрәп gäräp ğäräp
-гилем gilem ğilem
-гилм gilm ğilm
-дикъкать diqkat diqqat
-инкыйлаб inkıylab inqıylab
-инкар inkar inqar
-иҗтимагый ictimağıy ictimaği
-игътибар iğtibar iğtibar
-каек qayık qayıq
-каракүл qaraqül qarakül
-киная kinaya kinayä
-кыек qıyık qıyıq
-кыяфәт qıyafät qıyäfät
-лаек layık layıq
-мыек mıyık mıyıq
-мөкатдәс mökatdäs möqatdäs
-маэмай maemay maʼmay
-мәкал mäkal mäqal
-мәкәлә mäkälä mäqälä
-мәхкүл mäxkül mäxqül
-мәгъсум mäğsum mäğsüm
-мәгариф mäğarif mäğärif
-мәшәкать mäşäkat mäşäqat
-мөгаллим möğallim möğällim
-мөгамәлә möğamälä möğämälä
-нәкыш näkış näqış
-оек oyık oyıq
-оеш oyışk oyışq
-пәйгамбәр päyğambär päyğämbär
-сыек sıyık sıyıq
-сөякк söyäqq söyäkk
-сөяк söyäq söyäk
-сәркатип särkatip särqatip
-таэмин taemin täʼmin
-тәкать täkat täqat
-тәрәккый täräkqıy täräqqıy
-тәэмин täemin täʼmin
-тәэсир täesir täʼsir
-тәнкыйть tänkıyt tänqıyt
-тәшрик täşrik täşriq
-вакиф wakif waqif
-фәкать fäkat fäqat
-фәкыйрь fäkıyr fäqıyr
-хыянәт xıyanät xıyänät
-әхлак äxlak äxlaq
-югыйсә yuğıysä yuğisä
-шәфкать şäfkat şäfqat
-нигмәт nigmät niğmät
-нәгим nägim näğim
-кәбәхәт käbäxät qäbäxät
-кәдер käder qäder
-кәдими kädimi qädimi
-кәдәр kädär qädär
-көдрәт ködrät qödrät
-һичкая hiçkaya hiçqaya
-һичкай hiçkay hiçqay
-һәркай härkay härqay
-юкә yüqä yükä
-"""
+NATIVE_PREFIXES = (
+    ("аек", "ayık", "ayıq"),
+    ("беркай", "berkay", "berqay"),
+    ("беркая", "berkaya", "berqaya"),
+    ("беркат", "berkat", "berqat"),
+    ("берникадәр", "bernikadär", "berniqadär"),
+    ("боек", "boyık", "boyıq"),
+    ("вазифа", "wazifa", "wazıyfa"),
+    ("вәкаләт", "wäkalät", "wäqalät"),
+    ("гадел", "ğadel", "ğädel"),
+    ("гадәт", "ğadät", "ğädät"),
+    ("гаеп", "ğayıp", "ğäyep"),
+    ("гая", "ğaya", "ğäyä"),
+    ("гаск", "ğasq", "ğäsk"),
+    ("гаҗ", "ğac", "ğäc"),
+    ("гамә", "ğamä", "ğämä"),
+    ("гарә", "ğarä", "ğärä"),
+    ("гарип", "ğarip", "ğärip"),
+    ("гарь", "ğar", "ğär"),
+    ("гаск", "ğask", "ğäsk"),
+    ("галәм", "ğaläm", "ğäläm"),
+    ("гамь", "ğam", "ğäm"),
+    ("ганимәт", "ğanimät", "ğänimät"),
+    ("газиз", "ğaziz", "ğäziz"),
+    ("гаилә", "ğailä", "ğäilä"),
+    ("гай", "ğay", "ğäy"),
+    ("гәлим", "gälim", "ğälim"),
+    ("гәрәп", "gäräp", "ğäräp"),
+    ("гилем", "gilem", "ğilem"),
+    ("гилм", "gilm", "ğilm"),
+    ("дикъкать", "diqkat", "diqqat"),
+    ("инкыйлаб", "inkıylab", "inqıylab"),
+    ("инкар", "inkar", "inqar"),
+    ("иҗтимагый", "ictimağıy", "ictimaği"),
+    ("игътибар", "iğtibar", "iğtibar"),
+    ("каек", "qayık", "qayıq"),
+    ("каракүл", "qaraqül", "qarakül"),
+    ("киная", "kinaya", "kinayä"),
+    ("кыек", "qıyık", "qıyıq"),
+    ("кыяфәт", "qıyafät", "qıyäfät"),
+    ("лаек", "layık", "layıq"),
+    ("мыек", "mıyık", "mıyıq"),
+    ("мөкатдәс", "mökatdäs", "möqatdäs"),
+    ("маэмай", "maemay", "maʼmay"),
+    ("мәкал", "mäkal", "mäqal"),
+    ("мәкәлә", "mäkälä", "mäqälä"),
+    ("мәхкүл", "mäxkül", "mäxqül"),
+    ("мәгъсум", "mäğsum", "mäğsüm"),
+    ("мәгариф", "mäğarif", "mäğärif"),
+    ("мәшәкать", "mäşäkat", "mäşäqat"),
+    ("мөгаллим", "möğallim", "möğällim"),
+    ("мөгамәлә", "möğamälä", "möğämälä"),
+    ("нәкыш", "näkış", "näqış"),
+    ("оек", "oyık", "oyıq"),
+    ("оеш", "oyışk", "oyışq"),
+    ("пәйгамбәр", "päyğambär", "päyğämbär"),
+    ("сыек", "sıyık", "sıyıq"),
+    ("сөякк", "söyäqq", "söyäkk"),
+    ("сөяк", "söyäq", "söyäk"),
+    ("сәркатип", "särkatip", "särqatip"),
+    ("таэмин", "taemin", "täʼmin"),
+    ("тәкать", "täkat", "täqat"),
+    ("тәрәккый", "täräkqıy", "täräqqıy"),
+    ("тәэмин", "täemin", "täʼmin"),
+    ("тәэсир", "täesir", "täʼsir"),
+    ("тәнкыйть", "tänkıyt", "tänqıyt"),
+    ("тәшрик", "täşrik", "täşriq"),
+    ("вакиф", "wakif", "waqif"),
+    ("фәкать", "fäkat", "fäqat"),
+    ("фәкыйрь", "fäkıyr", "fäqıyr"),
+    ("хыянәт", "xıyanät", "xıyänät"),
+    ("әхлак", "äxlak", "äxlaq"),
+    ("югыйсә", "yuğıysä", "yuğisä"),
+    ("шәфкать", "şäfkat", "şäfqat"),
+    ("нигмәт", "nigmät", "niğmät"),
+    ("нәгим", "nägim", "näğim"),
+    ("кәбәхәт", "käbäxät", "qäbäxät"),
+    ("кәдер", "käder", "qäder"),
+    ("кәдими", "kädimi", "qädimi"),
+    ("кәдәр", "kädär", "qädär"),
+    ("көдрәт", "ködrät", "qödrät"),
+    ("һичкая", "hiçkaya", "hiçqaya"),
+    ("һичкай", "hiçkay", "hiçqay"),
+    ("һәркай", "härkay", "härqay"),
+    ("юкә", "yüqä", "yükä"),
+)
 # fixed values: the same anywhere in a word
-NATIVE_FRAGMENTS = """
-сөякк söyäqq söyäkk
-сөяк söyäq söyäk
-төяк töyäq töyäk
-гүяки güyäqi güyäki
-өянке öyänqe öyänke
-мияу miäw miyaw
-җилкуар cilkuar cilquar
-гыйбад ğıybad ğibäd
-гыйбар ğıybar ğibär
-гыйльм ğıylm ğilm
-зәгыйф zäğıyf zäğif
-шагыйр şağıyr şağir
-шигри şigri şiğri
-кагыйдә qağıydä qağidä
-табигый tabiğıy tabiği
-васыять wasıyat wasıyät
-елан elan yılan
-итагать itağat itağät
-канәгать qanäğat qanäğät
-риваять riwayat riwayät
-сәгать säğat säğät
-сәгәт sägät säğät
-сәнгат sänğat sänğät
-табигать tabiğat tabiğät
-җәмгыят cämğıyat cämğiyät
-җинаять cinayat cinayät
-җәмәгать cämäğat cämäğät
-мөрәҗәгать möräcäğat möräcäğät
-"""
+NATIVE_FRAGMENTS = (
+    ("сөякк", "söyäqq", "söyäkk"),
+    ("сөяк", "söyäq", "söyäk"),
+    ("төяк", "töyäq", "töyäk"),
+    ("гүяки", "güyäqi", "güyäki"),
+    ("өянке", "öyänqe", "öyänke"),
+    ("мияу", "miäw", "miyaw"),
+    ("җилкуар", "cilkuar", "cilquar"),
+    ("гыйбад", "ğıybad", "ğibäd"),
+    ("гыйбар", "ğıybar", "ğibär"),
+    ("гыйльм", "ğıylm", "ğilm"),
+    ("зәгыйф", "zäğıyf", "zäğif"),
+    ("шагыйр", "şağıyr", "şağir"),
+    ("шигри", "şigri", "şiğri"),
+    ("кагыйдә", "qağıydä", "qağidä"),
+    ("табигый", "tabiğıy", "tabiği"),
+    ("васыять", "wasıyat", "wasıyät"),
+    ("елан", "elan", "yılan"),
+    ("итагать", "itağat", "itağät"),
+    ("канәгать", "qanäğat", "qanäğät"),
+    ("риваять", "riwayat", "riwayät"),
+    ("сәгать", "säğat", "säğät"),
+    ("сәгәт", "sägät", "säğät"),
+    ("сәнгат", "sänğat", "sänğät"),
+    ("табигать", "tabiğat", "tabiğät"),
+    ("җәмгыят", "cämğıyat", "cämğiyät"),
+    ("җинаять", "cinayat", "cinayät"),
+    ("җәмәгать", "cämäğat", "cämäğät"),
+    ("мөрәҗәгать", "möräcäğat", "möräcäğät"),
+)
 # fixed values: month stems: Cyrillic, ordinary, printed standard
-MONTHS = """
-гыйнвар ğıynwar ğinwar
-июнь iyun iyün
-июль iyul iyül
-сентябр sentyabr sentäbr
-октябр oktyabr oktäbr
-ноябрь noyabr noyäbr
-декабрь dekabr dekäbr
-"""
+MONTHS = (
+    ("гыйнвар", "ğıynwar", "ğinwar"),
+    ("июнь", "iyun", "iyün"),
+    ("июль", "iyul", "iyül"),
+    ("сентябр", "sentyabr", "sentäbr"),
+    ("октябр", "oktyabr", "oktäbr"),
+    ("ноябрь", "noyabr", "noyäbr"),
+    ("декабрь", "dekabr", "dekäbr"),
+)
 # fixed values: endings before which a loanword's final ц competes
-AFTER_TS = "лары ләре ларга ләргә ларда ләрдә лардан ләрдән ларын ләрен ларының ләренең ларны ләрне лар ләр ының енең ында ендә ыннан еннән ына енә ны не ның нең дан дән тан тән да дә та тә га гә ка кә".split()
-
-
-def _rows(table: str) -> list[tuple[str, str, str]]:
-    return [tuple(line.split()) for line in table.strip().splitlines()]
+AFTER_TS = ("лары", "ләре", "ларга", "ләргә", "ларда", "ләрдә", "лардан", "ләрдән", "ларын", "ләрен", "ларының", "ләренең", "ларны", "ләрне", "лар", "ләр", "ының", "енең", "ында", "ендә", "ыннан", "еннән", "ына", "енә", "ны", "не", "ның", "нең", "дан", "дән", "тан", "тән", "да", "дә", "та", "тә", "га", "гә", "ка", "кә")
 
 
 def _nearest(before: Column, after: Column) -> Column:
@@ -301,7 +297,7 @@ def _lexical(word: Column, latin: Column, label: str) -> Column:
         )
     # two look-ups in literal arrays rather than a hundred branches
     row = lambda r: F.struct(*[F.lit(x).alias(n) for x, n in zip(r, ("c", "a", "b"), strict=True)])
-    prefixes, fragments = F.array(*map(row, _rows(NATIVE_PREFIXES))), F.array(*map(row, _rows(NATIVE_FRAGMENTS)))
+    prefixes, fragments = F.array(*map(row, NATIVE_PREFIXES)), F.array(*map(row, NATIVE_FRAGMENTS))
     at_start = F.get(F.filter(prefixes, lambda r: F.startswith(word, r["c"]) & F.startswith(latin, r["a"])), F.lit(0))
     inside = F.get(F.filter(fragments, lambda r: F.contains(word, r["c"]) & F.contains(latin, r["a"])), F.lit(0))
 
@@ -330,7 +326,7 @@ _mark("IYA", (("compact", "a"), ("explicit", "ya")))
 _mark("MOSTAQIL", (("pdf", "qil"), ("antat", "qıylʼ")))
 for _plain, _front in (("ğadiläşter", "ğädiläşter"), ("ğadi", "ğädi")):
     _mark("ARABIC_INITIAL_GA", (("plain", _plain), ("front", _front)))
-for _, _ordinary, _pdf in _rows(MONTHS):
+for _, _ordinary, _pdf in MONTHS:
     _mark("MONTH_NAME", (("ordinary", _ordinary), ("pdf", _pdf)))
 
 
@@ -359,7 +355,7 @@ def _counted(word: Column, latin: Column, cyrillic: str, pattern: str) -> Column
 
 def _months(word: Column, latin: Column) -> Column:
     out = latin
-    for cyrillic, ordinary, pdf in _rows(MONTHS):
+    for cyrillic, ordinary, pdf in MONTHS:
         out = F.when(word.startswith(cyrillic) & latin.startswith(ordinary), F.regexp_replace(latin, rf"\A{ordinary}", _mark("MONTH_NAME", (("ordinary", ordinary), ("pdf", pdf))))).otherwise(out)
     return out
 

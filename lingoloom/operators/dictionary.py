@@ -15,12 +15,23 @@ from .ranges import running_total
 TOKENS = "array<struct<text:string,label:string,homonym:boolean>>"
 
 
-def labelled_tokens(samples: DataFrame, state: DataFrame) -> DataFrame:
-    """(sample_id, position, text, label, homonym): tokens of annotated Tatar samples; an unknown label counts as U, a token without text is left out."""
-    annotated = samples.join(state.where("status = 'annotated' and tatar = 1"), F.col("id") == F.col("sample_id")).select("sample_id", F.from_json("tokens_json", TOKENS).alias("tokens"))
-    token = F.posexplode("tokens").alias("position", "t")
-    rows = annotated.select("sample_id", token).where("t.text is not null")
-    return rows.select("sample_id", "position", F.col("t.text").alias("text"), F.when(F.col("t.label").isin("N", "RL", "U"), F.col("t.label")).otherwise("U").alias("label"), F.coalesce("t.homonym", F.lit(False)).alias("homonym"))
+def labelled_tokens(samples: DataFrame, state: DataFrame, strict: bool = False) -> DataFrame:
+    """(sample_id, position, text, label, homonym, error): tokens of annotated Tatar samples.
+
+    An unknown label counts as U and a token without text is left out; with
+    ``strict`` both stay as they are and ``error`` says what is wrong, as it
+    does of tokens that aren't a JSON list (position -1).
+    """
+    annotated = samples.join(state.where("status = 'annotated' and tatar = 1"), F.col("id") == F.col("sample_id")).select("sample_id", "tokens_json", F.from_json("tokens_json", TOKENS).alias("tokens"))
+    known = F.col("t.label").isin("N", "RL", "U")
+    text, label = F.col("t.text"), F.col("t.label")
+    error = F.when(F.coalesce(text, F.lit("")) == "", "invalid text").when(~F.coalesce(known, F.lit(False)), "invalid label")
+    rows = annotated.select("sample_id", F.posexplode("tokens").alias("position", "t"))
+    rows = rows.select("sample_id", "position", text.alias("text"), F.when(known | F.lit(strict), label).otherwise("U").alias("label"), F.coalesce("t.homonym", F.lit(False)).alias("homonym"), error.alias("error"))
+    if not strict:
+        return rows.where("text is not null").drop("error")
+    unread = annotated.where("tokens is null or not trim(tokens_json) like '[%'").select("sample_id", F.lit(-1).alias("position"), F.lit("").alias("text"), F.lit("U").alias("label"), F.lit(False).alias("homonym"), F.lit("tokens aren't a list").alias("error"))
+    return rows.unionByName(unread)
 
 
 def word_stats(tokens: DataFrame) -> DataFrame:
@@ -35,26 +46,34 @@ def word_stats(tokens: DataFrame) -> DataFrame:
     return grouped.withColumn("label", label).withColumn("display", display_word(F.col("surface"), F.col("word"))).drop("surface")
 
 
-def dispositions(stats: DataFrame, reviewed: DataFrame, exported: DataFrame, include_rl: bool = True, include_unknown: bool = True, min_frequency: int = 1) -> DataFrame:
-    """``stats`` with both conversions, state and disposition: ``keep``, or the first rule that holds a word back."""
-    known = stats.join(word_dimension(stats), "word").join(reviewed.select(F.col("normalized_word").alias("word"), F.lit(True).alias("is_reviewed")).distinct(), "word", "left").join(exported.select(F.col("normalized_word").alias("word"), F.lit(True).alias("is_exported")).distinct(), "word", "left")
+def dispositions(stats: DataFrame, reviewed: DataFrame, exported: DataFrame, include_rl: bool = True, include_unknown: bool = True, min_frequency: int = 1, all_states: bool = True) -> DataFrame:
+    """``stats`` with both conversions, state and disposition: ``keep``, or the first rule that holds a word back.
+
+    Conversions are what costs: without ``all_states`` only the words that no
+    other rule holds back are converted, and the others' states are null.
+    """
+    known = stats.join(reviewed.select(F.col("normalized_word").alias("word"), F.lit(True).alias("is_reviewed")).distinct(), "word", "left").join(exported.select(F.col("normalized_word").alias("word"), F.lit(True).alias("is_exported")).distinct(), "word", "left")
     mixed = harmony_class(F.col("word")) == "mixed_front_back"
-    disposition = (
+    early = (
         F.when(F.col("homonym_count") > 0, "homonym")
         .when(F.col("is_reviewed"), "reviewed")
         .when(F.col("is_exported"), "already_exported")
         .when((F.col("label") == "RL") & ~F.lit(include_rl), "rl_excluded")
         .when((F.col("label") == "U") & ~F.lit(include_unknown), "u_excluded")
         .when((F.col("label") == "N") & mixed, "mixed_harmony")
-        .when(F.col("state") == "origin_independent", "origin_independent")
-        .when(F.col("frequency") < min_frequency, "below_min_frequency")
-        .otherwise("keep")
     )
-    return known.withColumn("disposition", disposition).drop("is_reviewed", "is_exported")
+    known = known.withColumn("disposition", early).drop("is_reviewed", "is_exported")
+    rare = F.when(F.col("frequency") < min_frequency, "below_min_frequency").otherwise("keep")
+    late = F.when(F.col("state") == "origin_independent", "origin_independent").otherwise(rare)
+    if all_states:
+        return known.join(word_dimension(stats), "word").withColumn("disposition", F.coalesce("disposition", late))
+    wanted = known.where("disposition is null")
+    converted = wanted.join(word_dimension(wanted), "word").withColumn("disposition", late)
+    return converted.unionByName(known.where("disposition is not null"), allowMissingColumns=True)
 
 
 def review_tasks(judged: DataFrame, max_items: int | None = None, sort_by: str = "frequency_desc") -> DataFrame:
-    """(id, cyrl_word, auto_zamanalif, origin, frequency, hints_html) of the kept words, numbered in order."""
+    """(number, word, id, cyrl_word, auto_zamanalif, origin, frequency, hints_html) of the kept words, numbered in order."""
     if sort_by not in ("frequency_desc", "word"):
         raise ValueError(f"unknown order: {sort_by}")
     order = [-F.col("frequency"), F.col("word")] if sort_by == "frequency_desc" else [F.col("word")]
@@ -62,7 +81,7 @@ def review_tasks(judged: DataFrame, max_items: int | None = None, sort_by: str =
     if max_items is not None:
         kept = kept.orderBy(*order).limit(max_items)
     numbered = running_total(kept, order, F.lit(1), "before").withColumn("number", F.col("before") + 1)
-    return numbered.select(F.format_string("word_%06d", "number").alias("id"), F.col("display").alias("cyrl_word"), suggestion(F.col("label")).alias("auto_zamanalif"), F.col("label").alias("origin"), "frequency", hints_html(F.col("word"), F.col("label"), F.col("frequency"), F.col("state")).alias("hints_html"))
+    return numbered.select("number", "word", F.format_string("word_%06d", "number").alias("id"), F.col("display").alias("cyrl_word"), suggestion(F.col("label")).alias("auto_zamanalif"), F.col("label").alias("origin"), "frequency", hints_html(F.col("word"), F.col("label"), F.col("frequency"), F.col("state")).alias("hints_html"))
 
 
 def escaped(text: Column) -> Column:
@@ -100,6 +119,40 @@ def export_report(judged: DataFrame, tokens: DataFrame, samples: int) -> DataFra
     )
 
 
+def full_export_report(judged: DataFrame, tokens: DataFrame, samples: int) -> dict:
+    """``export_report`` with the exported words' letters, rules and the 50 most frequent of them, as one document."""
+    head = export_report(judged, tokens, samples).first().asDict()
+    kept = judged.where("disposition = 'keep'")
+    letters = {r["letter"]: r["words"] for r in letter_counts(judged).orderBy("letter").collect()}  # a row a letter
+    rules = judged.where("disposition = 'keep'").agg(F.coalesce(F.sum(F.size(rule_ids(F.when(F.col("label") == "N", F.col("native_dsl")).otherwise(F.col("loanword_dsl"))))), F.lit(0)).alias("n")).first()["n"]
+    words = [{"word": r["word"], "frequency": r["frequency"]} for r in kept.orderBy(F.desc("frequency"), "word").limit(50).collect()]
+    return head | {"count_by_conditional_letter": letters, "dsl_rule_occurrence_count": rules, "top_50_exported_words_by_frequency": words}
+
+
+def exported_now(exported: DataFrame, judged: DataFrame, max_items: int | None, sort_by: str, now: str) -> DataFrame:
+    """``exported`` (normalized_word, exported_at) plus the words that ``review_tasks`` puts out."""
+    words = review_tasks(judged, max_items, sort_by).select(F.col("word").alias("normalized_word"), F.lit(now).alias("exported_at"))
+    return insert_or_ignore(exported, words, "normalized_word")
+
+
+def save_reviewed_word(reviewed: DataFrame, word: str, zamanalif_dsl: str, origin: str, now: str) -> DataFrame:
+    """``reviewed`` with one human-approved conversion, new or in place of an older one; ValueError if the word isn't in its normal form, the origin unknown or the notation invalid."""
+    row = reviewed.sparkSession.createDataFrame([(word, zamanalif_dsl, origin, now)], "normalized_word string, zamanalif_dsl string, origin string, updated_at string")
+    seen = row.select(normalize_word(F.col("normalized_word")).alias("word"), dsl_error(F.col("zamanalif_dsl")).alias("error")).first()
+    if not word or seen["word"] != word:
+        raise ValueError("the word must be in lower case, from its first to its last letter")
+    if origin not in ("N", "RL", "U"):
+        raise ValueError("the origin must be N, RL or U")
+    if seen["error"] is not None:
+        raise ValueError(f"invalid notation: {seen['error']}")
+    return insert_or_replace(reviewed, row, "normalized_word")
+
+
+def without_prefix(table: DataFrame, column: str, prefix: str) -> DataFrame:
+    """``table`` less the rows whose ``column`` begins with ``prefix``."""
+    return table.where(~F.coalesce(F.col(column).startswith(prefix), F.lit(False)))
+
+
 def letter_counts(judged: DataFrame) -> DataFrame:
     """(letter, words): exported words with each conditional letter."""
     letters = F.array_distinct(F.regexp_extract_all("word", F.lit(f"[{TATAR.conditional}]"), F.lit(0)))

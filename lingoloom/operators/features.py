@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lingoloom.functions.profile import TATAR, LanguageProfile
 from lingoloom.functions.text import char_ngrams, harmony_class, has_conditional, meta_value, words_in
 
+from .ranges import join_split
+
 # fixed values: names of letters in the features about ambiguous spellings
 LETTER_NAMES = {"к": "k", "г": "g", "в": "v", "у": "u", "ү": "ü", "е": "e", "я": "ya", "ю": "yu", "ц": "ts"}
 GLIDING = ("е", "я", "ю")
@@ -106,10 +108,68 @@ def feature_table(sentences: DataFrame, key: str, min_frequency: int = 2, max_fr
 
 
 def document_frequencies(features: DataFrame) -> DataFrame:
-    """(feature, df): sentences that have a feature."""
+    """(feature, df): sentences of a feature table that have a feature."""
     return features.groupBy("feature").agg(F.count("*").alias("df"))
 
 
+def _vocabulary(sentences: DataFrame, min_frequency: int, max_frequency: int, profile: LanguageProfile) -> DataFrame:
+    """(word, frequency, features): all features of an occurrence, one entry each time a word has them."""
+    allowed = F.col("frequency").between(min_frequency, max_frequency)
+    return word_frequencies(sentences, profile).select("word", "frequency", word_features(F.col("word"), allowed, profile).alias("features"))
+
+
+def _style(sentences: DataFrame, *keys: Column, profile: LanguageProfile) -> DataFrame:
+    """(keys, feature) of the sentences' own features."""
+    has = sentences.columns
+    genre = F.col("genre") if "genre" in has else F.lit(None).cast("string")
+    year = F.col("publish_year") if "publish_year" in has else F.lit(None).cast("int")
+    return sentences.select(*keys, F.explode(sentence_features(F.col("sentence"), F.size(words_in(F.col("sentence"), profile)), genre, year)).alias("feature"))
+
+
+def corpus_document_frequencies(sentences: DataFrame, min_frequency: int = 2, max_frequency: int = 10_000, weighted_only: bool = False, profile: LanguageProfile = TATAR) -> DataFrame:
+    """(feature, df): sentences with each feature, without a table of all sentences and features.
+
+    Features are built once per distinct word and named by 64-bit hashes until
+    the end; a word that a sentence repeats is looked up once, and sentences
+    are numbered, so what is shuffled per sentence and feature is two numbers.
+    """
+    vocabulary = _vocabulary(sentences, min_frequency, max_frequency, profile).select("word", "frequency", F.array_distinct("features").alias("features"))
+    if weighted_only:
+        vocabulary = vocabulary.withColumn("features", F.filter("features", lambda f: weight_of(f, profile) > 0))
+    total = sentences.agg(F.sum(F.size(words_in(F.col("sentence"), profile))).alias("n")).first()["n"] or 0
+    per_word = vocabulary.select("word", F.transform("features", lambda f: F.xxhash64(f)).alias("ids"), (F.col("frequency") * 1000 > total).alias("frequent"))
+    names = vocabulary.select(F.explode("features").alias("feature")).distinct().select(F.xxhash64("feature").alias("id"), "feature")
+    numbered = sentences.select(F.monotonically_increasing_id().alias("nth"), F.array_distinct(words_in(F.col("sentence"), profile)).alias("words"))
+    words = numbered.select("nth", F.explode("words").alias("word"))
+    met = join_split(words, per_word, "word").select("nth", F.explode("ids").alias("id")).distinct()
+    counted = met.groupBy("id").agg(F.count("*").alias("df")).join(names, "id").select("feature", "df")
+    return counted.unionByName(_style(sentences, profile=profile).groupBy("feature").agg(F.count("*").alias("df")))
+
+
+def corpus_scores(sentences: DataFrame, key: str, n_sentences: int, frequencies: DataFrame | None = None, min_frequency: int = 2, max_frequency: int = 10_000, profile: LanguageProfile = TATAR) -> DataFrame:
+    """What ``scored`` gives for the sentences' feature table, without that table.
+
+    Rarity meets features at the vocabulary: one row of sums a word, which its
+    occurrences then add up. Words that are a thousandth of all words, and
+    features of a thousandth of all sentences, are joined by a broadcast, so
+    none of them is one task's work; there are at most a thousand of the former
+    and a thousand times as many of the latter as an average sentence has.
+    """
+    df = corpus_document_frequencies(sentences, min_frequency, max_frequency, True, profile) if frequencies is None else frequencies
+    rarity = F.log((n_sentences + 1) / (F.col("df") + 1)) + 1
+    rare = df.select("feature", (weight_of(F.col("feature"), profile)).alias("weight"), (weight_of(F.col("feature"), profile) * rarity).alias("rare"), (F.col("df") * 1000 > n_sentences).alias("frequent"))
+    letter = F.col("feature").startswith("cond_letter:").cast("long")
+    vocabulary = _vocabulary(sentences, min_frequency, max_frequency, profile).select("word", "frequency", F.explode(F.filter("features", lambda f: weight_of(f, profile) > 0)).alias("feature"))
+    sums = (F.sum("weight").alias("base_score"), F.sum("rare").alias("diversity_score"), F.sum(letter).alias("conditional_letter_count"))
+    per_word = join_split(vocabulary, rare, "feature").groupBy("word").agg(F.max("frequency").alias("frequency"), *sums)
+    total = sentences.agg(F.sum(F.size(words_in(F.col("sentence"), profile))).alias("n")).first()["n"] or 0
+    per_word = per_word.withColumn("frequent", F.col("frequency") * 1000 > total).drop("frequency")
+    words = sentences.select(key, F.explode(words_in(F.col("sentence"), profile)).alias("word"))
+    by_word = join_split(words, per_word, "word").drop("word")
+    style = join_split(_style(sentences, F.col(key), profile=profile), rare, "feature").select(key, F.col("weight").alias("base_score"), F.col("rare").alias("diversity_score"), F.lit(0).cast("long").alias("conditional_letter_count"))
+    return by_word.unionByName(style).groupBy(key).agg(*[F.sum(c).alias(c) for c in ("base_score", "diversity_score", "conditional_letter_count")])
+
+
 def weight_of(feature: Column, profile: LanguageProfile = TATAR) -> Column:
     weights = F.create_map(*[F.lit(x) for kv in profile.weights.items() for x in kv])
     return F.coalesce(F.element_at(weights, F.substring_index(feature, ":", 1)), F.lit(0.0))

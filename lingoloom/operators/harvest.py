@@ -65,7 +65,7 @@ def judge_sentences(segments: DataFrame, config: HarvestConfig = HarvestConfig()
     return judged.withColumn("disposition", disposition)
 
 
-def _dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
+def dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
     """Dispositions ``doc_duplicate``, ``global_duplicate`` and ``doc_cap``; ``kept`` for the rest of the candidates."""
     order = [F.col("window"), F.col("position")]
     is_candidate = F.col("disposition") == "candidate"
@@ -85,7 +85,7 @@ def _dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
     return ranked.withColumn("disposition", fate).drop("nth", "first_id")
 
 
-def _within_total(kept: DataFrame, config: HarvestConfig) -> DataFrame:
+def within_total(kept: DataFrame, config: HarvestConfig) -> DataFrame:
     """The first ``max_candidates`` kept sentences in document order, by counts per document."""
     if config.max_candidates is None or config.exhaustive:
         return kept
@@ -104,8 +104,8 @@ def prepare(docs: DataFrame, config: HarvestConfig = HarvestConfig()) -> DataFra
     """
     if config.max_docs is not None:
         docs = docs.orderBy("id").limit(config.max_docs)
-    kept = _dedup_and_cap(judge_sentences(segment_documents(docs, config), config), config).where("disposition = 'kept'")
-    kept = _within_total(kept, config)
+    kept = dedup_and_cap(judge_sentences(segment_documents(docs, config), config), config).where("disposition = 'kept'")
+    kept = within_total(kept, config)
     letters = distinct_letters(F.col("sentence"), config.profile.specific)
     return kept.select(
         F.col("id").cast("string").alias("id"),
@@ -124,6 +124,10 @@ def prepare(docs: DataFrame, config: HarvestConfig = HarvestConfig()) -> DataFra
 
 def diagnostics(docs: DataFrame, config: HarvestConfig = HarvestConfig()) -> DataFrame:
     """(counter, n): what became of every sentence, and each quality reason."""
-    fates = _dedup_and_cap(judge_sentences(segment_documents(docs, config), config), config)
-    counters = F.concat(F.array("disposition"), F.when(F.col("disposition") == "skipped_quality", F.transform("quality.reasons", lambda r: F.concat(F.lit("skipped_quality:"), r))).otherwise(F.array().cast("array<string>")), F.when(F.col("disposition") == "kept", F.array(F.concat(F.lit("kept:"), "keep_reason"))).otherwise(F.array().cast("array<string>")))
-    return fates.select(F.explode(counters).alias("counter")).groupBy("counter").agg(F.count("*").alias("n"))
+    return counters(dedup_and_cap(judge_sentences(segment_documents(docs, config), config), config))
+
+
+def counters(fates: DataFrame) -> DataFrame:
+    """(counter, n) of judged sentences with their dispositions."""
+    named = F.concat(F.array("disposition"), F.when(F.col("disposition") == "skipped_quality", F.transform("quality.reasons", lambda r: F.concat(F.lit("skipped_quality:"), r))).otherwise(F.array().cast("array<string>")), F.when(F.col("disposition") == "kept", F.array(F.concat(F.lit("kept:"), "keep_reason"))).otherwise(F.array().cast("array<string>")))
+    return fates.select(F.explode(named).alias("counter")).groupBy("counter").agg(F.count("*").alias("n"))

@@ -15,6 +15,8 @@ from .ranges import running_total
 # fixed values: parts of speech, as the pages abbreviate them
 POS = r"\b(?:n|v|a|adj|adv|prep|conj|pron|num|int|interj|pl|vt|vi|aux|pp|pt)\b\.?"
 POS_WORDS = ("n", "v", "a", "adj", "adv", "prep", "conj", "pron", "num", "int", "interj", "pl", "vt", "vi", "aux", "pp", "pt")
+# fixed values: English words of the entries that aren't translations
+ENGLISH_NOISE = ("against", "as", "from", "into", "of", "one", "out", "over", "smth", "somebody", "something", "the", "to", "with")
 
 
 def parse_listings(pages: DataFrame) -> DataFrame:
@@ -85,6 +87,21 @@ def word_pairs(alignment: DataFrame, left_pages: DataFrame, right_pages: DataFra
     return same.select("align_id", "headword", "position", word.alias("cyrillic"), F.lower("p.l").alias("latin"), antat_label(word).alias("label")).where("cyrillic <> ''")
 
 
+def distinct_pairs(pairs: DataFrame) -> DataFrame:
+    """``pairs`` less English words, one row of each (cyrillic, latin, label): the first by (align_id, position)."""
+    clean = pairs.where(~F.col("latin").isin(*ENGLISH_NOISE))
+    others = [c for c in pairs.columns if c not in ("cyrillic", "latin", "label")]
+    first = clean.groupBy("cyrillic", "latin", "label").agg(F.min(F.struct("align_id", "position", *[c for c in others if c not in ("align_id", "position")])).alias("f"))
+    return first.select(*[F.col(c) if c in ("cyrillic", "latin", "label") else F.col(f"f.{c}").alias(c) for c in pairs.columns])
+
+
+def with_entry_texts(alignment: DataFrame, left_pages: DataFrame, right_pages: DataFrame) -> DataFrame:
+    """``alignment`` plus left_text and right_text: the entries' plain texts, empty where a side or its page is missing."""
+    side = lambda pages, name: pages.groupBy(F.col("entry_id").alias(f"{name}_entry_id")).agg(F.max("plain_text").alias(f"{name}_text"))
+    both = alignment.join(side(left_pages, "left"), "left_entry_id", "left").join(side(right_pages, "right"), "right_entry_id", "left")
+    return both.select(*alignment.columns, F.coalesce("left_text", F.lit("")).alias("left_text"), F.coalesce("right_text", F.lit("")).alias("right_text"))
+
+
 def coverage(pairs: DataFrame) -> DataFrame:
     """``pairs`` plus coverage: both, native, loanword or gap, by which conversions can spell the attested word."""
     w = F.col("cyrillic")

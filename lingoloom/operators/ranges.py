@@ -13,8 +13,8 @@ def _cuts(rows: DataFrame, keys: list[Column], ranges: int) -> list:
     """Keys that cut ``rows`` into about equal ranges, from the rows with the least hashes of their keys."""
     named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
     some = rows.select(*named).orderBy(F.xxhash64(*keys)).limit(LOOKED_AT).collect()  # bounded by LOOKED_AT
-    some = sorted((r for r in some if None not in r), key=tuple)
-    return sorted({tuple(some[len(some) * k // ranges]) for k in range(1, ranges)} if some else ())
+    some = sorted(t for t in map(tuple, some) if None not in t)
+    return sorted({some[len(some) * k // ranges] for k in range(1, ranges)} if some else ())
 
 
 def range_of(keys: list[Column], cuts: list[tuple], types: list[str]) -> Column:

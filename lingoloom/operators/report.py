@@ -94,5 +94,73 @@ def headline(rows: DataFrame, profile: LanguageProfile = TATAR) -> DataFrame:
     )
 
 
+def _pairs(counts: DataFrame, k: int) -> list[list]:
+    return [[r["value"], r["n"]] for r in top(counts, k).collect()]
+
+
+def _named(rows: DataFrame, name: str) -> dict:
+    """Rows of a small table by the text of their first column."""
+    return {str(r[name]): {c: r[c] for c in rows.columns if c != name} for r in sorted(rows.collect(), key=lambda r: r[name])}
+
+
+def _counts(rows: DataFrame) -> dict[str, int]:
+    return {str(r["value"]): r["n"] for r in sorted(rows.collect(), key=lambda r: r["value"])}
+
+
+def selection_report(rows: DataFrame, features: DataFrame, seed: int, config: dict, profile: LanguageProfile = TATAR) -> dict:
+    """Everything a reviewer of a selection asks for, as one document.
+
+    ``rows`` are the selected sentences (id, sentence, conditional_letter_count,
+    quality_penalty, quality_reasons, tatar_specific_letter_count), ``features``
+    their feature table (key, feature, n). Only top-k lists, the classes' rows
+    and distributions over small numbers reach the driver.
+    """
+    named = lambda prefix: features.where(F.col("feature").startswith(prefix + ":")).groupBy(F.substring_index("feature", ":", -1).alias("value")).agg(F.sum("n").alias("n"))
+    words, contexts, mixed = named("cond_word"), named("cond_ctx"), named("vowel_harmony_word")
+    mixed_conditional = mixed.where(F.col("value").rlike(f"[{profile.conditional}]"))
+    letters = _named(letter_coverage(rows, "id", profile), "letter")
+    for r in top_words_by_letter(rows, "id", 50, profile).orderBy("letter", "place").collect():  # 50 a letter
+        letters[r["letter"]].setdefault("top_words", []).append([r["word"], r["n"]])
+    quality = {r["name"]: r["n"] for r in quality_summary(rows).collect()}
+    behind = lambda prefix, order: {k: quality[prefix + k] for k in sorted((n.removeprefix(prefix) for n in quality if n.startswith(prefix)), key=order)}
+    head = headline(rows, profile).first()
+    one = lambda counts: saturation(counts).first().asDict()
+    specific = F.coalesce(F.col("tatar_specific_letter_count"), count_specific(F.col("sentence"), profile)) if "tatar_specific_letter_count" in rows.columns else count_specific(F.col("sentence"), profile)
+    by_source = distribution(rows, F.coalesce(F.col("id").cast("string"), F.lit("")))
+    return {
+        "selected_sentence_count": head["selected_sentence_count"],
+        "seed": seed,
+        "config": dict(config),
+        "selection_strategy": config.get("selection_strategy", "static_rank"),
+        "language_filter": config.get("language_filter", "none"),
+        "tatar_specific_letter_filter": {"min_count": int(config.get("min_tatar_specific_letters") or 0), "distribution": _counts(distribution(rows, specific))},
+        "quality_filter": {
+            "selected_with_quality_penalty": quality.get("with_penalty", 0),
+            "selected_with_artifact_reasons": quality.get("with_reasons", 0),
+            "quality_penalty_distribution": behind("penalty:", int),
+            "artifact_reason_distribution": behind("reason:", str),
+        },
+        "conditional_letter_coverage": {k: {"top_words": [], **v} for k, v in letters.items()},
+        "vowel_harmony_coverage": _named(harmony_coverage(rows, "id", profile), "harmony"),
+        "mixed_harmony_sentence_count": head["mixed_harmony_sentence_count"],
+        "mixed_harmony_conditional_sentence_count": head["mixed_harmony_conditional_sentence_count"],
+        "top_conditional_words_selected": _pairs(words, 100),
+        "top_conditional_contexts_selected": _pairs(contexts, 100),
+        "unique_conditional_words_selected": words.count(),
+        "unique_conditional_contexts_selected": contexts.count(),
+        "conditional_word_saturation": one(words),
+        "conditional_context_saturation": one(contexts),
+        "top_mixed_harmony_words_selected": _pairs(mixed, 100),
+        "top_mixed_harmony_conditional_words_selected": _pairs(mixed_conditional, 100),
+        "sentences_with_at_least_one_conditional_letter": head["with_1_conditional"],
+        "sentences_with_two_or_more_conditional_letters": head["with_2_conditional"],
+        "sentences_with_three_or_more_conditional_letters": head["with_3_conditional"],
+        "conditional_letter_count_distribution": _counts(distribution(rows, F.coalesce("conditional_letter_count", F.lit(0)))),
+        "source_count": head["source_count"],
+        "source_repetition_summary": one(by_source),
+        "top_features": _pairs(features.groupBy(F.col("feature").alias("value")).agg(F.sum("n").alias("n")), 100),
+    }
+
+
 def specific_letter_distribution(rows: DataFrame, profile: LanguageProfile = TATAR) -> DataFrame:
     return distribution(rows, count_specific(F.col("sentence"), profile))

@@ -5,53 +5,70 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lingoloom.functions.profile import TATAR, LanguageProfile
+from lingoloom.functions.text import stable_sort_key
 
 from .features import document_frequencies, weight_of
+from .ranges import running_total
 
 
-def _first(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+def _best(scores: DataFrame, cls: Column, limit: int) -> DataFrame:
+    """The best ``limit`` rows of each class by (score, sort_key), in one pass: tasks hand on no more than that."""
+    rank = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("score"), "sort_key"))
+    return scores.withColumn("cls", cls).withColumn("rank", rank).where(F.col("rank") <= limit).drop("rank", "cls")
+
+
+def _place(test: Column) -> Column:
+    """The row's place by (score, sort_key) among those that pass the test, over a bounded table."""
+    return F.sum(F.when(test, 1).otherwise(0)).over(Window.orderBy(F.desc("score"), "sort_key").rowsBetween(Window.unboundedPreceding, 0))
 
 
 def quota_selection(scores: DataFrame, target: int, conditional_ratio: float = 0.85, multi_ratio: float = 0.5) -> DataFrame:
     """The best rows of (key, score, sort_key, conditional_letter_count, ...), with rank.
 
     First rows with two conditional letters or more until the multi quota is
-    filled, then rows with one until the conditional quota is, then any. The
-    three top-k lists are bounded by ``target``; nothing is sorted as a whole.
+    filled, then rows with one until the conditional quota is, then any. Of
+    each class (none, one, more) the best ``target`` rows are picked in one
+    pass; the quotas are filled from those 3 * target rows.
     """
-    scores = scores.persist()  # three top-k lists and two counts read it
-    order = (F.desc("score"), F.col("sort_key"))
+    letters = F.col("conditional_letter_count")
     multi_quota, conditional_quota = min(target, round(target * multi_ratio)), min(target, round(target * conditional_ratio))
-    one = _first(scores.where("conditional_letter_count >= 2"), multi_quota, *order).withColumn("stage", F.lit(1))
-    n_one = one.count()
-    two = _first(scores.where("conditional_letter_count >= 1").join(one.select("key"), "key", "left_anti"), max(0, conditional_quota - n_one), *order).withColumn("stage", F.lit(2))
-    n_two = two.count()
-    rest = scores.join(one.select("key").union(two.select("key")), "key", "left_anti")
-    three = _first(rest, max(0, target - n_one - n_two), *order).withColumn("stage", F.lit(3))
-    chosen = one.unionByName(two).unionByName(three)
-    return chosen.withColumn("rank", F.row_number().over(Window.orderBy("stage", *order))).drop("stage")  # target rows at most
+    rows = _best(scores, F.least(letters, F.lit(2)), target)
+    of_all = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for stage, (test, quota) in enumerate(((letters >= 2, multi_quota), (letters >= 1, conditional_quota), (F.lit(True), target)), 1):
+        if stage == 1:
+            rows = rows.withColumn("stage", F.lit(None).cast("int")).withColumn("taken", F.lit(0))
+        free = test & F.col("stage").isNull()
+        rows = rows.withColumn("stage", F.when(free & (_place(free) <= F.greatest(F.lit(0), quota - F.col("taken"))), stage).otherwise(F.col("stage")))
+        rows = rows.withColumn("taken", F.count("stage").over(of_all))
+    rank = F.row_number().over(Window.orderBy("stage", F.desc("score"), "sort_key"))
+    return rows.where("stage is not null").withColumn("rank", rank).drop("stage", "taken")
 
 
 def shortlist(scores: DataFrame, target: int, size: int) -> DataFrame:
     """The union of four pools, best first, ``size`` rows at most.
 
     Pools: two conditional letters or more, one or more, a word with mixed
-    harmony (``mixed_harmony_count``), and all; each is a true top-k.
+    harmony (``mixed_harmony_count``), and all; each is a true top-k. The best
+    rows of the six classes that the pools are made of are picked in one pass.
     """
-    scores = scores.persist()
     limit = max(2 * target, max(1, size // 4))
-    order = (F.desc("score"), F.col("sort_key"))
-    pools = [_first(scores.where(test), limit, *order) for test in ("conditional_letter_count >= 2", "conditional_letter_count >= 1", "mixed_harmony_count >= 1", "true")]
-    union = pools[0]
-    for p in pools[1:]:
-        union = union.unionByName(p)
-    return _first(union.dropDuplicates(["key"]), size, *order)
+    letters, mixed = F.col("conditional_letter_count"), F.col("mixed_harmony_count") >= 1
+    rows = _best(scores, F.least(letters, F.lit(2)) * 2 + mixed.cast("int"), limit)
+    in_pool = [test & (_place(test) <= limit) for test in (letters >= 2, letters >= 1, mixed, F.lit(True))]
+    pooled = rows.withColumn("pooled", in_pool[0] | in_pool[1] | in_pool[2] | in_pool[3]).where("pooled").drop("pooled")
+    return pooled.orderBy(F.desc("score"), "sort_key").limit(size)
+
+
+def shuffled(rows: DataFrame, seed: int, *parts: Column) -> DataFrame:
+    """``rows`` plus place (from 1) in an order that the seed and the parts alone decide."""
+    keyed = rows.withColumn("sort_key", stable_sort_key(seed, *parts))
+    return running_total(keyed, [F.col("sort_key")], F.lit(1), "before").withColumn("place", F.col("before") + 1).drop("before", "sort_key")
 
 
 def _greedy(target: int, conditional_ratio: float, multi_ratio: float, source_penalty: float):
@@ -62,52 +79,60 @@ def _greedy(target: int, conditional_ratio: float, multi_ratio: float, source_pe
         if not frames:
             return
         items = pd.concat(frames, ignore_index=True).sort_values("sort_key", ignore_index=True)
-        ids, coefs, counts = list(items["ids"]), list(items["coefs"]), list(items["counts"])
-        used: dict[int, int] = {}
-        sources: dict[object, int] = {}
-        taken, texts, out = set(), set(), []
+        n = len(items)
+        at = np.concatenate(([0], np.cumsum(items["ids"].map(len).to_numpy())))
+        names, ids = np.unique(np.concatenate(items["ids"].to_list()), return_inverse=True)
+        coefs, counts = np.concatenate(items["coefs"].to_list()), np.concatenate(items["counts"].to_list())
+        source = np.unique(items["source"].fillna("").to_numpy(dtype=str), return_inverse=True)[1]
+        text = np.unique(items["text_key"].to_numpy(dtype=str), return_inverse=True)[1]
+        letters, keys = items["conditional_letter_count"].to_numpy(), items["key"].to_list()
+        items = frames = None
+        worn, sources = np.ones(len(names)), np.zeros(source.max() + 1)  # square roots of 1 + times chosen
+        used, taken, seen, out = np.zeros(len(names)), np.zeros(n, dtype=bool), np.zeros(text.max() + 1, dtype=bool), []
 
         def gain(i: int) -> float:
-            total = 0.0
-            for f, c in zip(ids[i], coefs[i], strict=True):
-                total += c / (1 + used.get(f, 0)) ** 0.5
-            n = sources.get(items["source"][i], 0)
-            return total / (1 + source_penalty * n) if n else total
+            some = slice(at[i], at[i + 1])
+            return (coefs[some] / worn[ids[some]]).sum() / (1 + source_penalty * sources[source[i]])
 
         for least, quota in ((2, round(target * multi_ratio)), (1, round(target * conditional_ratio)), (0, target)):
             quota = min(quota, target)
-            heap = [(-gain(i), i) for i in range(len(items)) if i not in taken and items["conditional_letter_count"][i] >= least] if len(out) < quota else []
+            if len(out) >= quota:
+                continue
+            gains = np.add.reduceat(coefs / worn[ids], at[:-1]) / (1 + source_penalty * sources[source])
+            heap = [(-gains[i], i) for i in np.flatnonzero(~taken & (letters >= least)).tolist()]
             heapq.heapify(heap)
             while heap and len(out) < quota:
                 _, i = heapq.heappop(heap)
-                if items["text_key"][i] in texts:
+                if seen[text[i]]:
                     continue
                 now = gain(i)
                 if heap and now + 1e-9 < -heap[0][0]:
                     heapq.heappush(heap, (-now, i))
                     continue
-                taken.add(i)
-                texts.add(items["text_key"][i])
-                out.append((items["key"][i], len(out) + 1, now))
-                sources[items["source"][i]] = sources.get(items["source"][i], 0) + 1
-                for f, n in zip(ids[i], counts[i], strict=True):
-                    used[f] = used.get(f, 0) + int(n)
+                taken[i] = seen[text[i]] = True
+                out.append((keys[i], len(out) + 1, float(now)))
+                sources[source[i]] += 1
+                some = ids[at[i] : at[i + 1]]
+                used[some] += counts[at[i] : at[i + 1]]
+                worn[some] = np.sqrt(1 + used[some])
         yield pd.DataFrame(out, columns=["key", "rank", "gain"])
 
     return run
 
 
-def adaptive_selection(short: DataFrame, features: DataFrame, n_sentences: int, target: int, conditional_ratio: float = 0.85, multi_ratio: float = 0.5, source_penalty: float = 0.15, profile: LanguageProfile = TATAR) -> DataFrame:
+def adaptive_selection(short: DataFrame, features: DataFrame, n_sentences: int, target: int, conditional_ratio: float = 0.85, multi_ratio: float = 0.5, source_penalty: float = 0.15, profile: LanguageProfile = TATAR, frequencies: DataFrame | None = None) -> DataFrame:
     """(key, rank, gain) chosen from a shortlist (key, source, text_key, sort_key, conditional_letter_count).
 
     A feature is worth weight * count * rarity / sqrt(1 + times chosen before),
-    a sentence less if its source was chosen before. Everything up to the
+    a sentence less if its source was chosen before. ``features`` need hold
+    only the shortlist's where ``frequencies`` (feature, df) are given, else
+    they are counted in ``features``. Everything up to the
     coefficients is distributed; the choice itself depends on all earlier ones
     and runs in one task over the shortlist, whose size the caller bounds.
     """
-    df = document_frequencies(features)
+    df = document_frequencies(features) if frequencies is None else frequencies
     rows = features.join(short.select("key"), "key", "left_semi").join(df, "feature").withColumn("weight", weight_of(F.col("feature"), profile)).where("weight > 0")
     coef = F.col("weight") * F.col("n") * (F.log((n_sentences + 1) / (F.col("df") + 1)) + 1)
     packed = rows.select("key", F.xxhash64("feature").alias("f"), coef.alias("c"), "n").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("f", "c", "n"))).alias("v"))
     packed = short.join(packed, "key").select(F.col("key").cast("string").alias("key"), F.col("source").cast("string").alias("source"), "text_key", "sort_key", "conditional_letter_count", F.col("v.f").alias("ids"), F.col("v.c").alias("coefs"), F.col("v.n").alias("counts"))
-    return packed.coalesce(1).mapInPandas(_greedy(target, conditional_ratio, multi_ratio, source_penalty), "key string, rank int, gain double")
+    return packed.repartition(1).mapInPandas(_greedy(target, conditional_ratio, multi_ratio, source_penalty), "key string, rank int, gain double")

@@ -59,13 +59,15 @@ def token_conversions(tokens: DataFrame, reviewed: DataFrame, policy: Mapping[st
 def training_pairs(samples: DataFrame, state: DataFrame, reviewed: DataFrame, policy: Mapping[str, str] = PREFERRED) -> DataFrame:
     """(id, cyrillic, zamanalif, reason, error) of every annotated Tatar sample.
 
-    reason is the first token's that isn't ready; error says that a token isn't
+    reason is the first token's that isn't ready; error says that a token has no
+    text or an unknown label, that it isn't
     in the text in order, that a word has no token, or that the result still
     holds Cyrillic letters or choices. Both are null where a pair is usable.
     """
-    tokens = labelled_tokens(samples, state)
+    tokens = labelled_tokens(samples, state, strict=True)
     converted = token_conversions(tokens, reviewed, policy)
-    per_sample = converted.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("position", "text", "zamanalif", "reason"))).alias("t"))
+    text = F.coalesce("text", F.lit("")).alias("text")
+    per_sample = converted.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("position", text, "zamanalif", "reason", "error"))).alias("t"))
     rows = samples.join(state.where("status = 'annotated' and tatar = 1").select("sample_id"), F.col("id") == F.col("sample_id")).select("id", "text").join(per_sample, F.col("id") == F.col("sample_id"), "left")
     empty = F.array().cast(per_sample.schema["t"].dataType)
     rows = rows.select("id", F.col("text").alias("cyrillic"), F.coalesce("t", empty).alias("t"))
@@ -74,8 +76,10 @@ def training_pairs(samples: DataFrame, state: DataFrame, reviewed: DataFrame, po
     gaps = F.concat(F.array_join(F.transform("a.tokens", lambda x: F.coalesce(x["gap"], F.lit(""))), "\n"), F.lit("\n"), F.col("a.rest"))
     built = F.concat(F.array_join(F.zip_with("a.tokens", "t", lambda x, y: F.concat(x["gap"], F.coalesce(y["zamanalif"], x["text"]))), ""), F.col("a.rest"))
     rows = rows.withColumn("reason", reason).withColumn("built", built)
+    invalid = F.get(F.filter("t", lambda x: x["error"].isNotNull()), F.lit(0))
     error = (
-        F.when(F.col("reason").isNotNull(), None)
+        F.when(invalid.isNotNull(), F.concat(F.lit("token "), invalid["position"].cast("string"), F.lit(": "), invalid["error"]))
+        .when(F.col("reason").isNotNull(), None)
         .when(F.exists("a.tokens", lambda x: x["start"] == 0), "token not in text")
         .when(gaps.rlike(f"[{TATAR.letters}]"), "word without token")
         .when(F.col("built").rlike(rf"\{{\{{|\}}\}}|[{TATAR.letters}]"), "unresolved text")
@@ -91,6 +95,18 @@ def manifest(samples: DataFrame, state: DataFrame, pairs: DataFrame) -> DataFram
     return counts.unionByName(made).groupBy("name").agg(F.count("*").alias("n"))
 
 
+def manifest_document(counts: DataFrame, policy: Mapping[str, str], overrides: Mapping[str, str]) -> dict:
+    """The manifest as one document: the policy in force, what was chosen otherwise, and the counts of ``manifest``."""
+    n = {r["name"]: r["n"] for r in counts.collect()}  # a row a counter
+    named = (("annotated_sentences", "annotated"), ("tatar_sentences", "tatar"), ("non_tatar_sentences_ignored", "non_tatar_ignored"), ("exported_sentences", "exported"), ("skipped_not_ready_sentences", "skipped_not_ready"))
+    return {
+        "effective_policy": dict(sorted(policy.items())),
+        "overrides": dict(sorted(overrides.items())),
+        "counts": {k: n.get(v, 0) for k, v in named},
+        "skipped_by_reason": {k.removeprefix("skipped:"): n[k] for k in sorted(n) if k.startswith("skipped:")},
+    }
+
+
 def check_reviewed(reviewed: DataFrame) -> None:
     """Raises if the dictionary holds invalid notation."""
     bad = reviewed.select("normalized_word", dsl_error(F.col("zamanalif_dsl")).alias("e")).where("e is not null").limit(5).collect()

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lingoloom.sources.tables import spread
+
 SOURCE = "abcdefghijklmnopqrstuvwxyzäöüßñçéèàáíóúêôû"
 TARGET = "абҗдефгһижклмнопәрстувүхызәөүщңцяюьәиоуюөү"
 
@@ -19,7 +21,8 @@ def bridged(text: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, text, source): pseudo-Cyrillic documents."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), bridged(F.col("text")).alias("text"), "source")
+    rows = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
+    return rows.select(F.col("doc_id").alias("id"), bridged(F.col("text")).alias("text"), "source")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,20 +11,32 @@ from lingoloom.functions.dsl import PREFERRED, policy
 from lingoloom.operators import dictionary, harvest, lexicon, report, training
 from lingoloom.operators import features as feats
 from lingoloom.operators import select as choose
-from lingoloom.functions.text import harmony_class, sentence_key, stable_sort_key, words_in
+from lingoloom.functions.sentence_quality import sentence_quality
+from lingoloom.functions.text import count_specific, harmony_class, sentence_key, stable_sort_key, words_in
 from lingoloom.sources import tables
 
 
 def _select(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = spark.read.parquet(a.candidates).where(F.col("tatar_specific_letter_count") >= a.min_specific_letters).withColumn("key", stable_sort_key(a.seed, F.col("id"), F.col("source_sentence_index"), F.col("sentence"))).dropDuplicates(["key"])
+    allowed = (count_specific(F.col("sentence")) >= a.min_specific_letters) & ~sentence_quality(F.col("sentence"))["is_artifact"]
+    rows = spark.read.parquet(a.candidates).where(allowed).withColumn("key", stable_sort_key(a.seed, F.col("id"), F.col("source_sentence_index"), F.col("sentence"))).dropDuplicates(["key"])
     n = rows.count()
-    features = feats.feature_table(rows, "key", a.min_word_frequency, a.max_word_frequency)
+    df = feats.corpus_document_frequencies(rows, a.min_word_frequency, a.max_word_frequency, weighted_only=True)
     mixed = F.size(F.filter(words_in(F.col("sentence")), lambda w: harmony_class(w) == "mixed_front_back"))
-    scores = feats.scored(features, "key", n).join(rows.select("key", F.col("id").alias("source"), "quality_penalty", sentence_key(F.col("sentence")).alias("text_key"), mixed.alias("mixed_harmony_count")), "key")
+    scores = feats.corpus_scores(rows, "key", n, df, a.min_word_frequency, a.max_word_frequency).join(rows.select("key", F.col("id").alias("source"), "quality_penalty", sentence_key(F.col("sentence")).alias("text_key"), mixed.alias("mixed_harmony_count")), "key")
     scores = scores.withColumn("score", F.col("base_score") + F.col("diversity_score") - F.col("quality_penalty")).withColumn("sort_key", F.col("key"))
-    chosen = choose.adaptive_selection(choose.shortlist(scores, a.target_size, a.shortlist_size), features, n, a.target_size, a.conditional_target_ratio, a.multi_conditional_target_ratio, a.source_penalty)
-    samples, state = tables.selected_tables(chosen.join(rows, "key"))
-    tables.write_together({"samples": samples, "preannotation_state": state}, a.output, a.force)
+    short = choose.shortlist(scores, a.target_size, a.shortlist_size).persist()  # bounded by its size
+    words = feats.word_frequencies(rows)
+    features = feats.feature_table(rows.join(short.select("key"), "key", "left_semi"), "key", a.min_word_frequency, a.max_word_frequency, words)
+    chosen = choose.adaptive_selection(short, features, n, a.target_size, a.conditional_target_ratio, a.multi_conditional_target_ratio, a.source_penalty, frequencies=df)
+    selected = rows.join(chosen, "key").join(short.select("key", "conditional_letter_count"), "key").persist()  # target_size rows
+    samples, state = tables.selected_tables(selected)
+    tables.write_together({"samples": samples, "preannotation_state": state, "selected": selected}, a.output, a.force)
+    if a.report:
+        own = feats.feature_table(selected, "key", a.min_word_frequency, a.max_word_frequency, words)
+        config = {"selection_strategy": "adaptive_greedy", "language_filter": "tatar_specific_letters", "min_tatar_specific_letters": a.min_specific_letters, "target_size": a.target_size}
+        tables.write_report(report.selection_report(selected, own, a.seed, config), a.report)
+    selected.unpersist()
+    short.unpersist()
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -46,6 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     for name, default in (("conditional-target-ratio", 0.85), ("multi-conditional-target-ratio", 0.5), ("source-penalty", 0.15)):
         c.add_argument(f"--{name}", type=float, default=default)
     c.add_argument("--force", action="store_true")
+    c.add_argument("--report")
     c = sub.add_parser("report")
     c.add_argument("--selected", required=True)
     c.add_argument("--output", required=True)
@@ -57,6 +70,9 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--sort-by", default="frequency_desc")
     c.add_argument("--include-rl", action="store_true")
     c.add_argument("--include-unknown", action="store_true")
+    c.add_argument("--track-exported", action="store_true")
+    c.add_argument("--now", default="")
+    c.add_argument("--report")
     c = sub.add_parser("annotation-import")
     c.add_argument("--db", required=True)
     c.add_argument("--input", required=True)
@@ -65,6 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--db", required=True)
     c.add_argument("--output", required=True)
     c.add_argument("--choice", action="append", default=[])
+    c.add_argument("--manifest")
     c = sub.add_parser("coverage")
     c.add_argument("--alignment", required=True)
     c.add_argument("--left", required=True)
@@ -83,20 +100,31 @@ def main(argv: list[str] | None = None) -> int:
         tables.write_together({"headline": report.headline(rows), "letters": report.letter_coverage(rows, "id"), "harmony": report.harmony_coverage(rows, "id"), "quality": report.quality_summary(rows)}, a.output, force=True)
     elif a.command == "annotation-export":
         tokens = dictionary.labelled_tokens(table("samples"), table("preannotation_state"))
-        judged = dictionary.dispositions(dictionary.word_stats(tokens), table("reviewed_words"), table("exported_words"), a.include_rl, a.include_unknown, a.min_frequency)
-        tables.write_jsonl(dictionary.review_tasks(judged, a.max_items, a.sort_by), a.output)
+        exported = table("exported_words")
+        judged = dictionary.dispositions(dictionary.word_stats(tokens), table("reviewed_words"), exported if a.track_exported else exported.limit(0), a.include_rl, a.include_unknown, a.min_frequency)
+        tasks = dictionary.review_tasks(judged, a.max_items, a.sort_by).select("number", F.struct("id", "cyrl_word", "auto_zamanalif", F.col("origin").alias("gemini_origin"), "hints_html").alias("data"))
+        tables.write_json_array(tasks, a.output, "number")
+        if a.report:
+            tables.write_report(dictionary.full_export_report(judged, tokens, table("samples").count()), a.report)
+        if a.track_exported:
+            tables.write_together({"exported_words": dictionary.exported_now(exported, judged, a.max_items, a.sort_by, a.now)}, a.db, force=True)
     elif a.command == "annotation-import":
         merged = dictionary.import_reviews(table("reviewed_words"), tables.read_review_export(spark, a.input), a.now)
         tables.write_together({"reviewed_words": merged}, a.db, force=True)
     elif a.command == "training-export":
         dictionary_table = table("reviewed_words")
         training.check_reviewed(dictionary_table)
-        pairs = training.training_pairs(table("samples"), table("preannotation_state"), dictionary_table, policy(PREFERRED, *a.choice))
+        in_force = policy(PREFERRED, *a.choice)
+        pairs = training.training_pairs(table("samples"), table("preannotation_state"), dictionary_table, in_force)
         if bad := pairs.where("error is not null").limit(5).collect():
             raise SystemExit("; ".join(f"{r.id}: {r.error}" for r in bad))
-        tables.write_together({"training": pairs.where("reason is null").select("id", "cyrillic", "zamanalif"), "manifest": training.manifest(table("samples"), table("preannotation_state"), pairs)}, a.output, force=True)
+        counts = training.manifest(table("samples"), table("preannotation_state"), pairs)
+        tables.write_together({"training": pairs.where("reason is null").select("id", "cyrillic", "zamanalif"), "manifest": counts}, a.output, force=True)
+        if a.manifest:
+            chosen = dict(c.split("=", 1) for c in a.choice)
+            tables.write_report(training.manifest_document(counts, in_force, chosen), a.manifest)
     elif a.command == "coverage":
-        pairs = lexicon.word_pairs(spark.read.parquet(a.alignment), spark.read.parquet(a.left), spark.read.parquet(a.right))
+        pairs = lexicon.distinct_pairs(lexicon.word_pairs(spark.read.parquet(a.alignment), spark.read.parquet(a.left), spark.read.parquet(a.right)))
         lexicon.coverage_summary(lexicon.coverage(pairs)).write.parquet(a.output)
     return 0
 

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lingoloom.functions import text as T
-from lingoloom.functions.dsl import COMPACT, resolutions, resolve
 from lingoloom.functions.profile import TATAR, WEIGHTS
 from lingoloom.functions.segment import document_windows
 from lingoloom.functions.sentence_quality import sentence_quality
-from lingoloom.functions.translit import PLAIN, word_dimension
+from lingoloom.functions.translit import word_dimension
 from lingoloom.operators import dictionary, harvest, lexicon, report
 from lingoloom.operators import features as feats
 from lingoloom.operators import select as choose
@@ -20,30 +17,17 @@ from lingoloom.operators.training import training_pairs
 
 from . import bridge
 from .bridge import LINES_SQL
+from .registry import QUERIES, SQL, query
 
 #: Whole texts and all their sentences; ``windows_of_documents`` has the sampled windows.
 WHOLE = harvest.HarvestConfig(exhaustive=True)
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
 W = "[А-Яа-яЁёӘәӨөҮүҖҗҢңҺһ]+"
 WORDS_SQL = f"""{LINES_SQL},
 words AS (SELECT id, n, sentence, unnest(list_transform(regexp_extract_all(sentence, '{W}'), lambda w: replace(lower(w), 'ё', 'е'))) AS word FROM lines)"""
 HARMONY_SQL = "CASE WHEN regexp_matches({0}, '[әеөүи]') AND regexp_matches({0}, '[аоуы]') THEN 'mixed_front_back' WHEN regexp_matches({0}, '[әеөүи]') THEN 'front_only' WHEN regexp_matches({0}, '[аоуы]') THEN 'back_only' ELSE 'no_vowels' END"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bridge.lines(spark, sf_dir).withColumn("key", F.concat_ws(":", "id", "n"))
 
@@ -152,17 +136,6 @@ def harvest_diagnostics(spark, sf_dir):
     return harvest.diagnostics(bridge.documents(spark, sf_dir), WHOLE)
 
 
-@query(f"""WITH {LINES_SQL}, k AS (SELECT id, n, sentence, sha256(regexp_replace(lower(trim(sentence)), '\\s+', ' ', 'g')) AS key FROM lines),
-first AS (SELECT key, min(id) AS id FROM k GROUP BY key), once AS (SELECT k.*, row_number() OVER (PARTITION BY k.id, k.key ORDER BY n) AS nth FROM k JOIN first USING (key, id)),
-capped AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n) AS place FROM once WHERE nth = 1)
-SELECT id, n::INT AS n, place::INT AS place FROM capped WHERE place <= 30""")
-def deduplicated_and_capped(spark, sf_dir):
-    k = bridge.lines(spark, sf_dir).withColumn("key", T.sentence_key(F.col("sentence")))
-    first = k.groupBy("key").agg(F.min("id").alias("id"))
-    once = k.join(first, ["key", "id"]).withColumn("nth", F.row_number().over(Window.partitionBy("id", "key").orderBy("n"))).where("nth = 1")
-    return once.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("n"))).where("place <= 30").select("id", "n", "place")
-
-
 _WEIGHTS_SQL = "CASE split_part(feature, ':', 1) " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in WEIGHTS.items()) + " ELSE 0.0::DOUBLE END"
 _LETTERS = {"к": "k", "г": "g", "в": "v", "у": "u", "ү": "ü", "е": "e", "я": "ya", "ю": "yu", "ц": "ts"}
 _NAME_SQL = "CASE c " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _LETTERS.items()) + " END"
@@ -195,13 +168,9 @@ occ AS (SELECT id, n, word, count(*) AS t FROM words GROUP BY ALL),
 features AS (SELECT id, n, feature, sum(cnt)::BIGINT AS cnt FROM (SELECT id, n, feature, t * e AS cnt FROM occ JOIN each USING (word) UNION ALL SELECT id, n, feature, 1 FROM style) GROUP BY ALL)"""
 
 
-def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feats.feature_table(_lines(spark, sf_dir), "key").persist()  # read for document frequencies and for scores
-
-
 @query(f"WITH {FEATURES_SQL} SELECT feature, count(*) AS df FROM features GROUP BY feature")
 def feature_document_frequency(spark, sf_dir):
-    return feats.document_frequencies(_features(spark, sf_dir))
+    return feats.corpus_document_frequencies(_lines(spark, sf_dir))
 
 
 _SCORES_SQL = f"""{FEATURES_SQL}, total AS (SELECT count(*) AS lines_n FROM lines), df AS (SELECT feature, count(*) AS df FROM features GROUP BY feature),
@@ -211,7 +180,7 @@ scores AS (SELECT id || ':' || n AS key, sum({_WEIGHTS_SQL} * cnt) AS base_score
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
-    return feats.scored(_features(spark, sf_dir), "key", lines.count())
+    return feats.corpus_scores(lines, "key", lines.count())
 
 
 @query(f"WITH {_SCORES_SQL} SELECT key, round(base_score, 4) AS base_score, round(diversity_score, 4) AS diversity_score, conditional_letter_count FROM scores")
@@ -231,13 +200,16 @@ def quota_selection(spark, sf_dir):
 
 @query()
 def adaptive_selection(spark, sf_dir):
+    """10,000 sentences from a shortlist of 250,000, the defaults of production."""
     lines = _lines(spark, sf_dir)
-    features, n = _features(spark, sf_dir), lines.count()
+    n = lines.count()
     mixed = F.size(F.filter(T.words_in(F.col("sentence")), lambda w: T.harmony_class(w) == "mixed_front_back"))
     meta = lines.select("key", F.col("id").alias("source"), T.sentence_key(F.col("sentence")).alias("text_key"), mixed.alias("mixed_harmony_count"))
-    scores = feats.scored(features, "key", n).join(meta, "key").withColumn("score", F.col("base_score") + F.col("diversity_score")).withColumn("sort_key", T.stable_sort_key(13, F.col("key")))
-    short = choose.shortlist(scores, 100, 1000)
-    return choose.adaptive_selection(short, features, n, 100)
+    df = feats.corpus_document_frequencies(lines, weighted_only=True)
+    scores = feats.corpus_scores(lines, "key", n, df).join(meta, "key").withColumn("score", F.col("base_score") + F.col("diversity_score")).withColumn("sort_key", T.stable_sort_key(13, F.col("key")))
+    short = choose.shortlist(scores, 10_000, 250_000).persist()  # bounded by its size; read for its sentences, their features and the choice
+    chosen = lines.join(short.select("key"), "key", "left_semi")
+    return choose.adaptive_selection(short, feats.feature_table(chosen, "key", frequencies=feats.word_frequencies(lines)), n, 10_000, frequencies=df)
 
 
 _TOKENS_SQL = f"""{WORDS_SQL}, labelled AS (SELECT word, CASE WHEN substr(md5(word), 1, 1) < 'a' THEN 'N' WHEN substr(md5(word), 1, 1) < 'd' THEN 'RL' ELSE 'U' END AS label, substr(md5(word), 2, 1) = 'f' AND substr(md5(word), 1, 1) BETWEEN 'a' AND 'c' AS homonym FROM words)"""
@@ -256,16 +228,16 @@ def word_statistics(spark, sf_dir):
     return dictionary.word_stats(_tokens(spark, sf_dir)).select("word", "frequency", "label", "homonym_count")
 
 
-def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _judged(spark: SparkSession, sf_dir: str, all_states: bool = True) -> DataFrame:
     stats = dictionary.word_stats(_tokens(spark, sf_dir))
     reviewed = stats.where(F.substring(F.md5("word"), 3, 1) == "0").select(F.col("word").alias("normalized_word"))
     exported = stats.where(F.substring(F.md5("word"), 3, 1) == "1").select(F.col("word").alias("normalized_word"))
-    return dictionary.dispositions(stats, reviewed, exported, min_frequency=2)
+    return dictionary.dispositions(stats, reviewed, exported, all_states=all_states)
 
 
 @query()
 def word_review_tasks(spark, sf_dir):
-    return dictionary.review_tasks(_judged(spark, sf_dir))
+    return dictionary.review_tasks(_judged(spark, sf_dir, all_states=False))
 
 
 @query()
@@ -273,36 +245,6 @@ def word_dispositions(spark, sf_dir):
     return _judged(spark, sf_dir).groupBy("disposition", "label").agg(F.count("*").alias("words"), F.sum("frequency").alias("tokens"))
 
 
-@query()
-def transliterated_words(spark, sf_dir):
-    return word_dimension(_words(spark, sf_dir))
-
-
-_PLAIN_SRC, _PLAIN_DST = "".join(k for k, v in PLAIN.items() if len(v) == 1), "".join(v for v in PLAIN.values() if len(v) == 1)
-
-
-@query(f"""WITH {WORDS_SQL}, w AS (SELECT DISTINCT word FROM words WHERE NOT regexp_matches(word, '[^{_PLAIN_SRC}]'))
-SELECT word, translate(word, '{_PLAIN_SRC}', '{_PLAIN_DST}') AS latin FROM w""")
-def transliterated_plain_words(spark, sf_dir):
-    from lingoloom.functions.translit import convert
-
-    plain = _words(spark, sf_dir).select("word").where(~F.col("word").rlike(f"[^{_PLAIN_SRC}]")).distinct()
-    return plain.select("word", convert(F.col("word"), "N").alias("latin"))
-
-
-_DSL = ("orfografi{{IYA|compact=ä|explicit=yä}}", "rol{{RUS_SOFT_SIGN|omit=|preserve=ʼ}}", "bu{{NATIVE_UW|plain=|glide=w}}a", "atel{{RUS_SIGN_E|glide=y|apostrophe=ʼ|apostrophe_glide=ʼy}}e")
-_DSL_CASE = "CASE doc_id % 4 " + " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(_DSL)) + " END"
-
-
-@query(f"""WITH d AS (SELECT doc_id AS id, {_DSL_CASE} AS dsl FROM documents)
-SELECT id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(dsl, '\\{{\\{{IYA\\|[^}}]*explicit=([^|}}]*)\\}}\\}}', '\\1'), '\\{{\\{{RUS_SOFT_SIGN\\|[^}}]*preserve=([^|}}]*)\\}}\\}}', '\\1'), '\\{{\\{{NATIVE_UW\\|[^}}]*glide=([^|}}]*)\\}}\\}}', '\\1'), '\\{{\\{{RUS_SIGN_E\\|glide=([^|}}]*)[^}}]*\\}}\\}}', '\\1') AS preferred,
-  regexp_replace(regexp_replace(regexp_replace(regexp_replace(dsl, '\\{{\\{{IYA\\|compact=([^|}}]*)[^}}]*\\}}\\}}', '\\1'), '\\{{\\{{RUS_SOFT_SIGN\\|omit=([^|}}]*)[^}}]*\\}}\\}}', '\\1'), '\\{{\\{{NATIVE_UW\\|plain=([^|}}]*)[^}}]*\\}}\\}}', '\\1'), '\\{{\\{{RUS_SIGN_E\\|glide=([^|}}]*)[^}}]*\\}}\\}}', '\\1') AS compact,
-  CASE WHEN id % 4 = 3 THEN 3 ELSE 2 END::INT AS spellings FROM d""")
-def resolved_choices(spark, sf_dir):
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), F.element_at(F.array(*map(F.lit, _DSL)), (F.col("doc_id") % 4 + 1).cast("int")).alias("dsl"))
-    return d.select("id", resolve(F.col("dsl")).alias("preferred"), resolve(F.col("dsl"), COMPACT).alias("compact"), F.size(resolutions(F.col("dsl"))).alias("spellings"))
-
-
 _HEADS = "upper(split_part(text, ' ', 1))"
 
 
@@ -328,20 +270,6 @@ def html_plain_text(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", T.html_text(F.col("html")).alias("plain_text"))
 
 
-@query("""WITH a AS (SELECT doc_id AS k, source AS v FROM documents WHERE doc_id % 3 = 0), b AS (SELECT doc_id AS k, lang AS v FROM documents WHERE doc_id % 2 = 0)
-SELECT k, v FROM b UNION ALL SELECT k, v FROM a WHERE k NOT IN (SELECT k FROM b)""")
-def upserted_rows(spark, sf_dir):
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return dictionary.insert_or_replace(d.where("doc_id % 3 = 0").select(F.col("doc_id").alias("k"), F.col("source").alias("v")), d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("k"), F.col("lang").alias("v")), "k")
-
-
-@query("""WITH a AS (SELECT doc_id AS k, source AS v FROM documents WHERE doc_id % 3 = 0), b AS (SELECT doc_id AS k, lang AS v FROM documents WHERE doc_id % 2 = 0)
-SELECT k, v FROM a UNION ALL SELECT k, v FROM b WHERE k NOT IN (SELECT k FROM a)""")
-def inserted_or_ignored_rows(spark, sf_dir):
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return dictionary.insert_or_ignore(d.where("doc_id % 3 = 0").select(F.col("doc_id").alias("k"), F.col("source").alias("v")), d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("k"), F.col("lang").alias("v")), "k")
-
-
 @query()
 def training_pairs_of_turns(spark, sf_dir):
     """Conversation turns as annotated samples, words that convert one way only."""
@@ -352,7 +280,6 @@ def training_pairs_of_turns(spark, sf_dir):
     return training_pairs(turns, state, reviewed)
 
 
-@query("""SELECT conv_id, count(*) AS turns, string_agg(role, '>' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id""")
-def conversation_turns(spark, sf_dir):
-    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return c.groupBy("conv_id").agg(F.count("*").alias("turns"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]), ">").alias("roles"))
+from . import dictionary_queries, report_queries, translit_queries  # noqa: E402, F401  they register themselves
+
+__all__ = ["QUERIES", "SQL"]

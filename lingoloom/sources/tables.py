@@ -37,6 +37,36 @@ def write_document(row: DataFrame, path: str) -> None:
     Path(path).write_text(json.dumps(json.loads(data), indent=2, sort_keys=True, ensure_ascii=False) + "\n")
 
 
+def write_report(report: dict, path: str) -> None:
+    """A report as an indented JSON file."""
+    Path(path).write_text(json.dumps(report, indent=2, ensure_ascii=False) + "\n")
+
+
+def write_json_array(rows: DataFrame, path: str, *order: str) -> None:
+    """One JSON array file of the rows, in order, below ``path``: lines are sorted by ranges and written by one task as they stream by."""
+    if rows.isEmpty():
+        return rows.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    lines = rows.orderBy(*order).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in order])).alias("j")) if order else rows.select(F.to_json(F.struct("*")).alias("j"))
+
+    def bracketed(frames):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        before = "["
+        for frame in frames:
+            if len(frame):
+                yield pd.DataFrame({"value": [before + frame["j"].iloc[0], *("," + j for j in frame["j"].iloc[1:])]})
+                before = ","
+        yield pd.DataFrame({"value": ["]"]})
+
+    lines.coalesce(1).mapInPandas(bracketed, "value string").write.mode("overwrite").text(path)
+
+
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` dealt over all cores when they are read in fewer splits than there are cores, as one row group is one task."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *by) if rows.rdd.getNumPartitions() < 4 * cores else rows
+
+
 def selected_tables(selected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(samples, state) of (rank, id, sentence): ids sent_000001... in rank order, all pending."""
     samples = selected.select(F.format_string("sent_%06d", "rank").alias("id"), F.col("id").cast("string").alias("source_id"), F.col("sentence").alias("text"))

@@ -6,7 +6,7 @@ import __spark_entry__
 
 def test_registry_is_consistent():
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-    assert set(sql) <= set(queries) and len(queries) > 25 and len(sql) > 15
+    assert set(sql) <= set(queries) and len(queries) > 50 and len(sql) > 45
 
 
 def test_entry_imports_without_the_training_data_operators(monkeypatch):

@@ -25,13 +25,13 @@ def split(spark, text, **options):
 
 
 SPLITS = [
-    ("Ел башында вакыт турында карар чыкты. Юл кырыенда билге бар.", ["Ел башында вакыт турында карар чыкты.", "Юл кырыенда билге бар."]),
-    ("Бу һ.б. мисаллар өчен кирәк. Икенче җөмлә дә бар.", ["Бу һ.б. мисаллар өчен кирәк.", "Икенче җөмлә дә бар."]),
-    ("Бу күрсәткеч 3.14 дәрәҗәсендә калды. Аннары яңа ел башланды.", ["Бу күрсәткеч 3.14 дәрәҗәсендә калды.", "Аннары яңа ел башланды."]),
-    ("Ул: «Юл ачык!» диде. Аннары китте.", ["Ул: «Юл ачык!» диде.", "Аннары китте."]),
-    ("Ел башында вакыт турында карар\nЮл кырыенда билге бар.", ["Ел башында вакыт турында карар", "Юл кырыенда билге бар."]),
-    ("Г. Тукай А.С. Пушкин т. д. Менә.", ["Г. Тукай А.С. Пушкин т. д. Менә."]),
-    ("Абыс. Бар.", ["Абыс. Бар."]),
+    ("Бакчада алма үсә. Безнең әби чәй эчә.", ["Бакчада алма үсә.", "Безнең әби чәй эчә."]),
+    ("Анда алма һ.б. җимеш сатыла. Без сөт алдык.", ["Анда алма һ.б. җимеш сатыла.", "Без сөт алдык."]),
+    ("Бүген һава 12.5 градус җылы. Кичә салкын иде.", ["Бүген һава 12.5 градус җылы.", "Кичә салкын иде."]),
+    ("Әби: «Тизрәк кайт!» диде. Мин йөгердем.", ["Әби: «Тизрәк кайт!» диде.", "Мин йөгердем."]),
+    ("Урман артында кечкенә күл\nБалыклар анда йөзә.", ["Урман артында кечкенә күл", "Балыклар анда йөзә."]),
+    ("Р. Алиев М.К. Сафин т. д. Шул.", ["Р. Алиев М.К. Сафин т. д. Шул."]),
+    ("Тавыс. Кил.", ["Тавыс. Кил."]),
 ]
 
 
@@ -41,9 +41,9 @@ def test_sentences(spark, text, expected):
 
 
 def test_sentence_reasons_and_offsets(spark):
-    assert split(spark, "Кыска. Ел башында вакыт турында карар чыкты.", min_chars=10) == [("Кыска.", "rejected:too_short"), ("Ел башында вакыт турында карар чыкты.", "accepted")]
+    assert split(spark, "Ярый. Урамда яңа мәктәп ачылды.", min_chars=10) == [("Ярый.", "rejected:too_short"), ("Урамда яңа мәктәп ачылды.", "accepted")]
     assert split(spark, "This is English text here.", min_chars=1)[0][1] == "rejected:non_cyrillic"
-    text = "  Ел башы <b>матур</b>.  Юл http://x.y/z бар!\n\nӘни килә. "
+    text = "  Бакча зур <b>якты</b>.  Күпер http://x.y/z якын!\n\nӘби килә. "
     row = one(spark, clean_text(F.lit(text)).alias("c"), sentences(F.lit(text), 1).alias("s"))
     assert all(row.c[s.start : s.end] == s.sentence for s in row.s) and len(row.s) == 3
     assert [s.start for s in row.s] == sorted(s.start for s in row.s)
@@ -99,6 +99,22 @@ def test_features(spark):
     assert f["ambig:mixed_harmony_e"] == 3 and all(f[f"ambig:mixed_harmony_{n}"] == 1 for n in ("g", "k", "ya", "v", "ts"))
 
 
+def test_corpus_scores_equal_those_of_the_feature_table(spark):
+    draw = random.Random(8)
+    words = ["ел", "вакыт", "килә", "бара", "гадел", "юл", "дәүләт", "шәһәр", "әни", "матур", "күрә", "сүз", "каяә", "цех"]
+    rows = spark.createDataFrame([(f"k{i:03}", " ".join(draw.choices(words, k=draw.randint(1, 12))) + draw.choice(["", ", 5", "!", " «а»"]), draw.choice(["x y", None]), draw.choice([1990, None])) for i in range(200)], "key string, sentence string, genre string, publish_year int").persist()
+    table = feats.feature_table(rows, "key").persist()
+    df = {r.feature: r.df for r in feats.document_frequencies(table).collect()}
+    assert {r.feature: r.df for r in feats.corpus_document_frequencies(rows).collect()} == df
+    weighted = {r.feature: r.df for r in feats.corpus_document_frequencies(rows, weighted_only=True).collect()}
+    assert weighted == {k: v for k, v in df.items() if not k.startswith(("cond_bigram", "cond_position"))}
+    expected = {r.key: r for r in feats.scored(table, "key", 200).collect()}
+    for r in feats.corpus_scores(rows, "key", 200).collect():
+        e = expected.pop(r.key)
+        assert (r.base_score, r.diversity_score, r.conditional_letter_count) == (pytest.approx(e.base_score), pytest.approx(e.diversity_score), e.conditional_letter_count)
+    assert not expected
+
+
 def test_harvest(spark):
     docs = spark.createDataFrame([("d1", "Әни һаман җырлый. Ел башында шәһәрдә вакыт бар. Заһир тәмам. Ел башында шәһәрдә вакыт бар. Юл турында хәбәрләр бар."), ("d2", "Ел башында шәһәрдә вакыт бар. В случае обнаружения технической ошибки заявитель представляет документы."), ("d3", None)], "id string, text string")
     config = harvest.HarvestConfig(min_chars=1, max_candidates_per_doc=2, general_keep_probability=1.0, min_specific_letters=2)
@@ -191,6 +207,44 @@ def test_word_export(spark):
     assert dictionary.export_report(judged, tokens, 4).first().total_input_sentences == 4
 
 
+def test_save_reviewed_word(spark):
+    table = spark.createDataFrame([("су", "su", "N", "old")], tables.REVIEWED)
+    assert {tuple(r)[:2] for r in dictionary.save_reviewed_word(table, "су", "suw", "N", "now").collect()} == {("су", "suw")}
+    for bad in (("Су", "su", "N"), ("", "su", "N"), ("су", "су", "N"), ("су", "su", "Q")):
+        with pytest.raises(ValueError):
+            dictionary.save_reviewed_word(table, *bad, "now")
+
+
+def test_strict_tokens_are_errors(spark):
+    samples = spark.createDataFrame([("a", "a", "Мин су"), ("b", "b", "Су"), ("c", "c", "Су")], tables.SAMPLES)
+    tokens = [("a", '[{"text":"Мин","label":"N"},{"text":"су","label":"Q"}]'), ("b", '{"text":"Су"}'), ("c", '[{"label":"N"}]')]
+    state = spark.createDataFrame([(i, "annotated", 1, t, 1, None, None) for i, t in tokens], tables.STATE)
+    reviewed = spark.createDataFrame([("су", "su"), ("мин", "min")], "normalized_word string, zamanalif_dsl string")
+    got = {r.id: r.error for r in training.training_pairs(samples, state, reviewed).collect()}
+    assert got == {"a": "token 1: invalid label", "b": "token -1: tokens aren't a list", "c": "token 0: invalid text"}
+    document = training.manifest_document(training.manifest(samples, state, training.training_pairs(samples, state, reviewed)), {"IYA": "compact"}, {"IYA": "compact"})
+    assert document["counts"]["annotated_sentences"] == 3 and document["effective_policy"] == {"IYA": "compact"}
+
+
+def test_selection_report(spark):
+    rows = spark.createDataFrame([("a", "k1", "Ел килә", 2, 0.0, ""), ("b", "k2", "гадел юл", 3, 30.0, "markdown")], "id string, key string, sentence string, conditional_letter_count int, quality_penalty double, quality_reasons string")
+    made = report.selection_report(rows, feats.feature_table(rows, "key", 1), 13, {"min_tatar_specific_letters": 2})
+    assert made["selected_sentence_count"] == 2 and made["source_count"] == 2 and made["quality_filter"]["artifact_reason_distribution"] == {"markdown": 1}
+    assert made["quality_filter"]["quality_penalty_distribution"] == {"0": 1, "25": 1} and made["conditional_letter_count_distribution"] == {"2": 1, "3": 1}
+    assert made["conditional_letter_coverage"]["е"]["top_words"][0][1] == 1 and made["vowel_harmony_coverage"]["front_only"]["word_count"] == 2
+    assert ["гадел", 1] in made["top_mixed_harmony_words_selected"] and made["sentences_with_three_or_more_conditional_letters"] == 1 and len(made) == 26
+    json.dumps(made)
+
+
+def test_json_array_file(spark, tmp_path):
+    rows = spark.createDataFrame([(i, {"id": f"w{i}"}) for i in range(25)], "number long, data map<string,string>").repartition(5)
+    tables.write_json_array(rows, f"file://{tmp_path}/tasks", "number")
+    (part,) = list((tmp_path / "tasks").glob("part-*"))
+    assert json.loads(part.read_text()) == [{"data": {"id": f"w{i}"}} for i in range(25)]
+    tables.write_json_array(rows.limit(0), f"file://{tmp_path}/none", "number")
+    assert json.loads(next((tmp_path / "none").glob("part-*")).read_text()) == []
+
+
 def test_training_pairs(spark):
     rows = [("a", True, [("Орфография", "RL"), ("һәм", "N"), ("ШӘҺӘР", "N")]), ("b", True, [("Сер", "RL"), ("калды", "N")]), ("c", True, [("Гадел", "N"), ("килде", "N")]), ("d", True, [("МИН", "N"), ("шат", "N")])]
     samples, state = _tables(spark, rows)

@@ -4,12 +4,14 @@ from pyspark.sql import functions as F
 from lingoloom.functions.dsl import COMPACT, PREFERRED, choices, dsl_error, policy, resolutions, resolve, segments, serialised
 from lingoloom.functions.translit import convert, convert_dsl, suggestion, word_dimension
 
+# fixed values: words and the spellings that a conversion must give
 PLAIN = [
     ("вакыт", "N", "waqıt"), ("китап", "N", "kitap"), ("мәктәп", "N", "mäktäp"), ("гасыр", "N", "ğasır"), ("гөл", "N", "göl"), ("сөйләү", "N", "söyläw"), ("шәһәр", "N", "şähär"),
     ("сыр", "RL", "sıyr"), ("роль", "RL", "rolʼ"), ("шофёр", "RL", "şofyor"), ("борщ", "RL", "borşç"), ("цинк", "RL", "sink"), ("пицца", "RL", "pitsa"), ("орфография", "RL", "orfografiä"),
     ("әдәбият", "N", "ädäbiät"), ("киловатт-сәгәт", "RL", "kilovatt-säğät"), ("җәмгыят", "N", "cämğiyät"), ("мияубикә", "N", "miyawbikä"), ("к", "N", ""), ("белән", "N", "belän"), ("авыл", "N", "awıl"), ("авыл", "RL", "avıl"), ("к", "RL", "k"), ("", "N", ""),
     ("немец", "RL", "nemets"), ("ташлап", "N", "taşlap"), ("китәргә", "N", "kitärgä"), ("ташларга", "N", "taşlarğa"), ("тартырга", "N", "tartırğa"), ("вакытында", "N", "waqıtında"), ("гадел", "N", "ğädel"),
 ]
+# fixed values: words and their choices
 MARKED = [
     ("орфография", "RL", "orfografi{{IYA|compact=ä|explicit=yä}}"),
     ("әдәбият", "N", "ädäbi{{IYA|compact=a|explicit=ya}}t"),
