@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lingoloom.functions import text as T
-from lingoloom.functions.dsl import choice
+from lingoloom.functions.dsl import RULES, choice
 from lingoloom.functions.profile import LATIN_ALPHABET
 from lingoloom.functions.translit import AFTER_TS, MONTHS, NATIVE_FRAGMENTS, NATIVE_PREFIXES, PLAIN, convert, word_dimension
+from lingoloom.operators import dictionary
+from lingoloom.operators.training import training_pairs
 
 from . import bridge
 from .registry import query
@@ -20,11 +22,12 @@ W = "[А-Яа-яЁёӘәӨөҮүҖҗҢңҺһ]+"
 
 
 def stemmed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(word): every distinct word of the documents, and each again behind a stem of the lexicon that its hash names."""
+    """(word): every distinct word of the documents, half of them behind a stem of the lexicon that their hashes name, and the stems."""
     words = bridge.lines(spark, sf_dir).select(F.explode(T.words_in(F.col("sentence"))).alias("word")).distinct()
     nth = (F.conv(F.substring(F.md5("word"), 1, 6), 16, 10).cast("int") % len(LEXICON)) + 1
     stem = F.element_at(F.array(*map(F.lit, LEXICON)), nth)
-    return words.select(F.explode(F.array("word", F.concat(stem, "word"), stem)).alias("word")).distinct()
+    own = F.when(F.substring(F.md5("word"), 7, 1) < "8", F.concat(stem, "word")).otherwise(F.col("word"))
+    return words.select(F.explode(F.array(own, stem)).alias("word")).distinct()
 
 
 def _list(values: tuple) -> str:
@@ -78,8 +81,8 @@ _LOAN = f"""CASE c
 WORDS_SQL = f"""{bridge.LINES_SQL},
 plain_words AS (SELECT DISTINCT unnest(list_transform(regexp_extract_all(sentence, '{W}'), lambda w: replace(lower(w), 'ё', 'е'))) AS word FROM lines),
 stems AS (SELECT word, {_list(LEXICON)}[1 + ('0x' || substr(md5(word), 1, 6))::INT % {len(LEXICON)}] AS stem FROM plain_words),
-w AS (SELECT word FROM stems UNION SELECT stem || word FROM stems UNION SELECT stem FROM stems),
-harmonies AS (SELECT word, CASE WHEN regexp_matches(word, '[{FRONT}]') AND regexp_matches(word, '[{BACK}]') THEN 'mixed_front_back' WHEN regexp_matches(word, '[{FRONT}]') THEN 'front_only' WHEN regexp_matches(word, '[{BACK}]') THEN 'back_only' ELSE 'no_vowels' END AS harmony FROM w),
+w AS (SELECT CASE WHEN substr(md5(word), 7, 1) < '8' THEN stem || word ELSE word END AS word FROM stems UNION SELECT stem FROM stems)"""
+CONVERTED_SQL = f"""harmonies AS (SELECT word, CASE WHEN regexp_matches(word, '[{FRONT}]') AND regexp_matches(word, '[{BACK}]') THEN 'mixed_front_back' WHEN regexp_matches(word, '[{FRONT}]') THEN 'front_only' WHEN regexp_matches(word, '[{BACK}]') THEN 'back_only' ELSE 'no_vowels' END AS harmony FROM w),
 letters AS (SELECT word, harmony, i, substr(word, i, 1) AS c, substr(word, 1, i - 1) AS b, substr(word, i + 1) AS a FROM (SELECT *, unnest(generate_series(1, length(word))) AS i FROM harmonies)),
 vowels AS (SELECT *, coalesce(nullif(regexp_extract(b, '([{_V}])[^{_V}-]*$', 1), ''), regexp_extract(a, '^[^{_V}-]*([{_V}])', 1)) AS v FROM letters),
 contexts AS (SELECT *, CASE WHEN v = '' THEN '' WHEN contains('{FRONT}э', v) THEN 'front' ELSE 'back' END AS near,
@@ -95,7 +98,7 @@ surnames AS (SELECT *, CASE WHEN regexp_matches(word, '^(гәлим|гилем)'
 converted AS (SELECT word, n_bare, l_bare, CASE WHEN regexp_full_match(n_full, '[{LATIN_ALPHABET.replace("-", "")}—-]+') THEN n_full ELSE '' END AS native, CASE WHEN regexp_full_match(l_lex, '[{LATIN_ALPHABET.replace("-", "")}—-]+') THEN l_lex ELSE '' END AS loan FROM surnames)"""
 
 
-@query(f"WITH {WORDS_SQL} SELECT word, native, loan FROM converted")
+@query(f"WITH {WORDS_SQL}, {CONVERTED_SQL} SELECT word, native, loan FROM converted")
 def converted_words(spark, sf_dir):
     """Native and loan conversions of every word, letter by letter and by the lexical conventions."""
     w = F.col("word")
@@ -104,10 +107,14 @@ def converted_words(spark, sf_dir):
 
 #: A character that stands for each choice until the end, so that no later step reads its text.
 _CHOICES: dict[str, str] = {}
+#: What each choice resolves to by default.
+_PREFERRED: dict[str, str] = {}
 
 
 def _mark(rule: str, options: tuple[tuple[str, str], ...] | None = None) -> str:
-    return _CHOICES.setdefault(choice(rule, options), chr(0xE000 + len(_CHOICES)))
+    text = choice(rule, options)
+    _PREFERRED[text] = dict(options or RULES[rule].options)[RULES[rule].default]
+    return _CHOICES.setdefault(text, chr(0xE000 + len(_CHOICES)))
 
 
 def _count(text: str, what: str) -> str:
@@ -182,7 +189,7 @@ _SIGN_MARKS = f"""CASE WHEN c IN ('ь', 'ъ') AND following = 'е' THEN '{_mark(
   WHEN c = 'е' AND before_c IN ('ь', 'ъ') THEN 'e' ELSE l_piece END"""
 _VOWEL = f"regexp_matches(following, '^[{FRONT}{BACK}]')"
 
-CHOICES_SQL = f"""{WORDS_SQL},
+CHOICES_SQL = f"""{CONVERTED_SQL},
 neighbours AS (SELECT *, substr(a, 1, 1) AS following, right(b, 1) AS before_c, lag(l_piece) OVER (PARTITION BY word ORDER BY i) AS before_l FROM pieces),
 marked_letters AS (SELECT word,
   string_agg(n_piece || CASE WHEN (c = 'у' AND {_VOWEL} AND following <> 'е') OR (c IN ('ү', 'ю') AND {_VOWEL}) THEN '{_mark('NATIVE_UW')}' ELSE '' END, '' ORDER BY i) AS uw,
@@ -216,7 +223,64 @@ dimension AS (SELECT word, {_written('native_marked')} AS native_dsl, {_written(
 states AS (SELECT *, CASE WHEN native_dsl = '' OR loanword_dsl = '' THEN 'unconvertible' WHEN native_dsl = loanword_dsl THEN 'origin_independent' ELSE 'origin_dependent' END AS state FROM dimension)"""
 
 
-@query(f"WITH {CHOICES_SQL} SELECT word, native_dsl, loanword_dsl, state FROM states")
+@query(f"WITH {WORDS_SQL}, {CHOICES_SQL} SELECT word, native_dsl, loanword_dsl, state FROM states")
 def transliterated_words(spark, sf_dir):
     """Both conversions of every word in choice notation."""
     return word_dimension(stemmed_words(spark, sf_dir))
+
+
+# what rests on both conversions: dispositions, review tasks, training pairs
+
+
+def _resolved(column: str) -> str:
+    for text, option in _PREFERRED.items():
+        column = f"replace({column}, '{text}', '{option}')"
+    return column
+
+
+_JUDGED_SQL = f"""{bridge.LINES_SQL},
+occurrences AS (SELECT unnest(list_transform(regexp_extract_all(sentence, '{W}'), lambda w: replace(lower(w), 'ё', 'е'))) AS word FROM lines),
+stats AS (SELECT word, count(*) AS frequency, CASE WHEN substr(md5(word), 1, 1) < 'a' THEN 'N' WHEN substr(md5(word), 1, 1) < 'd' THEN 'RL' ELSE 'U' END AS label, substr(md5(word), 2, 1) = 'f' AND substr(md5(word), 1, 1) BETWEEN 'a' AND 'c' AS homonym FROM occurrences GROUP BY word),
+w AS (SELECT word FROM stats),
+{CHOICES_SQL},
+judged AS (SELECT s.*, native_dsl, loanword_dsl, state, CASE WHEN homonym THEN 'homonym' WHEN substr(md5(word), 3, 1) = '0' THEN 'reviewed' WHEN substr(md5(word), 3, 1) = '1' THEN 'already_exported' WHEN label = 'N' AND harmony = 'mixed_front_back' THEN 'mixed_harmony' WHEN state = 'origin_independent' THEN 'origin_independent' ELSE 'keep' END AS disposition FROM stats s JOIN states USING (word) JOIN harmonies USING (word))"""
+
+
+def _judged(spark: SparkSession, sf_dir: str, all_states: bool) -> DataFrame:
+    label = bridge.label(F.col("text"))
+    tokens = bridge.lines(spark, sf_dir).select(F.concat_ws(":", "id", "n").alias("sample_id"), F.posexplode(T.words_in(F.col("sentence"))).alias("position", "text"))
+    stats = dictionary.word_stats(tokens.withColumn("label", label).withColumn("homonym", (label == "RL") & (F.substring(F.md5("text"), 2, 1) == "f")))
+    of = lambda d: stats.where(F.substring(F.md5("word"), 3, 1) == d).select(F.col("word").alias("normalized_word"))
+    return dictionary.dispositions(stats, of("0"), of("1"), all_states=all_states)
+
+
+@query(f"WITH {_JUDGED_SQL} SELECT disposition, label, state, count(*) AS words, sum(frequency)::BIGINT AS tokens FROM judged GROUP BY ALL")
+def word_dispositions(spark, sf_dir):
+    return _judged(spark, sf_dir, True).groupBy("disposition", "label", "state").agg(F.count("*").alias("words"), F.sum("frequency").alias("tokens"))
+
+
+_HINTS = "'<ul><li>origin: ' || label || '</li><li>conversions: ' || state || '</li><li>letters: ' || coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(word, '[уүгквяюецёыьъщ]'))), ', '), '') || '</li><li>frequency: ' || frequency || '</li></ul>'"
+
+
+@query(f"""WITH {_JUDGED_SQL}, kept AS (SELECT *, row_number() OVER (ORDER BY frequency DESC, word) AS number FROM judged WHERE disposition = 'keep')
+SELECT number, word, printf('word_%06d', number) AS id, word AS cyrl_word, CASE label WHEN 'N' THEN native_dsl WHEN 'RL' THEN loanword_dsl ELSE '' END AS auto_zamanalif, label AS origin, frequency, {_HINTS} AS hints_html FROM kept""")
+def word_review_tasks(spark, sf_dir):
+    """Words to review, most frequent first, numbered."""
+    return dictionary.review_tasks(_judged(spark, sf_dir, False))
+
+
+@query(f"""WITH turns AS (SELECT conv_id || ':' || turn AS id, translate(lower(coalesce(text, '')), '{bridge.SOURCE}', '{bridge.TARGET}') AS text FROM conversations),
+cut AS (SELECT id, text, regexp_extract_all(text, '{W}') AS words, string_split_regex(text, '{W}') AS gaps FROM turns),
+tokens AS (SELECT id, unnest(words) AS word, unnest(gaps[1:len(words)]) AS gap, unnest(generate_series(1, len(words))) AS k FROM cut),
+w AS (SELECT DISTINCT word FROM tokens),
+{CHOICES_SQL},
+ready AS (SELECT id, k, gap, CASE WHEN harmony = 'mixed_front_back' THEN 'mixed_harmony_word' WHEN native_dsl <> loanword_dsl OR native_dsl = '' THEN 'unreviewed_word' END AS reason, {_resolved('native_dsl')} AS latin FROM tokens JOIN states USING (word) JOIN harmonies USING (word)),
+built AS (SELECT id, arg_min(reason, k) FILTER (reason IS NOT NULL) AS reason, string_agg(gap || latin, '' ORDER BY k) AS latin FROM ready GROUP BY id)
+SELECT c.id, c.text AS cyrillic, CASE WHEN b.reason IS NULL THEN coalesce(b.latin, '') || gaps[len(gaps)] END AS zamanalif, b.reason, NULL::VARCHAR AS error FROM cut c LEFT JOIN built b USING (id)""")
+def training_pairs_of_turns(spark, sf_dir):
+    """Conversation turns as annotated samples, words that convert one way only."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.concat_ws(":", "conv_id", "turn").alias("id"), bridge.bridged(F.col("text")).alias("text"))
+    words = F.regexp_extract_all("text", F.lit(W), F.lit(0))
+    state = turns.select(F.col("id").alias("sample_id"), F.lit("annotated").alias("status"), F.lit(1).alias("tatar"), F.to_json(F.transform(words, lambda w: F.struct(w.alias("text"), F.lit("N").alias("label")))).alias("tokens_json"))
+    reviewed = spark.createDataFrame([], "normalized_word string, zamanalif_dsl string")
+    return training_pairs(turns, state, reviewed)
