@@ -129,8 +129,9 @@ def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text
     scratch.drop(wanted, bodies)
     # the first occurrence of each component; a line without a link is its own
     members = distinct.select("id", "name", "first").join(roots, "id")
-    best = members.groupBy("root").agg(F.min("first").alias("best"))
-    best = members.join(best, "root").select("name", F.col("best").alias("kept_at"))
+    linked_lines = roots.count()
+    best = members.groupBy("root").agg(F.min("first").alias("best"), (F.count("*") * 1000 > linked_lines).alias("frequent"))
+    best = join_split(members, best, "root").select("name", F.col("best").alias("kept_at"))
     total = lines.count()
     firsts = distinct.select("name", "first", "n").join(best, "name", "left").where("n > 1 or kept_at <> first")
     firsts = scratch.save(firsts.select("name", F.coalesce("kept_at", "first").alias("kept_at"), (F.col("n") * 1000 > total).alias("frequent")))

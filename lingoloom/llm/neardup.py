@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lingoloom.operators.ranges import join_split
+
 from .hashing import MinHash, blocks, digest, word_shingles
 from .linking import BROADCAST_BYTES, FOREST, fetch, index_rows, linked, regions
 from .scratch import Scratch
@@ -73,8 +75,9 @@ def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     roots = linked(groups, crowded, sets, percent, scratch, unpacked)
     scratch.drop(wanted, sets)
     members = distinct.select("id", "name", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    smallest = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    judged = members.join(smallest, "root").select("name", "component_id")
+    total = distinct.count()
+    smallest = members.groupBy("root").agg(F.min("doc_id").alias("component_id"), (F.count("*") * 1000 > total).alias("frequent"))
+    judged = join_split(members, smallest, "root").select("name", "component_id")
     out = named.drop("signature").join(judged, "name", "left")
     component = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "home", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
