@@ -15,9 +15,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Words of the windows in which repetition is sought.
 SPAN = 8
-#: Character classes of the histogram; all other characters are a class of their own. Small letters come first: the others are sought in what they leave.
-CLASSES = (("lower", r"[\p{Ll}\p{Lo}]+"), ("upper", r"\p{Lu}+"), ("digit", r"[0-9]+"), ("point", r"""[.,;:!?'"()\-]+"""), ("blank", r"[\x20\x09-\x0D]+"), ("symbol", f"[{SYMBOLS}]+"))
-BLANK, SYMBOL = 4, 5
+#: Character classes of the histogram; all other characters are a class of their own. Each is sought in what the ones before it leave.
+CLASSES = ("lower", "blank", "upper", "digit", "point", "symbol")
+LOWER = r"[\p{Ll}\p{Lo}]+"
+RARE = (r"\p{Lu}+", r"[0-9]+", r"""[.,;:!?'"()\-]+""", f"[{SYMBOLS}]+")
+BLANK, SYMBOL = 1, 5
 #: A word is common when it has this share of its language's words; a language then has 100 such words at most.
 COMMON = 0.01
 #: Words from which a language has a reference of its own; texts of others are compared with the whole corpus.
@@ -73,9 +75,9 @@ def base_counts(docs: DataFrame) -> DataFrame:
 def class_counts(text: Column) -> Column:
     """array<double>: characters of each of CLASSES, then all others."""
     n = F.length(text)
-    left = F.regexp_replace(text, CLASSES[0][1], "")
-    others = lambda r: [F.length(r) - F.length(F.regexp_replace(r, p, "")) for _, p in CLASSES[1:]]
-    counts = _let(left, lambda r: F.array(*[c.cast("double") for c in (n - F.length(r), *others(r))]))
+    unspaced = lambda r: F.regexp_replace(F.replace(F.replace(r, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")), r"[\x09-\x0D]+", "")
+    of = lambda r, s: [n - F.length(r), F.length(r) - F.length(s), *(F.length(s) - F.length(F.regexp_replace(s, p, "")) for p in RARE)]
+    counts = _let(F.regexp_replace(text, LOWER, ""), lambda r: _let(unspaced(r), lambda s: F.array(*[c.cast("double") for c in of(r, s)])))
     return _let(counts, lambda a: F.concat(a, F.array(n - F.aggregate(a, F.lit(0.0), lambda x, y: x + y))))
 
 

@@ -106,7 +106,7 @@ def _distance(p, q):
 
 
 def _classes(text):
-    counts = [len(regex.findall(c, text)) for c in (r"[\p{Ll}\p{Lo}]", r"\p{Lu}", r"[0-9]", r"""[.,;:!?'"()\-]""", r"[\x20\x09-\x0D]", r"[#*$%&|<>]")]
+    counts = [len(regex.findall(c, text)) for c in (r"[\p{Ll}\p{Lo}]", r"[\x20\x09-\x0D]", r"\p{Lu}", r"[0-9]", r"""[.,;:!?'"()\-]""", r"[#*$%&|<>]")]
     return [*counts, len(text) - sum(counts)]
 
 
