@@ -24,8 +24,8 @@ from .scratch import Scratch
 
 #: Members of a region that are all compared with each other; a region with more is crowded.
 SMALL = 32
-#: Edges that may meet in one task.
-HUBS = 1_000_000
+#: Edges that may meet in one task, edges that a task writes.
+HUBS, EDGES = 1_000_000, 50_000
 #: Pairs that a crowded region may take to be compared in full; one that takes more is indexed deeper.
 FULL = 1 << 20
 #: Trees and values a tree for what is crowded, level by level: recall 0.9999 and 0.9998 at a similarity of 0.8.
@@ -175,7 +175,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     few joins. Of more than HUBS edges, ids with a thousandth of all are joined
     by a broadcast, not in one task.
     """
-    now = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"))
+    now = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").coalesce(1 + edges.count() // EDGES))
     while True:
         ends = now.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(now.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
         if ends.groupBy("u").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or (up > 0 and down > 0)").isEmpty():
@@ -188,7 +188,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         large = met.select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        after = scratch.save(small)
+        after = scratch.save(small.coalesce(1 + n // EDGES))  # what the last exchange dealt out, of about EDGES edges a task
         scratch.drop(now)
         now = after
 
