@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from .linking import fetch
 from .scratch import Scratch
 
-#: Characters in a gram, grams in a window (powers of two): a run of GRAM + WINDOW - 1 = 47 shared characters is always noticed.
-GRAM, WINDOW = 16, 32
+#: A token is a word of up to 24 characters, or a character of a longer run, so unspaced scripts, code and keys have grams at every place.
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,24}+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
+#: Tokens in a gram, grams in a window (powers of two): a run of GRAM + WINDOW - 1 = 11 shared tokens is always noticed.
+GRAM, WINDOW = 4, 8
 #: Windows of a text that are looked at together; longer texts are read in overlapping segments, so arrays stay small.
-SEGMENT = 1 << 15
+SEGMENT = 1 << 14
 #: 32 bits of hash above 31 bits that fall as the position rises: the least is the rightmost of equal hashes.
 _PLACES = (1 << 31) - 1
 #: Modulus (a prime) and base of the rolling hash: values below 2**31, products below 2**62.
@@ -33,15 +35,13 @@ def _ahead(values: Column, by: int, join: Callable[[Column, Column], Column]) ->
     return _let(values, lambda v: F.zip_with(F.slice(v, 1, F.size(v) - by), F.slice(v, 1 + by, F.size(v) - by), join))
 
 
-def _grams(chars: Column, offset: Column) -> Column:
-    """An entry for every run of GRAM of the characters: hash above place.
+def _grams(tokens: Column, offset: Column) -> Column:
+    """An entry for every run of GRAM of the tokens' hashes: hash above place.
 
-    The hash is the polynomial of the characters' pairs modulo a prime. That of
-    2s characters is rolled up from the hashes of s characters, so a gram costs
-    four steps instead of sixteen.
+    The hash is the polynomial of the tokens modulo a prime. That of 2s tokens
+    is rolled up from the hashes of s tokens.
     """
-    value = _ahead(chars, 1, lambda a, b: F.shiftrightunsigned(F.xxhash64(a, b), 33))
-    size = 2
+    value, size = tokens, 1
     while size < GRAM:
         value = _ahead(value, size, _rolled(pow(_BASE, size, _PRIME)))
         size *= 2
@@ -74,21 +74,22 @@ def winnow(text: Column) -> Column:
     """array<bigint>: of every window of grams the one with the least hash, the rightmost among equals, each once, by position.
 
     Each entry holds the hash above the position (``hash_of``, ``position_of``).
-    A text with fewer characters than a gram has one gram, one with fewer grams
-    than a window has one window, and one without characters has no entry.
+    A text with fewer tokens than a gram has one gram, one with fewer grams
+    than a window has one window, and one without tokens has no entry.
     """
+    tokens = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)), lambda t: F.shiftrightunsigned(F.xxhash64(t), 33))
 
-    def segment(t: Column, j: Column) -> Column:
-        chars = F.split(F.substring(t, (j * SEGMENT + 1).cast("int"), F.lit(SEGMENT + GRAM + WINDOW - 2)), "")
-        return _let(_grams(chars, j * SEGMENT), _least)
+    def segment(h: Column, j: Column) -> Column:
+        return _let(_grams(F.slice(h, j * SEGMENT + 1, F.lit(SEGMENT + GRAM + WINDOW - 2)), j * SEGMENT), _least)
 
-    def whole(t: Column) -> Column:
-        n = F.length(t)
+    def whole(h: Column) -> Column:
+        n = F.size(h)
         windows = F.greatest(n - (GRAM + WINDOW - 2), F.lit(1))
-        parts = F.transform(F.sequence(F.lit(0), F.floor((windows - 1) / SEGMENT).cast("int")), lambda j: segment(t, j))
-        return F.when(n == 0, F.array().cast("array<bigint>")).when(n < GRAM, F.array(_entry(F.xxhash64(t), F.lit(0)))).otherwise(_changes(F.flatten(parts)))
+        parts = F.transform(F.sequence(F.lit(0), F.floor((windows - 1) / SEGMENT).cast("int")), lambda j: segment(h, j))
+        short = F.aggregate(h, F.lit(0).cast("long"), _rolled(_BASE))
+        return F.when(n == 0, F.array().cast("array<bigint>")).when(n < GRAM, F.array(_entry(short, F.lit(0)))).otherwise(_changes(F.flatten(parts)))
 
-    return _let(F.coalesce(text, F.lit("")), whole)
+    return _let(tokens, whole)
 
 
 def hash_of(entry: Column) -> Column:
@@ -96,7 +97,7 @@ def hash_of(entry: Column) -> Column:
 
 
 def position_of(entry: Column) -> Column:
-    """The gram's first character, from 0."""
+    """The gram's first token, from 0."""
     return F.lit(_PLACES - 1) - entry.bitwiseAND(_PLACES)
 
 

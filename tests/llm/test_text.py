@@ -274,20 +274,23 @@ def test_mixing_of_odd_rows(odd, nothing):
     assert mix_sources(nothing).count() == 0
 
 
-def _gram(text, at):
-    """The rolling hash of GRAM characters, as its definition says: pairs, then a polynomial of them."""
+def _polynomial(tokens):
+    """The rolling hash of some tokens, as its definition says, named once more."""
     value = 0
-    for i in range(at, at + GRAM, 2):
-        pair = xxhash.xxh64_intdigest(text[i + 1].encode(), xxhash.xxh64_intdigest(text[i].encode(), 42)) >> 33
-        value = (value * _BASE**2 + pair) % _PRIME
+    for t in tokens:
+        value = (value * _BASE + (xxhash.xxh64_intdigest(t.encode(), 42) >> 33)) % _PRIME
     return xxhash.xxh64_intdigest(value.to_bytes(8, "little"), 42) >> 33
 
 
+def _tokens(text):
+    return [t for run in WORDS.findall(text) for t in ([run] if len(run) <= 24 else run)]
+
+
 def _winnow(text):
-    if len(text) < GRAM:
-        whole = xxhash.xxh64_intdigest(text.encode(), 42)
-        return f"{xxhash.xxh64_intdigest(whole.to_bytes(8, 'little'), 42) >> 33}:0" if text else ""
-    grams = [(_gram(text, i), -i) for i in range(len(text) - GRAM + 1)]
+    tokens = _tokens(text)
+    if len(tokens) < GRAM:
+        return f"{_polynomial(tokens)}:0" if tokens else ""
+    grams = [(_polynomial(tokens[i : i + GRAM]), -i) for i in range(len(tokens) - GRAM + 1)]
     picked = {min(grams[i : i + WINDOW]) for i in range(max(1, len(grams) - WINDOW + 1))}
     return ",".join(f"{h}:{-i}" for h, i in sorted(picked, key=lambda x: -x[1]))
 
@@ -307,14 +310,18 @@ def test_fingerprints_match_brute_force(spark):
 
 
 def test_a_shared_run_is_noticed_at_any_offset(spark):
-    """47 shared characters, unspaced, wherever they begin: one hash at least is common."""
+    """GRAM + WINDOW - 1 shared characters of an unspaced run, wherever they begin, and as many words: one hash at least is common."""
     draw = random.Random(4)
     run = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789漢字かな", k=GRAM + WINDOW - 1))
     noise = lambda n: "".join(draw.choices("ABCDEFGHIJ", k=n))
-    rows = [(i, noise(i) + run + noise(draw.randrange(80))) for i in range(60)]
+    rows = [(i, noise(25 + i) + run + noise(draw.randrange(80))) for i in range(60)]
     found = spark.createDataFrame(rows, "i int, text string").select("i", F.transform(winnow(F.col("text")), lambda e: F.struct(hash_of(e), position_of(e))).alias("w")).collect()
     hashes = {r.i: {e[0] for e in r.w} for r in found}
     assert all(hashes[a] & hashes[b] for a in hashes for b in hashes)
+    words = " ".join(noise(5) for _ in range(GRAM + WINDOW - 1))
+    rows = [(i, " ".join(noise(4) for _ in range(i)) + f" {words} " + " ".join(noise(6) for _ in range(9))) for i in range(20)]
+    found = spark.createDataFrame(rows, "i int, text string").select("i", F.transform(winnow(F.col("text")), hash_of).alias("w")).collect()
+    assert all(set(a.w) & set(b.w) for a in found for b in found)
 
 
 def test_a_character_in_front_keeps_nearly_all_hashes(spark):
