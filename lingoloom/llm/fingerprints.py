@@ -20,8 +20,8 @@ SEGMENT = 1 << 14
 _PLACES = (1 << 31) - 1
 #: Modulus (a prime) and base of the rolling hash: values below 2**31, products below 2**62.
 _PRIME, _BASE = (1 << 31) - 1, 1_103_515_245
-#: Bytes of text in a range of documents, about.
-RANGE_BYTES = 4 << 20
+#: Bytes of text in a range of documents, ranges in a task, about.
+RANGE_BYTES, TOGETHER = 8 << 20, 4
 _LOWEST = -(1 << 63)
 
 
@@ -143,7 +143,7 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     before = scratch.save(firsts.withColumn("before", F.lead("part").over(within)).join(ends, "thousand").select("part", "key", "hash", F.coalesce("before", "end").alias("before")))
     tail = fetch(docs.select("text", "part", "key", "hash"), before, ["part", "key", "hash"], 32).groupBy("before").agg(F.min("text").alias("text"))
     tail = tail.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("hash"), F.col("before").alias("part"), F.lit(True).alias("border"))
-    both = docs.withColumn("border", F.lit(False)).unionByName(tail).repartition("part").withColumn("own", winnow(F.col("text")))
+    both = docs.withColumn("border", F.lit(False)).unionByName(tail).repartition(1 + parts // TOGETHER, "part").withColumn("own", winnow(F.col("text")))
     in_range = Window.partitionBy("part").orderBy("border", "key", "hash", "text")
     return both.withColumns({"next_text": F.lead("text").over(in_range), "following": F.lead("own").over(in_range)}).where("not border").select("doc_id", "text", "own", "next_text", "following")
 
