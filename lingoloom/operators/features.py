@@ -112,10 +112,15 @@ def document_frequencies(features: DataFrame) -> DataFrame:
     return features.groupBy("feature").agg(F.count("*").alias("df"))
 
 
-def _vocabulary(sentences: DataFrame, min_frequency: int, max_frequency: int, profile: LanguageProfile) -> DataFrame:
-    """(word, frequency, features): all features of an occurrence, one entry each time a word has them."""
+def vocabulary_features(sentences: DataFrame, min_frequency: int = 2, max_frequency: int = 10_000, profile: LanguageProfile = TATAR) -> DataFrame:
+    """(word, frequency, features): all features of an occurrence, one entry each time a word has them.
+
+    It is computed once, however often it is read: kept in the checkpoint
+    folder where one is set, else cached (``unpersist`` frees it).
+    """
     allowed = F.col("frequency").between(min_frequency, max_frequency)
-    return word_frequencies(sentences, profile).select("word", "frequency", word_features(F.col("word"), allowed, profile).alias("features"))
+    rows = word_frequencies(sentences, profile).select("word", "frequency", word_features(F.col("word"), allowed, profile).alias("features"))
+    return rows.checkpoint() if sentences.sparkSession.sparkContext.getCheckpointDir() else rows.persist()
 
 
 def _style(sentences: DataFrame, *keys: Column, profile: LanguageProfile) -> DataFrame:
@@ -126,14 +131,16 @@ def _style(sentences: DataFrame, *keys: Column, profile: LanguageProfile) -> Dat
     return sentences.select(*keys, F.explode(sentence_features(F.col("sentence"), F.size(words_in(F.col("sentence"), profile)), genre, year)).alias("feature"))
 
 
-def corpus_document_frequencies(sentences: DataFrame, min_frequency: int = 2, max_frequency: int = 10_000, weighted_only: bool = False, profile: LanguageProfile = TATAR) -> DataFrame:
+def corpus_document_frequencies(sentences: DataFrame, min_frequency: int = 2, max_frequency: int = 10_000, weighted_only: bool = False, profile: LanguageProfile = TATAR, vocabulary: DataFrame | None = None) -> DataFrame:
     """(feature, df): sentences with each feature, without a table of all sentences and features.
 
     Features are built once per distinct word and named by 64-bit hashes until
     the end; a word that a sentence repeats is looked up once, and sentences
     are numbered, so what is shuffled per sentence and feature is two numbers.
     """
-    vocabulary = _vocabulary(sentences, min_frequency, max_frequency, profile).select("word", "frequency", F.array_distinct("features").alias("features"))
+    if vocabulary is None:
+        vocabulary = vocabulary_features(sentences, min_frequency, max_frequency, profile)
+    vocabulary = vocabulary.select("word", "frequency", F.array_distinct("features").alias("features"))
     if weighted_only:
         vocabulary = vocabulary.withColumn("features", F.filter("features", lambda f: weight_of(f, profile) > 0))
     total = sentences.agg(F.sum(F.size(words_in(F.col("sentence"), profile))).alias("n")).first()["n"] or 0
@@ -146,7 +153,7 @@ def corpus_document_frequencies(sentences: DataFrame, min_frequency: int = 2, ma
     return counted.unionByName(_style(sentences, profile=profile).groupBy("feature").agg(F.count("*").alias("df")))
 
 
-def corpus_scores(sentences: DataFrame, key: str, n_sentences: int, frequencies: DataFrame | None = None, min_frequency: int = 2, max_frequency: int = 10_000, profile: LanguageProfile = TATAR) -> DataFrame:
+def corpus_scores(sentences: DataFrame, key: str, n_sentences: int, frequencies: DataFrame | None = None, min_frequency: int = 2, max_frequency: int = 10_000, profile: LanguageProfile = TATAR, vocabulary: DataFrame | None = None) -> DataFrame:
     """What ``scored`` gives for the sentences' feature table, without that table.
 
     Rarity meets features at the vocabulary: one row of sums a word, which its
@@ -155,11 +162,13 @@ def corpus_scores(sentences: DataFrame, key: str, n_sentences: int, frequencies:
     none of them is one task's work; there are at most a thousand of the former
     and a thousand times as many of the latter as an average sentence has.
     """
-    df = corpus_document_frequencies(sentences, min_frequency, max_frequency, True, profile) if frequencies is None else frequencies
+    if vocabulary is None:
+        vocabulary = vocabulary_features(sentences, min_frequency, max_frequency, profile)
+    df = corpus_document_frequencies(sentences, min_frequency, max_frequency, True, profile, vocabulary) if frequencies is None else frequencies
     rarity = F.log((n_sentences + 1) / (F.col("df") + 1)) + 1
     rare = df.select("feature", (weight_of(F.col("feature"), profile)).alias("weight"), (weight_of(F.col("feature"), profile) * rarity).alias("rare"), (F.col("df") * 1000 > n_sentences).alias("frequent"))
     letter = F.col("feature").startswith("cond_letter:").cast("long")
-    vocabulary = _vocabulary(sentences, min_frequency, max_frequency, profile).select("word", "frequency", F.explode(F.filter("features", lambda f: weight_of(f, profile) > 0)).alias("feature"))
+    vocabulary = vocabulary.select("word", "frequency", F.explode(F.filter("features", lambda f: weight_of(f, profile) > 0)).alias("feature"))
     sums = (F.sum("weight").alias("base_score"), F.sum("rare").alias("diversity_score"), F.sum(letter).alias("conditional_letter_count"))
     per_word = join_split(vocabulary, rare, "feature").groupBy("word").agg(F.max("frequency").alias("frequency"), *sums)
     total = sentences.agg(F.sum(F.size(words_in(F.col("sentence"), profile))).alias("n")).first()["n"] or 0
