@@ -12,11 +12,13 @@ from .fingerprints import fingerprint_documents, fingerprint_report
 from .lines import dedup_lines
 from .mixing import mix_sources
 from .neardup import near_duplicates
+from .negatives import hard_negatives
 from .passages import score_quality
 from .quality import quality_rules
 from .secrets import scan_secrets, secret_report
 from .toxicity import score_toxicity
 from .urls import judge_urls
+from .whitening import whitened_embeddings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +69,17 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(fingerprint_documents(_table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_byte_bpe, op4_line_dedup, op5_minhash_neardup, op6_toxicity, op7_url_filters, op8_source_mixing, op9_quality_classifier, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_byte_bpe, op4_line_dedup, op5_minhash_neardup, op6_toxicity, op7_url_filters, op8_source_mixing, op9_quality_classifier, op10_fingerprints, op11_whitening, op12_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": sql.SECRETS, "op7_url_filters": sql.URLS, "op8_source_mixing": sql.MIXING}
+    return {"op1_secret_scan": sql.SECRETS, "op7_url_filters": sql.URLS, "op8_source_mixing": sql.MIXING, "op12_hard_negatives": sql.NEGATIVES}
