@@ -16,6 +16,7 @@ from .negatives import hard_negatives
 from .passages import score_quality
 from .quality import quality_rules
 from .secrets import scan_secrets, secret_report
+from .token_files import token_file_report
 from .toxicity import score_toxicity
 from .urls import judge_urls
 from .whitening import whitened_embeddings
@@ -77,8 +78,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_file_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_byte_bpe, op4_line_dedup, op5_minhash_neardup, op6_toxicity, op7_url_filters, op8_source_mixing, op9_quality_classifier, op10_fingerprints, op11_whitening, op12_hard_negatives)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_byte_bpe, op4_line_dedup, op5_minhash_neardup, op6_toxicity, op7_url_filters, op8_source_mixing, op9_quality_classifier, op10_fingerprints, op11_whitening, op12_hard_negatives, op13_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
