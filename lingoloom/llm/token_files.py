@@ -13,6 +13,8 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +28,10 @@ from .scratch import shared_folder
 MAGIC, VERSION = b"LOOMTOK\n", 1
 #: Ones between two sampled positions of a bit vector, low bits of a value at most.
 SAMPLE, LOW = 256, 56
-#: Bytes of text about that a range of documents holds, ranges at most, token ids of a shard about.
-RANGE_BYTES, RANGES, SHARD_IDS = 32 << 20, 20_000, 1 << 25
+#: Bytes of text about that a range of documents holds, ranges at most, keys looked at for each cut, token ids of a shard about.
+RANGE_BYTES, RANGES, LOOKED_AT, SHARD_IDS = 32 << 20, 20_000, 20, 1 << 25
 #: Words that a task remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 
 _HEADER = "<8sIIQQQqQQ"
 _SEQUENCE = "<QQIIQ"
@@ -159,65 +161,68 @@ class Shard:
         return self.tokens[start:end]
 
 
-class WordEncoder:
-    """Texts to token bytes with a tokenizer that splits at white space, word by word from memory.
+class WordEncoder(dict):
+    """Token bytes of words, made when first met, by a tokenizer that splits at white space.
 
-    Words are cut at 0x20, 0x09, 0x0A and 0x0D only, where this family of
-    tokenizers (white space dropped, pre-tokens of letters, digits or other
-    signs) always ends one. A new word of Latin letters and closing signs is
-    lowered and handed to the library's BPE model, its signs apart; any other
-    new word takes the library's whole way. Tokenizers with other rules are
-    not for this class: ``check`` refuses them.
+    Texts are cut at white space, where this family of tokenizers (white space
+    dropped, pre-tokens of letters, digits or other signs) always ends a
+    pre-token. A new word of Latin-1 letters and closing signs is lowered and
+    handed to the library's BPE model, its signs apart; any other new word
+    takes the library's whole way. Tokenizers with other rules are not for
+    this class: ``check`` refuses them.
     """
 
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?&%$#*]*)")
+    #: Signs that ``str.split`` takes for white space and the tokenizer doesn't.
+    OTHER = "\x1c\x1d\x1e\x1f"
     CUT = re.compile(r"[^ \t\n\r]+")
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?&%$#*]*)")
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         most = max(self.whole.get_vocab(with_added_tokens=True).values(), default=0)
-        self.width = 2 if max(most, end) < 1 << 16 else 4
-        self.kind = f"<u{self.width}"
-        self.end = np.array([end], dtype=self.kind).tobytes()
+        self.width, self.kind = (2, "H") if max(most, end) < 1 << 16 else (4, "I")
+        self.end = array(self.kind, [end]).tobytes()
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = iter(range(0x100, 0x200))
         self.shown = {b: chr(b if b in shown else next(rest)) for b in range(256)}
-        self.known: dict[str, bytes] = {}
         self.check()
 
     def check(self) -> None:
         """Raises where the ways of encoding differ on a sentence of all kinds of words."""
-        text = "Änd thé quick-brown  fox's\tÉTÉ... 42nd ÇA,va?! x&&& ﬁn naïvé 日本 ß İ.\nΣΑΣ <|endoftext|> don't"
-        if self.encode([text, ""]) != [self._pack(self.whole.encode(text, add_special_tokens=False).ids) + self.end, self.end]:
+        text = "Änd thé quick-brown  fox's\tÉTÉ... 42nd ÇA,va?! x&&& ﬁn naïvé 日本 ß İ.\nΣΑΣ <|endoftext|> don't ªµº.\x1cu\x85v\xa0w\u3000"
+        if self.encode([text, ""]) != [array(self.kind, self.whole.encode(text, add_special_tokens=False).ids).tobytes() + self.end, self.end]:
             raise ValueError("this tokenizer doesn't split texts into white-space words")
 
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.kind).tobytes()
-
     def _piece(self, text: str) -> bytes:
-        """One pre-token."""
-        if (found := self.known.get(text)) is None:
-            found = self.known[text] = self._pack([t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.shown))])
+        """The token bytes of one pre-token."""
+        if (found := self.get(text)) is None:
+            shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.shown)
+            found = self[text] = array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        if m := self.PLAIN.fullmatch(word):
+            core, signs = m.groups()
+            found = self._piece(core.lower()) + self._piece(signs) if signs else self._piece(core.lower())
+        else:
+            found = array(self.kind, self.whole.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = found
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids and the end id."""
-        words = list(map(self.CUT.findall, texts))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        odd = []
-        for w in {w for ws in words for w in ws if w not in self.known}:
-            if m := self.PLAIN.fullmatch(w):
-                self.known[w] = self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"")
-            else:
-                odd.append(w)
-        for w, e in zip(odd, self.whole.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            self.known[w] = self._pack(e.ids)
-        return [b"".join(map(self.known.__getitem__, ws)) + self.end for ws in words]
+        out = []
+        for text in texts:
+            words = self.CUT.findall(text) if any(c in text for c in self.OTHER) else text.split()
+            out.append(b"".join(map(self.__getitem__, words)) + self.end)
+        if len(self) > REMEMBERED:
+            self.clear()
+        return out
 
 
 def _store(folder: str):
@@ -236,34 +241,59 @@ def _qualified(spark: SparkSession, folder: str) -> str:
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Encodes every whole text, appends ``end_id`` and writes shards below ``folder``; returns the manifest (part, shard, file, n_docs, n_ids).
 
-    Documents are dealt by ranges of their id into parts and sorted there, so
-    parts, and shards within a part, are in ascending order. Null ids come
-    first; rows of one id follow the hash of their texts, and equal rows may
-    lie in several parts. A null text is empty: its end id alone. Each task
-    holds one shard (a document that is longer makes it longer). Files have
-    names of their own for every attempt of a task; the manifest, which Spark
-    commits, names those that count, so lost executors and repeated tasks
-    leave nothing but unread files. ``folder`` must not have a manifest yet.
-    Other columns are ignored.
+    Documents are encoded where they lie; their token ids, which take less
+    room than the texts, are dealt by ranges of the documents' ids into parts
+    and sorted there, so parts, and shards within a part, are in ascending
+    order. Null ids come first; rows of one id follow the hash of their
+    texts, and equal rows may be dealt to several parts. A null text is
+    empty: its end id alone. A task holds one shard at a time (a document
+    that is longer makes it longer). Files have names of their own for every
+    attempt of a task; the manifest, which Spark commits, names those that
+    count, so lost executors and repeated tasks leave nothing but unread
+    files. ``folder`` must not have a manifest yet. Other columns are ignored.
     """
     spark = docs.sparkSession
     folder = _qualified(spark, folder)
     with open(tokenizer, "rb") as file:
         given = spark.sparkContext.broadcast(file.read())  # a vocabulary, doesn't grow with the data
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    parts = max(1, min(RANGES, -(-size // range_bytes)))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()]
-    rows = docs.withColumn("hash", F.xxhash64("text")).repartitionByRange(parts, *order, F.rand(1)).sortWithinPartitions(*order)
-    rows = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    docs = docs.withColumn("hash", F.xxhash64("text"))
+    n, size = docs.agg(F.count("*"), F.sum(F.octet_length("text") + 64)).first()
+    parts = max(1, min(RANGES, -(-(size or 0) // range_bytes)))
+    cuts: list[tuple] = []
+    if parts > 1:  # LOOKED_AT keys a part
+        some = docs.select("doc_id", "hash").sample(min(1.0, 1.2 * LOOKED_AT * parts / n), seed=1).limit(2 * LOOKED_AT * parts).collect()
+        some = sorted((r.doc_id is not None, r.doc_id or 0, r.hash) for r in some)
+        cuts = [some[len(some) * k // parts] for k in range(1, parts)] if some else []
+
+    def encoder() -> WordEncoder:
         import tempfile
 
         with tempfile.NamedTemporaryFile(suffix=".json") as own:  # the library reads files; a task's own copy, gone at once
             own.write(given.value)
             own.flush()
-            encoder = WordEncoder(own.name, end_id)
+            return WordEncoder(own.name, end_id)
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, nth = encoder(), 0
+        for batch in batches:
+            hashes = batch.column("hash").to_pylist()
+            ids = batch.column("doc_id").to_pylist()
+            for first, texts in blocks(batch.column("text").to_pylist()):
+                last = first + len(texts)
+                part = []
+                for key in zip((i is not None for i in ids[first:last]), (i or 0 for i in ids[first:last]), hashes[first:last], strict=True):
+                    low, high = bisect_left(cuts, key), bisect_right(cuts, key)
+                    part.append(low + nth % (high - low + 1))  # over several parts where a key fills them
+                    nth += 1
+                columns = [batch.column("doc_id").slice(first, len(texts)), batch.column("hash").slice(first, len(texts)), pa.array(part, pa.int32()), pa.array(words.encode(texts), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "part", "ids"])
+
+    rows = docs.mapInArrow(encoded, "doc_id long, hash long, part int, ids binary").repartitionById(parts, "part")
+    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hash").select("doc_id", "part", "ids")
+    width = encoder().width
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _store(folder)
         store.create_dir(f"{root}/shards", recursive=True)
         attempt, shard = uuid.uuid4().hex, 0
@@ -274,23 +304,20 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
         def flush() -> pa.RecordBatch:
             nonlocal shard, names, bodies, held
             file = f"part-{part:05d}-{shard:05d}-{attempt}.tok"
-            sizes = np.array([len(b) // encoder.width for b in bodies], dtype=np.int64)
+            sizes = np.array([len(b) // width for b in bodies], dtype=np.int64)
             with store.open_output_stream(f"{root}/shards/{file}") as out:
-                out.write(write_shard(names, sizes, b"".join(bodies), encoder.width))
+                out.write(write_shard(names, sizes, b"".join(bodies), width))
             row = pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "file": file, "n_docs": len(names), "n_ids": int(sizes.sum())}], schema=pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
             names, bodies, held, shard = [], [], 0, shard + 1
             return row
 
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for first, texts in blocks(batch.column("text").to_pylist()):
-                part = batch.column("part")[0].as_py()
-                for name, body in zip(ids[first : first + len(texts)], encoder.encode(texts), strict=True):
-                    names.append(name)
-                    bodies.append(body)
-                    held += len(body) // encoder.width
-                    if held >= shard_ids:
-                        yield flush()
+            for name, part, body in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "ids")), strict=True):
+                names.append(name)
+                bodies.append(body)
+                held += len(body) // width
+                if held >= shard_ids:
+                    yield flush()
         if names:
             yield flush()
 
