@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +9,7 @@ from lingoloom.functions.profile import TATAR, LanguageProfile
 from lingoloom.functions.text import stable_sort_key
 
 from .features import document_frequencies, weight_of
+from .greedy import BLOCK, greedy_choice
 from .ranges import running_total
 
 
@@ -71,68 +67,22 @@ def shuffled(rows: DataFrame, seed: int, *parts: Column) -> DataFrame:
     return running_total(keyed, [F.col("sort_key")], F.lit(1), "before").withColumn("place", F.col("before") + 1).drop("before", "sort_key")
 
 
-def _greedy(target: int, conditional_ratio: float, multi_ratio: float, source_penalty: float):
-    """Lazy greedy over one bounded shortlist, best marginal gain first."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = list(frames)
-        if not frames:
-            return
-        items = pd.concat(frames, ignore_index=True).sort_values("sort_key", ignore_index=True)
-        n = len(items)
-        at = np.concatenate(([0], np.cumsum(items["ids"].map(len).to_numpy())))
-        names, ids = np.unique(np.concatenate(items["ids"].to_list()), return_inverse=True)
-        coefs, counts = np.concatenate(items["coefs"].to_list()), np.concatenate(items["counts"].to_list())
-        source = np.unique(items["source"].fillna("").to_numpy(dtype=str), return_inverse=True)[1]
-        text = np.unique(items["text_key"].to_numpy(dtype=str), return_inverse=True)[1]
-        letters, keys = items["conditional_letter_count"].to_numpy(), items["key"].to_list()
-        items = frames = None
-        worn, sources = np.ones(len(names)), np.zeros(source.max() + 1)  # square roots of 1 + times chosen
-        used, taken, seen, out = np.zeros(len(names)), np.zeros(n, dtype=bool), np.zeros(text.max() + 1, dtype=bool), []
-
-        def gain(i: int) -> float:
-            some = slice(at[i], at[i + 1])
-            return (coefs[some] / worn[ids[some]]).sum() / (1 + source_penalty * sources[source[i]])
-
-        for least, quota in ((2, round(target * multi_ratio)), (1, round(target * conditional_ratio)), (0, target)):
-            quota = min(quota, target)
-            if len(out) >= quota:
-                continue
-            gains = np.add.reduceat(coefs / worn[ids], at[:-1]) / (1 + source_penalty * sources[source])
-            heap = [(-gains[i], i) for i in np.flatnonzero(~taken & (letters >= least)).tolist()]
-            heapq.heapify(heap)
-            while heap and len(out) < quota:
-                _, i = heapq.heappop(heap)
-                if seen[text[i]]:
-                    continue
-                now = gain(i)
-                if heap and now + 1e-9 < -heap[0][0]:
-                    heapq.heappush(heap, (-now, i))
-                    continue
-                taken[i] = seen[text[i]] = True
-                out.append((keys[i], len(out) + 1, float(now)))
-                sources[source[i]] += 1
-                some = ids[at[i] : at[i + 1]]
-                used[some] += counts[at[i] : at[i + 1]]
-                worn[some] = np.sqrt(1 + used[some])
-        yield pd.DataFrame(out, columns=["key", "rank", "gain"])
-
-    return run
-
-
-def adaptive_selection(short: DataFrame, features: DataFrame, n_sentences: int, target: int, conditional_ratio: float = 0.85, multi_ratio: float = 0.5, source_penalty: float = 0.15, profile: LanguageProfile = TATAR, frequencies: DataFrame | None = None) -> DataFrame:
+def adaptive_selection(short: DataFrame, features: DataFrame, n_sentences: int, target: int, conditional_ratio: float = 0.85, multi_ratio: float = 0.5, source_penalty: float = 0.15, profile: LanguageProfile = TATAR, frequencies: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """(key, rank, gain) chosen from a shortlist (key, source, text_key, sort_key, conditional_letter_count).
 
     A feature is worth weight * count * rarity / sqrt(1 + times chosen before),
-    a sentence less if its source was chosen before. ``features`` need hold
-    only the shortlist's where ``frequencies`` (feature, df) are given, else
-    they are counted in ``features``. Everything up to the
-    coefficients is distributed; the choice itself depends on all earlier ones
-    and runs in one task over the shortlist, whose size the caller bounds.
+    a sentence less if its source was chosen before; sentences without
+    features are worth nothing and come last. ``features`` need hold only the
+    shortlist's where ``frequencies`` (feature, df) are given, else they are
+    counted in ``features``. The table stays distributed, so the shortlist may
+    be as large as one likes: rounds compute all gains in the tasks, and
+    ``block`` rows at most are fetched and chosen from (see ``greedy``). The
+    choice equals a plain greedy loop; it runs when this is called.
     """
     df = document_frequencies(features) if frequencies is None else frequencies
     rows = features.join(short.select("key"), "key", "left_semi").join(df, "feature").withColumn("weight", weight_of(F.col("feature"), profile)).where("weight > 0")
     coef = F.col("weight") * F.col("n") * (F.log((n_sentences + 1) / (F.col("df") + 1)) + 1)
     packed = rows.select("key", F.xxhash64("feature").alias("f"), coef.alias("c"), "n").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("f", "c", "n"))).alias("v"))
-    packed = short.join(packed, "key").select(F.col("key").cast("string").alias("key"), F.col("source").cast("string").alias("source"), "text_key", "sort_key", "conditional_letter_count", F.col("v.f").alias("ids"), F.col("v.c").alias("coefs"), F.col("v.n").alias("counts"))
-    return packed.repartition(1).mapInPandas(_greedy(target, conditional_ratio, multi_ratio, source_penalty), "key string, rank int, gain double")
+    items = short.join(packed, "key", "left").select("key", "source", "text_key", "sort_key", F.col("conditional_letter_count").alias("letters"), F.col("v.f").alias("ids"), F.col("v.c").alias("coefs"), F.col("v.n").alias("counts"))
+    quotas = [(least, min(target, round(target * ratio))) for least, ratio in ((2, multi_ratio), (1, conditional_ratio), (0, 1))]
+    return short.sparkSession.createDataFrame(greedy_choice(items, quotas, source_penalty, block), "key string, rank int, gain double")

@@ -161,7 +161,8 @@ def test_adaptive_selection_is_greedy(spark):
     lines = spark.createDataFrame(rows, "key string, source string, sentence string").persist()
     table = feats.feature_table(lines, "key").persist()
     scores = feats.scored(table, "key", 40).join(lines, "key").select("key", "source", T.sentence_key(F.col("sentence")).alias("text_key"), T.stable_sort_key(13, F.col("key")).alias("sort_key"), "conditional_letter_count", F.lit(1).alias("mixed_harmony_count"), F.lit(1.0).alias("score"))
-    got = [r.key for r in sorted(choose.adaptive_selection(choose.shortlist(scores, 12, 1000), table, 40, 12).collect(), key=lambda r: r.rank)]
+    got, by_block = ([r.key for r in sorted(choose.adaptive_selection(choose.shortlist(scores, 12, 1000), table, 40, 12, block=b).collect(), key=lambda r: r.rank)] for b in (4096, 3))
+    assert got == by_block
     features, df = {}, {}
     for r in table.collect():
         features.setdefault(r.key, {})[r.feature] = r.n
