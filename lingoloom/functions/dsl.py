@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .profile import LATIN_ALPHABET
-from .text import let
+from .text import canonical_apostrophes, let
 
 
 @dataclass(frozen=True)
@@ -89,12 +89,12 @@ def choices(dsl: Column) -> Column:
         options = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.struct(F.substring_index(p, "=", 1).alias("id"), F.regexp_replace(p, r"(?s)\A[^=]*=?", "").alias("text")))
         return F.struct(F.get(parts, F.lit(0)).alias("rule_id"), options.alias("options"))
 
-    return F.transform(F.regexp_extract_all(dsl, F.lit(CHOICE), F.lit(1)), parsed)
+    return F.transform(F.regexp_extract_all(canonical_apostrophes(dsl), F.lit(CHOICE), F.lit(1)), parsed)
 
 
 def segments(dsl: Column) -> Column:
     """array<struct<text,rule_id,options>>: literals (rule_id null) and choices in order, without empty literals."""
-    both = F.struct(F.split(dsl, CHOICE, -1).alias("literals"), choices(dsl).alias("choices"))
+    both = F.struct(F.split(canonical_apostrophes(dsl), CHOICE, -1).alias("literals"), choices(dsl).alias("choices"))
     no_options = F.lit(None).cast("array<struct<id:string,text:string>>")
 
     def woven(b: Column) -> Column:
@@ -112,7 +112,8 @@ def serialised(parts: Column) -> Column:
 
 
 def dsl_error(dsl: Column) -> Column:
-    """Why a value isn't valid notation; null if it is."""
+    """Why a value isn't valid notation; null if it is. ' and ’ are read as ʼ, here as in all functions that read the notation."""
+    dsl = canonical_apostrophes(dsl)
     ids = {k: [i for i, _ in r.options] for k, r in RULES.items()}
     known = F.create_map(*[x for k, v in ids.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     texts = F.create_map(*[x for k, r in RULES.items() if not r.custom for x in (F.lit(k), F.array(*[F.lit(t) for _, t in r.options]))])
@@ -129,6 +130,7 @@ def dsl_error(dsl: Column) -> Column:
 
 def resolve(dsl: Column, chosen: Mapping[str, str] = PREFERRED) -> Column:
     """Each choice replaced by the text that the policy chooses."""
+    dsl = canonical_apostrophes(dsl)
     for rule, option in chosen.items():
         dsl = F.regexp_replace(dsl, rf"\{{\{{{rule}\|(?:[^}}]*\|)?{option}=([^|}}]*)[^}}]*\}}\}}", "$1")
     return dsl

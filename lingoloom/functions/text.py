@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Mapping
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +19,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _table(values: Mapping[str, str]) -> Column:
+    """A constant map, however large, as one literal that the optimizer reads once."""
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
+
+
 def words_in(text: Column, profile: LanguageProfile = TATAR) -> Column:
     """Lower-case words, ё written as е."""
     return F.transform(F.regexp_extract_all(text, F.lit(profile.word), F.lit(0)), lambda w: F.translate(F.lower(w), "ё", "е"))
@@ -132,23 +139,38 @@ def query_value(url: Column, name: str) -> Column:
 # HTML
 
 
-def unescape(text: Column) -> Column:
-    """The named entities that dictionary pages use, and decimal and hexadecimal references below U+10000 that stand alone or not."""
-    # fixed values
-    for name, char in (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("laquo", "«"), ("raquo", "»"), ("mdash", "—"), ("ndash", "–"), ("hellip", "…"), ("shy", "­")):
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    number = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
-    pieces = F.struct(F.split(text, number, -1).alias("rest"), F.regexp_extract_all(text, F.lit(number), F.lit(0)).alias("refs"))
+#: What a character reference may look like: decimal, hexadecimal, or a name of up to 32 characters.
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Names that count without a semicolon too, and in front of other letters; the longest first.
+_BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+
+
+def _referred(ref: Column) -> Column:
+    """What one reference (without its &) stands for: HTML's rules, wrong numbers included."""
+    names = _table(html5)
+    digits = F.regexp_replace(ref, r"\A#[xX]?0*(?=[0-9a-fA-F])|;", "")
+    hexadecimal = ref.rlike(r"\A#[xX]")
+    code = F.when(F.length(digits) > 7, 0x110000).otherwise(F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int"))
+    unit = lambda c: F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32")
+    windows = F.array(*[F.lit(bytes([c]).decode("cp1252", "ignore") or chr(c)) for c in range(0x80, 0xA0)])  # what pages of that code page mean
+    control = code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | ((code % 0x10000) >= 0xFFFE)
+    number = (
+        F.when(code.between(0x80, 0x9F), F.get(windows, code - 0x80))
+        .when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+        .when(control, "")
+        .otherwise(unit(code))
+    )
+    prefix = F.regexp_extract(ref, rf"\A(?:{_BARE})", 0)
+    bare = F.concat(F.try_element_at(names, prefix), F.substring(ref, F.length(prefix) + 1, F.length(ref)))
+    named = F.coalesce(F.try_element_at(names, ref), F.when(prefix != "", bare), F.concat(F.lit("&"), ref))
+    return F.when(ref.isNull(), "").when(ref.startswith("#"), number).otherwise(named)
 
-    def char(ref: Column) -> Column:
-        digits = F.regexp_replace(ref, "[&#xX;]", "")
-        code = F.when(ref.rlike("[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
-        unit = lambda c: F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32")
-        return F.when(ref.isNull(), "").when((code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF), unit(code)).otherwise("�")
 
-    joined = let(pieces, lambda p: F.array_join(F.zip_with(p["rest"], p["refs"], lambda a, b: F.concat(a, char(b))), ""))
-    text = F.when(text.contains("&#"), joined).otherwise(text)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+def unescape(text: Column) -> Column:
+    """Character references replaced in one pass, as HTML reads them: all names, with and without semicolons, and numbers."""
+    pieces = F.struct(F.split(text, _REFERENCE, -1).alias("rest"), F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)).alias("refs"))
+    joined = let(pieces, lambda p: F.array_join(F.zip_with(p["rest"], p["refs"], lambda a, b: F.concat(a, _referred(b))), ""))
+    return F.when(text.contains("&"), joined).otherwise(text)
 
 
 def html_text(html: Column) -> Column:
@@ -163,12 +185,32 @@ def cell_text(html: Column) -> Column:
 
 
 def paragraph_text(html: Column) -> Column:
-    """Bodies of all <p> elements, without tags, [..] and (..)."""
+    """Bodies of all <p> elements, without scripts, styles, tags, [..] and (..)."""
     body = F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), F.lit(1)), " ")
+    body = F.regexp_replace(body, r"(?is)<script\b.*?</script>|<style\b.*?</style>", " ")
     body = unescape(F.regexp_replace(body, r"(?s)<[^>]+>", " "))
     return strip(F.regexp_replace(F.regexp_replace(body, r"\[[^\]]*\]|\([^)]*\)", " "), SPACES, " "))
 
 
+def _foldings() -> dict[str, str]:
+    """Characters that caseless comparison writes otherwise, from the Unicode tables at hand."""
+    return {c: c.casefold() for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if c.casefold() != c}
+
+
+_FOLDED = _foldings()
+_ONE = {c: f for c, f in _FOLDED.items() if len(f) == 1}
+_MANY = {c: f for c, f in _FOLDED.items() if len(f) > 1}
+
+
+def casefold(text: Column) -> Column:
+    """Full case folding, one-to-many letters (ß, ﬁ, ŉ) included; sigma has one form."""
+    # Lower case first, whose own one-to-many letter (İ) is folded alike; what it leaves goes letter by letter.
+    simple = F.translate(F.lower(text), "".join(_ONE), "".join(_ONE.values()))
+    letters = _table(_MANY)
+    full = F.array_join(F.transform(F.split(simple, ""), lambda c: F.coalesce(F.try_element_at(letters, c), c)), "")
+    return F.when(simple.rlike("[" + "".join(_MANY) + "]"), full).otherwise(simple)
+
+
 def normalize_headword(text: Column) -> Column:
     """Single spaces, caseless."""
-    return F.replace(F.lower(strip(F.regexp_replace(text, SPACES, " "))), F.lit("ß"), F.lit("ss"))
+    return casefold(strip(F.regexp_replace(text, SPACES, " ")))

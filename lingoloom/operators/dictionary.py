@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingoloom.functions import variant as V
 from lingoloom.functions.dsl import dsl_error, rule_ids
 from lingoloom.functions.profile import TATAR
-from lingoloom.functions.text import canonical_apostrophes, display_word, harmony_class, normalize_word
+from lingoloom.functions.text import display_word, harmony_class, let, normalize_word
 from lingoloom.functions.translit import suggestion, word_dimension
 
 from .ranges import running_total
@@ -181,30 +182,70 @@ def insert_or_replace(table: DataFrame, rows: DataFrame, *keys: str, newest: str
     return table.join(latest.select(*keys), list(keys), "left_anti").unionByName(latest.select(*table.columns))
 
 
-def completed_reviews(tasks: DataFrame) -> DataFrame:
-    """(word, decision, n_decisions, error) of a parsed export of review tasks (data, annotations).
+def _decision(result: Column, j: Column) -> Column:
+    """struct<name, error, text> of one result of an annotation: its control, what is wrong with it, the origin or conversion it holds."""
+    name, kind = V.string(V.get(result, "from_name")), F.coalesce(V.string(V.get(result, "type")), F.lit(""))
+    chosen, texts = V.items(V.get(result, "value.choices")), V.items(V.get(result, "value.text"))
+    origin, text = V.string(V.get(result, "value.choices[0]")), V.string(V.get(result, "value.text[0]"))
+    error = F.when(~V.is_object(result), " must be an object").when(
+        name == "reviewed_origin",
+        F.when(kind != "choices", " origin type must be 'choices'").when(F.coalesce(F.size(chosen) != 1, F.lit(True)), " must select exactly one origin").when(~F.coalesce(origin.isin("N", "RL", "U"), F.lit(False)), F.concat(F.lit(" has invalid origin: "), V.shown(V.get(result, "value.choices[0]")))),
+    ).when(
+        name == "corrected_zamanalif",
+        F.when(kind != "textarea", " conversion type must be 'textarea'").when(F.coalesce(F.size(texts) != 1, F.lit(True)) | text.isNull(), " must contain exactly one text value").when(text == "", " conversion must not be empty"),
+    )
+    return F.struct(name.alias("name"), F.concat(F.lit(" result "), j.cast("string"), error).alias("error"), F.when(name == "reviewed_origin", origin).otherwise(text).alias("text"))
 
-    Cancelled and empty annotations don't count, and a task without any other
-    is left out. Annotations that agree count as one. error is null where a
-    task is usable.
-    """
-    live = F.filter("annotations", lambda a: ~F.coalesce(a["was_cancelled"], F.lit(False)) & (F.coalesce(F.size(a["result"]), F.lit(0)) > 0))
 
-    def decided(a: Column) -> Column:
-        of = lambda name, kind: F.filter(a["result"], lambda r: (r["from_name"] == name) & (r["type"] == kind))
-        origins, texts = of("reviewed_origin", "choices"), of("corrected_zamanalif", "textarea")
-        named = lambda name: F.size(F.filter(a["result"], lambda r: r["from_name"] == name))
-        one = (named("reviewed_origin") == 1) & (named("corrected_zamanalif") == 1) & (F.size(origins) == 1) & (F.size(texts) == 1)
-        origin, text = F.get(F.get(origins, F.lit(0))["value"]["choices"], F.lit(0)), F.get(F.get(texts, F.lit(0))["value"]["text"], F.lit(0))
-        single = (F.size(F.get(origins, F.lit(0))["value"]["choices"]) == 1) & (F.size(F.get(texts, F.lit(0))["value"]["text"]) == 1)
-        return F.struct((one & single & origin.isin("N", "RL", "U")).alias("ok"), origin.alias("origin"), canonical_apostrophes(F.trim(text)).alias("dsl"))
+def _annotation(annotation: Column, i: Column) -> Column:
+    """struct<error, origin, dsl> of one annotation; all null where it doesn't count: cancelled, or without results."""
+    given = V.get(annotation, "result")
+    off = F.coalesce(V.boolean(V.get(annotation, "was_cancelled")), F.lit(False)) | V.absent(given) | F.coalesce(F.size(V.items(given)) == 0, F.lit(False))
+
+    def outcome(error: Column, origin: Column | None = None, dsl: Column | None = None) -> Column:
+        null = F.lit(None).cast("string")
+        return F.struct(F.concat(F.lit("annotation "), i.cast("string"), error).alias("error"), (null if origin is None else origin).alias("origin"), (null if dsl is None else dsl).alias("dsl"))
+
+    def judged(found: Column) -> Column:
+        named = lambda name: F.filter(found, lambda r: F.coalesce(r["name"] == name, F.lit(False)))
+        first = F.get(F.filter(found["error"], lambda e: e.isNotNull()), F.lit(0))
+        number = F.when(F.size(named("reviewed_origin")) != 1, " must contain exactly one 'reviewed_origin' result").when(F.size(named("corrected_zamanalif")) != 1, " must contain exactly one 'corrected_zamanalif' result")
+        return outcome(F.coalesce(first, number), F.get(named("reviewed_origin"), F.lit(0))["text"], F.get(named("corrected_zamanalif"), F.lit(0))["text"])
+
+    wrong = F.when(~V.is_object(annotation), " must be an object").when(~off & V.items(given).isNull(), ".result must be a list")
+    return F.when(wrong.isNotNull(), outcome(wrong)).when(off, outcome(F.lit(None).cast("string"))).otherwise(let(F.transform(V.items(given), _decision), judged))
 
-    found = tasks.select(normalize_word(F.col("data.cyrl_word")).alias("word"), F.array_distinct(F.transform(live, decided)).alias("decisions")).where("size(decisions) > 0")
-    first = F.col("decisions")[0]
-    error = F.when(F.coalesce("word", F.lit("")) == "", "no word").when(F.exists("decisions", lambda d: ~F.coalesce(d["ok"], F.lit(False))), "malformed").when(F.size("decisions") > 1, "conflicting annotations").otherwise(dsl_error(first["dsl"]))
-    out = found.select("word", first["origin"].alias("origin"), first["dsl"].alias("zamanalif_dsl"), F.size("decisions").alias("n_decisions"), error.alias("error"))
-    twice = out.groupBy("word").agg(F.count("*").alias("times"))
-    return out.join(twice, "word", "left").withColumn("error", F.when(F.col("error").isNull() & (F.col("times") > 1), "duplicate word").otherwise(F.col("error"))).drop("times")
+
+def completed_reviews(tasks: DataFrame) -> DataFrame:
+    """(nth, word, origin, zamanalif_dsl, n_decisions, error) of an export of review tasks (nth, task variant).
+
+    JSON types count: nothing is coerced. Cancelled annotations and those
+    without results don't count, and a task without any other is left out.
+    Annotations that agree count as one. error is null where a task is usable,
+    else the first thing that is wrong with it; of tasks that share a word the
+    later ones are wrong. A negative nth is an export that is no list.
+    """
+    task = F.col("task")
+    rows = tasks.select("nth", "task", V.get(task, "annotations").alias("given"), V.string(V.get(task, "data.cyrl_word")).alias("surface"))
+    rows = rows.withColumn("word", normalize_word(F.col("surface"))).withColumn("list", F.when(V.absent(F.col("given")), F.array().cast("array<variant>")).otherwise(V.items(F.col("given"))))
+    rows = rows.withColumn("found", F.transform("list", _annotation))
+    rows = rows.withColumn("decisions", F.array_distinct(F.transform(F.filter("found", lambda a: a["error"].isNull() & a["dsl"].isNotNull()), lambda a: F.struct(a["origin"].alias("origin"), a["dsl"].alias("dsl")))))
+    first = lambda values: F.get(F.filter(values, lambda e: e.isNotNull()), F.lit(0))
+    error = (
+        F.when(F.col("nth") < 0, "export must be a JSON array")
+        .when(~V.is_object(task), "task must be an object")
+        .when(~V.is_object(V.get(task, "data")), "data must be an object")
+        .when(F.coalesce("surface", F.lit("")) == "", "invalid data.cyrl_word")
+        .when(F.coalesce("word", F.lit("")) == "", "no Cyrillic word in data.cyrl_word")
+        .when(F.col("list").isNull(), "annotations must be a list")
+        .otherwise(F.coalesce(first(F.col("found.error")), F.concat(F.lit("invalid notation: "), first(F.transform("decisions", lambda d: dsl_error(d["dsl"])))), F.when(F.size("decisions") > 1, "conflicting completed annotations")))
+    )
+    out = rows.withColumn("error", error).where("error is not null or size(decisions) > 0")
+    one = F.get("decisions", F.lit(0))
+    out = out.select("nth", "word", one["origin"].alias("origin"), one["dsl"].alias("zamanalif_dsl"), F.size("decisions").alias("n_decisions"), "error")
+    earliest = out.where("error is null").groupBy("word").agg(F.min("nth").alias("earliest"))
+    later = F.col("error").isNull() & (F.col("nth") > F.col("earliest"))
+    return out.join(earliest, "word", "left").withColumn("error", F.when(later, "duplicate normalized word").otherwise(F.col("error"))).select("nth", "word", "origin", "zamanalif_dsl", "n_decisions", "error")
 
 
 def import_reviews(reviewed: DataFrame, tasks: DataFrame, now: str) -> DataFrame:
@@ -212,7 +253,7 @@ def import_reviews(reviewed: DataFrame, tasks: DataFrame, now: str) -> DataFrame
     rows = completed_reviews(tasks)
     bad = rows.where("error is not null").limit(5).collect()
     if bad:
-        raise ValueError("; ".join(f"{r.word}: {r.error}" for r in bad))
+        raise ValueError("; ".join(f"task {r.nth}: {r.error}" for r in bad))
     joined = rows.join(reviewed.select(F.col("normalized_word").alias("word"), F.col("zamanalif_dsl").alias("old_dsl"), F.col("origin").alias("old_origin")), "word")
     clash = joined.where("old_dsl <> zamanalif_dsl or old_origin <> origin").limit(5).collect()
     if clash:

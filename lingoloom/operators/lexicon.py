@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from lingoloom.functions.dsl import resolutions
 from lingoloom.functions.profile import TATAR
-from lingoloom.functions.text import cell_text, harmony_class, html_text, normalize_headword, normalize_word, paragraph_text, query_value
+from lingoloom.functions.text import canonical_apostrophes, casefold, cell_text, harmony_class, html_text, normalize_headword, paragraph_text, query_value, strip
 from lingoloom.functions.translit import convert_dsl
 
 from .ranges import running_total
 
-# fixed values: parts of speech, as the pages abbreviate them
-POS = r"\b(?:n|v|a|adj|adv|prep|conj|pron|num|int|interj|pl|vt|vi|aux|pp|pt)\b\.?"
-POS_WORDS = ("n", "v", "a", "adj", "adv", "prep", "conj", "pron", "num", "int", "interj", "pl", "vt", "vi", "aux", "pp", "pt")
+# fixed values: parts of speech, as the pages abbreviate them, in either case
+POS_WORDS = ("n", "v", "a", "adv", "pref", "pron", "pl", "gr", "reflex", "past", "prep", "cj", "conj", "int", "num")
+POS = rf"\b(?:{'|'.join(POS_WORDS)})\.?\b"
+# fixed values: letters of the two editions, signs inside words
+CYRILLIC, LATIN, JOINING = "А-Яа-яЁёӘәӨөҮүҖҗҢңҺһ", "A-Za-zÄÖÜÑĞŞÇİıäöüñğşçƏə", "'’ʼ-"
+# fixed values: letters that reviewers look at
+REVIEW_LETTERS = "уүгквяюецёыьъщ"
 # fixed values: English words of the entries that aren't translations
 ENGLISH_NOISE = ("against", "as", "from", "into", "of", "one", "out", "over", "smth", "somebody", "something", "the", "to", "with")
 
@@ -57,20 +61,26 @@ def align_editions(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def _body(html: Column) -> Column:
-    """Paragraph text behind the headword and part of speech."""
+    """Paragraph text behind the headword and part of speech; where none is near the front, without the Latin words and signs it begins with."""
     text = paragraph_text(html)
-    tag = F.regexp_instr(text, F.lit(POS))
-    cut = F.substring(text, tag, F.length(text))
-    return F.when((tag > 0) & (tag <= 80), F.regexp_replace(cut, rf"\A{POS}\s*", "")).otherwise(F.regexp_replace(text, r"\A[A-Za-z\s,;.'-]+(?=\p{L})", ""))
+    tag = F.regexp_instr(text, F.lit(rf"(?iuU){POS}"))
+    rest = F.when((tag > 0) & (tag <= 80), F.regexp_replace(text, rf"(?iuUs)\A.*?{POS}", "")).otherwise(F.regexp_replace(text, rf"(?U)\A[{LATIN},.\s{JOINING}]+", " "))
+    return strip(F.regexp_replace(rest, r"(?U)\s+", " "))
+
+
+def _tokens(html: Column, letters: str) -> Column:
+    """Words of two letters or more, which signs may join."""
+    return F.filter(F.regexp_extract_all(_body(html), F.lit(f"[{letters}]+(?:[{JOINING}][{letters}]+)*"), F.lit(0)), lambda t: F.length(t) > 1)
 
 
 def cyrillic_tokens(html: Column) -> Column:
-    return F.filter(F.regexp_extract_all(_body(html), F.lit(rf"[{TATAR.letters}][{TATAR.letters}-]*"), F.lit(0)), lambda t: F.length(t) > 1)
+    """array<string>: the Cyrillic words of an entry's translation, in lower case."""
+    return F.transform(_tokens(html, CYRILLIC), F.lower)
 
 
 def latin_tokens(html: Column) -> Column:
-    found = F.regexp_extract_all(_body(html), F.lit(r"[a-zA-ZäÄöÖüÜñÑıİğĞşŞçÇʼ][a-zA-ZäÄöÖüÜñÑıİğĞşŞçÇʼ'’-]*"), F.lit(0))
-    return F.filter(found, lambda t: (F.length(t) > 1) & ~t.isin(*POS_WORDS))
+    """array<string>: the Latin words of an entry's translation, case folded, without parts of speech."""
+    return F.transform(F.filter(_tokens(html, LATIN), lambda t: ~t.rlike(rf"(?iuU)\A(?:{'|'.join(POS_WORDS)})\z")), casefold)
 
 
 def antat_label(word: Column) -> Column:
@@ -83,8 +93,7 @@ def word_pairs(alignment: DataFrame, left_pages: DataFrame, right_pages: DataFra
     rows = alignment.where("status = 'aligned'").join(left_pages.select(F.col("entry_id").alias("left_entry_id"), F.col("html").alias("left_html")), "left_entry_id").join(right_pages.select(F.col("entry_id").alias("right_entry_id"), F.col("html").alias("right_html")), "right_entry_id")
     rows = rows.where(~F.col("headword").startswith("-")).select("align_id", "headword", cyrillic_tokens(F.col("left_html")).alias("c"), latin_tokens(F.col("right_html")).alias("l"))
     same = rows.where("size(c) = size(l) and size(c) > 0").select("align_id", "headword", F.posexplode(F.arrays_zip("c", "l")).alias("position", "p"))
-    word = normalize_word(F.col("p.c"))
-    return same.select("align_id", "headword", "position", word.alias("cyrillic"), F.lower("p.l").alias("latin"), antat_label(word).alias("label")).where("cyrillic <> ''")
+    return same.select("align_id", "headword", "position", F.col("p.c").alias("cyrillic"), F.col("p.l").alias("latin"), antat_label(F.col("p.c")).alias("label"))
 
 
 def distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -103,15 +112,42 @@ def with_entry_texts(alignment: DataFrame, left_pages: DataFrame, right_pages: D
 
 
 def coverage(pairs: DataFrame) -> DataFrame:
-    """``pairs`` plus coverage: both, native, loanword or gap, by which conversions can spell the attested word."""
+    """``pairs`` plus native and loanword, both conversions in notation, and coverage: both, native, loanword or gap, by which of them can spell the attested word."""
     w = F.col("cyrillic")
-    words = pairs.select("cyrillic").distinct().select("cyrillic", resolutions(convert_dsl(w, "N")).alias("n"), resolutions(convert_dsl(w, "RL")).alias("l"))
-    fits = lambda c: F.exists(c, lambda s: F.lower(s) == F.lower(F.col("latin")))
-    joined = pairs.join(words, "cyrillic")
-    kind = F.when(fits("n") & fits("l"), "both").when(fits("n"), "native").when(fits("l"), "loanword").otherwise("gap")
+    words = pairs.select("cyrillic").distinct().select("cyrillic", convert_dsl(w, "N").alias("native"), convert_dsl(w, "RL").alias("loanword"))
+    same = lambda text: casefold(canonical_apostrophes(text))
+    fits = lambda c: F.exists(resolutions(F.col(c)), lambda s: same(s) == same(F.col("latin")))
+    joined = pairs.join(words, "cyrillic").withColumn("n", fits("native")).withColumn("l", fits("loanword"))
+    kind = F.when(F.col("n") & F.col("l"), "both").when(F.col("n"), "native").when(F.col("l"), "loanword").otherwise("gap")
     return joined.withColumn("coverage", kind).drop("n", "l")
 
 
+def rule_gaps(covered: DataFrame) -> DataFrame:
+    """What ``coverage`` found no rule for: the pair, both conversions and ``letters``, the review letters of the word in order, by align_id."""
+    letters = F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all("cyrillic", F.lit(f"[{REVIEW_LETTERS}]"), F.lit(0)))), "")
+    return covered.where("coverage = 'gap'").withColumn("letters", letters).drop("coverage")
+
+
+def listed(rows: DataFrame, line: Column, limit: int = 50) -> DataFrame:
+    """(line): the first ``limit`` rows as text by (align_id, position), then how many more there are, if any."""
+    lines = rows.select("align_id", "position", line.alias("line"))
+    first = lines.orderBy("align_id", "position", "line").limit(limit)
+    more = lines.agg(F.count("*").alias("n")).where(F.col("n") > limit).select(F.lit(None).cast("long").alias("align_id"), F.lit(None).cast("int").alias("position"), F.format_string("... %d more", F.col("n") - limit).alias("line"))
+    return first.unionByName(more).orderBy(F.asc_nulls_last("align_id"), "position", "line").select("line")
+
+
+def gap_lines(covered: DataFrame, limit: int = 50) -> DataFrame:
+    """(line): uncovered pairs for a reviewer."""
+    line = F.format_string("%s -> expected %s, N got %s, RL got %s, letters=%s, headword=%s, align_id=%d", "cyrillic", "latin", "native", "loanword", "letters", "headword", "align_id")
+    return listed(rule_gaps(covered), line, limit)
+
+
+def mismatch_lines(pairs: DataFrame, limit: int = 50) -> DataFrame:
+    """(line): pairs that the preferred conversion spells otherwise, for a reviewer."""
+    line = F.format_string("%s -> expected %s, got %s, label=%s, headword=%s, align_id=%d", "cyrillic", "latin", "actual", "label", "headword", "align_id")
+    return listed(mismatches(pairs), line, limit)
+
+
 def coverage_summary(covered: DataFrame) -> DataFrame:
     return covered.groupBy("coverage").agg(F.count("*").alias("n"))
 
@@ -123,7 +159,7 @@ def mismatches(pairs: DataFrame) -> DataFrame:
     w = F.col("cyrillic")
     words = pairs.select("cyrillic").distinct().select("cyrillic", resolve(convert_dsl(w, "N")).alias("n"), resolve(convert_dsl(w, "RL")).alias("l"))
     actual = F.when(F.col("label") == "N", F.col("n")).otherwise(F.col("l"))
-    return pairs.join(words, "cyrillic").withColumn("actual", actual).where(F.lower("actual") != F.lower("latin")).drop("n", "l")
+    return pairs.join(words, "cyrillic").withColumn("actual", actual).where(casefold(F.col("actual")) != casefold(F.col("latin"))).drop("n", "l")
 
 
 def missing(wanted: DataFrame, stored: DataFrame, *keys: str) -> DataFrame:

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lingoloom.functions.variant import items
+
 SAMPLES = "id string, source_id string, text string"
 STATE = "sample_id string, status string, tatar int, tokens_json string, attempts int, last_error string, updated_at string"
 REVIEWED = "normalized_word string, zamanalif_dsl string, origin string, updated_at string"
 EXPORTED = "normalized_word string, exported_at string"
-REVIEW_EXPORT = "data struct<id:string,cyrl_word:string,auto_zamanalif:string>, annotations array<struct<was_cancelled:boolean,result:array<struct<from_name:string,type:string,value:struct<choices:array<string>,text:array<string>>>>>>"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -22,8 +23,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> Data
 
 
 def read_review_export(spark: SparkSession, path: str) -> DataFrame:
-    """The tasks of a JSON array of review tasks."""
-    return spark.read.schema(REVIEW_EXPORT).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    """(nth, task variant) of a JSON array of review tasks, whatever their shapes; (-1, variant) of a file that holds something else.
+
+    One file is parsed by one task, as JSON has no place to cut; its tasks are dealt out from there.
+    """
+    whole = spark.read.option("multiLine", True).option("singleVariantColumn", "v").option("mode", "FAILFAST").json(path)
+    tasks = F.when(items(F.col("v")).isNull(), F.array(F.struct(F.lit(-1).alias("nth"), F.col("v").alias("task")))).otherwise(F.transform(items(F.col("v")), lambda t, i: F.struct(i.alias("nth"), t.alias("task"))))
+    return whole.select(F.explode(tasks).alias("t")).select("t.*").repartition(spark.sparkContext.defaultParallelism)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -312,6 +312,49 @@ def test_review_import(spark, tmp_path):
         run([task("вакыт", text="wakit")], [("вакыт", "waqıt", "N", "old")])
 
 
+RESULT = [{"from_name": "reviewed_origin", "type": "choices", "value": {"choices": ["N"]}}, {"from_name": "corrected_zamanalif", "type": "textarea", "value": {"text": ["waqıt"]}}]
+
+
+def _with(j, **change):
+    return [r | change if i == j else r for i, r in enumerate(RESULT)]
+
+
+def test_review_types_count(spark, tmp_path):
+    """Every rejection of an export, and what doesn't count."""
+    task = lambda results, **more: {"data": {"cyrl_word": "вакыт"}, "annotations": [{"result": results}]} | more
+    cases = [
+        (5, "task must be an object"),
+        ({"data": []}, "data must be an object"),
+        ({"data": {"cyrl_word": 5}}, "invalid data.cyrl_word"),
+        ({"data": {"cyrl_word": "abc"}}, "no Cyrillic word in data.cyrl_word"),
+        (task(RESULT, annotations={}), "annotations must be a list"),
+        (task(RESULT, annotations=[7]), "annotation 0 must be an object"),
+        (task("x"), "annotation 0.result must be a list"),
+        (task([3, *RESULT]), "annotation 0 result 0 must be an object"),
+        (task(RESULT[:1]), "annotation 0 must contain exactly one 'corrected_zamanalif' result"),
+        (task([RESULT[0], *RESULT]), "annotation 0 must contain exactly one 'reviewed_origin' result"),
+        (task(_with(0, type="choice")), "annotation 0 result 0 origin type must be 'choices'"),
+        (task(_with(0, value={"choices": ["N", "U"]})), "annotation 0 result 0 must select exactly one origin"),
+        (task(_with(0, value=None)), "annotation 0 result 0 must select exactly one origin"),
+        (task(_with(0, value={"choices": [1]})), "annotation 0 result 0 has invalid origin: 1"),
+        (task(_with(1, type=None)), "annotation 0 result 1 conversion type must be 'textarea'"),
+        (task(_with(1, value={"text": [5]})), "annotation 0 result 1 must contain exactly one text value"),
+        (task(_with(1, value={"text": [""]})), "annotation 0 result 1 conversion must not be empty"),
+        (task(_with(1, value={"text": ["вакыт"]})), "invalid notation: not choice notation over the alphabet"),
+        (task(RESULT, annotations=[{"result": RESULT}, {"result": _with(0, value={"choices": ["U"]})}]), "conflicting completed annotations"),
+        (task(RESULT, annotations=[{"result": RESULT}, {"result": RESULT}]), None),
+        (task(_with(1, value={"text": ["mäs'älä"]}), data={"cyrl_word": "мәсьәлә"}), None),
+        (task(RESULT), "duplicate normalized word"),
+    ]
+    left_out = [task(RESULT, annotations=None), task(None), task([]), {"data": {"cyrl_word": "юл"}}, task("x", annotations=[{"was_cancelled": True, "result": "x"}])]
+    path = tmp_path / "export.json"
+    path.write_text(json.dumps([c for c, _ in cases] + left_out))
+    got = {r.nth: r.error for r in dictionary.completed_reviews(tables.read_review_export(spark, str(path))).collect()}
+    assert got == {i: e for i, (_, e) in enumerate(cases)}
+    path.write_text("{}")
+    assert [r.error for r in dictionary.completed_reviews(tables.read_review_export(spark, str(path))).collect()] == ["export must be a JSON array"]
+
+
 def test_outputs_appear_together(spark, tmp_path):
     root = f"file://{tmp_path}/db"
     samples, state = tables.selected_tables(spark.createDataFrame([(1, "x", "Ел."), (2, "y", "Юл.")], "rank int, id string, sentence string"))
