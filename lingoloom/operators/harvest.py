@@ -12,6 +12,7 @@ from lingoloom.functions.segment import document_windows, sentences
 from lingoloom.functions.sentence_quality import sentence_quality
 from lingoloom.functions.text import count_specific, distinct_letters, harmony_class, has_conditional, hash_uniform, sentence_key, words_in
 
+from .kept import Kept
 from .ranges import join_split, running_total
 
 
@@ -65,24 +66,59 @@ def judge_sentences(segments: DataFrame, config: HarvestConfig = HarvestConfig()
     return judged.withColumn("disposition", disposition)
 
 
+def _owners(rows: DataFrame, cap: int | None) -> DataFrame:
+    """(key, owner, times, frequent) of the keys that several documents of ``rows`` (id, key, place) share: the first document that keeps each.
+
+    Documents keep, in their order, their first ``cap`` rows by place whose key
+    no earlier document has kept. A document's choice follows from those before
+    it alone, so tentative owners come to rest: each round caps all documents
+    given the present owners, and moves a key on to the first document that
+    really keeps it. Documents that depend on n others in a chain are right
+    after n rounds; the first round is final where no cap is reached. A key that
+    nobody keeps has no owner. The outcome, a row a shared key, stays cached in
+    sessions without a checkpoint folder.
+    """
+    kept = Kept()
+    rows = kept(rows)
+    n = rows.count()
+    shared = rows.groupBy("key").agg(F.min("id").alias("owner"), F.count("*").alias("times")).where("times > 1")
+    owners = last = kept(shared.withColumn("frequent", F.col("times") * 1000 > n))
+    while cap is not None:
+        free = join_split(rows, owners, "key", "left").where(~F.coalesce(F.col("owner") < F.col("id"), F.lit(False)))
+        ranked = free.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("place")))
+        keepers = ranked.where((F.col("rank") <= cap) & F.col("times").isNotNull()).groupBy("key").agg(F.min("id").alias("keeper"))
+        moved = owners.join(keepers, "key", "left").select("key", F.col("keeper").alias("owner"), "times", "frequent", (~F.col("owner").eqNullSafe(F.col("keeper"))).alias("moved"))
+        moved = kept(moved)
+        at_rest = moved.where("moved").count() == 0
+        kept.free(last)
+        owners, last = moved.drop("moved"), moved
+        if at_rest:
+            break
+    if cap is not None:
+        kept.free(rows)
+    return owners
+
+
 def dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
-    """Dispositions ``doc_duplicate``, ``global_duplicate`` and ``doc_cap``; ``kept`` for the rest of the candidates."""
-    order = [F.col("window"), F.col("position")]
+    """Dispositions ``doc_duplicate``, ``global_duplicate`` and ``doc_cap``; ``kept`` for the rest of the candidates.
+
+    As if documents were read one after another by id: a sentence counts as a
+    duplicate once an earlier document has kept it, cap included.
+    """
     is_candidate = F.col("disposition") == "candidate"
-    in_doc = F.row_number().over(Window.partitionBy("id", "key", "disposition").orderBy(*order))
-    once = judged.withColumn("nth", in_doc).withColumn("disposition", F.when(is_candidate & (F.col("nth") > 1), "doc_duplicate").otherwise(F.col("disposition")))
-    # the first document of a sentence that several share, found without collecting a sentence's rows
-    shared = once.where(is_candidate).groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("times")).where("times > 1")
-    total = judged.count()
-    first = shared.select("key", "first_id", (F.col("times") * 1000 > total).alias("frequent"))
-    other = is_candidate & F.coalesce(F.col("id") != F.col("first_id"), F.lit(False))
-    once = join_split(once, first, "key", "left").withColumn("disposition", F.when(other, "global_duplicate").otherwise(F.col("disposition")))
+    in_doc = F.row_number().over(Window.partitionBy("id", "key", "disposition").orderBy("window", "position"))
     priority = F.coalesce(*[F.when(F.col("keep_reason") == k, F.lit(v)) for k, v in PRIORITY.items()])
-    rank = F.row_number().over(Window.partitionBy("id", "disposition").orderBy(priority, F.col("window_start") + F.col("start"), "sentence"))
-    ranked = once.withColumn("rank", rank)
-    over = F.lit(False) if config.exhaustive else F.col("rank") > config.max_candidates_per_doc
+    place = F.struct(priority.alias("priority"), (F.col("window_start") + F.col("start")).alias("at"), "sentence")
+    once = judged.withColumn("nth", in_doc).withColumn("place", F.when(is_candidate & (F.col("nth") == 1), place))
+    cap = None if config.exhaustive else config.max_candidates_per_doc
+    owners = _owners(once.where("place is not null").select("id", "key", "place"), cap)
+    earlier = is_candidate & F.coalesce(F.col("owner") < F.col("id"), F.lit(False))
+    fate = F.when(earlier, "global_duplicate").when(is_candidate & (F.col("nth") > 1), "doc_duplicate").otherwise(F.col("disposition"))
+    once = join_split(once, owners.select("key", "owner", "frequent"), "key", "left").withColumn("disposition", fate)
+    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("id", "disposition").orderBy("place")))
+    over = F.lit(False) if cap is None else F.col("rank") > cap
     fate = F.when(is_candidate & over, "doc_cap").when(is_candidate, "kept").otherwise(F.col("disposition"))
-    return ranked.withColumn("disposition", fate).drop("nth", "first_id")
+    return ranked.withColumn("disposition", fate).drop("nth", "owner", "place")
 
 
 def within_total(kept: DataFrame, config: HarvestConfig) -> DataFrame:
@@ -98,8 +134,8 @@ def prepare(docs: DataFrame, config: HarvestConfig = HarvestConfig()) -> DataFra
     """Candidate sentences of ``docs`` (id, text), in the schema that selection reads.
 
     Of a document, sentences with conditional letters come first, then those
-    with mixed harmony, then a hash sample of the others. A sentence that occurs
-    in several documents is a candidate of the first only, before any cap. With
+    with mixed harmony, then a hash sample of the others. A sentence that several
+    documents have is a candidate of the first that keeps it under its cap. With
     ``exhaustive`` whole texts are read and no sample, filter or cap applies.
     """
     if config.max_docs is not None:

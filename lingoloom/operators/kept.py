@@ -6,22 +6,30 @@ from pyspark.sql import DataFrame
 
 
 class Kept:
-    """``with Kept() as kept``: what ``kept(df)`` returns is computed once, and freed at the end where it was cached.
+    """What ``kept(df)`` returns is computed once, however often it is read.
 
     Checkpoints survive lost executors; Spark removes them as
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` says.
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` says. A cached table
+    is freed by ``free``, or at the end of a ``with`` block.
     """
 
-    def __enter__(self) -> Kept:
+    def __init__(self) -> None:
         self.cached: list[DataFrame] = []
+
+    def __enter__(self) -> Kept:
         return self
 
+    def __exit__(self, *error: object) -> None:
+        self.free(*self.cached)
+
     def __call__(self, df: DataFrame) -> DataFrame:
         if df.sparkSession.sparkContext.getCheckpointDir():
             return df.checkpoint()
         self.cached.append(df.persist())
         return df
 
-    def __exit__(self, *error: object) -> None:
-        for df in self.cached:
-            df.unpersist()
+    def free(self, *tables: DataFrame) -> None:
+        for df in tables:
+            if any(df is c for c in self.cached):
+                df.unpersist()
+        self.cached = [c for c in self.cached if not any(c is df for df in tables)]
