@@ -14,6 +14,12 @@ from lingoloom.operators import select as choose
 from lingoloom.functions.sentence_quality import sentence_quality
 from lingoloom.functions.text import count_specific, harmony_class, sentence_key, stable_sort_key, words_in
 from lingoloom.sources import tables
+from lingoloom.sources.store import TableStore, conformed
+
+#: Columns of the tables of a database; those in EMPTY may not exist yet.
+SCHEMAS = {"samples": tables.SAMPLES, "preannotation_state": tables.STATE_WITH_MODEL, "reviewed_words": tables.REVIEWED, "exported_words": tables.EXPORTED}
+DEFAULTS = {"preannotation_state": {"attempts": 0}}
+EMPTY = ("reviewed_words", "exported_words")
 
 
 def _select(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -91,14 +97,16 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--output", required=True)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("lingoloom").getOrCreate()
-    table = lambda name: spark.read.parquet(f"{a.db}/{name}")
+    store = TableStore(spark, a.db) if hasattr(a, "db") else None
+    since = store.version() if store else None  # what this command reads, and must still hold when it commits
+    table = lambda name: store.ensured(name, SCHEMAS[name], DEFAULTS.get(name)) if name in EMPTY else conformed(store.read(name, since), SCHEMAS[name], DEFAULTS.get(name))
     if a.command == "prepare":
         config = harvest.HarvestConfig(a.min_chars, a.max_chars, a.seed, a.max_docs, a.max_candidates, a.max_candidates_per_doc, a.max_doc_chars, a.window_chars, a.windows_per_doc, a.general_keep_probability, a.min_specific_letters, a.exhaustive)
         harvest.prepare(spark.read.parquet(a.documents), config).write.parquet(a.output)
     elif a.command == "select":
         _select(spark, a)
     elif a.command == "report":
-        rows = spark.read.parquet(a.selected)
+        rows = tables.read_table(spark, a.selected, "selected")
         tables.write_together({"headline": report.headline(rows), "letters": report.letter_coverage(rows, "id"), "harmony": report.harmony_coverage(rows, "id"), "quality": report.quality_summary(rows)}, a.output, force=True)
     elif a.command == "annotation-export":
         tokens = dictionary.labelled_tokens(table("samples"), table("preannotation_state"))
@@ -109,10 +117,10 @@ def main(argv: list[str] | None = None) -> int:
         if a.report:
             tables.write_report(dictionary.full_export_report(judged, tokens, table("samples").count()), a.report)
         if a.track_exported:
-            tables.write_together({"exported_words": dictionary.exported_now(exported, judged, a.max_items, a.sort_by, a.now)}, a.db, force=True)
+            tables.write_together({"exported_words": dictionary.exported_now(exported, judged, a.max_items, a.sort_by, a.now)}, a.db, force=True, since=since)
     elif a.command == "annotation-import":
         merged = dictionary.import_reviews(table("reviewed_words"), tables.read_review_export(spark, a.input), a.now)
-        tables.write_together({"reviewed_words": merged}, a.db, force=True)
+        tables.write_together({"reviewed_words": merged}, a.db, force=True, since=since)
     elif a.command == "training-export":
         dictionary_table = table("reviewed_words")
         training.check_reviewed(dictionary_table)

@@ -11,8 +11,12 @@ from pyspark.sql.types import StructType
 
 from lingoloom.functions.variant import items
 
+from .store import TableStore
+
 SAMPLES = "id string, source_id string, text string"
 STATE = "sample_id string, status string, tatar int, tokens_json string, attempts int, last_error string, updated_at string"
+#: States as they are kept since models are named; older tables get the column when they are read.
+STATE_WITH_MODEL = STATE + ", annotated_by_model string"
 REVIEWED = "normalized_word string, zamanalif_dsl string, origin string, updated_at string"
 EXPORTED = "normalized_word string, exported_at string"
 
@@ -81,25 +85,15 @@ def selected_tables(selected: DataFrame) -> tuple[DataFrame, DataFrame]:
     return samples, state
 
 
-def write_together(outputs: dict[str, DataFrame], root: str, force: bool = False) -> None:
-    """Writes every table to a staging folder first and moves them below ``root`` when all are there.
+def write_together(outputs: dict[str, DataFrame], root: str, force: bool = False, since: int | None = None) -> int:
+    """Commits all tables to the store at ``root`` at once (see ``store``); other tables there stay. Returns the version.
 
-    Without ``force`` an existing table is an error; other tables below
-    ``root`` survive either way.
+    Without ``force`` an existing table is an error. With ``since``, so is a
+    store that has changed since that version.
     """
-    spark = next(iter(outputs.values())).sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *parts]))
-    fs = path().getFileSystem(conf)
-    there = [name for name in outputs if fs.exists(path(name))]
-    if there and not force:
-        raise FileExistsError(", ".join(there))
-    try:
-        for name, df in outputs.items():
-            df.write.mode("overwrite").parquet(path("_staging", name).toString())
-        for name in outputs:
-            if fs.exists(path(name)):
-                fs.delete(path(name), True)
-            fs.rename(path("_staging", name), path(name))
-    finally:
-        fs.delete(path("_staging"), True)
+    return TableStore(next(iter(outputs.values())).sparkSession, root).commit(outputs, since, replace=force)
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the store at ``root``, as of its last commit."""
+    return TableStore(spark, root).read(name)

@@ -355,17 +355,6 @@ def test_review_types_count(spark, tmp_path):
     assert [r.error for r in dictionary.completed_reviews(tables.read_review_export(spark, str(path))).collect()] == ["export must be a JSON array"]
 
 
-def test_outputs_appear_together(spark, tmp_path):
-    root = f"file://{tmp_path}/db"
-    samples, state = tables.selected_tables(spark.createDataFrame([(1, "x", "Ел."), (2, "y", "Юл.")], "rank int, id string, sentence string"))
-    tables.write_together({"samples": samples, "state": state}, root)
-    assert [r.id for r in spark.read.parquet(f"{root}/samples").orderBy("id").collect()] == ["sent_000001", "sent_000002"]
-    with pytest.raises(FileExistsError):
-        tables.write_together({"samples": samples}, root)
-    tables.write_together({"samples": samples.limit(1)}, root, force=True)
-    assert spark.read.parquet(f"{root}/samples").count() == 1 and spark.read.parquet(f"{root}/state").count() == 2
-
-
 def test_harvest_queries_read_whole_texts(spark, tmp_path):
     from lingoloom.plans.queries import QUERIES
 
