@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from .linking import fetch
 from .scratch import Scratch
 
-#: A token is a word of up to 24 characters, or a character of a longer run, so unspaced scripts, code and keys have grams at every place.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,24}+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
+# fixed values: vowel and consonant letters of the Latin and Cyrillic alphabets
+VOWELS = "aeiouyAEIOUYàáâãäåæèéêëìíîïòóôõöøùúûüýÿāăąēĕėęěīĭįıōŏőœūŭůűųÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜÝĀĂĄĒĔĖĘĚĪĬĮİŌŎŐŒŪŬŮŰŲаеёиоуыэюяәөүієїАЕЁИОУЫЭЮЯӘӨҮІЄЇ"
+CONSONANTS = "bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZßçñðþćĉċčďđĝğġģĥħĵķļľłńņňŕŗřśŝşšţťŵźżžÇÑÐÞĆĈĊČĎĐĜĞĠĢĤĦĴĶĻĽŁŃŅŇŔŖŘŚŜŞŠŢŤŴŹŻŽбвгґджзйклмнпрстфхцчшщьъҗңһБВГҐДЖЗЙКЛМНПРСТФХЦЧШЩЬЪҖҢҺ"
+#: A token is a syllable as a sign can tell it: consonants and the vowels behind them, in a run of characters that aren't
+#: white space. Any other sign is a token of its own: digits, punctuation, letters of other scripts. So where tokens begin
+#: depends on the characters next to it alone, and one character more changes one token, however long a run is.
+TOKEN = rf"[{CONSONANTS}]++[{VOWELS}]*+|[{VOWELS}]++|[^{CONSONANTS}{VOWELS}\x20\x09-\x0D]"
 #: Tokens in a gram, grams in a window (powers of two): a run of GRAM + WINDOW - 1 = 11 shared tokens is always noticed.
 GRAM, WINDOW = 4, 8
 #: Windows of a text that are looked at together; longer texts are read in overlapping segments, so arrays stay small.

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lingoloom.llm.bpe import encode_documents, read_ranks, serialised_model
-from lingoloom.llm.fingerprints import _BASE, _PRIME, GRAM, SEGMENT, WINDOW, fingerprint_documents, fingerprint_report, hash_of, position_of, winnow, with_next
+from lingoloom.llm.fingerprints import _BASE, _PRIME, CONSONANTS, GRAM, SEGMENT, VOWELS, WINDOW, fingerprint_documents, fingerprint_report, hash_of, likeness, position_of, winnow, with_next
 from lingoloom.llm.mixing import mix_sources, poisson, source_rates
 from lingoloom.llm.quality import REFERENCE_WORDS, js_distance, language_references, quality_rules
 from lingoloom.llm.scratch import Scratch
@@ -283,7 +283,16 @@ def _polynomial(tokens):
 
 
 def _tokens(text):
-    return [t for run in WORDS.findall(text) for t in ([run] if len(run) <= 24 else run)]
+    """Syllables and single signs, character by character."""
+    out, kind = [], None
+    for c in text:
+        of = "v" if c in VOWELS else "c" if c in CONSONANTS else "space" if c in " \t\n\x0b\x0c\r" else "other"
+        if of == "v" and kind in ("v", "c") or of == "c" and kind == "c":
+            out[-1] += c
+        elif of != "space":
+            out.append(c)
+        kind = of
+    return out
 
 
 def _winnow(text):
@@ -296,7 +305,7 @@ def _winnow(text):
 
 
 def test_fingerprints_match_brute_force(spark):
-    texts = ["the quick brown fox jumps over the lazy dog " * 4, "abab" * 30, "é😀 one", "", "same text here again and again", "same text here again and again", "a b c d e f g h i j k l m n o p", "x" * 47, "y" * 48, "z" * 16, "q" * 15]
+    texts = ["the quick brown fox jumps over the lazy dog " * 4, "abab" * 30, "é😀 one", "", "same text here again and again", "same text here again and again", "a b c d e f g h i j k l m n o p", "x" * 47, "y" * 48, "z1" * 16, "q." * 15, "漢字かな" * 9, "Быстрая бурая лиса прыгает", "xAe 9ß\t\x0bÿz"]
     docs = spark.createDataFrame([(10 * i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     got = sorted(fingerprint_report(fingerprint_documents(docs)).collect())
     for i, r in enumerate(got):
@@ -310,24 +319,38 @@ def test_fingerprints_match_brute_force(spark):
 
 
 def test_a_shared_run_is_noticed_at_any_offset(spark):
-    """GRAM + WINDOW - 1 shared characters of an unspaced run, wherever they begin, and as many words: one hash at least is common."""
+    """GRAM + WINDOW - 1 whole tokens that texts share, wherever they begin, spaced or not: one hash at least is common."""
     draw = random.Random(4)
-    run = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789漢字かな", k=GRAM + WINDOW - 1))
-    noise = lambda n: "".join(draw.choices("ABCDEFGHIJ", k=n))
-    rows = [(i, noise(25 + i) + run + noise(draw.randrange(80))) for i in range(60)]
-    found = spark.createDataFrame(rows, "i int, text string").select("i", F.transform(winnow(F.col("text")), lambda e: F.struct(hash_of(e), position_of(e))).alias("w")).collect()
-    hashes = {r.i: {e[0] for e in r.w} for r in found}
-    assert all(hashes[a] & hashes[b] for a in hashes for b in hashes)
-    words = " ".join(noise(5) for _ in range(GRAM + WINDOW - 1))
-    rows = [(i, " ".join(noise(4) for _ in range(i)) + f" {words} " + " ".join(noise(6) for _ in range(9))) for i in range(20)]
-    found = spark.createDataFrame(rows, "i int, text string").select("i", F.transform(winnow(F.col("text")), hash_of).alias("w")).collect()
-    assert all(set(a.w) & set(b.w) for a in found for b in found)
-
-
-def test_a_character_in_front_keeps_nearly_all_hashes(spark):
-    text = "".join(random.Random(9).choices("abcdefghijklmnopqrstuvwxyz", k=600))
+    noise = lambda n: "".join(draw.choices("bdfg", k=n)) + "".join(draw.choices("aeio12", k=n))
+    for between in ("", " "):
+        run = between.join(draw.choices(["ka", "lou", "strei", "7", "漢", "ré", "_"], k=GRAM + WINDOW - 1))
+        rows = [(i, noise(i) + "." + run + "." + noise(draw.randrange(80))) for i in range(60)]
+        found = spark.createDataFrame(rows, "i int, text string").select("i", F.transform(winnow(F.col("text")), lambda e: F.struct(hash_of(e), position_of(e))).alias("w")).collect()
+        hashes = {r.i: {e[0] for e in r.w} for r in found}
+        assert all(hashes[a] & hashes[b] for a in hashes for b in hashes)
+
+
+@pytest.mark.parametrize("size", [1, 5, 8, 20, 23, 24, 25, 26, 60, 600])
+def test_a_character_in_front_changes_one_token(spark, size):
+    """Of a run of any length; the hashes of at most GRAM + WINDOW grams around it may go."""
+    draw = random.Random(size)
+    runs = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=size)) for _ in range(600 // size)]
+    text = " ".join(runs)
     (a, b) = (set(r[0]) for r in spark.createDataFrame([(text,), ("x" + text,)], "t string").select(F.transform(winnow(F.col("t")), hash_of)).collect())
-    assert len(a & b) >= len(a | b) - 3
+    assert len(a & b) >= len(a | b) - 6
+    changed = sum(x != y for x, y in zip(_tokens(text)[::-1], _tokens("x" + text)[::-1], strict=False))
+    assert changed <= 1 and len(_tokens("x" + text)) - len(_tokens(text)) in (0, 1)
+
+
+def test_clauses_of_any_length_behave_alike(spark):
+    """A character in front of every clause: likeness falls smoothly with the clauses' length, with no step between two sizes."""
+    draw = random.Random(8)
+    rows = []
+    for size in range(16, 41):
+        clauses = ["".join(draw.choices("bcdklmnprst", k=1)[0] + draw.choice("aeiou") for _ in range(size // 2)) + "s" * (size % 2) for _ in range(60)]
+        rows += [(size, " ".join(clauses), " ".join("x" + c for c in clauses))]
+    got = {r.size: r.l for r in spark.createDataFrame(rows, "size int, a string, b string").select("size", likeness(winnow(F.col("a")), winnow(F.col("b"))).alias("l")).collect()}
+    assert all(got[k] > 0.15 for k in got) and all(abs(got[k] - got[k + 1]) < 0.2 for k in range(16, 40))
 
 
 def test_long_texts_are_read_in_segments(spark):
