@@ -65,7 +65,7 @@ def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     docs = docs.withColumn("home", F.coalesce("doc_id", F.xxhash64("text")))  # where a set's text can be fetched again
     named = scratch.save(docs.mapInArrow(_signatures(width), "doc_id long, home long, n_shingles long, name binary, signature binary"))
-    distinct = named.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("home").alias("home"), F.first("signature").alias("signature"))
+    distinct = named.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("home").alias("home"), F.first("signature").alias("signature"), F.count("*").alias("n"))
     distinct = scratch.save(distinct.withColumn("id", F.monotonically_increasing_id()))
     groups, crowded = regions(distinct.select("id", "signature").mapInArrow(index_rows(_forest, np.uint32), FOREST), scratch)
     needed = groups.select("id").unionByName(crowded.select("id")).distinct()
@@ -74,11 +74,13 @@ def _judged(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     sets = scratch.save(texts.select("id", "name", "text").mapInArrow(_sets(width), "id long, body binary").dropDuplicates(["id"]))
     roots = linked(groups, crowded, sets, percent, scratch, unpacked)
     scratch.drop(wanted, sets)
-    members = distinct.select("id", "name", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    total = distinct.count()
+    members = distinct.select("id", "name", "doc_id", "n").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    total, n_rows = distinct.count(), named.count()
     smallest = members.groupBy("root").agg(F.min("doc_id").alias("component_id"), (F.count("*") * 1000 > total).alias("frequent"))
-    judged = join_split(members, smallest, "root").select("name", "component_id")
-    out = named.drop("signature").join(judged, "name", "left")
+    judged = scratch.save(join_split(members, smallest, "root").select("name", "component_id", (F.col("n") * 1000 > n_rows).alias("frequent")))
+    # rows without words have no name and meet nobody; names of many exact copies are joined by a broadcast
+    out = join_split(named.where("name is not null").drop("signature"), judged, "name")
+    out = out.unionByName(named.where("name is null").drop("signature").withColumn("component_id", F.lit(None).cast("long")))
     component = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "home", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
