@@ -189,7 +189,8 @@ def paragraph_text(html: Column) -> Column:
     body = F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), F.lit(1)), " ")
     body = F.regexp_replace(body, r"(?is)<script\b.*?</script>|<style\b.*?</style>", " ")
     body = unescape(F.regexp_replace(body, r"(?s)<[^>]+>", " "))
-    return strip(F.regexp_replace(F.regexp_replace(body, r"\[[^\]]*\]|\([^)]*\)", " "), SPACES, " "))
+    body = F.regexp_replace(F.regexp_replace(body, r"\[[^\]]*\]", " "), r"\([^)]*\)", " ")
+    return strip(F.regexp_replace(body, SPACES, " "))
 
 
 def _foldings() -> dict[str, str]:

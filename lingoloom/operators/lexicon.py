@@ -17,8 +17,8 @@ POS_WORDS = ("n", "v", "a", "adv", "pref", "pron", "pl", "gr", "reflex", "past",
 POS = rf"\b(?:{'|'.join(POS_WORDS)})\.?\b"
 # fixed values: letters of the two editions, signs inside words
 CYRILLIC, LATIN, JOINING = "А-Яа-яЁёӘәӨөҮүҖҗҢңҺһ", "A-Za-zÄÖÜÑĞŞÇİıäöüñğşçƏə", "'’ʼ-"
-# fixed values: letters that reviewers look at
-REVIEW_LETTERS = "уүгквяюецёыьъщ"
+#: Letters that reviewers look at.
+REVIEW_LETTERS = TATAR.conditional + TATAR.review
 # fixed values: English words of the entries that aren't translations
 ENGLISH_NOISE = ("against", "as", "from", "into", "of", "one", "out", "over", "smth", "somebody", "something", "the", "to", "with")
 
@@ -84,8 +84,8 @@ def latin_tokens(html: Column) -> Column:
 
 
 def antat_label(word: Column) -> Column:
-    """RL for letters that only loanwords have, or for mixed harmony with a review letter; else N."""
-    return F.when(word.rlike("[ёьъщ]"), "RL").when(word.rlike(f"[{TATAR.review}]") & (harmony_class(word) == "mixed_front_back"), "RL").otherwise("N")
+    """RL for letters that only loanwords have, or for mixed harmony with a letter that reviewers look at; else N."""
+    return F.when(word.rlike("[ёьъщ]"), "RL").when(word.rlike(f"[{REVIEW_LETTERS}]") & (harmony_class(word) == "mixed_front_back"), "RL").otherwise("N")
 
 
 def word_pairs(alignment: DataFrame, left_pages: DataFrame, right_pages: DataFrame) -> DataFrame:

@@ -274,35 +274,39 @@ def parsed_listings(spark, sf_dir):
     return lexicon.parse_listings(pages.select(F.lit(29).alias("source_id"), "page", "html"))
 
 
-@query("""WITH b AS (SELECT page_id, array_to_string(regexp_extract_all(coalesce(html, ''), '(?is)<p\\b[^>]*>(.*?)</p>', 1), ' ') AS t FROM pages),
+@query("""WITH b AS (SELECT page_id, regexp_replace(regexp_replace(array_to_string(regexp_extract_all(coalesce(html, ''), '(?is)<p\\b[^>]*>(.*?)</p>', 1), ' '), '(?is)<script\\b.*?</script>', ' ', 'g'), '(?is)<style\\b.*?</style>', ' ', 'g') AS t FROM pages),
 e AS (SELECT page_id, replace(replace(replace(replace(replace(replace(regexp_replace(t, '(?s)<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS t FROM b)
-SELECT page_id, trim(regexp_replace(regexp_replace(t, '\\[[^\\]]*\\]|\\([^)]*\\)', ' ', 'g'), '\\s+', ' ', 'g')) AS paragraphs FROM e""")
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(t, '\\[[^\\]]*\\]', ' ', 'g'), '\\([^)]*\\)', ' ', 'g'), '\\s+', ' ', 'g')) AS paragraphs FROM e""")
 def paragraph_texts(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", T.paragraph_text(F.coalesce("html", F.lit(""))).alias("paragraphs"))
 
 
-# editions: each document's first line and its bridged counterpart as entries with the same headword
+# editions: each line of the documents and its bridged counterpart as entries with the same headword
 
-_ENTRY_SQL = f"""entries AS (SELECT doc_id, 'H' || doc_id || ' n ' || CASE WHEN doc_id % 5 = 0 THEN 'abc ' ELSE '' END AS head, string_split(coalesce(text, ''), chr(10))[1] AS raw FROM documents),
-words AS (SELECT doc_id, list_filter(regexp_extract_all(lower(raw), '[a-z]+'), lambda w: length(w) > 1 AND NOT list_contains(['n', 'v', 'a', 'adj', 'adv', 'prep', 'conj', 'pron', 'num', 'int', 'interj', 'pl', 'vt', 'vi', 'aux', 'pp', 'pt'], w)) AS latin FROM entries),
-facing AS (SELECT doc_id, latin, list_transform(latin, lambda w: translate(w, '{bridge.SOURCE}', '{bridge.TARGET}')) AS cyrillic FROM words WHERE len(latin) > 0)"""
-_NOISE = ", ".join(f"'{w}'" for w in lexicon.ENGLISH_NOISE)
+# fixed values: letters and signs of tokens, parts of speech and English words, as the entries have them
+_CYRILLIC = "[А-Яа-яЁёӘәӨөҮүҖҗҢңҺһ]+(?:[-''’ʼ][А-Яа-яЁёӘәӨөҮүҖҗҢңҺһ]+)*"
+_LATIN = "[A-Za-zÄÖÜÑĞŞÇİıäöüñğşçƏə]+(?:[-''’ʼ][A-Za-zÄÖÜÑĞŞÇİıäöüñğşçƏə]+)*"
+_POS = "'n', 'v', 'a', 'adv', 'pref', 'pron', 'pl', 'gr', 'reflex', 'past', 'prep', 'cj', 'conj', 'int', 'num'"
+_NOISE = "'against', 'as', 'from', 'into', 'of', 'one', 'out', 'over', 'smth', 'somebody', 'something', 'the', 'to', 'with'"
+_BARE = "regexp_replace(regexp_replace({0}, '\\[[^\\]]*\\]', ' ', 'g'), '\\([^)]*\\)', ' ', 'g')"
+_FACING_SQL = f"""docs AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '[.\n]') AS pieces FROM documents),
+pieces AS (SELECT doc_id * 1000000 + n - 1 AS align_id, trim(pieces[n], ' ') AS latin FROM (SELECT doc_id, pieces, unnest(generate_series(1, len(pieces))) AS n FROM docs)),
+sides AS (SELECT align_id, {_BARE.format(f"translate(lower(latin), '{bridge.SOURCE}', '{bridge.TARGET}')")} AS c, {_BARE.format("latin")} AS l FROM pieces WHERE latin <> ''),
+facing AS (SELECT align_id, list_filter(list_transform(regexp_extract_all(c, '{_CYRILLIC}'), lambda w: lower(w)), lambda w: length(w) > 1) AS c, list_filter(list_transform(regexp_extract_all(l, '{_LATIN}'), lambda w: lower(w)), lambda w: length(w) > 1 AND w NOT IN ({_POS})) AS l FROM sides)"""
 
 
 def _editions(spark, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Alignment and pages of two editions: Latin words of a document's first line, and the same words bridged."""
-    first = F.get(F.split(F.coalesce("text", F.lit("")), "\n"), F.lit(0))
-    words = F.filter(F.regexp_extract_all(F.lower(first), F.lit("[a-z]+"), F.lit(0)), lambda w: (F.length(w) > 1) & ~w.isin(*lexicon.POS_WORDS))
-    rows = _table(spark, sf_dir, "documents").select("doc_id", words.alias("w")).where("size(w) > 0")
-    head = F.concat(F.lit("<p>H n "), F.lit(""))
-    page = lambda side, text: rows.select(F.concat(F.lit(side), "doc_id").alias("entry_id"), F.concat(head, text, F.lit("</p>")).alias("html"))
-    latin = F.array_join("w", ", ")
-    alignment = rows.select(F.col("doc_id").alias("align_id"), F.concat(F.when(F.col("doc_id") % 9 == 0, "-").otherwise(""), F.lit("H")).alias("headword"), F.concat(F.lit("l"), "doc_id").alias("left_entry_id"), F.concat(F.lit("r"), "doc_id").alias("right_entry_id"), F.when(F.col("doc_id") % 8 == 0, "missing_side").otherwise("aligned").alias("status"))
-    return alignment, page("l", bridge.bridged(latin)), page("r", latin)
-
-
-@query(f"""WITH {_ENTRY_SQL}, pairs AS (SELECT doc_id AS align_id, unnest(cyrillic) AS cyrillic, unnest(latin) AS latin, unnest(generate_series(0, len(latin) - 1)) AS position FROM facing WHERE doc_id % 8 <> 0 AND doc_id % 9 <> 0),
-kept AS (SELECT *, CASE WHEN regexp_matches(cyrillic, '[ёьъщ]') THEN 'RL' WHEN regexp_matches(cyrillic, '[ёыьъщ]') AND {HARMONY_SQL.format('cyrillic')} = 'mixed_front_back' THEN 'RL' ELSE 'N' END AS label FROM pairs WHERE latin NOT IN ({_NOISE}))
+    """Alignment and pages of two editions: each line of a document as it is, and bridged."""
+    pieces = _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"[.\n]")).alias("n", "piece"))
+    rows = pieces.select((F.col("doc_id") * 1_000_000 + F.col("n")).alias("align_id"), F.trim("piece").alias("text")).where("text <> ''")
+    escaped = lambda text: F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page = lambda side, text: rows.select(F.concat(F.lit(side), "align_id").alias("entry_id"), F.concat(F.lit("<p>H n "), escaped(text), F.lit("</p>")).alias("html"))
+    alignment = rows.select("align_id", F.concat(F.when(F.col("align_id") % 9 == 0, "-").otherwise(""), F.lit("H")).alias("headword"), F.concat(F.lit("l"), "align_id").alias("left_entry_id"), F.concat(F.lit("r"), "align_id").alias("right_entry_id"), F.when(F.col("align_id") % 8 == 0, "missing_side").otherwise("aligned").alias("status"))
+    return alignment, page("l", bridge.bridged(F.col("text"))), page("r", F.col("text"))
+
+
+@query(f"""WITH {_FACING_SQL}, pairs AS (SELECT align_id, unnest(c) AS cyrillic, unnest(l) AS latin, unnest(generate_series(0, len(l) - 1)) AS position FROM facing WHERE len(c) = len(l) AND len(l) > 0 AND align_id % 8 <> 0 AND align_id % 9 <> 0),
+kept AS (SELECT *, CASE WHEN regexp_matches(cyrillic, '[ёьъщ]') THEN 'RL' WHEN regexp_matches(cyrillic, '[уүгквяюецёыьъщ]') AND {HARMONY_SQL.format('cyrillic')} = 'mixed_front_back' THEN 'RL' ELSE 'N' END AS label FROM pairs WHERE latin NOT IN ({_NOISE}))
 SELECT cyrillic, latin, label, arg_min(align_id, (align_id, position)) AS align_id, arg_min(position, (align_id, position))::INT AS position FROM kept GROUP BY cyrillic, latin, label""")
 def dictionary_word_pairs(spark, sf_dir):
     """Words that face each other in the two editions' entries, the first of each pair."""

@@ -12,6 +12,7 @@ from lingoloom.functions.sentence_quality import sentence_quality
 from lingoloom.operators import dictionary, harvest, lexicon, report
 from lingoloom.operators import features as feats
 from lingoloom.operators import select as choose
+from lingoloom.operators.kept import Kept
 
 from . import bridge
 from .bridge import LINES_SQL
@@ -129,6 +130,13 @@ def harvest_candidates(spark, sf_dir):
     return harvest.prepare(bridge.documents(spark, sf_dir), WHOLE)
 
 
+@query()
+def capped_candidates(spark, sf_dir):
+    """What the default caps leave of each document, with duplicates of what earlier documents really kept."""
+    config = harvest.HarvestConfig(min_chars=1, general_keep_probability=1.0, min_specific_letters=0, max_doc_chars=1 << 30)
+    return harvest.prepare(bridge.documents(spark, sf_dir), config)
+
+
 @query()
 def harvest_diagnostics(spark, sf_dir):
     return harvest.diagnostics(bridge.documents(spark, sf_dir), WHOLE)
@@ -204,11 +212,12 @@ def adaptive_selection(spark, sf_dir):
     mixed = F.size(F.filter(T.words_in(F.col("sentence")), lambda w: T.harmony_class(w) == "mixed_front_back"))
     meta = lines.select("key", F.col("id").alias("source"), T.sentence_key(F.col("sentence")).alias("text_key"), mixed.alias("mixed_harmony_count"))
     vocabulary = feats.vocabulary_features(lines)
-    df = feats.corpus_document_frequencies(lines, weighted_only=True, vocabulary=vocabulary).persist()  # a row a feature; read for scores and for the choice
-    scores = feats.corpus_scores(lines, "key", n, df, vocabulary=vocabulary).join(meta, "key").withColumn("score", F.col("base_score") + F.col("diversity_score")).withColumn("sort_key", T.stable_sort_key(13, F.col("key")))
-    short = choose.shortlist(scores, 10_000, 250_000).persist()  # bounded by its size; read for its sentences, their features and the choice
-    chosen = lines.join(short.select("key"), "key", "left_semi")
-    return choose.adaptive_selection(short, feats.feature_table(chosen, "key", frequencies=vocabulary.select("word", "frequency")), n, 10_000, frequencies=df)
+    with Kept() as kept:
+        df = kept(feats.corpus_document_frequencies(lines, weighted_only=True, vocabulary=vocabulary))  # a row a feature; read for scores and for the choice
+        scores = feats.corpus_scores(lines, "key", n, df, vocabulary=vocabulary).join(meta, "key").withColumn("score", F.col("base_score") + F.col("diversity_score")).withColumn("sort_key", T.stable_sort_key(13, F.col("key")))
+        short = kept(choose.shortlist(scores, 10_000, 250_000))  # read for its sentences, their features and the choice
+        chosen = lines.join(short.select("key"), "key", "left_semi")
+        return choose.adaptive_selection(short, feats.feature_table(chosen, "key", frequencies=vocabulary.select("word", "frequency")), n, 10_000, frequencies=df)
 
 
 _TOKENS_SQL = f"""{WORDS_SQL}, labelled AS (SELECT word, CASE WHEN substr(md5(word), 1, 1) < 'a' THEN 'N' WHEN substr(md5(word), 1, 1) < 'd' THEN 'RL' ELSE 'U' END AS label, substr(md5(word), 2, 1) = 'f' AND substr(md5(word), 1, 1) BETWEEN 'a' AND 'c' AS homonym FROM words)"""
@@ -230,15 +239,19 @@ def word_statistics(spark, sf_dir):
 _HEADS = "upper(split_part(text, ' ', 1))"
 
 
-@query("""WITH l AS (SELECT lower(split_part(text, ' ', 1)) AS k, max(doc_id) AS entry, count(*) AS n FROM documents WHERE text <> '' AND split_part(text, ' ', 1) <> '' AND NOT contains(split_part(text, ' ', 1), 'ß') AND NOT regexp_matches(split_part(text, ' ', 1), '\\s') GROUP BY 1),
-r AS (SELECT lower(split_part(text, ' ', 1)) AS k, max(item_id) AS entry, count(*) AS n FROM benchmark WHERE text <> '' AND split_part(text, ' ', 1) <> '' AND NOT contains(split_part(text, ' ', 1), 'ß') AND NOT regexp_matches(split_part(text, ' ', 1), '\\s') GROUP BY 1)
+_KEY_SQL = "replace(lower(trim(regexp_replace(split_part(coalesce(text, ''), ' ', 1), '\\s+', ' ', 'g'))), 'ß', 'ss')"
+
+
+@query(f"""WITH l AS (SELECT {_KEY_SQL} AS k, max(doc_id) AS entry, count(*) AS n FROM documents GROUP BY 1),
+r AS (SELECT {_KEY_SQL} AS k, max(item_id) AS entry, count(*) AS n FROM benchmark GROUP BY 1)
 SELECT coalesce(l.k, r.k) AS headword_key, l.entry::VARCHAR AS left_entry_id, r.entry::VARCHAR AS right_entry_id, CASE WHEN l.k IS NULL OR r.k IS NULL THEN 'missing_side' WHEN l.n > 1 OR r.n > 1 THEN 'headword_mismatch' ELSE 'aligned' END AS status,
 row_number() OVER (ORDER BY coalesce(l.k, r.k)) AS align_id FROM l FULL JOIN r ON l.k = r.k""")
 def headword_alignment(spark, sf_dir):
+    """First words of all documents and passages, up to a space, as headwords of two editions."""
+
     def side(name, key):
-        head = F.split("text", " ", 2)[0]
-        t = spark.read.parquet(f"{sf_dir}/{name}.parquet").where("text <> ''").select(F.col(key).cast("string").alias("entry_id"), head.alias("headword"), F.lit(1).alias("page"), F.col(key).alias("position"))
-        return t.where((F.col("headword") != "") & ~F.col("headword").contains("ß") & ~F.col("headword").rlike(r"\s"))
+        head = F.split(F.coalesce("text", F.lit("")), " ", 2)[0]
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(F.col(key).cast("string").alias("entry_id"), head.alias("headword"), F.lit(1).alias("page"), F.col(key).alias("position"))
 
     out = lexicon.align_editions(side("documents", "doc_id"), side("benchmark", "item_id"))
     return out.select("headword_key", "left_entry_id", "right_entry_id", "status", "align_id")
@@ -252,6 +265,6 @@ def html_plain_text(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", T.html_text(F.col("html")).alias("plain_text"))
 
 
-from . import dictionary_queries, report_queries, translit_queries  # noqa: E402, F401  they register themselves
+from . import dictionary_queries, report_queries, translit_queries, validation_queries  # noqa: E402, F401  they register themselves
 
 __all__ = ["QUERIES", "SQL"]

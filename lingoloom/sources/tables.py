@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lingoloom.functions.variant import items
+from lingoloom.operators.kept import Kept
 
 from .store import TableStore
 
@@ -53,7 +54,7 @@ def write_report(report: dict, path: str) -> None:
 
 
 def write_json_array(rows: DataFrame, path: str, *order: str) -> None:
-    """One JSON array file of the rows, in order, below ``path``: lines are sorted by ranges and written by one task as they stream by."""
+    """One JSON array file of the rows, in order, below ``path``: ranges of lines are sorted by a stage of their own, then one task writes them as they stream by."""
     if rows.isEmpty():
         return rows.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
     lines = rows.orderBy(*order).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in order])).alias("j")) if order else rows.select(F.to_json(F.struct("*")).alias("j"))
@@ -68,7 +69,10 @@ def write_json_array(rows: DataFrame, path: str, *order: str) -> None:
                 before = ","
         yield pd.DataFrame({"value": ["]"]})
 
-    lines.coalesce(1).mapInPandas(bracketed, "value string").write.mode("overwrite").text(path)
+    with Kept() as kept:
+        lines = kept(lines)
+        lines.count()  # sorts in parallel; what follows reads finished ranges
+        lines.coalesce(1).mapInPandas(bracketed, "value string").write.mode("overwrite").text(path)
 
 
 def spread(rows: DataFrame, *by: str) -> DataFrame:
