@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from .linking import fetch
 from .scratch import Scratch
 
-# fixed values: vowel and consonant letters of the Latin and Cyrillic alphabets
-VOWELS = "aeiouyAEIOUYàáâãäåæèéêëìíîïòóôõöøùúûüýÿāăąēĕėęěīĭįıōŏőœūŭůűųÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜÝĀĂĄĒĔĖĘĚĪĬĮİŌŎŐŒŪŬŮŰŲаеёиоуыэюяәөүієїАЕЁИОУЫЭЮЯӘӨҮІЄЇ"
-CONSONANTS = "bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZßçñðþćĉċčďđĝğġģĥħĵķļľłńņňŕŗřśŝşšţťŵźżžÇÑÐÞĆĈĊČĎĐĜĞĠĢĤĦĴĶĻĽŁŃŅŇŔŖŘŚŜŞŠŢŤŴŹŻŽбвгґджзйклмнпрстфхцчшщьъҗңһБВГҐДЖЗЙКЛМНПРСТФХЦЧШЩЬЪҖҢҺ"
+# fixed values: vowel and consonant letters below U+0100, which a regular expression tells apart by one look at a table
+VOWELS = "aeiouyAEIOUYàáâãäåæèéêëìíîïòóôõöøùúûüýÿÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜÝ"
+CONSONANTS = "bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZßçñðþÇÑÐÞ"
 #: A token is a syllable as a sign can tell it: consonants and the vowels behind them, in a run of characters that aren't
 #: white space. Any other sign is a token of its own: digits, punctuation, letters of other scripts. So where tokens begin
 #: depends on the characters next to it alone, and one character more changes one token, however long a run is.
