@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from .kept import Kept
 
-#: Rows of a block, and classes of gains that a round tells apart.
-BLOCK, CLASSES = 4096, 4096
+#: Rows of a block, classes of gains within a factor of e, the class of rows without gain.
+BLOCK, CLASSES = 8192, 512
+_NOTHING = -(1 << 30)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +78,7 @@ class Chosen:
         return _sums(coefs / np.sqrt(1 + self.times(ids)), sizes) / np.array([self.share(s) for s in sources])
 
 
-def _choose(block: list, bounds: dict[int, float], limit: tuple[float, str] | None, room: int, state: Chosen) -> list[tuple[str, float]]:
+def _choose(block: list, limit: tuple[float, str] | None, room: int, state: Chosen) -> list[tuple[str, float]]:
     """(key, gain) of up to ``room`` rows of a block, best first, as long as no row outside it can be better.
 
     ``limit`` is (gain, sort key) of the best row outside, None without one.
@@ -87,7 +88,7 @@ def _choose(block: list, bounds: dict[int, float], limit: tuple[float, str] | No
     at = np.concatenate(([0], np.cumsum([len(ids) for ids, _, _ in rows])))
     used = state.times(names)
     worn = np.sqrt(1 + used)
-    heap = [(-bounds[r.nth], r.sort_key, i) for i, r in enumerate(block)]
+    heap = [(-r.gain, r.sort_key, i) for i, r in enumerate(block)]
     heapq.heapify(heap)
     out: list[tuple[str, float]] = []
     while heap and len(out) < room:
@@ -158,11 +159,11 @@ def _round(eligible: DataFrame, state: Chosen, room: int, block: int) -> list[tu
 
     with Kept() as kept:
         gains = kept(eligible.select("nth", "sort_key", "text_key", "source", "ids", "coefs").mapInArrow(run, "nth long, sort_key string, gain double"))
-        most = gains.agg(F.max("gain")).first()[0]
-        if most is None:
-            return None
-        cls = F.floor(F.col("gain") * (CLASSES / most if most > 0 else 0.0)).cast("int")
+        # classes of about equal gains, best first; rows that are worth nothing are one class
+        cls = F.when(F.col("gain") > 0, F.floor(F.log("gain") * CLASSES).cast("int")).otherwise(_NOTHING)
         classes = sorted(((r.cls, r.n, r.most) for r in gains.groupBy(cls.alias("cls")).agg(F.count("*").alias("n"), F.max("gain").alias("most")).collect()), reverse=True)
+        if not classes:
+            return None
         wanted, held = 1, classes[0][1]
         while wanted < len(classes) and held + classes[wanted][1] <= block:
             held += classes[wanted][1]
@@ -170,13 +171,9 @@ def _round(eligible: DataFrame, state: Chosen, room: int, block: int) -> list[tu
         best = gains.where(cls >= classes[wanted - 1][0])
         limit = (classes[wanted][2], "") if wanted < len(classes) else None
         if held > block:  # one class alone is larger: its first rows
-            first = best.orderBy(F.desc("gain"), "sort_key").limit(block + 1).collect()
-            *first, other = first
+            *first, other = best.orderBy(F.desc("gain"), "sort_key").limit(block + 1).collect()
+            best = spark.createDataFrame([(r.nth, r.gain) for r in first], "nth long, gain double")
             limit = (other.gain, other.sort_key)
-        else:
-            first = best.collect()  # ``block`` rows at most
-    bounds = {r.nth: r.gain for r in first}
-    names = spark.createDataFrame([(n,) for n in bounds], "nth long")
-    rows = eligible.join(F.broadcast(names), "nth", "left_semi").collect()
+        rows = eligible.join(F.broadcast(best.select("nth", "gain")), "nth").collect()  # ``block`` rows at most
     given.destroy()
-    return _choose(rows, bounds, limit, room, state)
+    return _choose(rows, limit, room, state)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lingoloom.functions.dsl import resolutions
 from lingoloom.functions.profile import TATAR
-from lingoloom.functions.text import canonical_apostrophes, casefold, cell_text, harmony_class, html_text, normalize_headword, paragraph_text, query_value, strip
+from lingoloom.functions.text import canonical_apostrophes, casefold, cell_text, harmony_class, html_text, let, normalize_headword, paragraph_text, query_value, strip
 from lingoloom.functions.translit import convert_dsl
 
 from .ranges import running_total
@@ -62,10 +62,13 @@ def align_editions(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def _body(html: Column) -> Column:
     """Paragraph text behind the headword and part of speech; where none is near the front, without the Latin words and signs it begins with."""
-    text = paragraph_text(html)
-    tag = F.regexp_instr(text, F.lit(rf"(?iuU){POS}"))
-    rest = F.when((tag > 0) & (tag <= 80), F.regexp_replace(text, rf"(?iuUs)\A.*?{POS}", "")).otherwise(F.regexp_replace(text, rf"(?U)\A[{LATIN},.\s{JOINING}]+", " "))
-    return strip(F.regexp_replace(rest, r"(?U)\s+", " "))
+
+    def cut(text: Column) -> Column:
+        tag = F.regexp_instr(text, F.lit(rf"(?iuU){POS}"))
+        rest = F.when((tag > 0) & (tag <= 80), F.regexp_replace(text, rf"(?iuUs)\A.*?{POS}", "")).otherwise(F.regexp_replace(text, rf"(?U)\A[{LATIN},.\s{JOINING}]+", " "))
+        return strip(F.regexp_replace(rest, r"(?U)\s+", " "))
+
+    return let(paragraph_text(html), cut)
 
 
 def _tokens(html: Column, letters: str) -> Column:
