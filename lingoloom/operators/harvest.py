@@ -30,6 +30,8 @@ class HarvestConfig:
     general_keep_probability: float = 0.03
     min_specific_letters: int = 2
     exhaustive: bool = False
+    #: A sentence of several documents belongs to the first that keeps it under its cap; without this, to the first that has it as a candidate.
+    owners_keep: bool = True
     profile: LanguageProfile = TATAR
 
 
@@ -103,7 +105,9 @@ def dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
     """Dispositions ``doc_duplicate``, ``global_duplicate`` and ``doc_cap``; ``kept`` for the rest of the candidates.
 
     As if documents were read one after another by id: a sentence counts as a
-    duplicate once an earlier document has kept it, cap included.
+    duplicate once an earlier document has kept it, cap included. Without
+    ``owners_keep`` it does once an earlier document has it, and what a document
+    repeats is a ``doc_duplicate`` first.
     """
     is_candidate = F.col("disposition") == "candidate"
     in_doc = F.row_number().over(Window.partitionBy("id", "key", "disposition").orderBy("window", "position"))
@@ -111,9 +115,10 @@ def dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
     place = F.struct(priority.alias("priority"), (F.col("window_start") + F.col("start")).alias("at"), "sentence")
     once = judged.withColumn("nth", in_doc).withColumn("place", F.when(is_candidate & (F.col("nth") == 1), place))
     cap = None if config.exhaustive else config.max_candidates_per_doc
-    owners = _owners(once.where("place is not null").select("id", "key", "place"), cap)
+    owners = _owners(once.where("place is not null").select("id", "key", "place"), cap if config.owners_keep else None)
     earlier = is_candidate & F.coalesce(F.col("owner") < F.col("id"), F.lit(False))
-    fate = F.when(earlier, "global_duplicate").when(is_candidate & (F.col("nth") > 1), "doc_duplicate").otherwise(F.col("disposition"))
+    repeated = is_candidate & (F.col("nth") > 1)
+    fate = (F.when(earlier, "global_duplicate").when(repeated, "doc_duplicate") if config.owners_keep else F.when(repeated, "doc_duplicate").when(earlier, "global_duplicate")).otherwise(F.col("disposition"))
     once = join_split(once, owners.select("key", "owner", "frequent"), "key", "left").withColumn("disposition", fate)
     ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("id", "disposition").orderBy("place")))
     over = F.lit(False) if cap is None else F.col("rank") > cap
