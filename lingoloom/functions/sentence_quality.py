@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .profile import TATAR, LanguageProfile
-from .text import count_specific, let
+from .text import count_letters, count_specific, let
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -15,26 +15,33 @@ def _count(text: Column, pattern: str) -> Column:
 
 def measures(text: Column, profile: LanguageProfile = TATAR) -> Column:
     """struct of the counts and ratios that the rules read, unrounded."""
-    words = _count(text, profile.word)
-    specific = count_specific(text, profile)
-    letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
-    capitals = F.length(F.regexp_replace(text, r"\P{Lu}+", ""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"(?U)\S"))
-    markdown = _count(text, "##") + _count(text, r"\*\*") + _count(text, r"\[\^") + F.size(F.filter(lines, lambda x: x.rlike(r"(?U)\A\s*>")))
-    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
-    return F.struct(
-        words.alias("word_count"),
-        specific.alias("specific_count"),
-        ratio(specific, words).alias("specific_per_word"),
-        F.length(F.regexp_replace(F.lower(text), f"[^{profile.foreign}]", "")).alias("foreign_count"),
-        letters.alias("letter_count"),
-        ratio(capitals, letters).alias("uppercase_ratio"),
-        F.size(lines).alias("line_count"),
-        markdown.alias("markdown_count"),
-        F.size(F.filter(lines, lambda x: x.rlike(r"(?U)\A\s*[-—]\s+"))).alias("list_count"),
-        _count(text, "—").alias("dash_count"),
-        _count(text, ",").alias("comma_count"),
+    counted = F.struct(
+        _count(text, profile.word).alias("words"),
+        count_specific(text, profile).alias("specific"),
+        F.length(F.regexp_replace(text, r"\P{L}+", "")).alias("letters"),
+        F.length(F.regexp_replace(text, r"\P{Lu}+", "")).alias("capitals"),
+        lines.alias("lines"),
     )
+    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+
+    def named(c: Column) -> Column:
+        markdown = _count(text, "##") + _count(text, r"\*\*") + _count(text, r"\[\^") + F.size(F.filter(c["lines"], lambda x: x.rlike(r"(?U)\A\s*>")))
+        return F.struct(
+            c["words"].alias("word_count"),
+            c["specific"].alias("specific_count"),
+            ratio(c["specific"], c["words"]).alias("specific_per_word"),
+            count_letters(F.lower(text), profile.foreign).alias("foreign_count"),
+            c["letters"].alias("letter_count"),
+            ratio(c["capitals"], c["letters"]).alias("uppercase_ratio"),
+            F.size(c["lines"]).alias("line_count"),
+            markdown.alias("markdown_count"),
+            F.size(F.filter(c["lines"], lambda x: x.rlike(r"(?U)\A\s*[-—]\s+"))).alias("list_count"),
+            _count(text, "—").alias("dash_count"),
+            _count(text, ",").alias("comma_count"),
+        )
+
+    return let(counted, named)
 
 
 # fixed values

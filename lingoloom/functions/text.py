@@ -26,7 +26,8 @@ def _table(values: Mapping[str, str]) -> Column:
 
 def words_in(text: Column, profile: LanguageProfile = TATAR) -> Column:
     """Lower-case words, ё written as е."""
-    return F.transform(F.regexp_extract_all(text, F.lit(profile.word), F.lit(0)), lambda w: F.translate(F.lower(w), "ё", "е"))
+    # The whole text first: no other character becomes one of the letters, and one call a text replaces one a word.
+    return F.regexp_extract_all(F.translate(F.lower(text), "ё", "е"), F.lit(profile.word), F.lit(0))
 
 
 def char_ngrams(word: Column, n: int) -> Column:
@@ -45,7 +46,12 @@ def has_conditional(word: Column, profile: LanguageProfile = TATAR) -> Column:
 
 def count_specific(text: Column, profile: LanguageProfile = TATAR) -> Column:
     """Letters that only this language has, in either case."""
-    return F.length(F.regexp_replace(F.lower(text), f"[^{profile.specific}]", ""))
+    return count_letters(F.lower(text), profile.specific)
+
+
+def count_letters(text: Column, letters: str) -> Column:
+    """How many characters of the text are among ``letters``."""
+    return F.length(F.regexp_replace(text, f"[^{letters}]+", ""))
 
 
 def distinct_letters(text: Column, letters: str) -> Column:
@@ -173,10 +179,21 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("&"), joined).otherwise(text)
 
 
-def html_text(html: Column) -> Column:
-    """Visible text with single spaces: no scripts, styles or tags."""
+#: References that have to be escaped in HTML, and the no-break space; the ampersand last, so that nothing is read twice. fixed values
+BASIC_REFERENCES = (("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def unescape_basic(text: Column) -> Column:
+    """``BASIC_REFERENCES`` replaced; all others stay as they are written."""
+    for name, char in BASIC_REFERENCES:
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
+def html_text(html: Column, references: Callable[[Column], Column] = unescape) -> Column:
+    """Visible text with single spaces: no scripts, styles or tags. ``references`` says which character references are replaced."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
-    bare = unescape(F.regexp_replace(bare, r"(?s)<[^>]+>", " "))
+    bare = references(F.regexp_replace(bare, r"(?s)<[^>]+>", " "))
     return strip(F.regexp_replace(F.translate(bare, "﻿", " "), SPACES, " "))
 
 
