@@ -86,9 +86,9 @@ def latin_tokens(html: Column) -> Column:
     return F.transform(F.filter(_tokens(html, LATIN), lambda t: ~t.rlike(rf"(?iuU)\A(?:{'|'.join(POS_WORDS)})\z")), casefold)
 
 
-def antat_label(word: Column) -> Column:
+def antat_label(word: Column, review_letters: str = REVIEW_LETTERS) -> Column:
     """RL for letters that only loanwords have, or for mixed harmony with a letter that reviewers look at; else N."""
-    return F.when(word.rlike("[ёьъщ]"), "RL").when(word.rlike(f"[{REVIEW_LETTERS}]") & (harmony_class(word) == "mixed_front_back"), "RL").otherwise("N")
+    return F.when(word.rlike("[ёьъщ]"), "RL").when(word.rlike(f"[{review_letters}]") & (harmony_class(word) == "mixed_front_back"), "RL").otherwise("N")
 
 
 def word_pairs(alignment: DataFrame, left_pages: DataFrame, right_pages: DataFrame) -> DataFrame:
