@@ -10,6 +10,7 @@ from lingoloom.functions.dsl import RULES, choice
 from lingoloom.functions.profile import LATIN_ALPHABET
 from lingoloom.functions.translit import AFTER_TS, MONTHS, NATIVE_FRAGMENTS, NATIVE_PREFIXES, PLAIN, convert, word_dimension
 from lingoloom.operators import dictionary
+from lingoloom.operators.kept import Kept
 from lingoloom.operators.training import training_pairs
 
 from . import bridge
@@ -249,7 +250,7 @@ judged AS (SELECT s.*, native_dsl, loanword_dsl, state, CASE WHEN homonym THEN '
 def _judged(spark: SparkSession, sf_dir: str, all_states: bool) -> DataFrame:
     label = bridge.label(F.col("text"))
     tokens = bridge.lines(spark, sf_dir).select(F.concat_ws(":", "id", "n").alias("sample_id"), F.posexplode(T.words_in(F.col("sentence"))).alias("position", "text"))
-    stats = dictionary.word_stats(tokens.withColumn("label", label).withColumn("homonym", (label == "RL") & (F.substring(F.md5("text"), 2, 1) == "f")))
+    stats = Kept()(dictionary.word_stats(tokens.withColumn("label", label).withColumn("homonym", (label == "RL") & (F.substring(F.md5("text"), 2, 1) == "f"))))  # a row a word; read for the lists below and the conversions
     of = lambda d: stats.where(F.substring(F.md5("word"), 3, 1) == d).select(F.col("word").alias("normalized_word"))
     return dictionary.dispositions(stats, of("0"), of("1"), all_states=all_states)
 
