@@ -6,28 +6,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lingoloom.functions.profile import TATAR, LanguageProfile
-from lingoloom.functions.text import count_specific, harmony_class, words_in
+from lingoloom.functions.text import count_specific, harmony_class, let, words_in
 
 HARMONIES = ("front_only", "back_only", "mixed_front_back", "no_vowels")
 
 
-def _words(sentences: DataFrame, key: str, profile: LanguageProfile) -> DataFrame:
-    return sentences.select(key, F.explode(words_in(F.col("sentence"), profile)).alias("word"))
+def _words(sentences: DataFrame, profile: LanguageProfile) -> DataFrame:
+    """(word, times): a row a distinct word; tasks add up before anything is shuffled."""
+    return sentences.select(F.explode(words_in(F.col("sentence"), profile)).alias("word")).groupBy("word").agg(F.count("*").alias("times"))
+
+
+def _letters(text: Column, letters: str) -> Column:
+    """array<string>: which of the letters the text has."""
+    return let(text, lambda t: F.filter(F.array(*map(F.lit, letters)), lambda c: t.contains(c)))
 
 
 def letter_coverage(sentences: DataFrame, key: str, profile: LanguageProfile = TATAR) -> DataFrame:
     """(letter, sentence_count, word_occurrence_count, unique_words) of each conditional letter, zeros included."""
     letters = sentences.sparkSession.createDataFrame([(c,) for c in profile.conditional], "letter string")
-    per_word = _words(sentences, key, profile).groupBy(key, "word").agg(F.count("*").alias("times"))
-    own = per_word.select(key, "word", "times", F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(f"[{profile.conditional}]"), F.lit(0)))).alias("letter"))
+    own = _words(sentences, profile).select("word", "times", F.explode(_letters(F.col("word"), profile.conditional)).alias("letter"))
     inside = F.length("word") - F.length(F.replace("word", F.col("letter"), F.lit("")))
-    found = own.groupBy("letter").agg(F.count_distinct(key).alias("sentence_count"), F.sum(F.col("times") * inside).alias("word_occurrence_count"), F.count_distinct("word").alias("unique_words"))
-    return letters.join(found, "letter", "left").na.fill(0)
+    found = own.groupBy("letter").agg(F.sum(F.col("times") * inside).alias("word_occurrence_count"), F.count("*").alias("unique_words"))
+    joined = F.array_join(words_in(F.col("sentence"), profile), "")
+    having = sentences.select(key, F.explode(_letters(joined, profile.conditional)).alias("letter")).groupBy("letter").agg(F.count_distinct(key).alias("sentence_count"))
+    return letters.join(having, "letter", "left").join(found, "letter", "left").na.fill(0)
 
 
 def top_words_by_letter(sentences: DataFrame, key: str, k: int = 50, profile: LanguageProfile = TATAR) -> DataFrame:
     """(letter, place, word, n): the k most frequent words of each conditional letter, ties by word."""
-    counts = _words(sentences, key, profile).groupBy("word").agg(F.count("*").alias("n"))
+    counts = _words(sentences, profile).withColumnRenamed("times", "n")
     own = counts.select("word", "n", F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(f"[{profile.conditional}]"), F.lit(0)))).alias("letter"))
     # ranked within (letter, hash) first, so that no task ranks all words of a letter
     spread = own.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64)))
@@ -40,9 +47,17 @@ def top_words_by_letter(sentences: DataFrame, key: str, k: int = 50, profile: La
 def harmony_coverage(sentences: DataFrame, key: str, profile: LanguageProfile = TATAR) -> DataFrame:
     """(harmony, sentence_count, word_count, unique_words) of the four classes, zeros included."""
     classes = sentences.sparkSession.createDataFrame([(c,) for c in HARMONIES], "harmony string")
-    per_word = _words(sentences, key, profile).groupBy(key, "word").agg(F.count("*").alias("times")).withColumn("harmony", harmony_class(F.col("word"), profile))
-    found = per_word.groupBy("harmony").agg(F.count_distinct(key).alias("sentence_count"), F.sum("times").alias("word_count"), F.count_distinct("word").alias("unique_words"))
-    return classes.join(found, "harmony", "left").na.fill(0)
+    found = _words(sentences, profile).groupBy(harmony_class(F.col("word"), profile).alias("harmony")).agg(F.sum("times").alias("word_count"), F.count("*").alias("unique_words"))
+    own = let(F.array_join(words_in(F.col("sentence"), profile), " "), lambda t: F.filter(F.array(*[F.when(t.rlike(_having(h, profile)), F.lit(h)) for h in HARMONIES]), lambda h: h.isNotNull()))
+    having = sentences.select(key, F.explode(own).alias("harmony")).groupBy("harmony").agg(F.count_distinct(key).alias("sentence_count"))
+    return classes.join(having, "harmony", "left").join(found, "harmony", "left").select("harmony", "sentence_count", "word_count", "unique_words").na.fill(0)
+
+
+def _having(harmony: str, profile: LanguageProfile, also: str = "") -> str:
+    """A pattern of words, joined by spaces, of which one is in the class and has one of the letters ``also``."""
+    wants = {"front": harmony in ("front_only", "mixed_front_back"), "back": harmony in ("back_only", "mixed_front_back")}
+    tests = "".join(f"(?{'=' if wants[side] else '!'}[^ ]*[{letters}])" for side, letters in (("front", profile.front), ("back", profile.back)))
+    return rf"(?:\A| ){tests}" + (f"(?=[^ ]*[{also}])" if also else "") + "[^ ]"
 
 
 def merged_counters(rows: DataFrame, json_col: str) -> DataFrame:
@@ -82,15 +97,15 @@ def quality_summary(rows: DataFrame) -> DataFrame:
 
 def headline(rows: DataFrame, profile: LanguageProfile = TATAR) -> DataFrame:
     """One row: sentences, sources, sentences with 1, 2 and 3 conditional letters or more, and with mixed harmony (and a conditional letter in it)."""
-    words = words_in(F.col("sentence"), profile)
-    mixed = lambda extra: F.exists(words, lambda w: (harmony_class(w, profile) == "mixed_front_back") & extra(w))
+    rows = rows.withColumn("_words", F.array_join(words_in(F.col("sentence"), profile), " "))
+    mixed = lambda also="": F.count_if(F.col("_words").rlike(_having("mixed_front_back", profile, also)))
     n = F.coalesce("conditional_letter_count", F.lit(0))
     return rows.agg(
         F.count("*").alias("selected_sentence_count"),
         F.count_distinct("id").alias("source_count"),
         *[F.count_if(n >= k).alias(f"with_{k}_conditional") for k in (1, 2, 3)],
-        F.count_if(mixed(lambda w: F.lit(True))).alias("mixed_harmony_sentence_count"),
-        F.count_if(mixed(lambda w: w.rlike(f"[{profile.conditional}]"))).alias("mixed_harmony_conditional_sentence_count"),
+        mixed().alias("mixed_harmony_sentence_count"),
+        mixed(profile.conditional).alias("mixed_harmony_conditional_sentence_count"),
     )
 
 
