@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # fixed values
@@ -46,7 +47,13 @@ class LanguageProfile:
 
     @property
     def word(self) -> str:
-        return f"[{self.letters}]+"
+        return f"{self.letter}+"
+
+    @property
+    def letter(self) -> str:
+        """A character class of the letters that tries its ranges first, then the single letters: Java tries a flat class in full for each character."""
+        ranges, singles = re.findall(".-.", self.letters), re.sub(".-.", "", self.letters)
+        return f"[{''.join(reversed(ranges))}{f'[{singles}]' if singles else ''}]"
 
 
 TATAR = LanguageProfile()

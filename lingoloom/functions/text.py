@@ -50,8 +50,15 @@ def count_specific(text: Column, profile: LanguageProfile = TATAR) -> Column:
 
 
 def count_letters(text: Column, letters: str) -> Column:
-    """How many characters of the text are among ``letters``."""
-    return F.length(F.regexp_replace(text, f"[^{letters}]+", ""))
+    """How many characters of the text are among ``letters``, which are few."""
+
+    def less(text: Column) -> Column:
+        rest = text
+        for letter in letters:
+            rest = F.replace(rest, F.lit(letter), F.lit(""))
+        return F.length(text) - F.length(rest)
+
+    return let(text, less)
 
 
 def distinct_letters(text: Column, letters: str) -> Column:
@@ -84,7 +91,7 @@ def meta_value(text: Column) -> Column:
 
 def normalize_word(text: Column, profile: LanguageProfile = TATAR) -> Column:
     """From the first to the last letter, in lower case; empty without letters."""
-    return F.lower(F.regexp_extract(text, f"(?s)[{profile.letters}](?:.*[{profile.letters}])?", 0))
+    return F.lower(F.regexp_extract(text, f"(?s){profile.letter}(?:.*{profile.letter})?", 0))
 
 
 def display_word(surface: Column, normalized: Column) -> Column:
@@ -174,9 +181,13 @@ def _referred(ref: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Character references replaced in one pass, as HTML reads them: all names, with and without semicolons, and numbers."""
-    pieces = F.struct(F.split(text, _REFERENCE, -1).alias("rest"), F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)).alias("refs"))
-    joined = let(pieces, lambda p: F.array_join(F.zip_with(p["rest"], p["refs"], lambda a, b: F.concat(a, _referred(b))), ""))
-    return F.when(text.contains("&"), joined).otherwise(text)
+
+    def replaced(text: Column) -> Column:
+        pieces = F.struct(F.split(text, _REFERENCE, -1).alias("rest"), F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)).alias("refs"))
+        joined = let(pieces, lambda p: F.array_join(F.zip_with(p["rest"], p["refs"], lambda a, b: F.concat(a, _referred(b))), ""))
+        return F.when(text.contains("&"), joined).otherwise(text)
+
+    return let(text, replaced)  # what made the text runs once
 
 
 #: References that have to be escaped in HTML, and the no-break space; the ampersand last, so that nothing is read twice. fixed values
@@ -223,10 +234,11 @@ _MANY = {c: f for c, f in _FOLDED.items() if len(f) > 1}
 def casefold(text: Column) -> Column:
     """Full case folding, one-to-many letters (ß, ﬁ, ŉ) included; sigma has one form."""
     # Lower case first, whose own one-to-many letter (İ) is folded alike; what it leaves goes letter by letter.
-    simple = F.translate(F.lower(text), "".join(_ONE), "".join(_ONE.values()))
     letters = _table(_MANY)
-    full = F.array_join(F.transform(F.split(simple, ""), lambda c: F.coalesce(F.try_element_at(letters, c), c)), "")
-    return F.when(simple.rlike("[" + "".join(_MANY) + "]"), full).otherwise(simple)
+    full = lambda simple: F.array_join(F.transform(F.split(simple, ""), lambda c: F.coalesce(F.try_element_at(letters, c), c)), "")
+    simple = lambda low: F.translate(low, "".join(_ONE), "".join(_ONE.values()))
+    folded = lambda low: F.when(low.rlike(r"\A\p{ASCII}*+\z"), low).otherwise(let(simple(low), lambda s: F.when(s.rlike("[" + "".join(_MANY) + "]"), full(s)).otherwise(s)))
+    return let(F.lower(text), folded)
 
 
 def normalize_headword(text: Column) -> Column:
