@@ -43,15 +43,17 @@ def sentence_spans(cleaned: Column, profile: LanguageProfile = TATAR) -> Column:
 
     Dots that end no sentence are masked first (inside numbers, after initials
     and abbreviations); then a mark is put behind every end of a sentence, and
-    in place of every line break that follows one or precedes a capital.
+    in place of every line break that follows one or precedes a capital. Each
+    pattern begins with the sign it is about and looks back from there, so that
+    letters cost no look behind.
     """
     low, up, letters = profile.lower, profile.upper, profile.letters
-    masked = F.regexp_replace(cleaned, r"(?U)(?<=\d)\.(?=\d)", DOT)
+    masked = F.regexp_replace(cleaned, r"(?U)\.(?<=\d\.)(?=\d)", DOT)
     for _ in range(2):  # chains overlap
-        masked = F.regexp_replace(masked, rf"(?U)(?<![\p{{L}}.{DOT}])((?:[{letters}][.{DOT}])*[{letters}])\.", f"$1{DOT}")
-    masked = F.regexp_replace(masked, rf"(?iu)((?:{'|'.join(sorted(profile.abbreviations, key=len, reverse=True))}) ?)\.", f"$1{DOT}")
+        masked = F.regexp_replace(masked, rf"(?U)(?=.[.{DOT}])(?<![\p{{L}}.{DOT}])((?:[{letters}][.{DOT}])*[{letters}])\.", f"$1{DOT}")
+    masked = F.regexp_replace(masked, rf"(?iu)\.(?<=(?:{'|'.join(sorted(profile.abbreviations, key=len, reverse=True))}) ?\.)", DOT)
     marked = F.regexp_replace(masked, rf"(?U)([{END}][{CLOSING}]*+)(?!\s*+[{low}])(?=\s|\z)", f"$1{CUT}")
-    marked = F.regexp_replace(marked, rf"(?U)(?<=[{END}{DOT}{CLOSING}])\n|\n(?=\s*+[{up}])", f"\n{CUT}")
+    marked = F.regexp_replace(marked, rf"(?U)\n(?:(?<=[{END}{DOT}{CLOSING}]\n)|(?=\s*+[{up}]))", f"\n{CUT}")
     return F.transform(F.split(marked, CUT), lambda s: F.translate(s, DOT, "."))
 
 
@@ -69,13 +71,13 @@ def sentences(text: Column, min_chars: int = 20, max_chars: int = 400, profile:
         return F.aggregate(s, zero, step, lambda acc: acc["out"])
 
     def judged(x: Column) -> Column:
-        body = strip(x["raw"])
-        lead = F.length(F.regexp_extract(x["raw"], r"(?U)\A\s*", 0))
-        letters = F.length(F.regexp_replace(body, r"\P{L}+", ""))
-        own = F.length(F.regexp_replace(body, f"[^{profile.letters}]+", ""))
-        reason = F.when(F.length(body) < min_chars, "rejected:too_short").when(F.length(body) > max_chars, "rejected:too_long").when((letters == 0) | (own < 0.6 * letters), "rejected:non_cyrillic").otherwise("accepted")
-        start = x["at"] + lead
-        return F.struct(body.alias("sentence"), start.alias("start"), (start + F.length(body)).alias("end"), reason.alias("reason"))
+        counts = lambda body: F.struct(body.alias("body"), F.length(body).alias("n"), F.length(F.regexp_replace(body, r"\P{L}+", "")).alias("letters"), (F.length(body) - F.length(F.regexp_replace(body, profile.word, ""))).alias("own"), (x["at"] + F.length(F.regexp_extract(x["raw"], r"(?U)\A\s*", 0))).alias("start"))
+
+        def reasoned(c: Column) -> Column:
+            reason = F.when(c["n"] < min_chars, "rejected:too_short").when(c["n"] > max_chars, "rejected:too_long").when((c["letters"] == 0) | (c["own"] < 0.6 * c["letters"]), "rejected:non_cyrillic").otherwise("accepted")
+            return F.struct(c["body"].alias("sentence"), c["start"].alias("start"), (c["start"] + c["n"]).alias("end"), reason.alias("reason"))
+
+        return let(let(strip(x["raw"]), counts), reasoned)
 
     return F.filter(F.transform(let(spans, placed), judged), lambda x: x["sentence"] != "")
 

@@ -9,15 +9,20 @@ from .profile import TATAR, LanguageProfile
 from .text import count_letters, count_specific, let
 
 
-def _count(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern))
+def _count(text: Column, sign: str) -> Column:
+    """How often the sign stands in the text, without overlaps."""
+    return F.floor((F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))) / len(sign)).cast("int")
+
+
+def _beginning(lines: Column, pattern: str) -> Column:
+    return F.size(F.filter(lines, lambda x: x.rlike(pattern)))
 
 
 def measures(text: Column, profile: LanguageProfile = TATAR) -> Column:
     """struct of the counts and ratios that the rules read, unrounded."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"(?U)\S"))
     counted = F.struct(
-        _count(text, profile.word).alias("words"),
+        F.regexp_count(text, F.lit(profile.word)).alias("words"),
         count_specific(text, profile).alias("specific"),
         F.length(F.regexp_replace(text, r"\P{L}+", "")).alias("letters"),
         F.length(F.regexp_replace(text, r"\P{Lu}+", "")).alias("capitals"),
@@ -26,7 +31,7 @@ def measures(text: Column, profile: LanguageProfile = TATAR) -> Column:
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
 
     def named(c: Column) -> Column:
-        markdown = _count(text, "##") + _count(text, r"\*\*") + _count(text, r"\[\^") + F.size(F.filter(c["lines"], lambda x: x.rlike(r"(?U)\A\s*>")))
+        markdown = _count(text, "##") + _count(text, "**") + _count(text, "[^") + F.when(text.contains(">"), _beginning(c["lines"], r"(?U)\A\s*>")).otherwise(0)
         return F.struct(
             c["words"].alias("word_count"),
             c["specific"].alias("specific_count"),
@@ -36,7 +41,7 @@ def measures(text: Column, profile: LanguageProfile = TATAR) -> Column:
             ratio(c["capitals"], c["letters"]).alias("uppercase_ratio"),
             F.size(c["lines"]).alias("line_count"),
             markdown.alias("markdown_count"),
-            F.size(F.filter(c["lines"], lambda x: x.rlike(r"(?U)\A\s*[-—]\s+"))).alias("list_count"),
+            F.when(text.contains("-") | text.contains("—"), _beginning(c["lines"], r"(?U)\A\s*[-—]\s+")).otherwise(0).alias("list_count"),
             _count(text, "—").alias("dash_count"),
             _count(text, ",").alias("comma_count"),
         )
