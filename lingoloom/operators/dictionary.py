@@ -235,21 +235,31 @@ def completed_reviews(tasks: DataFrame) -> DataFrame:
     task = F.col("task")
     rows = tasks.select("nth", "task", V.get(task, "annotations").alias("given"), V.string(V.get(task, "data.cyrl_word")).alias("surface"))
     rows = rows.withColumn("word", normalize_word(F.col("surface"))).withColumn("list", F.when(V.absent(F.col("given")), F.array().cast("array<variant>")).otherwise(V.items(F.col("given"))))
-    rows = rows.withColumn("found", F.transform("list", _annotation))
-    rows = rows.withColumn("decisions", F.array_distinct(F.transform(F.filter("found", lambda a: a["error"].isNull() & a["dsl"].isNotNull()), lambda a: F.struct(a["origin"].alias("origin"), a["dsl"].alias("dsl")))))
     first = lambda values: F.get(F.filter(values, lambda e: e.isNotNull()), F.lit(0))
-    error = (
-        F.when(F.col("nth") < 0, "export must be a JSON array")
-        .when(~V.is_object(task), "task must be an object")
-        .when(~V.is_object(V.get(task, "data")), "data must be an object")
-        .when(F.coalesce("surface", F.lit("")) == "", "invalid data.cyrl_word")
-        .when(F.coalesce("word", F.lit("")) == "", "no Cyrillic word in data.cyrl_word")
-        .when(F.col("list").isNull(), "annotations must be a list")
-        .otherwise(F.coalesce(first(F.col("found.error")), F.concat(F.lit("invalid notation: "), first(F.transform("decisions", lambda d: dsl_error(d["dsl"])))), F.when(F.size("decisions") > 1, "conflicting completed annotations")))
-    )
-    out = rows.withColumn("error", error).where("error is not null or size(decisions) > 0")
-    one = F.get("decisions", F.lit(0))
-    out = out.select("nth", "word", one["origin"].alias("origin"), one["dsl"].alias("zamanalif_dsl"), F.size("decisions").alias("n_decisions"), "error")
+
+    def decided(found: Column) -> Column:
+        decisions = F.array_distinct(F.transform(F.filter(found, lambda a: a["error"].isNull() & a["dsl"].isNotNull()), lambda a: F.struct(a["origin"].alias("origin"), a["dsl"].alias("dsl"))))
+        return F.struct(first(found["error"]).alias("error"), decisions.alias("decisions"))
+
+    def judged(d: Column) -> Column:
+        error = (
+            F.when(F.col("nth") < 0, "export must be a JSON array")
+            .when(~V.is_object(task), "task must be an object")
+            .when(~V.is_object(V.get(task, "data")), "data must be an object")
+            .when(F.coalesce("surface", F.lit("")) == "", "invalid data.cyrl_word")
+            .when(F.coalesce("word", F.lit("")) == "", "no Cyrillic word in data.cyrl_word")
+            .when(F.col("list").isNull(), "annotations must be a list")
+            .otherwise(F.coalesce(d["error"], F.concat(F.lit("invalid notation: "), first(F.transform(d["decisions"], lambda x: dsl_error(x["dsl"])))), F.when(F.size(d["decisions"]) > 1, "conflicting completed annotations")))
+        )
+        return F.struct(error.alias("error"), d["decisions"].alias("decisions"))
+
+    # one expression from annotations to the outcome, what is left out included: a filter of its own would run all of it again
+    outcome = let(let(F.transform("list", _annotation), decided), judged)
+    counts = F.filter(F.array(outcome), lambda o: o["error"].isNotNull() | F.coalesce(F.size(o["decisions"]) > 0, F.lit(False)))
+    out = rows.select("nth", "word", F.explode(counts).alias("o"))
+    one = F.get("o.decisions", F.lit(0))
+    out = out.select("nth", "word", one["origin"].alias("origin"), one["dsl"].alias("zamanalif_dsl"), F.size("o.decisions").alias("n_decisions"), F.col("o.error").alias("error"))
+    out = Kept()(out)  # a short row a task; read for the earliest of each word too
     earliest = out.where("error is null").groupBy("word").agg(F.min("nth").alias("earliest"))
     later = F.col("error").isNull() & (F.col("nth") > F.col("earliest"))
     return out.join(earliest, "word", "left").withColumn("error", F.when(later, "duplicate normalized word").otherwise(F.col("error"))).select("nth", "word", "origin", "zamanalif_dsl", "n_decisions", "error")
