@@ -12,6 +12,7 @@ from lingoloom.functions.translit import AFTER_TS, MONTHS, NATIVE_FRAGMENTS, NAT
 from lingoloom.operators import dictionary
 from lingoloom.operators.kept import Kept
 from lingoloom.operators.training import training_pairs
+from lingoloom.sources.tables import spread
 
 from . import bridge
 from .registry import query
@@ -280,7 +281,7 @@ built AS (SELECT id, arg_min(reason, k) FILTER (reason IS NOT NULL) AS reason, s
 SELECT c.id, c.text AS cyrillic, CASE WHEN b.reason IS NULL THEN coalesce(b.latin, '') || gaps[len(gaps)] END AS zamanalif, b.reason, NULL::VARCHAR AS error FROM cut c LEFT JOIN built b USING (id)""")
 def training_pairs_of_turns(spark, sf_dir):
     """Conversation turns as annotated samples, words that convert one way only."""
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.concat_ws(":", "conv_id", "turn").alias("id"), bridge.bridged(F.col("text")).alias("text"))
+    turns = spread(spark.read.parquet(f"{sf_dir}/conversations.parquet")).select(F.concat_ws(":", "conv_id", "turn").alias("id"), bridge.bridged(F.col("text")).alias("text"))
     words = F.regexp_extract_all("text", F.lit(W), F.lit(0))
     state = turns.select(F.col("id").alias("sample_id"), F.lit("annotated").alias("status"), F.lit(1).alias("tatar"), F.to_json(F.transform(words, lambda w: F.struct(w.alias("text"), F.lit("N").alias("label")))).alias("tokens_json"))
     reviewed = spark.createDataFrame([], "normalized_word string, zamanalif_dsl string")
