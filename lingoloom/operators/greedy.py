@@ -13,16 +13,19 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kept import Kept
 
 #: Rows of a block, classes of gains within a factor of e, the class of rows without gain.
 BLOCK, CLASSES = 8192, 512
+#: Rows that are handed to Python at once: a row of a long sentence has tens of kilobytes, and batches of 16 MB broke the JVM.
+BATCH = 500
 _NOTHING = -(1 << 30)
 
 
@@ -112,6 +115,18 @@ def _choose(block: list, limit: tuple[float, str] | None, room: int, state: Chos
     return out
 
 
+@contextmanager
+def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows, until the end of the block."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def greedy_choice(items: DataFrame, quotas: list[tuple[int, int]], source_penalty: float, block: int = BLOCK) -> list[tuple[str, int, float]]:
     """(key, rank, gain) chosen from items (key, source, text_key, sort_key, letters, ids, coefs, counts).
 
@@ -127,7 +142,7 @@ def greedy_choice(items: DataFrame, quotas: list[tuple[int, int]], source_penalt
     block and what has been chosen.
     """
     state, out = Chosen(source_penalty), []
-    with Kept() as kept:
+    with _batches(items.sparkSession, BATCH), Kept() as kept:
         schema = "key string, source string, text_key string, sort_key string, letters long, ids binary, coefs binary, counts binary"
         typed = items.select(*[F.col(c).cast("string").alias(c) for c in ("key", "source", "text_key", "sort_key")], F.coalesce(F.col("letters"), F.lit(0)).cast("long").alias("letters"), *[F.coalesce(F.col(c), F.array()).cast(f"array<{kind}>").alias(c) for c, kind in (("ids", "long"), ("coefs", "double"), ("counts", "long"))])
         packed = kept(typed.mapInArrow(_packed, schema).withColumn("nth", F.monotonically_increasing_id()))
@@ -144,10 +159,11 @@ def greedy_choice(items: DataFrame, quotas: list[tuple[int, int]], source_penalt
 def _round(eligible: DataFrame, state: Chosen, room: int, block: int) -> list[tuple[str, float]] | None:
     """The rows that one block yields; None where nothing is left."""
     spark = eligible.sparkSession
-    given = spark.sparkContext.broadcast(state)  # as large as what is chosen
+    given = spark.sparkContext.broadcast(vars(state))  # as large as what is chosen; a plain dict needs no module where it is read
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = given.value
+        state = Chosen(0)
+        vars(state).update(given.value)
         for batch in batches:
             texts, nth = batch.column("text_key").to_pylist(), batch.column("nth").to_pylist()
             free = [i for i, (t, k) in enumerate(zip(texts, nth, strict=True)) if t not in state.texts and k not in state.rows]

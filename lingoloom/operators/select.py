@@ -80,9 +80,11 @@ def adaptive_selection(short: DataFrame, features: DataFrame, n_sentences: int,
     choice equals a plain greedy loop; it runs when this is called.
     """
     df = document_frequencies(features) if frequencies is None else frequencies
-    rows = features.join(short.select("key"), "key", "left_semi").join(df, "feature").withColumn("weight", weight_of(F.col("feature"), profile)).where("weight > 0")
-    coef = F.col("weight") * F.col("n") * (F.log((n_sentences + 1) / (F.col("df") + 1)) + 1)
-    packed = rows.select("key", F.xxhash64("feature").alias("f"), coef.alias("c"), "n").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("f", "c", "n"))).alias("v"))
+    if frequencies is None:  # the features are those of all sentences
+        features = features.join(short.select("key"), "key", "left_semi")
+    worth = df.select(F.xxhash64("feature").alias("f"), weight_of(F.col("feature"), profile).alias("weight"), (F.log((n_sentences + 1) / (F.col("df") + 1)) + 1).alias("rarity")).where("weight > 0")
+    rows = features.select("key", F.xxhash64("feature").alias("f"), "n").join(worth, "f")
+    packed = rows.select("key", "f", (F.col("weight") * F.col("n") * F.col("rarity")).alias("c"), "n").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("f", "c", "n"))).alias("v"))
     items = short.join(packed, "key", "left").select("key", "source", "text_key", "sort_key", F.col("conditional_letter_count").alias("letters"), F.col("v.f").alias("ids"), F.col("v.c").alias("coefs"), F.col("v.n").alias("counts"))
     quotas = [(least, min(target, round(target * ratio))) for least, ratio in ((2, multi_ratio), (1, conditional_ratio), (0, 1))]
     return short.sparkSession.createDataFrame(greedy_choice(items, quotas, source_penalty, block), "key string, rank int, gain double")
