@@ -20,6 +20,9 @@ FRONT, BACK = TATAR.front, TATAR.back
 # fixed values: letters that don't depend on their neighbours
 PLAIN = {"а": "a", "ә": "ä", "о": "o", "ө": "ö", "ы": "ı", "э": "e", "и": "i", "б": "b", "җ": "c", "ч": "ç", "д": "d", "ф": "f", "һ": "h", "ж": "j", "л": "l", "м": "m", "н": "n", "ң": "ñ", "п": "p", "р": "r", "с": "s", "ш": "ş", "т": "t", "х": "x", "й": "y", "з": "z", "ё": "yo", "щ": "şç"}
 
+# fixed values: letters of either origin that do
+IN_CONTEXT = {"N": "вгкуүюяец", "RL": "вгкуүюяецыьъ"}
+
 # fixed values: native words whose conventional spelling differs, by beginning: Cyrillic, converted, conventional
 NATIVE_PREFIXES = (
     ("аек", "ayık", "ayıq"),
@@ -157,8 +160,8 @@ def _nearest(before: Column, after: Column) -> Column:
     front, vowels = f"{FRONT}э", f"{FRONT}э{BACK}юя"
     last = F.regexp_extract(before, rf"([{vowels}])[^{vowels}-]*\z", 1)
     first = F.regexp_extract(after, rf"\A[^{vowels}-]*([{vowels}])", 1)
-    own = F.when(last != "", last).otherwise(first)
-    return F.when(own == "", "").when(F.lit(front).contains(own), "front").otherwise("back")
+    own = let(last, lambda v: F.when(v != "", v).otherwise(first))
+    return let(own, lambda v: F.when(v == "", "").when(F.lit(front).contains(v), "front").otherwise("back"))
 
 
 def _next_to(after: Column) -> Column:
@@ -173,7 +176,7 @@ def _others(before: Column, after: Column) -> Column:
 
 
 def _by(context: Column, front: str, back: str, other: Column) -> Column:
-    return F.when(context == "front", front).when(context == "back", back).otherwise(other)
+    return let(context, lambda v: F.when(v == "front", front).when(v == "back", back).otherwise(other))
 
 
 def _ts(before: Column, after: Column) -> Column:
@@ -271,14 +274,15 @@ def _loan(word: Column, before: Column, c: Column, after: Column) -> Column:
 def letter_pieces(word: Column, label: str) -> Column:
     """array<struct<c,latin>>: each letter with its Latin text, empty where there is none."""
     plain = F.create_map(*[F.lit(x) for kv in PLAIN.items() for x in kv])
+    own = _native if label == "N" else _loan
 
-    def piece(i: Column) -> Column:
-        before, c, after = F.substring(word, F.lit(1), i - 1), F.substring(word, i, F.lit(1)), F.substring(word, i + 1, F.length(word))
-        own = lambda b, ch, a: (_native if label == "N" else _loan)(word, b, ch, a)
-        latin = F.coalesce(own(before, c, after), F.when(c == "-", "-").when(c.isin("'", "’", "ʼ"), "ʼ"), F.element_at(plain, c), F.lit(""))
-        return F.struct(c.alias("c"), latin.alias("latin"))
+    def piece(c: Column, i: Column) -> Column:
+        # most letters stand for themselves; only the others look around
+        around = F.struct(F.substring(word, F.lit(1), i).alias("before"), F.substring(word, i + 2, F.length(word)).alias("after"))
+        latin = F.when(c.isin(*IN_CONTEXT[label]), let(around, lambda x: own(word, x["before"], c, x["after"]))).when(c == "-", "-").when(c.isin("'", "’", "ʼ"), "ʼ").otherwise(F.element_at(plain, c))
+        return F.struct(c.alias("c"), F.coalesce(latin, F.lit("")).alias("latin"))
 
-    return F.when(F.length(word) > 0, F.transform(F.sequence(F.lit(1), F.length(word)), piece)).otherwise(F.array().cast("array<struct<c:string,latin:string>>"))
+    return F.when(F.length(word) > 0, F.transform(F.split(word, ""), piece)).otherwise(F.array().cast("array<struct<c:string,latin:string>>"))
 
 
 def _joined(pieces: Column) -> Column:
@@ -306,7 +310,8 @@ def _lexical(word: Column, latin: Column, label: str) -> Column:
         place = F.instr(latin, f["a"])
         return F.when(p.isNotNull(), F.concat(p["b"], F.substring(latin, F.length(p["a"]) + 1, F.length(latin)))).when(f.isNotNull(), F.concat(F.substring(latin, F.lit(1), place - 1), f["b"], F.substring(latin, place + F.length(f["a"]), F.length(latin)))).otherwise(latin)
 
-    out = let(F.struct(at_start.alias("p"), inside.alias("f")), replaced)
+    named = word.rlike(rf"\A(?:{'|'.join(r[0] for r in NATIVE_PREFIXES)})|{'|'.join(r[0] for r in NATIVE_FRAGMENTS)}")  # few words are looked up
+    out = F.when(named, let(F.struct(at_start.alias("p"), inside.alias("f")), replaced)).otherwise(latin)
     surname = word.rlike(r"\A(?:гәлим|гилем)")
     return F.when(surname & word.endswith("ова"), F.regexp_replace(out, r"owa\z", "ova")).when(surname & word.endswith("ов"), F.regexp_replace(out, r"ow\z", "ov")).otherwise(out)
 
@@ -331,9 +336,12 @@ for _, _ordinary, _pdf in MONTHS:
 
 
 def _written(marked: Column) -> Column:
-    for text, mark in _MARKS.items():
-        marked = F.replace(marked, F.lit(mark), F.lit(text))
-    return marked
+    def replaced(out: Column) -> Column:
+        for text, mark in _MARKS.items():
+            out = F.replace(out, F.lit(mark), F.lit(text))
+        return out
+
+    return let(marked, lambda x: F.when(x.rlike("[\ue000-\uf8ff]"), replaced(x)).otherwise(x))
 
 
 def _through(value: Column, *steps) -> Column:
@@ -473,23 +481,23 @@ def _native_choices(word: Column, latin: Column, pieces: Column) -> Column:
     return F.when(cilquar, F.regexp_replace(latin, r"\Acilqu", "cilqu" + _mark("NATIVE_UW"))).when(marked, with_uw).otherwise(other)
 
 
-def _bare(word: Column, label: str) -> Column:
+def _bare(word: Column, label: str, pieces: Column | None = None) -> Column:
     """Conversion of a word in which all parts between hyphens have one label."""
-    return let(_joined(letter_pieces(word, label)), lambda x: _lexical(word, x, label))
+    return let(_joined(letter_pieces(word, label) if pieces is None else pieces), lambda x: _lexical(word, x, label))
 
 
-def convert(word: Column, label: str) -> Column:
-    """The plain conversion; empty where it isn't clean Latin.
+def convert(word: Column, label: str, pieces: Column | None = None) -> Column:
+    """The plain conversion; empty where it isn't clean Latin. ``pieces`` are the word's ``letter_pieces``, if they are at hand.
 
     In a hyphenated loanword, parts with letters that only the native language
     has are converted as native ones.
     """
     if label == "N":
-        latin = _bare(word, "N")
+        latin = _bare(word, "N", pieces)
     else:
         parts = F.split(word, "-")
         each = F.transform(parts, lambda p: F.when(p.rlike(f"[{TATAR.specific}]"), _bare(p, "N")).otherwise(_bare(p, "RL")))
-        latin = F.when(word.contains("-") & word.rlike(f"[{TATAR.specific}]"), F.array_join(each, "-")).otherwise(_bare(word, "RL"))
+        latin = F.when(word.contains("-") & word.rlike(f"[{TATAR.specific}]"), F.array_join(each, "-")).otherwise(_bare(word, "RL", pieces))
     return let(latin, lambda x: F.when(is_clean_latin(x), x).otherwise(""))
 
 
@@ -500,7 +508,7 @@ def convert_dsl(word: Column, label: str) -> Column:
         choices = (_native_choices if label == "N" else _loan_choices)(word, pair["latin"], pair["pieces"])
         return F.when(pair["latin"] == "", "").otherwise(_written(choices))
 
-    return let(F.struct(convert(word, label).alias("latin"), letter_pieces(word, label).alias("pieces")), marked)
+    return let(letter_pieces(word, label), lambda p: let(F.struct(convert(word, label, p).alias("latin"), p.alias("pieces")), marked))
 
 
 def word_dimension(words: DataFrame, col: str = "word") -> DataFrame:
