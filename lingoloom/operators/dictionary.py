@@ -39,11 +39,16 @@ def labelled_tokens(samples: DataFrame, state: DataFrame, strict: bool = False)
 def word_stats(tokens: DataFrame) -> DataFrame:
     """(word, frequency, n_n, n_rl, n_u, label, homonym_count, display, first_seen) of each normalised word.
 
-    The label of a word is U if any token has it, else RL, else N.
+    The label of a word is U if any token has it, else RL, else N. Tokens are
+    counted by text first, so each text is normalised once. A row stands for
+    ``times`` tokens, if there is such a column.
     """
-    words = tokens.withColumn("word", normalize_word(F.col("text"))).where("word <> ''")
-    count = lambda label: F.sum(F.when(F.col("label") == label, 1).otherwise(0))
-    grouped = words.groupBy("word").agg(F.count("*").alias("frequency"), count("N").alias("n_n"), count("RL").alias("n_rl"), count("U").alias("n_u"), F.sum(F.col("homonym").cast("long")).alias("homonym_count"), F.min_by("text", F.struct("sample_id", "position")).alias("surface"))
+    times = F.col("times") if "times" in tokens.columns else F.lit(1)
+    texts = tokens.groupBy("text", "label", "homonym").agg(F.sum(times).alias("times"), F.min(F.struct("sample_id", "position")).alias("first"))
+    # an exploded array, as a filter would be moved below the counting and run once a token
+    words = texts.select("*", F.explode(F.filter(F.array(normalize_word(F.col("text"))), lambda w: w != "")).alias("word"))
+    count = lambda label: F.sum(F.when(F.col("label") == label, F.col("times")).otherwise(0))
+    grouped = words.groupBy("word").agg(F.sum("times").alias("frequency"), count("N").alias("n_n"), count("RL").alias("n_rl"), count("U").alias("n_u"), F.sum(F.col("homonym").cast("long") * F.col("times")).alias("homonym_count"), F.min_by("text", "first").alias("surface"))
     label = F.when(F.col("n_u") > 0, "U").when(F.col("n_rl") > 0, "RL").otherwise("N")
     return grouped.withColumn("label", label).withColumn("display", display_word(F.col("surface"), F.col("word"))).drop("surface")
 
