@@ -12,7 +12,7 @@ from lingoloom.operators import dictionary, harvest, lexicon, report, training
 from lingoloom.operators import features as feats
 from lingoloom.operators import select as choose
 from lingoloom.functions.sentence_quality import sentence_quality
-from lingoloom.functions.text import count_specific, harmony_class, sentence_key, stable_sort_key, words_in
+from lingoloom.functions.text import count_specific, sentence_key, stable_sort_key
 from lingoloom.sources import tables
 from lingoloom.sources.store import TableStore, conformed
 
@@ -26,24 +26,24 @@ def _select(spark: SparkSession, a: argparse.Namespace) -> None:
     allowed = (count_specific(F.col("sentence")) >= a.min_specific_letters) & ~sentence_quality(F.col("sentence"))["is_artifact"]
     rows = spark.read.parquet(a.candidates).where(allowed).withColumn("key", stable_sort_key(a.seed, F.col("id"), F.col("source_sentence_index"), F.col("sentence"))).dropDuplicates(["key"])
     n = rows.count()
-    vocabulary = feats.vocabulary_features(rows, a.min_word_frequency, a.max_word_frequency)
-    df = feats.corpus_document_frequencies(rows, weighted_only=True, vocabulary=vocabulary).persist()
-    mixed = F.size(F.filter(words_in(F.col("sentence")), lambda w: harmony_class(w) == "mixed_front_back"))
-    scores = feats.corpus_scores(rows, "key", n, df, vocabulary=vocabulary).join(rows.select("key", F.col("id").alias("source"), "quality_penalty", sentence_key(F.col("sentence")).alias("text_key"), mixed.alias("mixed_harmony_count")), "key")
+    band = (a.min_word_frequency, a.max_word_frequency)
+    counts = feats.corpus_counts(rows)
+    df = feats.corpus_document_frequencies(rows, *band, weighted_only=True, counts=counts, key="key").persist()
+    scores = feats.corpus_scores(rows, "key", n, *band, counts=counts, frequencies=df).join(rows.select("key", F.col("id").alias("source"), "quality_penalty", sentence_key(F.col("sentence")).alias("text_key")), "key")
     scores = scores.withColumn("score", F.col("base_score") + F.col("diversity_score") - F.col("quality_penalty")).withColumn("sort_key", F.col("key"))
     short = choose.shortlist(scores, a.target_size, a.shortlist_size).persist()  # bounded by its size
-    words = vocabulary.select("word", "frequency")
-    features = feats.feature_table(rows.join(short.select("key"), "key", "left_semi"), "key", a.min_word_frequency, a.max_word_frequency, words)
+    words = counts.where("code < 0").select("word", "frequency")
+    features = feats.feature_table(rows.join(short.select("key"), "key", "left_semi"), "key", *band, words)
     chosen = choose.adaptive_selection(short, features, n, a.target_size, a.conditional_target_ratio, a.multi_conditional_target_ratio, a.source_penalty, frequencies=df)
     selected = rows.join(chosen, "key").join(short.select("key", "conditional_letter_count"), "key").persist()  # target_size rows
     samples, state = tables.selected_tables(selected)
     tables.write_together({"samples": samples, "preannotation_state": state, "selected": selected}, a.output, a.force)
     if a.report:
-        own = feats.feature_table(selected, "key", a.min_word_frequency, a.max_word_frequency, words)
+        own = feats.feature_table(selected, "key", *band, words)
         config = {"selection_strategy": "adaptive_greedy", "language_filter": "tatar_specific_letters", "min_tatar_specific_letters": a.min_specific_letters, "target_size": a.target_size}
         tables.write_report(report.selection_report(selected, own, a.seed, config), a.report)
     selected.unpersist()
-    for kept in (short, df, vocabulary):
+    for kept in (short, df, counts):
         kept.unpersist()
 
 
