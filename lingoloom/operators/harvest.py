@@ -81,7 +81,7 @@ def _scanned(frame: pd.DataFrame) -> pd.DataFrame:
     ``own`` counts the rows before this one that no other document has, ``taken``
     says that an earlier block keeps the key.
     """
-    kept: dict[str, object] = {}
+    kept: dict[object, object] = {}
     doc, free = None, 0
     frame = frame.sort_values(["id", "at"], kind="stable")
     cap, block = int(frame["cap"].iloc[0]), frame["block"].iloc[0]
@@ -93,7 +93,7 @@ def _scanned(frame: pd.DataFrame) -> pd.DataFrame:
         free += 1
         if own + free <= cap:
             kept[key] = i
-    return pd.DataFrame({"key": list(kept), "block": [block] * len(kept), "keeper": pd.Series(list(kept.values()), dtype=frame["id"].dtype)})
+    return pd.DataFrame({"key": pd.Series(list(kept), dtype=object), "block": [block] * len(kept), "keeper": pd.Series(list(kept.values()), dtype=frame["id"].dtype)})
 
 
 def _keepers(rows: DataFrame, cap: int, blocks: int | None = None) -> DataFrame:
@@ -119,7 +119,7 @@ def _keepers(rows: DataFrame, cap: int, blocks: int | None = None) -> DataFrame:
     n = max(1, min(RANGES, asked.count() // ROWS)) if blocks is None else blocks
     cuts = _cuts(asked, [F.col("id")], n) if n > 1 else []
     asked = asked.withColumn("block", range_of([F.col("id")], cuts, [asked.schema["id"].dataType.simpleString()])).withColumn("cap", F.lit(cap))
-    schema = f"key string, block int, keeper {asked.schema['id'].dataType.simpleString()}"
+    schema = f"key {asked.schema['key'].dataType.simpleString()}, block int, keeper {asked.schema['id'].dataType.simpleString()}"
     keepers = kept(shared.select("key", F.lit(None).cast("int").alias("block"), F.lit(None).cast(asked.schema["id"].dataType).alias("keeper"), "frequent"))
     for _ in range(len(cuts) + 2):
         taken = join_split(asked, keepers.select("key", F.col("block").alias("first"), "frequent"), "key", "left").withColumn("taken", F.coalesce(F.col("first") < F.col("block"), F.lit(False)))
@@ -136,39 +136,56 @@ def _keepers(rows: DataFrame, cap: int, blocks: int | None = None) -> DataFrame:
     return keepers.select("key", F.col("keeper").alias("owner"), "frequent")
 
 
+def _windows_overlap(config: HarvestConfig) -> bool:
+    """Whether two windows of a text may share characters (see ``document_windows``); sentences of one window begin at different places."""
+    if config.exhaustive or config.window_chars <= 0:
+        return False
+    budget = min(config.max_doc_chars, config.window_chars * config.windows_per_doc)
+    return config.window_chars * max(1, min(config.windows_per_doc, -(-budget // config.window_chars))) > config.max_doc_chars
+
+
 def dedup_and_cap(judged: DataFrame, config: HarvestConfig) -> DataFrame:
-    """Dispositions ``doc_duplicate``, ``global_duplicate`` and ``doc_cap``; ``kept`` for the rest of the candidates.
+    """Dispositions ``doc_duplicate``, ``global_duplicate`` and ``doc_cap``; ``kept`` for the rest of the candidates, with their rank.
 
     As if documents were read one after another by id: a sentence counts as a
     duplicate once an earlier document has kept it, cap included. Without
     ``owners_keep`` it does once an earlier document has it, and what a document
     repeats is a ``doc_duplicate`` first.
 
-    The judged sentences are kept, as segmenting is dear: owners, and both
-    sides of a split join, read them.
+    The judged sentences are kept, as segmenting is dear. Only keys and places
+    of candidates are shuffled; texts, where the table has them, meet their
+    fates once. A table without ``sentence`` is taken for one of few narrow
+    columns, which go along.
     """
-    judged = Kept()(judged)
-    is_candidate = F.col("disposition") == "candidate"
-    in_doc = Window.partitionBy("id", "key", "disposition").orderBy("window", "position")
+    candidate = F.col("disposition") == "candidate"
+    digest = F.coalesce(F.when(F.length("key") == 64, F.unhex("key")), F.encode("key", "utf-8"))  # half as long
+    judged = Kept()(judged.withColumn("key", F.when(candidate, digest)).withColumn("row", F.monotonically_increasing_id()))
     priority = F.coalesce(*[F.when(F.col("keep_reason") == k, F.lit(v)) for k, v in PRIORITY.items()])
-    place = F.struct(priority.alias("priority"), (F.col("window_start") + F.col("start")).alias("at"), "sentence")
+    wide, order = "sentence" in judged.columns, ["window", "position"]
+    order = ["sentence", *order] if wide and _windows_overlap(config) else order
+    place = F.struct(priority.alias("priority"), (F.col("window_start") + F.col("start")).alias("at"), *order)
+    along = [] if wide else [c for c in judged.columns if c not in ("row", "id", "window", "position", "key", "disposition")]
+    rows = judged.where(candidate).select("row", "id", "window", "position", "key", place.alias("place"), *along)
     cap = None if config.exhaustive else config.max_candidates_per_doc
+    in_doc = Window.partitionBy("id", "key").orderBy("window", "position")
     if cap is None or not config.owners_keep:
-        owners = Kept()(_shared(judged.where(is_candidate).select("id", "key")))
+        owners = Kept()(_shared(rows.select("id", "key")))
     else:
-        first = judged.where(is_candidate).repartition("id").withColumn("nth", F.row_number().over(in_doc)).where("nth = 1")
-        owners = _keepers(first.select("id", "key", place.alias("place")), cap)
+        first = rows.select("id", "key", "window", "position", "place").repartition("id").withColumn("nth", F.row_number().over(in_doc)).where("nth = 1")
+        owners = _keepers(first.select("id", "key", "place"), cap)
     # dealt out by id once, which serves both windows
-    once = join_split(judged, owners.select("key", "owner", "frequent"), "key", "left").repartition("id")
-    once = once.withColumn("nth", F.row_number().over(in_doc)).withColumn("place", F.when(is_candidate & (F.col("nth") == 1), place))
-    earlier = is_candidate & F.coalesce(F.col("owner") < F.col("id"), F.lit(False))
-    repeated = is_candidate & (F.col("nth") > 1)
-    fate = (F.when(earlier, "global_duplicate").when(repeated, "doc_duplicate") if config.owners_keep else F.when(repeated, "doc_duplicate").when(earlier, "global_duplicate")).otherwise(F.col("disposition"))
-    once = once.withColumn("disposition", fate)
-    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("id", "disposition").orderBy("place")))
+    once = join_split(rows, owners.select("key", "owner", "frequent"), "key", "left").repartition("id")
+    once = once.withColumn("nth", F.row_number().over(in_doc)).withColumn("place", F.when(F.col("nth") == 1, F.col("place")))
+    earlier, repeated = F.coalesce(F.col("owner") < F.col("id"), F.lit(False)), F.col("nth") > 1
+    fate = F.when(earlier, "global_duplicate").when(repeated, "doc_duplicate") if config.owners_keep else F.when(repeated, "doc_duplicate").when(earlier, "global_duplicate")
+    ranked = once.withColumn("fate", fate).withColumn("rank", F.row_number().over(Window.partitionBy("id", "fate").orderBy("place")))
     over = F.lit(False) if cap is None else F.col("rank") > cap
-    fate = F.when(is_candidate & over, "doc_cap").when(is_candidate, "kept").otherwise(F.col("disposition"))
-    return ranked.withColumn("disposition", fate).drop("nth", "owner", "place")
+    ranked = ranked.withColumn("disposition", F.when(F.col("fate").isNotNull(), F.col("fate")).when(over, "doc_cap").otherwise("kept"))
+    if wide:
+        ranked = judged.where(candidate).drop("disposition").join(ranked.select("row", "disposition", "rank"), "row")
+    columns = [c for c in judged.columns if c not in ("row", "key")]
+    rest = judged.where(~F.coalesce(candidate, F.lit(False))).withColumn("rank", F.lit(None).cast("int"))
+    return ranked.select(*columns, "rank").unionByName(rest.select(*columns, "rank"))
 
 
 def within_total(kept: DataFrame, config: HarvestConfig) -> DataFrame:
@@ -210,7 +227,17 @@ def prepare(docs: DataFrame, config: HarvestConfig = HarvestConfig()) -> DataFra
 
 def diagnostics(docs: DataFrame, config: HarvestConfig = HarvestConfig()) -> DataFrame:
     """(counter, n): what became of every sentence, and each quality reason."""
-    return counters(dedup_and_cap(judge_sentences(segment_documents(docs, config), config), config))
+    return counters(dedup_and_cap(narrow(judge_sentences(segment_documents(docs, config), config), reasons()), config))
+
+
+def reasons() -> Column:
+    """The reasons of sentences that fail by their quality, as ``counters`` reads them."""
+    return F.struct(F.when(F.col("disposition") == "skipped_quality", F.col("quality.reasons")).alias("reasons")).alias("quality")
+
+
+def narrow(judged: DataFrame, *columns: Column) -> DataFrame:
+    """What ``dedup_and_cap`` needs of judged sentences where no texts are wanted, and ``columns``."""
+    return judged.select("id", "window", "window_start", "position", "start", "keep_reason", "key", "disposition", *columns)
 
 
 def counters(fates: DataFrame) -> DataFrame:
